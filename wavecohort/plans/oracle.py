@@ -316,6 +316,168 @@ select (select cast(count(distinct hhidpn) as bigint) from allwaves) as n_person
        (select cast(count_if(baseline_normal is null) as bigint) from baseline_person) as n_baseline_normal_missing""")
 
 
+# ---- phase 3-7 inputs ---------------------------------------------------------
+_label_case = "case menopause_group " + " ".join(f"when {_q(k)} then {_q(v)}" for k, v in GROUP_LABELS.items()) + " end"
+cte("analysis_all", ("allwaves",), f"""
+select * replace (case when menopause_group in {_in(GROUP_LEVELS)} then menopause_group end as menopause_group),
+  cogtot27_imp as cognitive_score, agey_e as chronological_age, agey_e - 65 as age_c65, pow(agey_e - 65, 2) as age_c65_sq,
+  {_label_case.replace('case menopause_group', 'case (case when menopause_group in ' + _in(GROUP_LEVELS) + ' then menopause_group end)')} as menopause_group_label,
+  case when rahispan = 1 then 'Hispanic' when rahispan = 0 and raracem = 1 then 'Non-Hispanic White'
+       when rahispan = 0 and raracem = 2 then 'Non-Hispanic Black' when rahispan = 0 and raracem = 3 then 'Non-Hispanic Other'
+       else 'Missing/Unknown' end as race_ethnicity,
+  cast(raedyrs as double) as education_years, cast(raedyrs - 12 as double) as education_c12,
+  case when raeduc = 1 then 'Less than high school' when raeduc = 2 then 'GED' when raeduc = 3 then 'High school graduate'
+       when raeduc = 4 then 'Some college' when raeduc = 5 then 'College or above' else 'Missing' end as education_category,
+  cast(rabyear as double) as birth_year, (rabyear - 1940) / 10 as birth_year_c10,
+  case when rabyear is null then 'Missing' else cast(cast(floor(rabyear / 10) * 10 as bigint) as varchar) || 's' end as birth_cohort_decade,
+  case when baseline_cogfunction = 1 then 'Normal' when baseline_cogfunction = 2 then 'CIND'
+       when baseline_cogfunction = 3 then 'Dementia' else 'Missing' end as baseline_cognitive_status,
+  cogtot27_imp is not null as observed_cognition
+from allwaves""")
+
+cte("analysis", ("analysis_all",), """
+select * from analysis_all where cognitive_score is not null and chronological_age is not null
+  and age_c65 is not null and menopause_group is not null and post_baseline_valid_cognition""")
+
+cte("model2", ("analysis",), """
+select * from analysis where cognitive_score is not null and age_c65 is not null and menopause_group is not null
+  and race_ethnicity is not null and birth_year_c10 is not null and education_c12 is not null""")
+
+cte("baseline_analysis", ("analysis",), """
+select * exclude (rn) from (select *, row_number() over (partition by hhidpn order by wave) as rn
+  from analysis where wave = baseline_wave) where rn = 1""")
+
+cte("trajectory_summary", ("analysis",), """
+select menopause_group, menopause_group_label, cast(count(distinct hhidpn) as bigint) as n_persons,
+  cast(count(*) as bigint) as n_person_waves, min(chronological_age) as min_age, max(chronological_age) as max_age
+from analysis group by menopause_group, menopause_group_label""")
+
+cte("rbase", ("model2",), """
+select hhidpn, baseline_wave, menopause_group, menopause_group_label from (
+  select *, row_number() over (partition by hhidpn order by wave) as rn from model2 where wave = baseline_wave) where rn = 1""")
+
+cte("retention_panel", ("rbase", "allwaves"), """
+select g.hhidpn, g.wave, b.baseline_wave, b.menopause_group, b.menopause_group_label,
+  coalesce(o.row_present, false) as row_present, coalesce(o.observed_cognition, false) as observed_cognition,
+  g.wave - b.baseline_wave as followup_wave
+from (select b.hhidpn, w.wave from rbase b join (select distinct wave from allwaves) w on w.wave >= b.baseline_wave) g
+left join rbase b on g.hhidpn = b.hhidpn
+left join (select hhidpn, wave, true as row_present, coalesce(bool_or(cogtot27_imp is not null), false) as observed_cognition
+           from allwaves where hhidpn in (select hhidpn from rbase) group by hhidpn, wave) o
+  on g.hhidpn = o.hhidpn and g.wave = o.wave""")
+
+cte("attrition_events", ("retention_panel",), """
+select *, first_missing_followup is not null as attrition_event,
+  cast(case when first_missing_followup is not null then first_missing_followup else max_followup_wave end as double) as time_to_attrition_or_censor
+from (select hhidpn, menopause_group, menopause_group_label, baseline_wave,
+        cast(min(case when followup_wave > 0 and not observed_cognition then followup_wave end) as double) as first_missing_followup,
+        max(followup_wave) as max_followup_wave
+      from retention_panel group by hhidpn, menopause_group, menopause_group_label, baseline_wave)""")
+
+cte("km_curve", ("attrition_events",), """
+select cast(0 as double) as followup_wave, cast(1 as double) as retention_probability, cast(0 as double) as std_error,
+  cast(1 as double) as conf_low, cast(1 as double) as conf_high, cast(count(*) as bigint) as n_risk,
+  cast(0 as bigint) as n_event, cast(0 as bigint) as n_censor, menopause_group_label
+from attrition_events group by menopause_group_label
+union all
+select t, s, case when s > 0 then s * sqrt(g) end,
+  case when s > 0 then exp(ln(s) - 1.959963984540054 * sqrt(g)) end,
+  case when s > 0 then least(1.0, exp(ln(s) + 1.959963984540054 * sqrt(g))) end,
+  n, d, c, menopause_group_label
+from (select *, product(1 - d / n) over w as s, sum(case when n > d then d / (n * (n - d)) end) over w as g
+      from (select *, cast(sum(m) over (partition by menopause_group_label order by t desc
+                        rows between unbounded preceding and current row) as bigint) as n
+            from (select menopause_group_label, time_to_attrition_or_censor as t,
+                    cast(count_if(attrition_event) as bigint) as d, cast(count_if(not attrition_event) as bigint) as c,
+                    cast(count(*) as bigint) as m
+                  from attrition_events group by menopause_group_label, time_to_attrition_or_censor))
+      where d > 0
+      window w as (partition by menopause_group_label order by t rows between unbounded preceding and current row))""")
+
+cte("retention_by_wave", ("retention_panel",), """
+select menopause_group_label, followup_wave, cast(count(distinct hhidpn) as bigint) as n_baseline_group,
+  cast(count_if(observed_cognition) as bigint) as n_observed_cognition,
+  count_if(observed_cognition) / count(distinct hhidpn) as simple_retention_proportion
+from retention_panel group by menopause_group_label, followup_wave""")
+
+cte("attrition_share", ("attrition_events",), """
+select *, n / sum(n) over (partition by menopause_group_label) as pct from (
+  select menopause_group_label, attrition_event, cast(count(*) as bigint) as n from attrition_events
+  group by menopause_group_label, attrition_event)""")
+
+cte("ibase", ("model2",), """
+select hhidpn, baseline_wave, menopause_group, race_ethnicity, birth_year_c10, education_c12, baseline_normal from (
+  select *, row_number() over (partition by hhidpn order by wave) as rn from model2 where wave = baseline_wave) where rn = 1""")
+
+cte("ipcw_panel", ("ibase", "analysis_all"), """
+select *, wave > baseline_wave and lag_observed_cognition as at_risk_for_observation,
+  cast(observed_cognition as integer) as observed_t
+from (select *, lag(observed_cognition) over w as lag_observed_cognition, lag(cognitive_score) over w as lag_cognitive_score,
+        lag(chronological_age) over w as lag_chronological_age
+      from (select g.hhidpn, g.wave, b.baseline_wave, b.menopause_group, b.race_ethnicity, b.birth_year_c10, b.education_c12,
+              b.baseline_normal, coalesce(o.row_present, false) as row_present, o.cognitive_score, o.chronological_age,
+              coalesce(o.observed_cognition, false) as observed_cognition
+            from (select b.hhidpn, w.wave from ibase b join (select distinct wave from analysis_all) w on w.wave >= b.baseline_wave) g
+            left join ibase b on g.hhidpn = b.hhidpn
+            left join (select hhidpn, wave, true as row_present, first(cognitive_score) as cognitive_score,
+                         first(chronological_age) as chronological_age,
+                         coalesce(bool_or(cognitive_score is not null), false) as observed_cognition
+                       from analysis_all where hhidpn in (select hhidpn from ibase) group by hhidpn, wave) o
+              on g.hhidpn = o.hhidpn and g.wave = o.wave)
+      window w as (partition by hhidpn order by wave))""")
+
+cte("ipcw_risk_set", ("ipcw_panel",), """
+select * from ipcw_panel where at_risk_for_observation and observed_t is not null and menopause_group is not null
+  and race_ethnicity is not null and birth_year_c10 is not null and education_c12 is not null
+  and lag_cognitive_score is not null and lag_chronological_age is not null""")
+
+
+# ---- balance ---------------------------------------------------------------------
+_CONT = ("baseline_age", "baseline_cognition", "birth_year", "education_years")
+_CAT = ("race_ethnicity", "education_category", "birth_cohort_decade", "baseline_cognitive_status")
+_DECL = {"race_ethnicity": RACE_LEVELS, "education_category": EDUCATION_LEVELS, "baseline_cognitive_status": STATUS_LEVELS}
+cte("sc_m", ("baseline_analysis",), "select variable, g, count(*) as n, avg(x) as mean, var_samp(x) as var, sum(x) as sx from (\n" + "\nunion all\n".join(
+    f"select menopause_group as g, '{v}' as variable, cast({v} as double) as x from baseline_analysis" for v in _CONT)
+    + ") where x is not null and g is not null group by variable, g")
+cte("smd_continuous", ("sc_m",), "select v.variable, p.max_pairwise_smd from (values " + ", ".join(f"('{v}')" for v in _CONT) + """) v(variable)
+left join (select a.variable, max(case when sqrt((a.var + b.var) / 2) is null or sqrt((a.var + b.var) / 2) = 0 then cast(0 as double)
+                 else abs(a.mean - b.mean) / sqrt((a.var + b.var) / 2) end) as max_pairwise_smd
+           from sc_m a join sc_m b on a.variable = b.variable and a.g < b.g group by a.variable) p on v.variable = p.variable""")
+cte("anova_stats", ("sc_m",), """
+select variable, ((snm2 - sx * sx / n_total) / (k - 1)) / (ssw / (n_total - k)) as f_statistic,
+  cast(k - 1 as bigint) as df1, cast(n_total - k as bigint) as df2
+from (select variable, count(*) as k, sum(n) as n_total, sum(sx) as sx, sum(n * mean * mean) as snm2,
+        sum(coalesce((n - 1) * var, 0)) as ssw from sc_m group by variable) where k >= 2""")
+cte("cat_long", ("baseline_analysis",), "\nunion all\n".join(
+    f"select menopause_group as g, '{v}' as variable, coalesce(cast({v} as varchar), 'Missing') as level from baseline_analysis where menopause_group is not null"
+    for v in _CAT))
+_decl_rows = [(v, l) for v in _CAT for l in list(_DECL.get(v, ())) + ["Missing"]]
+cte("cat_c", ("cat_long",), """
+select l.variable, l.level, n.g, coalesce(c.cnt, 0) as cnt, n.n from (
+  select distinct variable, level from cat_long union select * from (values """ + ", ".join(f"({_q(v)}, {_q(l)})" for v, l in _decl_rows) + """) t(variable, level)) l
+join (select variable, g, count(*) as n from cat_long group by variable, g) n on l.variable = n.variable
+left join (select variable, level, g, count(*) as cnt from cat_long group by variable, level, g) c
+  on c.variable = l.variable and c.level = l.level and c.g = n.g""")
+cte("smd_categorical", ("cat_c",), """
+select variable, level, level_pairwise_smd, max(level_pairwise_smd) over (partition by variable) as max_pairwise_smd from (
+  select l.variable, l.level, s.smd as level_pairwise_smd from (select distinct variable, level from cat_c) l
+  left join (select a.variable, a.level, max(case when (a.p * (1 - a.p) + b.p * (1 - b.p)) / 2 = 0 then cast(0 as double)
+                 else abs(a.p - b.p) / sqrt((a.p * (1 - a.p) + b.p * (1 - b.p)) / 2) end) as smd
+             from (select *, cnt / n as p from cat_c) a join (select *, cnt / n as p from cat_c) b
+               on a.variable = b.variable and a.level = b.level and a.g < b.g group by a.variable, a.level) s
+  on l.variable = s.variable and l.level = s.level)""")
+cte("chisq_stats", ("cat_c",), """
+select variable, sum(case when r > 0 and c > 0 then pow(abs(cnt - e) - case when yates then least(0.5, abs(cnt - e)) else 0 end, 2) / e else 0 end) as chi_square,
+  cast((max(rr) - 1) * (max(cc) - 1) as bigint) as df
+from (select *, r * c / nn as e, rr = 2 and cc = 2 as yates from (
+  select *, sum(cnt) over (partition by variable, level) as r, sum(cnt) over (partition by variable, g) as c,
+    sum(cnt) over (partition by variable) as nn from cat_c) x
+  join (select variable as v2, count(distinct case when r2 > 0 then level end) as rr from (
+          select variable, level, sum(cnt) as r2 from cat_c group by variable, level) group by variable) y on x.variable = y.v2
+  join (select variable as v3, count(distinct g) as cc from cat_c where n > 0 group by variable) z on x.variable = z.v3)
+group by variable having (max(rr) - 1) * (max(cc) - 1) >= 1""")
+
+
 def _order(names) -> list[str]:
     seen: list[str] = []
 

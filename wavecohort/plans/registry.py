@@ -72,3 +72,36 @@ register("analytic_panel", lambda s: s.allwaves, "allwaves",
          ("agey_e", "cogtot27_imp", "C253_age", "baseline_age", "baseline_cognition", "baseline_exposure_age", "age_centered_65"))
 register("cohort_summary", lambda s: s.cohort_summary, "cohort_summary",
          ("mean_valid_cognitive_assessments_per_person", "median_valid_cognitive_assessments_per_person"))
+
+# ---- analysis variables, retention, IPCW panel ------------------------------------
+from ..operators import describe as _D  # noqa: E402
+
+_AV = ("hhidpn", "wave") + _D.ANALYSIS_COLUMNS
+register("analysis_vars", lambda s: s.analysis.select(*_AV), "analysis",
+         ("cognitive_score", "chronological_age", "age_c65", "age_c65_sq", "education_years", "education_c12", "birth_year", "birth_year_c10"),
+         select="select " + ", ".join(_AV) + " from analysis")
+register("baseline_rows", lambda s: s.baseline_analysis.select(*_AV, "baseline_wave"), "baseline_analysis",
+         ("cognitive_score", "chronological_age", "age_c65", "age_c65_sq", "education_years", "education_c12", "birth_year", "birth_year_c10"),
+         select="select " + ", ".join(_AV) + ", baseline_wave from baseline_analysis")
+register("trajectory_summary", lambda s: s.trajectory_summary, "trajectory_summary", ("min_age", "max_age"))
+register("retention_panel", lambda s: s.retention_panel, "retention_panel")
+register("person_wave_grid", lambda s: s.retention_panel.select("hhidpn", "wave"), "retention_panel",
+         select="select hhidpn, wave from retention_panel")
+register("attrition_events", lambda s: s.attrition_events, "attrition_events", ("first_missing_followup", "time_to_attrition_or_censor"))
+register("km_curve", lambda s: s.km_curve, "km_curve",
+         ("followup_wave", "retention_probability", "std_error", "conf_low", "conf_high"))
+register("retention_by_wave", lambda s: s.retention_by_wave, "retention_by_wave", ("simple_retention_proportion",))
+register("attrition_share", lambda s: s.attrition_share, "attrition_share", ("pct",))
+register("ipcw_panel", lambda s: s.ipcw_panel, "ipcw_panel",
+         ("birth_year_c10", "education_c12", "cognitive_score", "chronological_age", "lag_cognitive_score", "lag_chronological_age"))
+register("ipcw_risk_set", lambda s: s.ipcw_risk_set, "ipcw_risk_set",
+         ("birth_year_c10", "education_c12", "cognitive_score", "chronological_age", "lag_cognitive_score", "lag_chronological_age"))
+
+# ---- balance -----------------------------------------------------------------------
+register("smd_continuous", lambda s: s.smd_continuous, "smd_continuous", ("max_pairwise_smd",))
+register("smd_categorical", lambda s: s.smd_categorical, "smd_categorical", ("level_pairwise_smd", "max_pairwise_smd"))
+register("anova_stats", lambda s: s.anova_stats, "anova_stats", ("f_statistic",))
+register("chisq_stats", lambda s: s.chisq_stats, "chisq_stats", ("chi_square",))
+register("table1", lambda s: s.table1)
+register("smd_diagnostics", lambda s: s.smd_diagnostics)
+register("model_samples", lambda s: s.model_samples)

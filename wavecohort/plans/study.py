@@ -11,16 +11,33 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cohort as C
+from ..operators import describe as D
+from ..operators import ipcw as W
+from ..operators import retention as R
 from ..operators import integrity as I
-from ..session import configure
+from ..session import configure, keep
 from ..sources.fixture import load_panel
-from ..spec import DEFAULT_SPEC, PanelSpec
+from ..spec import (
+    CATEGORICAL_COVARIATES,
+    CONTINUOUS_COVARIATES,
+    DEFAULT_SPEC,
+    EDUCATION_LEVELS,
+    RACE_LEVELS,
+    STATUS_LEVELS,
+    PanelSpec,
+)
+
+DECLARED_LEVELS = {
+    "race_ethnicity": RACE_LEVELS,
+    "education_category": EDUCATION_LEVELS,
+    "baseline_cognitive_status": STATUS_LEVELS,
+}
 
 
 class Study:
     def __init__(self, spark: SparkSession, panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC):
         self.spark = configure(spark)
-        self.panel = panel
+        self.panel = keep(panel)
         self.spec = spec
 
     @classmethod
@@ -62,7 +79,7 @@ class Study:
 
     @cached_property
     def resolved(self):
-        return I.resolve_invariants(self.panel, self.spec)
+        return keep(I.resolve_invariants(self.panel, self.spec))
 
     @cached_property
     def transitions(self):
@@ -111,7 +128,7 @@ class Study:
     # ---- phase 2 ----------------------------------------------------------
     @cached_property
     def base(self):
-        return C.eligibility(self.clean, self.spec)
+        return keep(C.eligibility(self.clean, self.spec))
 
     @cached_property
     def cohort_flags(self):
@@ -143,7 +160,7 @@ class Study:
 
     @cached_property
     def allwaves(self):
-        return C.analytic_panel(self.base, self.baseline_person, self.spec)
+        return keep(C.analytic_panel(self.base, self.baseline_person, self.spec))
 
     @cached_property
     def ready(self):
@@ -152,3 +169,109 @@ class Study:
     @cached_property
     def cohort_summary(self):
         return C.cohort_summary(self.allwaves, self.ready, self.baseline_person, self.spec)
+
+    # ---- phase 3-7 inputs -----------------------------------------------------
+    @cached_property
+    def analysis_all(self):
+        """Analysis variables on every post-baseline row."""
+        return keep(D.analysis_vars(self.allwaves, self.spec, keep_incomplete=True))
+
+    @cached_property
+    def analysis(self):
+        """Model-ready rows with analysis variables."""
+        return D.complete_analysis(self.analysis_all)
+
+    @cached_property
+    def model2_rows(self):
+        return D.model2_data(self.analysis)
+
+    @cached_property
+    def baseline_analysis(self):
+        return D.baseline_rows(self.analysis, self.spec)
+
+    @cached_property
+    def analytic_waves(self):
+        return I.all_waves(self.allwaves, self.spec)
+
+    @cached_property
+    def trajectory_summary(self):
+        return D.trajectory_summary(self.analysis, self.spec)
+
+    # ---- retention ------------------------------------------------------------
+    @cached_property
+    def retention_panel(self):
+        return R.retention_panel(self.model2_rows, self.allwaves, self.analytic_waves, self.spec)
+
+    @cached_property
+    def attrition_events(self):
+        return R.attrition_events(self.retention_panel, self.spec)
+
+    @cached_property
+    def km_curve(self):
+        return R.km_curve(self.attrition_events)
+
+    @cached_property
+    def retention_by_wave(self):
+        return R.retention_by_wave(self.retention_panel, self.spec)
+
+    @cached_property
+    def attrition_share(self):
+        return R.attrition_share(self.attrition_events)
+
+    # ---- IPCW -------------------------------------------------------------------
+    @cached_property
+    def ipcw_panel(self):
+        return W.ipcw_panel(self.model2_rows, self.analysis_all, self.analytic_waves, self.spec)
+
+    @cached_property
+    def ipcw_risk_set(self):
+        return W.ipcw_risk_set(self.ipcw_panel)
+
+    # ---- balance ------------------------------------------------------------------
+    @cached_property
+    def smd_continuous(self):
+        return D.smd_continuous(self.baseline_analysis, [v for v, _ in CONTINUOUS_COVARIATES])
+
+    @cached_property
+    def categorical_counts(self):
+        return D.categorical_levels(self.baseline_analysis, [v for v, _ in CATEGORICAL_COVARIATES], DECLARED_LEVELS,
+                                    self.spec.group_levels)
+
+    @cached_property
+    def smd_categorical(self):
+        return D.smd_categorical(self.categorical_counts, self.spec.group_levels)
+
+    @cached_property
+    def anova_stats(self):
+        return D.anova_stats(D.group_moments(self.baseline_analysis, [v for v, _ in CONTINUOUS_COVARIATES]))
+
+    @cached_property
+    def chisq_stats(self):
+        return D.chisq_stats(self.categorical_counts, self.spec.group_levels)
+
+    @cached_property
+    def table1(self):
+        g, lab = self.spec.group_levels, self.spec.group_labels
+        b = self.baseline_analysis
+        return (
+            D.n_row(b, g, lab)
+            .unionByName(D.continuous_table(b, CONTINUOUS_COVARIATES, g, lab))
+            .unionByName(D.categorical_table(b, CATEGORICAL_COVARIATES, DECLARED_LEVELS, g, lab))
+        )
+
+    @cached_property
+    def smd_diagnostics(self):
+        return D.smd_diagnostics(self.baseline_analysis, CONTINUOUS_COVARIATES, CATEGORICAL_COVARIATES, DECLARED_LEVELS,
+                                 self.spec.group_levels)
+
+    @cached_property
+    def model_samples(self):
+        from pyspark.sql import functions as F
+
+        a, m2 = self.analysis, self.model2_rows
+        return (
+            D.sample_row("Model 0 and Model 1", a, a, self.spec)
+            .unionByName(D.sample_row("Model 2", m2, a, self.spec))
+            .unionByName(D.sample_row("Model 6", m2.where(F.col("baseline_normal") == 1), a, self.spec))
+            .unionByName(D.sample_row("Model 7", m2.where(F.col("menopause_group").isin(list(self.spec.natural_groups))), a, self.spec))
+        )

@@ -41,6 +41,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a frame that several results read (memory, spilling to disk).
+
+    Lost blocks are recomputed from lineage, so this survives executor
+    loss; identical plans built later reuse the same cached data.
+    """
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage and survives executor loss."""
     checkpoint_dir(df.sparkSession)
