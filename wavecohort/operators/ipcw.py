@@ -78,3 +78,86 @@ def truncate_weights(df: DataFrame, lo: float, hi: float, col: str = "sw_cumulat
     """Clamp at given bounds (the bounds are two numbers computed by
     ``exact_quantiles`` on the same rows)."""
     return df.withColumn(out, clamp(col, lo, hi))
+
+
+# ---- M14-M16 observation models -------------------------------------------------
+
+def _features(terms: Sequence[str], levels: dict) -> list:
+    """Treatment-contrast columns (name, expression) in term order."""
+    cols = []
+    for t in terms:
+        if t in levels:
+            for lv in levels[t][1:]:
+                cols.append((t + lv, (F.col(t) == lv).cast("double")))
+        else:
+            cols.append((t, F.col(t).cast("double")))
+    return cols
+
+
+def fit_logit(risk: DataFrame, terms: Sequence[str], label: str = "observed_t"):
+    """Binomial GLM with logit link (Spark ML IRLS, distributed).
+    Factor levels absent from the risk set are dropped (full rank)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GeneralizedLinearRegression
+
+    from .design import FACTORS, used_levels
+
+    facs = [t for t in terms if t in FACTORS]
+    used = used_levels(risk, facs)
+    levels = {f: [FACTORS[f][0]] + [lv for lv in FACTORS[f][1:] if lv in used[f]] for f in facs}
+    feats = _features(terms, levels)
+    names = [n for n, _ in feats]
+    data = risk.select(F.col(label).cast("double").alias("label"), *[e.alias(f"_f{i}") for i, (_, e) in enumerate(feats)])
+    data = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(feats))], outputCol="features").transform(data)
+    glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50, tol=1e-10, regParam=0.0)
+    model = glr.fit(data)
+    return model, names, feats
+
+
+def logit_coefficients(spark, fitted, name: str) -> DataFrame:
+    """Estimate, se, z, p; the intercept comes first as in R (Spark's
+    summary arrays put it last)."""
+    model, names, _ = fitted
+    s = model.summary
+    se, z, p = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
+    rows = [(name, "(Intercept)", float(model.intercept), se[-1], z[-1], p[-1])]
+    for i, n in enumerate(names):
+        rows.append((name, n, float(model.coefficients[i]), se[i], z[i], p[i]))
+    return spark.createDataFrame(rows, "model string, term string, estimate double, `std.error` double, statistic double, `p.value` double")
+
+
+def predict_logit(df: DataFrame, fitted, out: str) -> DataFrame:
+    """Linear predictor as a Column expression over the fitted coefficients
+    (no model object shipped to executors), bounded to [1e-4, 1-1e-4]."""
+    model, names, feats = fitted
+    eta = F.lit(float(model.intercept))
+    for i, (_, e) in enumerate(feats):
+        eta = eta + F.lit(float(model.coefficients[i])) * e
+    return df.withColumn(out, bound_probability(1 / (1 + F.exp(-eta))))
+
+
+def ipcw_predictions(risk: DataFrame, den, num, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Bounded probabilities and the stabilized transition weight."""
+    d = predict_logit(risk, den, "p_observed_denominator")
+    d = predict_logit(d, num, "p_observed_numerator")
+    return d.select(spec.id, spec.wave, "p_observed_denominator", "p_observed_numerator",
+                    (F.col("p_observed_numerator") / F.col("p_observed_denominator")).alias("stabilized_transition_weight"))
+
+
+def weight_summary(weighted: DataFrame, risk: DataFrame, preds: DataFrame, qs: dict, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """One row; quantiles come from ``exact_quantiles`` (``qs``)."""
+    a = weighted.agg(
+        F.count(F.lit(1)).alias("n_person_waves"),
+        F.count_distinct(spec.id).alias("n_persons"),
+        F.min("sw_cumulative").alias("sw_untruncated_min"),
+        F.avg("sw_cumulative").alias("sw_untruncated_mean"),
+        F.max("sw_cumulative").alias("sw_untruncated_max"),
+        F.min("sw_truncated").alias("sw_truncated_min"),
+        F.avg("sw_truncated").alias("sw_truncated_mean"),
+        F.max("sw_truncated").alias("sw_truncated_max"),
+    )
+    b = risk.agg(F.count(F.lit(1)).alias("risk_set_rows_for_ipcw_models"))
+    c = preds.agg(F.avg("p_observed_denominator").alias("observed_probability_mean_denominator"),
+                  F.avg("p_observed_numerator").alias("observed_probability_mean_numerator"))
+    out = a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").join(c.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return out.withColumns({k: F.lit(float(v)) for k, v in qs.items()})

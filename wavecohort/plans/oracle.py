@@ -478,6 +478,59 @@ from (select *, r * c / nn as e, rr = 2 and cc = 2 as yates from (
 group by variable having (max(rr) - 1) * (max(cc) - 1) >= 1""")
 
 
+# ---- model inputs ---------------------------------------------------------------
+cte("lmm_moments", ("model2",), """
+select hhidpn, cast(count(*) as bigint) as n, """ + ", ".join(
+    f"sum(pow(age_c65, {k})) as s{k}" for k in range(5)) + ", " + ", ".join(
+    f"sum(pow(age_c65, {k}) * cognitive_score) as z{k}" for k in range(3)) + """,
+  sum(cognitive_score * cognitive_score) as yy, cast(0 as double) as lw,
+  first(menopause_group) as menopause_group, first(race_ethnicity) as race_ethnicity,
+  first(birth_year_c10) as birth_year_c10, first(education_c12) as education_c12, first(baseline_normal) as baseline_normal
+from model2 group by hhidpn""")
+
+
+def _design_sql(design_names):
+    from ..operators.design import MODEL_TERMS, expand
+
+    d = expand(MODEL_TERMS["Model 2"])
+    parts = []
+    for j, c in enumerate(d.columns):
+        e = f"pow(age_c65, {c.power})" if c.power else "1.0"
+        for v, lv in c.factors:
+            e += f" * cast({v} as double)" if lv is None else f" * (case when {v} = {_q(lv)} then 1.0 else 0.0 end)"
+        parts.append(f"select hhidpn, wave, {j} as term_index, {_q(c.name)} as term, cast({e} as double) + 0.0 as value from model2")
+    return "\nunion all\n".join(parts), d
+
+
+_dsql, _design2 = _design_sql(None)
+cte("design_matrix", ("model2",), _dsql)
+
+cte("covdist", ("model2",), """
+select hhidpn, race_ethnicity, birth_year_c10, education_c12 from (
+  select *, row_number() over (partition by hhidpn order by wave) as rn from model2) where rn = 1""")
+
+_mean_keys = []
+for _c in _design2.columns:
+    for _v, _lv in _c.factors:
+        if _v != "menopause_group" and (_v, _lv) not in _mean_keys:
+            _mean_keys.append((_v, _lv))
+cte("cov_means", ("covdist",), "select " + ", ".join(
+    (f"avg(cast({v} as double)) as m{i}" if lv is None else f"avg(case when {v} = {_q(lv)} then cast(1 as double) else cast(0 as double) end) as m{i}")
+    for i, (v, lv) in enumerate(_mean_keys)) + " from covdist")
+_avg_parts = []
+for _j, _c in enumerate(_design2.columns):
+    e = f"pow(g.age - 65, {_c.power})" if _c.power else "cast(1 as double)"
+    for _v, _lv in _c.factors:
+        if _v == "menopause_group":
+            e += f" * (case when g.grp = {_q(_lv)} then 1.0 else 0.0 end)"
+        else:
+            e += f" * m.m{_mean_keys.index((_v, _lv))}"
+    _avg_parts.append(f"select g.age as chronological_age, g.grp as menopause_group, {_j} as term_index, {_q(_c.name)} as term, "
+                      f"cast({e} as double) as value from grid g, cov_means m")
+cte("average_design", ("cov_means",), "select * from (with grid as (select * from (values " + ", ".join(
+    f"(cast({a} as double), {_q(g)})" for a in (65, 75, 85) for g in GROUP_LEVELS) + ") t(age, grp))\n" + "\nunion all\n".join(_avg_parts) + ")")
+
+
 def _order(names) -> list[str]:
     seen: list[str] = []
 

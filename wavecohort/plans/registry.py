@@ -105,3 +105,29 @@ register("chisq_stats", lambda s: s.chisq_stats, "chisq_stats", ("chi_square",))
 register("table1", lambda s: s.table1)
 register("smd_diagnostics", lambda s: s.smd_diagnostics)
 register("model_samples", lambda s: s.model_samples)
+
+# ---- mixed models, IPCW weights, predictions (rows-only checks + pytest numerics) ----
+register("lmm_moments", lambda s: s.lmm_moments.drop("_nonconstant"), "lmm_moments",
+         ("s0", "s1", "s2", "s3", "s4", "z0", "z1", "z2", "yy", "lw", "birth_year_c10", "education_c12"))
+register("design_matrix", lambda s: s.design_matrix, "design_matrix", ("value",))
+register("lmm_fixed", lambda s: s.fixed_effects())
+register("lmm_varcomp", lambda s: s.variance_components())
+register("lmm_fit", lambda s: s.fit_stats())
+register("lmm_icc", lambda s: s.icc)
+register("slope_diff", lambda s: s.slope_differences)
+register("three_way", lambda s: s.three_way)
+register("model_compare", lambda s: s.model_compare)
+register("lmm_weighted", lambda s: s.fixed_effects(("Model 4",)))
+register("lmm_sensitivity", lambda s: s.fixed_effects(("Model 3", "Model 5", "Model 6", "Model 7")))
+register("sensitivity_wide", lambda s: s.sensitivity_wide)
+register("ipcw_models", lambda s: s.ipcw_coefficients)
+register("ipcw_weights", lambda s: s.ipcw_weights.select("hhidpn", "wave", "at_risk_for_observation", "observed_cognition",
+                                                          "transition_weight_for_observed_outcome", "sw_cumulative"))
+register("truncate_weights", lambda s: s.weighted_rows.select("hhidpn", "wave", "sw_cumulative", "sw_truncated"))
+register("weight_summary", lambda s: s.weight_summary)
+register("covariate_distribution", lambda s: s.covariate_distribution, "covdist", ("birth_year_c10", "education_c12"))
+register("average_design", lambda s: s.average_design, "average_design", ("value",))
+register("marginal_means", lambda s: s.marginal_means)
+register("clinical_contrasts", lambda s: s.clinical_contrasts)
+register("trajectories", lambda s: s.trajectories)
+register("trajectory_range", lambda s: s.trajectory_range)

@@ -15,7 +15,9 @@ from ..operators import describe as D
 from ..operators import ipcw as W
 from ..operators import retention as R
 from ..operators import integrity as I
-from ..session import configure, keep
+from ..operators import design as DS
+from ..operators import lmm as M
+from ..session import configure, keep, materialize, stage
 from ..sources.fixture import load_panel
 from ..spec import (
     CATEGORICAL_COVARIATES,
@@ -37,13 +39,17 @@ DECLARED_LEVELS = {
 class Study:
     def __init__(self, spark: SparkSession, panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC):
         self.spark = configure(spark)
-        self.panel = keep(panel)
+        self._raw_panel = panel
         self.spec = spec
 
     @classmethod
     def from_orders(cls, spark: SparkSession, sf_dir: str, spec: PanelSpec = DEFAULT_SPEC) -> "Study":
         return cls(spark, load_panel(configure(spark), sf_dir, spec), spec)
 
+    @cached_property
+    def panel(self):
+        return stage(self._raw_panel)
+
     # ---- phase 1 ----------------------------------------------------------
     @cached_property
     def first_assessment(self):
@@ -79,7 +85,7 @@ class Study:
 
     @cached_property
     def resolved(self):
-        return keep(I.resolve_invariants(self.panel, self.spec))
+        return stage(I.resolve_invariants(self.panel, self.spec))
 
     @cached_property
     def transitions(self):
@@ -128,7 +134,7 @@ class Study:
     # ---- phase 2 ----------------------------------------------------------
     @cached_property
     def base(self):
-        return keep(C.eligibility(self.clean, self.spec))
+        return stage(C.eligibility(self.clean, self.spec))
 
     @cached_property
     def cohort_flags(self):
@@ -160,7 +166,7 @@ class Study:
 
     @cached_property
     def allwaves(self):
-        return keep(C.analytic_panel(self.base, self.baseline_person, self.spec))
+        return stage(C.analytic_panel(self.base, self.baseline_person, self.spec))
 
     @cached_property
     def ready(self):
@@ -174,7 +180,7 @@ class Study:
     @cached_property
     def analysis_all(self):
         """Analysis variables on every post-baseline row."""
-        return keep(D.analysis_vars(self.allwaves, self.spec, keep_incomplete=True))
+        return stage(D.analysis_vars(self.allwaves, self.spec, keep_incomplete=True))
 
     @cached_property
     def analysis(self):
@@ -225,7 +231,7 @@ class Study:
 
     @cached_property
     def ipcw_risk_set(self):
-        return W.ipcw_risk_set(self.ipcw_panel)
+        return stage(W.ipcw_risk_set(self.ipcw_panel))
 
     # ---- balance ------------------------------------------------------------------
     @cached_property
@@ -275,3 +281,208 @@ class Study:
             .unionByName(D.sample_row("Model 6", m2.where(F.col("baseline_normal") == 1), a, self.spec))
             .unionByName(D.sample_row("Model 7", m2.where(F.col("menopause_group").isin(list(self.spec.natural_groups))), a, self.spec))
         )
+
+    # ---- mixed models -------------------------------------------------------------
+    def model_rows(self, model: str):
+        from pyspark.sql import functions as F
+
+        if model in ("Model 0", "Model 1"):
+            return self.analysis
+        if model == "Model 4":
+            return self.weighted_rows
+        if model == "Model 6":
+            return self.model2_rows.where(F.col("baseline_normal") == 1)
+        if model == "Model 7":
+            return self.model2_rows.where(F.col("menopause_group").isin(list(self.spec.natural_groups)))
+        return self.model2_rows
+
+    def moments(self, model: str):
+        """Per-person moments, checkpointed: every optimizer pass reads them."""
+        key = "Model 4" if model == "Model 4" else ("Model 0" if model in ("Model 0", "Model 1") else model)
+        cache = self.__dict__.setdefault("_moments", {})
+        if key not in cache:
+            w = "sw_truncated" if key == "Model 4" else None
+            cache[key] = materialize(M.person_moments(self.model_rows(key), weight=w, spec=self.spec))
+        return cache[key]
+
+    def fit(self, model: str):
+        cache = self.__dict__.setdefault("_fits", {})
+        if model not in cache:
+            rows = self.model_rows(model)
+            design = M.prepare_design(rows, DS.MODEL_TERMS[model], DS.MODEL_LEVELS.get(model))
+            cache[model] = M.fit_lmm(self.moments(model), design, DS.MODEL_NAMES[model],
+                                     weights="sw_truncated" if model == "Model 4" else None)
+        return cache[model]
+
+    def _stack(self, fn, models):
+        out = None
+        for m in models:
+            d = fn(self.spark, self.fit(m))
+            out = d if out is None else out.unionByName(d)
+        return out
+
+    def fixed_effects(self, models=("Model 0", "Model 1", "Model 2")):
+        return self._stack(M.fixed_effects, models)
+
+    def variance_components(self, models=("Model 0", "Model 1", "Model 2")):
+        return self._stack(M.variance_components, models)
+
+    def fit_stats(self, models=("Model 0", "Model 1", "Model 2")):
+        return self._stack(M.fit_stats, models)
+
+    @cached_property
+    def icc(self):
+        from ..spec import ICC_AGES_C65
+
+        return M.icc_by_age(self.spark, self.fit("Model 0"), ICC_AGES_C65)
+
+    @cached_property
+    def slope_differences(self):
+        return M.slope_differences(self.fixed_effects())
+
+    @cached_property
+    def three_way(self):
+        return M.three_way_terms(self.fixed_effects(("Model 3",)))
+
+    @cached_property
+    def model_compare(self):
+        from pyspark.sql import functions as F
+
+        return M.compare_models(self.fit_stats(("Model 2", "Model 5")).drop("reml", "weights"))
+
+    @cached_property
+    def lmm_moments(self):
+        return M.person_moments(self.model2_rows, spec=self.spec)
+
+    @cached_property
+    def design_matrix(self):
+        rows = self.model2_rows
+        return DS.design_rows(rows, M.prepare_design(rows, DS.MODEL_TERMS["Model 2"]))
+
+    # ---- IPCW weights --------------------------------------------------------------
+    @cached_property
+    def ipcw_models(self):
+        risk = self.ipcw_risk_set
+        return (W.fit_logit(risk, W.DENOMINATOR_TERMS), W.fit_logit(risk, W.NUMERATOR_TERMS))
+
+    @cached_property
+    def ipcw_coefficients(self):
+        den, num = self.ipcw_models
+        return W.logit_coefficients(self.spark, den, "Denominator: baseline covariates + lagged cognition + lagged age").unionByName(
+            W.logit_coefficients(self.spark, num, "Numerator: baseline covariates only"))
+
+    @cached_property
+    def ipcw_predictions(self):
+        den, num = self.ipcw_models
+        return W.ipcw_predictions(self.ipcw_risk_set, den, num, self.spec)
+
+    @cached_property
+    def ipcw_weights(self):
+        return W.cumulative_weights(self.ipcw_panel, self.ipcw_predictions, self.spec)
+
+    @cached_property
+    def untruncated_rows(self):
+        return stage(W.attach_weights(self.model2_rows, self.ipcw_weights, self.spec))
+
+    @cached_property
+    def weight_bounds(self):
+        from ..functions.quantile import exact_quantiles
+
+        return exact_quantiles(self.untruncated_rows, "sw_cumulative", [0.01, 0.99])
+
+    @cached_property
+    def weighted_rows(self):
+        lo, hi = self.weight_bounds
+        return W.truncate_weights(self.untruncated_rows, lo, hi)
+
+    @cached_property
+    def weight_summary(self):
+        from ..functions.quantile import exact_quantiles
+
+        u = exact_quantiles(self.untruncated_rows, "sw_cumulative", [0.01, 0.5, 0.99])
+        t = exact_quantiles(self.weighted_rows, "sw_truncated", [0.5])
+        qs = {"sw_untruncated_p01": u[0], "sw_untruncated_median": u[1], "sw_untruncated_p99": u[2], "sw_truncated_median": t[0]}
+        return W.weight_summary(self.weighted_rows, self.ipcw_risk_set, self.ipcw_predictions, qs, self.spec)
+
+    # ---- predictions ----------------------------------------------------------------
+    @cached_property
+    def covariate_distribution(self):
+        from ..operators import predict as V
+
+        return V.covariate_distribution(self.model2_rows, self.spec)
+
+    @cached_property
+    def model2_design(self):
+        return M.prepare_design(self.model2_rows, DS.MODEL_TERMS["Model 2"])
+
+    @cached_property
+    def covariate_means(self):
+        from ..operators import predict as V
+
+        return V.covariate_means(self.covariate_distribution, self.model2_design)
+
+    def marginal_means_at(self, ages):
+        from ..operators import predict as V
+
+        return V.marginal_means(self.spark, self.fit("Model 2"), self.model2_design, self.covariate_means, ages,
+                                self.spec.group_levels, self.spec.group_labels)
+
+    @cached_property
+    def marginal_means(self):
+        from ..spec import TABLE8_AGES
+
+        return self.marginal_means_at(TABLE8_AGES)
+
+    @cached_property
+    def average_design(self):
+        from ..operators import predict as V
+        from ..spec import TABLE8_AGES
+
+        return V.average_design_table(self.spark, self.model2_design, self.covariate_means, TABLE8_AGES, self.spec.group_levels)
+
+    @cached_property
+    def clinical_contrasts(self):
+        from ..operators import predict as V
+        from ..spec import CONTRAST_GROUPS, TABLE8_AGES
+
+        return V.clinical_contrasts(self.spark, self.fit("Model 2"), self.model2_design, self.covariate_means, TABLE8_AGES,
+                                    CONTRAST_GROUPS, self.spec.group_levels[0], self.spec.group_labels)
+
+    @cached_property
+    def trajectories(self):
+        from ..spec import TRAJECTORY_AGES
+
+        return self.marginal_means_at(TRAJECTORY_AGES).drop("L", "predicted_score_ci")
+
+    @cached_property
+    def trajectory_range(self):
+        from ..operators import predict as V
+
+        return V.trajectory_range(self.trajectories)
+
+    # ---- sensitivity (M11) -------------------------------------------------------------
+    @cached_property
+    def sensitivity_long(self):
+        from pyspark.sql import functions as F
+
+        from ..functions.exprs import recode
+        from ..operators.describe import format_p
+
+        fe = self.fixed_effects(("Model 2", "Model 4", "Model 6", "Model 7"))
+        d = M.slope_differences(fe, exclude_other=True)
+        return d.select(
+            "model",
+            recode("contrast", self.spec.group_labels).alias("contrast"),
+            "estimate", "std_error", "conf_low", "conf_high", "p_value",
+            F.format_string("%.4f [%.4f, %.4f]", "estimate", "conf_low", "conf_high").alias("estimate_ci"),
+            format_p("p_value").alias("p_value_formatted"),
+            "term",
+        )
+
+    @cached_property
+    def sensitivity_wide(self):
+        from pyspark.sql import functions as F
+
+        names = [DS.MODEL_NAMES[m] for m in ("Model 2", "Model 4", "Model 6", "Model 7")]
+        d = self.sensitivity_long.withColumn("result", F.concat("estimate_ci", F.lit("; p="), "p_value_formatted"))
+        return d.groupBy("contrast").pivot("model", names).agg(F.first("result"))

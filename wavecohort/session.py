@@ -52,6 +52,13 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """A stage boundary shared by many results: a reliable checkpoint in the
+    cluster's checkpoint folder (cuts lineage, survives executor loss, and
+    keeps later plans short)."""
+    return materialize(df)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage and survives executor loss."""
     checkpoint_dir(df.sparkSession)
