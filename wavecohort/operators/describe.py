@@ -208,7 +208,8 @@ def smd_categorical(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
             pv = (p1 * (1 - p1) + p2 * (1 - p2)) / 2
             val = F.when(pv == 0, F.lit(0.0)).otherwise(F.abs(p1 - p2) / F.sqrt(pv))
             smds.append(F.when((F.col(f"_n{i}") > 0) & (F.col(f"_n{j}") > 0), val))
-    d = d.withColumn("level_pairwise_smd", F.greatest(*smds))
+    best = F.greatest(*smds) if len(smds) > 1 else (smds[0] if smds else F.lit(None).cast("double"))
+    d = d.withColumn("level_pairwise_smd", best)
     d = d.withColumn("max_pairwise_smd", F.max("level_pairwise_smd").over(per_var))
     return d.select("variable", "level", "level_pairwise_smd", "max_pairwise_smd")
 

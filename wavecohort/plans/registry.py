@@ -10,6 +10,7 @@ from .study import Study
 
 QUERIES: dict = {}
 ORACLE: dict = {}
+BUILDERS: dict = {}
 
 
 def _round_sql(sql: str, doubles: tuple[str, ...]) -> str:
@@ -22,6 +23,7 @@ def _round_sql(sql: str, doubles: tuple[str, ...]) -> str:
 def register(name: str, build, cte: str | None = None, doubles: tuple[str, ...] = (), select: str | None = None):
     """``build(study) -> DataFrame``; ``cte`` names the oracle CTE (None =
     rows-only check)."""
+    BUILDERS[name] = build
     QUERIES[name] = lambda spark, sf_dir: build(Study.from_orders(spark, sf_dir))
     if cte is not None:
         ORACLE[name] = _round_sql(O.sql_for(cte, select), doubles)
