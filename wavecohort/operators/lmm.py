@@ -123,20 +123,19 @@ class Sums:
 
 
 def _evaluate(moments: DataFrame, design: Design, thetas, center: float) -> list[Sums]:
+    """One pass: partial sums per (batch, theta), reduced per theta by an
+    element-wise array sum (partial aggregation before the shuffle, one
+    row per theta reaches the driver)."""
     thetas = np.asarray(thetas, float).reshape(-1, 3)
     p = design.p
+    L = p * p + p + 4
     schema = T.StructType([T.StructField("theta_id", T.IntegerType()), T.StructField("vec", T.ArrayType(T.DoubleType()))])
     part = moments.mapInPandas(lambda it: _partials(it, design, thetas, center), schema)
-    red = part.select("theta_id", F.posexplode("vec").alias("pos", "v")).groupBy("theta_id", "pos").agg(F.sum("v").alias("v"))
-    got = red.collect()
-    L = p * p + p + 4
+    red = part.groupBy("theta_id").agg(*[F.sum(F.col("vec")[i]).alias(f"v{i}") for i in range(L)])
     vecs = np.zeros((len(thetas), L))
-    for r in got:
-        vecs[r["theta_id"], r["pos"]] = r["v"]
-    out = []
-    for v in vecs:
-        out.append(Sums(v[: p * p].reshape(p, p), v[p * p: p * p + p], v[-4], v[-3], v[-2], v[-1]))
-    return out
+    for r in red.collect():
+        vecs[r["theta_id"]] = [r[f"v{i}"] for i in range(L)]
+    return [Sums(v[: p * p].reshape(p, p), v[p * p: p * p + p], v[-4], v[-3], v[-2], v[-1]) for v in vecs]
 
 
 # ---- optimizer -----------------------------------------------------------------
@@ -204,78 +203,78 @@ class FittedMixedModel:
 
 
 def fit_lmm(moments: DataFrame, design: Design, name: str = "model", weights: str | None = None,
-            max_iter: int = 40, tol: float = 1e-7) -> FittedMixedModel:
-    """M2/M3: ML fit; ``moments`` from ``person_moments`` (cached by caller)."""
+            max_iter: int = 30, start=None) -> FittedMixedModel:
+    """M2/M3: ML fit from person moments (checkpointed by the caller).
+
+    Each pass evaluates the 19-point stencil at the proposed theta (giving
+    the deviance, gradient and Hessian there) plus backtracking points on
+    the segment from the current theta, so an accepted Newton step costs
+    one pass. The sign of the last parameter is free; t00, t11 >= 0.
+    """
     agg = moments.agg(F.sum("n").alias("n"), F.sum("z0").alias("z0"), F.sum("s0").alias("s0"),
                       F.count(F.lit(1)).alias("persons"), F.max("_nonconstant").alias("nc")).first()
     if agg["nc"]:
         raise ValueError("person covariates vary within a person; resolve invariants first")
     center = agg["z0"] / agg["s0"]
-    theta = np.array([1.0, 0.0, 1.0])
     h = 1e-4
-    passes = 0
+    backs = np.array([0.5, 0.25, 0.1, 0.02])
 
     def dev_of(sums):
         try:
             return sums.profile()[2]
-        except np.linalg.LinAlgError:
+        except (np.linalg.LinAlgError, ValueError):
             return np.inf
 
+    def newton(g, H, radius):
+        # |eigenvalues| turn negative curvature into descent; the trust
+        # radius keeps early steps (far from the optimum) bounded
+        w, V = np.linalg.eigh(H)
+        w = np.maximum(np.abs(w), 1e-8 * max(1.0, np.abs(w).max()))
+        st = -V @ ((V.T @ g) / w)
+        norm = np.linalg.norm(st)
+        return st * (radius / norm) if norm > radius else st
+
+    theta = np.array(start if start is not None else [1.0, 0.0, 1.0], float)
+    vals = np.array([dev_of(x) for x in _evaluate(moments, design, _stencil(theta, h), center)])
+    passes = 1
+    g, H = _grad_hess(vals, h)
+    f = vals[0]
+    radius = 1.0
     converged = False
     for _ in range(max_iter):
-        st = _stencil(theta, h)
-        sums = _evaluate(moments, design, st, center)
-        passes += 1
-        vals = np.array([dev_of(s) for s in sums])
-        g, H = _grad_hess(vals, h)
-        try:
-            w, V = np.linalg.eigh(H)
-            w = np.maximum(w, 1e-6 * max(1.0, abs(w).max()))
-            step = -V @ ((V.T @ g) / w)
-        except np.linalg.LinAlgError:
-            step = -g
-        if np.linalg.norm(step) < tol * (1 + np.linalg.norm(theta)) and np.linalg.norm(g) < 1e-3:
+        step = newton(g, H, radius)
+        if abs(float(g @ step)) < 1e-8 or radius < 1e-9:
             converged = True
             break
-        alphas = np.array([1.0, 0.5, 0.25, 0.125, 0.0625, 0.02, 2.0, 0.004])
-        cand = theta[None, :] + alphas[:, None] * step[None, :]
-        cs = _evaluate(moments, design, cand, center)
+        cand = theta + step
+        pts = np.vstack([_stencil(cand, h), theta[None, :] + backs[:, None] * step[None, :]])
+        res = np.array([dev_of(x) for x in _evaluate(moments, design, pts, center)])
         passes += 1
-        cv = np.array([dev_of(s) for s in cs])
-        best = int(np.argmin(cv))
-        if cv[best] >= vals[0] - 1e-10:
-            if np.linalg.norm(g) < 1e-2:
-                converged = True
-                break
-            step = -g / max(1.0, np.linalg.norm(g))
-            cand = theta[None, :] + alphas[:, None] * step[None, :]
-            cs = _evaluate(moments, design, cand, center)
-            passes += 1
-            cv = np.array([dev_of(s) for s in cs])
-            best = int(np.argmin(cv))
-            if cv[best] >= vals[0] - 1e-10:
-                converged = True
-                break
-        theta = cand[best]
-    # canonical signs: t00, t11 >= 0
+        if res[0] < f:
+            theta, f = cand, res[0]
+            g, H = _grad_hess(res[:19], h)
+            if np.linalg.norm(step) >= 0.99 * radius:
+                radius *= 4
+            continue
+        tail = res[19:]
+        best = int(np.argmin(tail))
+        radius = (backs[best] if tail[best] < f else backs[-1] / 5) * np.linalg.norm(step)
     if theta[0] < 0:
         theta[0], theta[1] = -theta[0], -theta[1]
     theta[2] = abs(theta[2])
     # final stencil at the optimum: estimates, vcov and Satterthwaite df
     hs = 1e-3
-    st = _stencil(theta, hs)
-    sums = _evaluate(moments, design, st, center)
+    sums = _evaluate(moments, design, _stencil(theta, hs), center)
     passes += 1
     beta, r2, dev, _ = sums[0].profile()
     n = sums[0].n
     sigma2 = r2 / n
     sigma = math.sqrt(sigma2)
-    xinv = np.linalg.inv(sums[0].xtx)
-    vcov = sigma2 * xinv
+    vcov = sigma2 * np.linalg.inv(sums[0].xtx)
     beta = beta.copy()
     beta[0] += center
     df = _satterthwaite(sums, hs, sigma, n, vcov)
-    return FittedMixedModel(name, design.names, beta, vcov, theta, sigma2, dev, int(n), int(agg["persons"]), df, passes,
+    return FittedMixedModel(name, design.names, beta, vcov, theta, sigma2, float(dev), int(n), int(agg["persons"]), df, passes,
                             design.dropped, weights, converged)
 
 

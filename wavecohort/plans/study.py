@@ -310,8 +310,10 @@ class Study:
         if model not in cache:
             rows = self.model_rows(model)
             design = M.prepare_design(rows, DS.MODEL_TERMS[model], DS.MODEL_LEVELS.get(model))
+            warm = {"Model 1": "Model 0"}.get(model, "Model 2" if model not in ("Model 0", "Model 2") else None)
+            start = self.fit(warm).theta if warm else None
             cache[model] = M.fit_lmm(self.moments(model), design, DS.MODEL_NAMES[model],
-                                     weights="sw_truncated" if model == "Model 4" else None)
+                                     weights="sw_truncated" if model == "Model 4" else None, start=start)
         return cache[model]
 
     def _stack(self, fn, models):
