@@ -10,7 +10,8 @@ Execution:
    is not read again; the moments are checkpointed (lineage cut).
 2. ``_evaluate``: one ``mapInPandas`` pass scores K candidate covariance
    parameters at once, vectorized over the persons of each Arrow batch,
-   emitting partial sums that are reduced by ``groupBy(theta, pos)``.
+   emitting one partial-sum vector per partition and theta, added up by
+   a per-theta ``applyInPandas``.
 3. The driver keeps 3 parameters and p x p matrices: Newton steps on a
    19-point stencil (gradient and Hessian in one pass), a batched line
    search in another. The same stencil yields Satterthwaite df.
@@ -67,6 +68,7 @@ def _partials(batches, design: Design, thetas: np.ndarray, center: float):
     X'V^-1X, X'V^-1y, y'V^-1y (times sigma^2) and ln|A|."""
     p = design.p
     powers = np.array([c.power for c in design.columns])
+    acc = None
     for pdf in batches:
         if len(pdf) == 0:
             continue
@@ -87,21 +89,32 @@ def _partials(batches, design: Design, thetas: np.ndarray, center: float):
         Szz = S[:, :2, :2]
         Sbz = S[:, :, :2]
         zz = z[:, :2]
-        out_rows = []
+        out = []
         for t_id, theta in enumerate(thetas):
             Tm = _lower(theta)
-            A = np.eye(2)[None] + np.einsum("ji,mjk,kl->mil", Tm, Szz, Tm)
+            A = np.eye(2)[None] + np.matmul(np.matmul(Tm.T[None], Szz), Tm[None])
             Ainv = np.linalg.inv(A)
-            K = np.einsum("ij,mjk,lk->mil", Tm, Ainv, Tm)
-            M = S - np.einsum("mij,mjk,mkl->mil", Sbz, K, np.transpose(Sbz, (0, 2, 1)))
-            mv = z - np.einsum("mij,mjk,mk->mi", Sbz, K, zz)
+            K = np.matmul(np.matmul(Tm[None], Ainv), Tm.T[None])
+            SK = np.matmul(Sbz, K)
+            M = S - np.matmul(SK, np.transpose(Sbz, (0, 2, 1)))
+            mv = z - np.matmul(SK, zz[:, :, None])[:, :, 0]
             yq = yy - np.einsum("mi,mij,mj->m", zz, K, zz)
-            xtx = np.einsum("mki,mkl,mlj->ij", C, M, C)
-            xty = np.einsum("mki,mk->i", C, mv)
+            # sum_m C_m' M_m C_m as one matmul over the stacked persons
+            MC = np.matmul(M, C)
+            xtx = C.reshape(m * 3, p).T @ MC.reshape(m * 3, p)
+            xty = C.reshape(m * 3, p).T @ mv.reshape(m * 3)
             ld = np.log(np.linalg.det(A)).sum()
-            vec = np.concatenate([xtx.ravel(), xty, [yq.sum(), ld, float(pdf["n"].sum()), pdf["lw"].sum()]])
-            out_rows.append((t_id, vec.tolist()))
-        yield pd.DataFrame(out_rows, columns=["theta_id", "vec"])
+            out.append(np.concatenate([xtx.ravel(), xty, [yq.sum(), ld, float(pdf["n"].sum()), pdf["lw"].sum()]]))
+        out = np.array(out)
+        acc = out if acc is None else acc + out
+    if acc is not None:
+        # one row per theta per partition
+        yield pd.DataFrame({"theta_id": np.arange(len(thetas), dtype="int32"), "vec": list(acc)})
+
+
+def _sum_vectors(pdf: pd.DataFrame) -> pd.DataFrame:
+    """applyInPandas: add the per-partition vectors of one theta."""
+    return pd.DataFrame({"theta_id": pdf["theta_id"].iloc[:1].to_numpy(), "vec": [np.sum(np.stack(pdf["vec"].to_numpy()), axis=0)]})
 
 
 @dataclass
@@ -123,18 +136,19 @@ class Sums:
 
 
 def _evaluate(moments: DataFrame, design: Design, thetas, center: float) -> list[Sums]:
-    """One pass: partial sums per (batch, theta), reduced per theta by an
-    element-wise array sum (partial aggregation before the shuffle, one
-    row per theta reaches the driver)."""
+    """One pass: each partition emits one partial-sum vector per theta; a
+    per-theta ``applyInPandas`` adds them (a group holds one row per
+    partition, bounded by the partition count, not by the data), so one
+    row per theta reaches the driver."""
     thetas = np.asarray(thetas, float).reshape(-1, 3)
     p = design.p
     L = p * p + p + 4
     schema = T.StructType([T.StructField("theta_id", T.IntegerType()), T.StructField("vec", T.ArrayType(T.DoubleType()))])
     part = moments.mapInPandas(lambda it: _partials(it, design, thetas, center), schema)
-    red = part.groupBy("theta_id").agg(*[F.sum(F.col("vec")[i]).alias(f"v{i}") for i in range(L)])
+    red = part.groupBy("theta_id").applyInPandas(_sum_vectors, schema)
     vecs = np.zeros((len(thetas), L))
     for r in red.collect():
-        vecs[r["theta_id"]] = [r[f"v{i}"] for i in range(L)]
+        vecs[r["theta_id"]] = r["vec"]
     return [Sums(v[: p * p].reshape(p, p), v[p * p: p * p + p], v[-4], v[-3], v[-2], v[-1]) for v in vecs]
 
 

@@ -302,7 +302,10 @@ class Study:
         cache = self.__dict__.setdefault("_moments", {})
         if key not in cache:
             w = "sw_truncated" if key == "Model 4" else None
-            cache[key] = materialize(M.person_moments(self.model_rows(key), weight=w, spec=self.spec))
+            mom = M.person_moments(self.model_rows(key), weight=w, spec=self.spec)
+            # evaluation passes are compute-bound: spread persons over all
+            # task slots (round-robin, so no person group can skew a task)
+            cache[key] = materialize(mom.repartition(self.spark.sparkContext.defaultParallelism))
         return cache[key]
 
     def fit(self, model: str):
