@@ -393,3 +393,81 @@ def smd_diagnostics(base: DataFrame, continuous, categorical, declared: dict, gr
         "variable", "label", F.lit("categorical").alias("covariate_type"), "level", "level_pairwise_smd", "max_pairwise_smd",
     )
     return c1.unionByName(c2)
+
+
+# ---- B11 LOESS trajectories -----------------------------------------------------
+
+def _det3(a, b, c, d, e, f, g, h, i):
+    return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
+
+
+def loess_curve(df: DataFrame, x: str = "chronological_age", y: str = "cognitive_score", group: str = "menopause_group",
+                span: float = 0.75, grid: int = 80, x_min: float = 50.0, y_limits=(0.0, 27.0), bin_width: float | None = None) -> DataFrame:
+    """Local quadratic fit (tricube weights, q = floor(span * n)
+    nearest points) at ``grid`` points spanning each group's x range.
+
+    Points outside the plot limits are removed before smoothing (x >=
+    ``x_min``, y within ``y_limits``). The data enter only as a histogram
+    per (group, x) - counts, sums and sums of squares - so the work per
+    grid point is bounded by the number of distinct x values (integer ages
+    here; give ``bin_width`` to bin continuous x). The fit is the exact
+    local regression at each grid point (R's default interpolates from a
+    k-d tree). The band is approximate: s^2 = RSS / (n - trace of the
+    smoother), se = s * ||smoother row||, normal 95% limits.
+    """
+    xv = F.col(x).cast("double")
+    if bin_width:
+        xv = F.round(xv / bin_width) * bin_width
+    pts = df.select(F.col(group).alias("g"), xv.alias("x"), F.col(y).cast("double").alias("y")).where(
+        F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("g").isNotNull()
+        & (F.col("x") >= x_min) & (F.col("y") >= y_limits[0]) & (F.col("y") <= y_limits[1])
+    )
+    hist = pts.groupBy("g", "x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"))
+    per_g = hist.groupBy("g").agg(F.sum("n").alias("n_total"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    grid_pts = per_g.select(
+        "g", "n_total", F.posexplode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("grid_index", "_k"),
+        "lo", "hi",
+    ).select("g", "n_total", "grid_index", (F.col("lo") + F.col("grid_index") * (F.col("hi") - F.col("lo")) / (grid - 1)).alias("x0"))
+    # fitted values at each distinct x too (for the residual scale)
+    obs_pts = hist.join(per_g.select("g", "n_total"), "g").select("g", "n_total", F.lit(-1).alias("grid_index"), F.col("x").alias("x0"))
+    at = grid_pts.unionByName(obs_pts)
+    pairs = at.join(hist, "g")
+    d = F.col("x") - F.col("x0")
+    pairs = pairs.withColumn("d", d).withColumn("ad", F.abs(d))
+    w_near = Window.partitionBy("g", "grid_index", "x0").orderBy("ad").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    q = F.floor(F.col("n_total") * span)
+    pairs = pairs.withColumn("_cum", F.sum("n").over(w_near))
+    per_pt = Window.partitionBy("g", "grid_index", "x0")
+    pairs = pairs.withColumn("h", F.min(F.when(F.col("_cum") >= q, F.col("ad"))).over(per_pt) * F.greatest(F.lit(1.0), F.lit(span)))
+    u = F.col("ad") / F.col("h")
+    pairs = pairs.withColumn("w", F.when(u < 1, F.pow(1 - F.pow(u, 3), 3)).otherwise(F.lit(0.0)))
+    aggs = [F.sum(F.col("w") * F.col("n") * F.pow(F.col("d"), k)).alias(f"S{k}") for k in range(5)]
+    aggs += [F.sum(F.col("w") * F.col("sy") * F.pow(F.col("d"), k)).alias(f"T{k}") for k in range(3)]
+    aggs += [F.sum(F.col("w") * F.col("w") * F.col("n") * F.pow(F.col("d"), k)).alias(f"U{k}") for k in range(5)]
+    m = pairs.groupBy("g", "grid_index", "x0").agg(*aggs)
+    S = [F.col(f"S{k}") for k in range(5)]
+    T_ = [F.col(f"T{k}") for k in range(3)]
+    det = _det3(S[0], S[1], S[2], S[1], S[2], S[3], S[2], S[3], S[4])
+    fit = _det3(T_[0], S[1], S[2], T_[1], S[2], S[3], T_[2], S[3], S[4]) / det
+    # first row of A^-1 (cofactors of the symmetric A)
+    c0 = (S[2] * S[4] - S[3] * S[3]) / det
+    c1 = -(S[1] * S[4] - S[2] * S[3]) / det
+    c2 = (S[1] * S[3] - S[2] * S[2]) / det
+    U = [F.col(f"U{k}") for k in range(5)]
+    l2 = (c0 * c0 * U[0] + c1 * c1 * U[2] + c2 * c2 * U[4] + 2 * c0 * c1 * U[1] + 2 * c0 * c2 * U[2] + 2 * c1 * c2 * U[3])
+    m = m.withColumns({"fit": fit, "_l2": l2, "_lii": c0})
+    obs = m.where(F.col("grid_index") < 0).join(hist.withColumnRenamed("x", "x0"), ["g", "x0"])
+    scale = obs.groupBy("g").agg(
+        F.sum(F.col("syy") - 2 * F.col("fit") * F.col("sy") + F.col("n") * F.col("fit") * F.col("fit")).alias("_rss"),
+        F.sum(F.col("n") * F.col("_lii")).alias("_enp"),
+        F.sum("n").alias("_n"),
+    ).withColumn("_s", F.sqrt(F.col("_rss") / (F.col("_n") - F.col("_enp"))))
+    curve = m.where(F.col("grid_index") >= 0).join(scale.select("g", "_s", "_enp"), "g")
+    se = F.col("_s") * F.sqrt(F.col("_l2"))
+    from ..functions.dist import Z975
+
+    return curve.select(
+        F.col("g").alias(group), "grid_index", F.col("x0").alias(x), "fit", se.alias("std_error"),
+        (F.col("fit") - Z975 * se).alias("conf_low"), (F.col("fit") + Z975 * se).alias("conf_high"),
+        F.col("_enp").alias("equivalent_parameters"),
+    )

@@ -531,6 +531,29 @@ cte("average_design", ("cov_means",), "select * from (with grid as (select * fro
     f"(cast({a} as double), {_q(g)})" for a in (65, 75, 85) for g in GROUP_LEVELS) + ") t(age, grp))\n" + "\nunion all\n".join(_avg_parts) + ")")
 
 
+# ---- LOESS fit (B11) --------------------------------------------------------------
+cte("loess_hist", ("analysis",), """
+select menopause_group as g, cast(chronological_age as double) as x, count(*) as n, sum(cognitive_score) as sy
+from analysis where chronological_age is not null and cognitive_score is not null and menopause_group is not null
+  and chronological_age >= 50 and cognitive_score >= 0 and cognitive_score <= 27
+group by menopause_group, cast(chronological_age as double)""")
+cte("loess_curve", ("loess_hist",), """
+select g as menopause_group, cast(grid_index as integer) as grid_index, x0 as chronological_age,
+  ((t0 * (s2 * s4 - s3 * s3)) - (s1 * (t1 * s4 - s3 * t2)) + (s2 * (t1 * s3 - s2 * t2)))
+  / ((s0 * (s2 * s4 - s3 * s3)) - (s1 * (s1 * s4 - s3 * s2)) + (s2 * (s1 * s3 - s2 * s2))) as fit
+from (
+  select g, grid_index, x0, sum(w * n) as s0, sum(w * n * d) as s1, sum(w * n * pow(d, 2)) as s2, sum(w * n * pow(d, 3)) as s3,
+    sum(w * n * pow(d, 4)) as s4, sum(w * sy) as t0, sum(w * sy * d) as t1, sum(w * sy * pow(d, 2)) as t2
+  from (
+    select *, case when ad / h < 1 then pow(1 - pow(ad / h, 3), 3) else 0 end as w from (
+      select *, min(case when cum >= q then ad end) over (partition by g, grid_index) * greatest(1.0, 0.75) as h from (
+        select *, sum(n) over (partition by g, grid_index order by ad rows between unbounded preceding and current row) as cum
+        from (select p.g, p.grid_index, p.x0, p.q, h.x, h.n, h.sy, h.x - p.x0 as d, abs(h.x - p.x0) as ad
+              from (select g, floor(n_total * 0.75) as q, i as grid_index, lo + i * (hi - lo) / 79 as x0
+                    from (select g, sum(n) as n_total, min(x) as lo, max(x) as hi from loess_hist group by g), range(80) t(i)) p
+              join loess_hist h on p.g = h.g)))) group by g, grid_index, x0)""")
+
+
 def _order(names) -> list[str]:
     seen: list[str] = []
 

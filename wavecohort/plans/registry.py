@@ -133,3 +133,6 @@ register("marginal_means", lambda s: s.marginal_means)
 register("clinical_contrasts", lambda s: s.clinical_contrasts)
 register("trajectories", lambda s: s.trajectories)
 register("trajectory_range", lambda s: s.trajectory_range)
+register("loess_curve", lambda s: s.loess_curve.select("menopause_group", "grid_index", "chronological_age", "fit"),
+         "loess_curve", ("chronological_age", "fit"))
+register("loess_band", lambda s: s.loess_curve)

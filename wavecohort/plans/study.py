@@ -491,3 +491,7 @@ class Study:
         names = [DS.MODEL_NAMES[m] for m in ("Model 2", "Model 4", "Model 6", "Model 7")]
         d = self.sensitivity_long.withColumn("result", F.concat("estimate_ci", F.lit("; p="), "p_value_formatted"))
         return d.groupBy("contrast").pivot("model", names).agg(F.first("result"))
+
+    @cached_property
+    def loess_curve(self):
+        return D.loess_curve(self.analysis)
