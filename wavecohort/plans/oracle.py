@@ -554,6 +554,40 @@ from (
               join loess_hist h on p.g = h.g)))) group by g, grid_index, x0)""")
 
 
+# ---- validation and small reports ---------------------------------------------------
+cte("input_validation", ("baseline_person", "baseline_analysis", "analysis_all", "analysis", "model2", "covdist"), "\nunion all\n".join(
+    f"select '{n}' as input, cast(count(*) as bigint) as n_rows, cast(count(distinct hhidpn) as bigint) as n_persons from {t}"
+    for n, t in (("baseline_person", "baseline_person"), ("baseline_rows", "baseline_analysis"), ("analytic_allwaves", "analysis_all"),
+                 ("modelready", "analysis"), ("model2", "model2"), ("standardization", "covdist"))))
+cte("surgical_absorbing", ("base",), """
+select hhidpn, wave, surgical_now,
+  max(cast(surgical_now as integer)) over (partition by hhidpn order by wave rows between unbounded preceding and current row) = 1 as surgical_absorbing
+from (select hhidpn, wave, coalesce(meno_combo = '6.Surgical', false) as surgical_now from base)""")
+cte("invariant_cases", ("invariant_diag",), "select * from invariant_diag where inconsistent")
+_LABELS = (("baseline_age", "Baseline age, years"), ("baseline_cognition", "Baseline cognitive score, 0-27"), ("birth_year", "Birth year"),
+           ("education_years", "Education, years"), ("race_ethnicity", "Race/ethnicity"), ("education_category", "Education category"),
+           ("birth_cohort_decade", "Birth cohort decade"), ("baseline_cognitive_status", "Baseline cognitive status"))
+cte("smd_diagnostics", ("smd_continuous", "smd_categorical"), """
+select c.variable, l.label, 'continuous' as covariate_type, cast(null as varchar) as level, cast(null as double) as level_pairwise_smd,
+  c.max_pairwise_smd
+from smd_continuous c left join (values """ + ", ".join(f"({_q(v)}, {_q(l)})" for v, l in _LABELS) + """) l(variable, label) on c.variable = l.variable
+union all
+select c.variable, l.label, 'categorical', c.level, c.level_pairwise_smd, c.max_pairwise_smd
+from smd_categorical c left join (values """ + ", ".join(f"({_q(v)}, {_q(l)})" for v, l in _LABELS) + """) l(variable, label) on c.variable = l.variable""")
+cte("smd_top", ("smd_diagnostics",), """
+select * from smd_diagnostics order by max_pairwise_smd desc nulls last, variable asc nulls last,
+  level_pairwise_smd desc nulls last, level asc nulls last limit 12""")
+cte("model_samples", ("analysis", "model2"), """
+select m.model, m.n_person_waves, m.n_persons, r.rr - m.n_person_waves as exclusions_relative_to_phase2_modelready_rows,
+  r.rp - m.n_persons as exclusions_relative_to_phase2_modelready_persons
+from (select 'Model 0 and Model 1' as model, cast(count(*) as bigint) as n_person_waves, cast(count(distinct hhidpn) as bigint) as n_persons from analysis
+      union all select 'Model 2', cast(count(*) as bigint), cast(count(distinct hhidpn) as bigint) from model2
+      union all select 'Model 6', cast(count(*) as bigint), cast(count(distinct hhidpn) as bigint) from model2 where baseline_normal = 1
+      union all select 'Model 7', cast(count(*) as bigint), cast(count(distinct hhidpn) as bigint) from model2
+        where menopause_group in """ + _in(NATURAL_GROUPS) + """) m,
+     (select cast(count(*) as bigint) as rr, cast(count(distinct hhidpn) as bigint) as rp from analysis) r""")
+
+
 def _order(names) -> list[str]:
     seen: list[str] = []
 

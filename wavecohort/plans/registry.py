@@ -105,8 +105,8 @@ register("smd_categorical", lambda s: s.smd_categorical, "smd_categorical", ("le
 register("anova_stats", lambda s: s.anova_stats, "anova_stats", ("f_statistic",))
 register("chisq_stats", lambda s: s.chisq_stats, "chisq_stats", ("chi_square",))
 register("table1", lambda s: s.table1)
-register("smd_diagnostics", lambda s: s.smd_diagnostics)
-register("model_samples", lambda s: s.model_samples)
+register("smd_diagnostics", lambda s: s.smd_diagnostics, "smd_diagnostics", ("level_pairwise_smd", "max_pairwise_smd"))
+register("model_samples", lambda s: s.model_samples, "model_samples")
 
 # ---- mixed models, IPCW weights, predictions (rows-only checks + pytest numerics) ----
 register("lmm_moments", lambda s: s.lmm_moments.drop("_nonconstant"), "lmm_moments",
@@ -136,3 +136,7 @@ register("trajectory_range", lambda s: s.trajectory_range)
 register("loess_curve", lambda s: s.loess_curve.select("menopause_group", "grid_index", "chronological_age", "fit"),
          "loess_curve", ("chronological_age", "fit"))
 register("loess_band", lambda s: s.loess_curve)
+register("input_validation", lambda s: s.input_validation, "input_validation")
+register("absorbing_state", lambda s: s.surgical_absorbing, "surgical_absorbing")
+register("invariant_cases", lambda s: s.invariant_cases, "invariant_cases")
+register("smd_top", lambda s: s.smd_top, "smd_top", ("level_pairwise_smd", "max_pairwise_smd"))

@@ -495,3 +495,35 @@ class Study:
     @cached_property
     def loess_curve(self):
         return D.loess_curve(self.analysis)
+
+    # ---- validation and small reports ---------------------------------------------
+    @cached_property
+    def input_validation(self):
+        from ..sources.panel import validate_counts
+
+        return validate_counts(
+            self.spec.id,
+            baseline_person=self.baseline_person,
+            baseline_rows=self.baseline_analysis,
+            analytic_allwaves=self.analysis_all,
+            modelready=self.analysis,
+            model2=self.model2_rows,
+            standardization=self.covariate_distribution,
+        )
+
+    @cached_property
+    def surgical_absorbing(self):
+        from pyspark.sql import functions as F
+
+        d = self.base.select(self.spec.id, self.spec.wave,
+                             F.coalesce(F.col(self.spec.exposure) == "6.Surgical", F.lit(False)).alias("surgical_now"))
+        return I.absorbing_state(d, "surgical_now", "surgical_absorbing", self.spec)
+
+    @cached_property
+    def smd_top(self):
+        from pyspark.sql import functions as F
+
+        return self.smd_diagnostics.orderBy(
+            F.col("max_pairwise_smd").desc_nulls_last(), F.col("variable").asc_nulls_last(),
+            F.col("level_pairwise_smd").desc_nulls_last(), F.col("level").asc_nulls_last(),
+        ).limit(12)
