@@ -588,6 +588,61 @@ from (select 'Model 0 and Model 1' as model, cast(count(*) as bigint) as n_perso
      (select cast(count(*) as bigint) as rr, cast(count(distinct hhidpn) as bigint) as rp from analysis) r""")
 
 
+# ---- Table 1 (formatted; the p-value column needs tails, checked in pytest) ---------
+def _fx(e, d):
+    return f"cast(cast(round(cast({e} as decimal(38,10)), {d}) as decimal(38,{d})) as varchar)"
+
+
+def _th(e):
+    return f"format('{{:,}}', cast({e} as bigint))"
+
+
+def _msd(m, sd, n):
+    return f"case when {n} is null or {n} = 0 then '' else {_fx(m, 2)} || ' (' || coalesce({_fx(sd, 2)}, 'NA') || ')' end"
+
+
+def _npct(n, d):
+    return f"case when {d} is null or {d} = 0 then '' else {_th(n)} || ' (' || {_fx(f'cast({n} as double) * 100 / {d}', 1)} || '%)' end"
+
+
+def _fsmd(x):
+    return f"case when {x} is null or isnan({x}) then '' when {x} < 0.001 then '<0.001' else {_fx(x, 3)} end"
+
+
+_GL = [(g, GROUP_LABELS[g]) for g in GROUP_LEVELS]
+cte("t1_long", ("baseline_analysis",), "\nunion all\n".join(
+    f"select menopause_group as g, '{v}' as variable, cast({v} as double) as x from baseline_analysis" for v in _CONT))
+cte("table1_n", ("baseline_analysis",), "select cast(null as varchar) as variable, 0 as row_order, 'N' as \"Characteristic\", '' as \"Level\", "
+    + _th("count(*)") + " as \"Overall\", " + ", ".join(
+        _th(f"count_if(menopause_group = {_q(g)})") + f' as "{lab}"' for g, lab in _GL)
+    + ", '' as \"Missing\", '' as \"Max pairwise SMD\" from baseline_analysis")
+cte("table1_continuous", ("t1_long", "smd_continuous"), "select v.variable, v.i + 1 as row_order, v.label as \"Characteristic\", "
+    "'Mean (SD)' as \"Level\", " + _msd("o.mean", "o.sd", "o.n") + " as \"Overall\", " + ", ".join(
+        f'coalesce(w."{lab}", \'\') as "{lab}"' for _, lab in _GL)
+    + ", " + _th("o.nmiss") + " as \"Missing\", " + _fsmd("s.max_pairwise_smd") + """ as "Max pairwise SMD"
+from (values """ + ", ".join(f"({_q(v)}, {_q(l)}, {i})" for i, (v, l) in enumerate(_LABELS[:4])) + """) v(variable, label, i)
+left join (select variable, count(x) as n, avg(x) as mean, stddev_samp(x) as sd, count_if(x is null) as nmiss from t1_long group by variable) o
+  on v.variable = o.variable
+left join (select variable, """ + ", ".join(f'max(case when g = {_q(g)} then str end) as "{lab}"' for g, lab in _GL) + """
+           from (select variable, g, """ + _msd("avg(x)", "stddev_samp(x)", "count(x)") + """ as str from t1_long where g is not null group by variable, g)
+           group by variable) w on v.variable = w.variable
+left join smd_continuous s on v.variable = s.variable""")
+_pos_case = "case " + " ".join(f"when variable = {_q(v)} and level = {_q(l)} then {i}" for v, lv in _DECL.items() for i, l in enumerate(lv)) \
+    + " when level = 'Missing' then 1000000 end"
+cte("table1_categorical", ("cat_c", "smd_categorical"), """
+select c.variable, v.i * 100 + c.lv + 100 as row_order, v.label as "Characteristic", c.level as "Level",
+  """ + _npct("c.r", "c.total") + """ as "Overall", """ + ", ".join(
+    f'coalesce(c."{lab}", \'\') as "{lab}"' for _, lab in _GL) + """, '' as "Missing",
+  case when c.lv = 1 then """ + _fsmd("s.max_pairwise_smd") + """ else '' end as "Max pairwise SMD"
+from (select *, cast(row_number() over (partition by variable order by pos asc nulls first, level) as integer) as lv,
+        sum(r) over (partition by variable) as total from (
+        select variable, level, """ + _pos_case.replace("variable =", "variable =") + """ as pos, sum(cnt) as r, """ + ", ".join(
+    f'max(case when g = {_q(g)} then {_npct("cnt", "n")} end) as "{lab}"' for g, lab in _GL) + """
+        from cat_c group by variable, level)) c
+join (values """ + ", ".join(f"({_q(v)}, {_q(l)}, {i})" for i, (v, l) in enumerate(_LABELS[4:])) + """) v(variable, label, i) on c.variable = v.variable
+left join smd_categorical s on c.variable = s.variable and c.level = s.level""")
+
+
 def _order(names) -> list[str]:
     seen: list[str] = []
 

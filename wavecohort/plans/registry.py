@@ -140,3 +140,6 @@ register("input_validation", lambda s: s.input_validation, "input_validation")
 register("absorbing_state", lambda s: s.surgical_absorbing, "surgical_absorbing")
 register("invariant_cases", lambda s: s.invariant_cases, "invariant_cases")
 register("smd_top", lambda s: s.smd_top, "smd_top", ("level_pairwise_smd", "max_pairwise_smd"))
+register("table1_n", lambda s: s.table1_n.drop("P value"), "table1_n")
+register("table1_continuous", lambda s: s.table1_continuous.drop("P value"), "table1_continuous")
+register("table1_categorical", lambda s: s.table1_categorical.drop("P value"), "table1_categorical")

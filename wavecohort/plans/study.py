@@ -255,15 +255,22 @@ class Study:
     def chisq_stats(self):
         return D.chisq_stats(self.categorical_counts, self.spec.group_levels)
 
+    @cached_property
+    def table1_n(self):
+        return D.n_row(self.baseline_analysis, self.spec.group_levels, self.spec.group_labels)
+
+    @cached_property
+    def table1_continuous(self):
+        return D.continuous_table(self.baseline_analysis, CONTINUOUS_COVARIATES, self.spec.group_levels, self.spec.group_labels)
+
+    @cached_property
+    def table1_categorical(self):
+        return D.categorical_table(self.baseline_analysis, CATEGORICAL_COVARIATES, DECLARED_LEVELS, self.spec.group_levels,
+                                   self.spec.group_labels)
+
     @cached_property
     def table1(self):
-        g, lab = self.spec.group_levels, self.spec.group_labels
-        b = self.baseline_analysis
-        return (
-            D.n_row(b, g, lab)
-            .unionByName(D.continuous_table(b, CONTINUOUS_COVARIATES, g, lab))
-            .unionByName(D.categorical_table(b, CATEGORICAL_COVARIATES, DECLARED_LEVELS, g, lab))
-        )
+        return self.table1_n.unionByName(self.table1_continuous).unionByName(self.table1_categorical)
 
     @cached_property
     def smd_diagnostics(self):
