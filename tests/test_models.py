@@ -108,3 +108,27 @@ def test_exact_quantiles_match_type7(spark):
     df = spark.createDataFrame([(float(v),) for v in x], "w double")
     got = exact_quantiles(df, "w", [0.01, 0.25, 0.5, 0.99], accuracy=200)
     assert np.allclose(got, np.quantile(x, [0.01, 0.25, 0.5, 0.99]), rtol=0, atol=1e-12)
+
+
+def test_model_roundtrip_and_tables(spark, tmp_path):
+    rows = [(i, j, float(j * 2 - 5), float(10 + (i % 5) - 0.3 * (j * 2 - 5) + ((i * 7 + j) % 3)), "4.50-55 Natural (ref)",
+             "Non-Hispanic White", 0.0, 0.0) for i in range(40) for j in range(1 + i % 4)]
+    df = spark.createDataFrame(rows, "hhidpn long, wave int, age_c65 double, cognitive_score double, menopause_group string, "
+                                     "race_ethnicity string, birth_year_c10 double, education_c12 double")
+    design = DS.expand([("age_c65",)])
+    fit = M.fit_lmm(M.person_moments(df).cache(), design, "m")
+    path = str(tmp_path / "model")
+    M.save_model(spark, fit, path)
+    back = M.load_model(spark, path)
+    assert back.terms == fit.terms and np.allclose(back.beta, fit.beta) and np.allclose(back.vcov, fit.vcov)
+    assert back.deviance == fit.deviance and np.allclose(back.theta, fit.theta)
+    fe = M.fixed_effects(spark, fit).collect()
+    assert [r["term"] for r in fe] == ["(Intercept)", "age_c65"]
+    for r in fe:
+        assert r["conf_low"] < r["estimate"] < r["conf_high"]
+    vc = M.variance_components(spark, fit).collect()
+    assert vc[-1]["group"] == "Residual" and abs(vc[-1]["variance_or_covariance"] - fit.sigma2) < 1e-12
+    st = M.fit_stats(spark, fit).first()
+    assert abs(st["aic"] - (fit.deviance + 2 * 6)) < 1e-9
+    icc = M.icc_by_age(spark, fit, [0]).first()
+    assert 0 <= icc["icc"] <= 1

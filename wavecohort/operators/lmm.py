@@ -440,3 +440,37 @@ def prepare_design(rows: DataFrame, terms, levels: dict | None = None) -> Design
     facs = [f for f in ("menopause_group", "race_ethnicity") if any(f in t for t in terms)]
     used = used_levels(rows, facs) if facs else {}
     return drop_unused(d, used)
+
+
+# ---- IO9 persistence ----------------------------------------------------------------
+
+def model_table(spark: SparkSession, fit: FittedMixedModel) -> DataFrame:
+    """A fitted model as one row per coefficient (vcov row, df) with the
+    covariance parameters and fit statistics repeated on every row."""
+    rows = [
+        (fit.name, j, t, float(fit.beta[j]), [float(x) for x in fit.vcov[j]], float(fit.df[j]) if np.isfinite(fit.df[j]) else None,
+         [float(x) for x in fit.theta], float(fit.sigma2), float(fit.deviance), int(fit.n_obs), int(fit.n_persons), int(fit.passes),
+         list(fit.dropped), fit.weights, bool(fit.converged))
+        for j, t in enumerate(fit.terms)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "model string, j int, term string, estimate double, vcov array<double>, df double, theta array<double>, "
+        "sigma2 double, deviance double, n_obs long, n_persons long, passes int, dropped array<string>, weights string, "
+        "converged boolean",
+    )
+
+
+def save_model(spark: SparkSession, fit: FittedMixedModel, path: str) -> None:
+    model_table(spark, fit).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_model(spark: SparkSession, path: str) -> FittedMixedModel:
+    rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["j"])
+    r0 = rows[0]
+    return FittedMixedModel(
+        r0["model"], [r["term"] for r in rows], np.array([r["estimate"] for r in rows]),
+        np.array([r["vcov"] for r in rows]), np.array(r0["theta"]), r0["sigma2"], r0["deviance"], r0["n_obs"], r0["n_persons"],
+        np.array([np.nan if r["df"] is None else r["df"] for r in rows]), r0["passes"], list(r0["dropped"] or []), r0["weights"],
+        r0["converged"],
+    )

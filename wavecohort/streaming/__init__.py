@@ -1 +1,8 @@
-"""wavecohort."""
+"""Streaming: intentionally empty.
+
+The reference reads complete files per phase and has no watermark, time
+window, state or late-data handling (SURVEY 2.12), so there is no
+streaming operator to rebuild. Every operator here is a batch DataFrame
+function and can be applied per micro-batch with ``foreachBatch`` if a
+panel ever arrives as a stream.
+"""
