@@ -53,7 +53,7 @@ def exposure_age(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
         F.min(x).alias("menopause_age_min"),
         F.max(x).alias("menopause_age_max"),
         F.count(x).alias("menopause_age_n_reports"),
-        F.count_distinct(x).alias("menopause_age_n_distinct"),
+        F.size(F.array_distinct(F.collect_list(x))).cast("long").alias("menopause_age_n_distinct"),
     )
     mode = mode_first(panel, [spec.id], x, spec.wave, "menopause_age_resolved")
     return stats.join(mode, spec.id, "left").select(
@@ -99,8 +99,10 @@ def invariant_long(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, variables:
     """(id, wave, variable, value-as-text), one row per cell."""
     variables = list(variables or invariant_vars(panel, spec))
     types = dict((f.name, f.dataType) for f in panel.schema.fields)
-    wide = panel.select(spec.id, spec.wave, *[as_text(v, types[v]).alias(v) for v in variables])
-    return wide.unpivot([spec.id, spec.wave], variables, "variable", "value")
+    # inline(array(struct)) is a Generate, which keeps the panel's id
+    # partitioning (``unpivot`` plans an Expand, which drops it)
+    cells = F.array(*[F.struct(F.lit(v).alias("variable"), as_text(v, types[v]).alias("value")) for v in variables])
+    return panel.select(spec.id, spec.wave, F.inline(cells))
 
 
 def invariant_diag(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, variables: Sequence[str] | None = None) -> DataFrame:
@@ -111,7 +113,9 @@ def invariant_diag(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, variables:
         long.groupBy(spec.id, "variable")
         .agg(
             F.count("value").alias("n_nonmissing"),
-            F.count_distinct("value").alias("n_distinct_nonmissing"),
+            # distinct count from the value list, not count_distinct (which
+            # plans a two-level aggregate and re-shuffles)
+            F.size(F.array_distinct(F.collect_list("value"))).cast("long").alias("n_distinct_nonmissing"),
             ordered_join("value", spec.wave, " | ", distinct=True).alias("observed_values"),
         )
         .withColumn("inconsistent", F.col("n_distinct_nonmissing") > 1)

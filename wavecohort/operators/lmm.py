@@ -51,7 +51,8 @@ def person_moments(rows: DataFrame, y: str = "cognitive_score", time: str = "age
     aggs += [F.sum(w * yv * yv).alias("yy"), F.sum(F.log(w)).alias("lw")]
     covs = [c for c in PERSON_COLUMNS + tuple(extra) if c in rows.columns]
     aggs += [F.first(c).alias(c) for c in covs]
-    aggs.append(sum((F.count_distinct(c) > 1).cast("int") for c in covs).alias("_nonconstant"))
+    # constancy check by min != max (count_distinct would add a shuffle)
+    aggs.append(sum(F.coalesce((F.min(c) != F.max(c)).cast("int"), F.lit(0)) for c in covs).alias("_nonconstant"))
     return rows.groupBy(spec.id).agg(*aggs)
 
 
