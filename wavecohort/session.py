@@ -21,10 +21,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster.
 
-    Set a scratch folder only when the session has none (local tests).
+    A scratch folder is set only when the session has none and runs in
+    local mode (tests); on a cluster without one, returns None.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -35,7 +36,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
     if not conf_dir:
         if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+            return None
         conf_dir = tempfile.mkdtemp(prefix="wavecohort-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -60,8 +61,13 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts lineage and survives executor loss."""
-    checkpoint_dir(df.sparkSession)
+    """Reliable checkpoint: cuts lineage and survives executor loss.
+
+    Without a shared checkpoint folder on a cluster (never a machine-local
+    one), fall back to a persisted frame, which is recomputed from lineage
+    if blocks are lost."""
+    if checkpoint_dir(df.sparkSession) is None:
+        return keep(df)
     return df.checkpoint(eager=True)
 
 

@@ -3,7 +3,8 @@
 A panel is one row per (person, wave). After loading it is hash-partitioned
 by person id once; every per-person operator downstream (windows by id,
 groupBy id, joins on id or (id, wave)) then runs without another shuffle.
-A person holds at most one row per wave, so the id partitioning cannot be
+A person holds at most one row per wave (``dedupe="first"`` enforces it
+with a map-side-combined aggregate), so the id partitioning cannot be
 skewed by a single person.
 """
 
@@ -79,9 +80,14 @@ def read_panel(
     spec: PanelSpec = DEFAULT_SPEC,
     fmt: str | None = None,
     schema: T.StructType | None = None,
+    dedupe: str | None = None,
 ) -> DataFrame:
     """Load a panel from CSV (R-style ``NA`` nulls) or Parquet, resolve the
-    column names, check the contract and partition by person."""
+    column names, check the contract and partition by person.
+
+    ``dedupe="first"`` collapses duplicate (id, wave) rows before the
+    partitioning (skew-safe aggregate); by default rows are kept as read
+    and ``check_keys`` / ``assert_keys`` report duplicates."""
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     if fmt == "csv":
         reader = spark.read.option("header", True).option("nullValue", "NA")
@@ -92,6 +98,8 @@ def read_panel(
     else:
         df = spark.read.parquet(path)
     df = require_columns(resolve_columns(df, spec), spec)
+    if dedupe == "first":
+        df = dedupe_first(df, spec)
     return partition_by_person(df, spec)
 
 
@@ -113,11 +121,18 @@ def assert_keys(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> None:
 
 
 def dedupe_first(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, order: str | None = None) -> DataFrame:
-    """Keep the first row per (id, wave) by ``order`` (default: the row itself)."""
-    from pyspark.sql import Window
+    """Keep one row per (id, wave): the first by ``order`` (default: the
+    smallest row by the remaining columns, i.e. deterministic).
 
-    w = Window.partitionBy(spec.id, spec.wave).orderBy(F.col(order or spec.wave).asc_nulls_last())
-    return panel.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    An aggregate (``min_by`` of the whole row), not a window: partial
+    aggregation collapses copies map-side, so even a key holding a third
+    of all rows never reaches one task whole.
+    """
+    cols = [c for c in panel.columns if c not in (spec.id, spec.wave)]
+    row = F.struct(*[F.col(c) for c in cols])
+    key = F.col(order) if order else row
+    picked = panel.groupBy(spec.id, spec.wave).agg(F.min_by(row, key).alias("_r"))
+    return picked.select(spec.id, spec.wave, *[F.col("_r")[c].alias(c) for c in cols]).select(*panel.columns)
 
 
 def parse_diagnostics(spark: SparkSession, path: str, schema: T.StructType = PANEL_SCHEMA) -> DataFrame:
