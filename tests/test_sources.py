@@ -54,3 +54,22 @@ def test_stage_roundtrip_and_guard(spark, panel_of):
     assert P.load_stage(spark, os.path.join(d, "s")).count() == 2
     with pytest.raises(P.MissingStage):
         P.require_stage(os.path.join(d, "absent"))
+
+
+def test_write_table_parquet_and_csv(spark, panel_of):
+    p = panel_of([dict(hhidpn=1, wave=1), dict(hhidpn=2, wave=1, cogtot27_imp=None)])
+    d = tempfile.mkdtemp(prefix="wavecohort-sink-")
+    P.write_table(p, os.path.join(d, "pq"))
+    P.write_table(p, os.path.join(d, "csv"), fmt="csv")
+    assert spark.read.parquet(os.path.join(d, "pq")).count() == 2
+    back = spark.read.option("header", True).option("nullValue", "NA").csv(os.path.join(d, "csv"))
+    assert back.where("cogtot27_imp is null").count() == 1
+
+
+def test_dedupe_is_an_aggregate(panel_of):
+    p = panel_of([dict(hhidpn=1, wave=1, agey_e=61.0), dict(hhidpn=1, wave=1, agey_e=60.0), dict(hhidpn=1, wave=2)])
+    d = P.dedupe_first(p, order="agey_e")
+    rows = {r["wave"]: r for r in d.collect()}
+    assert len(rows) == 2 and rows[1]["agey_e"] == 60.0
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan

@@ -143,3 +143,8 @@ register("smd_top", lambda s: s.smd_top, "smd_top", ("level_pairwise_smd", "max_
 register("table1_n", lambda s: s.table1_n.drop("P value"), "table1_n")
 register("table1_continuous", lambda s: s.table1_continuous.drop("P value"), "table1_continuous")
 register("table1_categorical", lambda s: s.table1_categorical.drop("P value"), "table1_categorical")
+_P56 = ("Model 3", "Model 4", "Model 5", "Model 6", "Model 7")
+register("lmm_varcomp_sensitivity", lambda s: s.variance_components(_P56))
+register("lmm_fit_sensitivity", lambda s: s.fit_stats(("Model 2",) + _P56))
+register("sensitivity_long", lambda s: s.sensitivity_long)
+register("ipcw_predictions", lambda s: s.ipcw_predictions)
