@@ -326,7 +326,28 @@ class Study:
                                      weights="sw_truncated" if model == "Model 4" else None, start=start)
         return cache[model]
 
+    def fit_all(self, models, threads: int = 4):
+        """Fit several models: warm-start anchors and every model's moments
+        first (stage boundaries, serial), then the optimizers concurrently
+        from driver threads; each pass is a short, latency-bound Spark job,
+        so concurrent fits overlap on the cluster."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        todo = list(dict.fromkeys(models))
+        if any(m in ("Model 0", "Model 1") for m in todo):
+            self.fit("Model 0")  # warm start of Model 1
+        if any(m not in ("Model 0", "Model 1") for m in todo):
+            self.fit("Model 2")  # warm start of Models 3-7
+        rest = [m for m in todo if m not in self.__dict__.get("_fits", {})]
+        for m in rest:
+            self.moments(m)
+        if len(rest) > 1:
+            with ThreadPoolExecutor(min(threads, len(rest))) as pool:
+                list(pool.map(self.fit, rest))
+        return [self.fit(m) for m in todo]
+
     def _stack(self, fn, models):
+        self.fit_all(models)
         out = None
         for m in models:
             d = fn(self.spark, self.fit(m))
