@@ -102,12 +102,14 @@ def test_tails_against_tables():
     assert abs(dist.norm_sf2(1.959964) - 0.05) < 1e-6
 
 
-def test_exact_quantiles_match_type7(spark):
-    rng = np.random.default_rng(3)
-    x = np.concatenate([rng.lognormal(size=5000), np.ones(3000)])
+@pytest.mark.parametrize("n,accuracy", [(8000, 200), (333, 100000), (7, 100000), (1, 100)])
+def test_exact_quantiles_match_type7(spark, n, accuracy):
+    rng = np.random.default_rng(n)
+    x = np.concatenate([rng.lognormal(size=n - n // 3), np.ones(n // 3)])
     df = spark.createDataFrame([(float(v),) for v in x], "w double")
-    got = exact_quantiles(df, "w", [0.01, 0.25, 0.5, 0.99], accuracy=200)
-    assert np.allclose(got, np.quantile(x, [0.01, 0.25, 0.5, 0.99]), rtol=0, atol=1e-12)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    got = exact_quantiles(df, "w", probs, accuracy=accuracy)
+    assert np.allclose(got, np.quantile(x, probs), rtol=0, atol=1e-12)
 
 
 def test_model_roundtrip_and_tables(spark, tmp_path):

@@ -3,10 +3,11 @@
 ``percentile`` keeps a value->count map per group; for a continuous column
 the global map holds ~all rows in the final task. Instead:
 
-1. one pass: n and a GK sketch (``percentile_approx``, accuracy A) giving
-   values that bracket each target rank (rank error <= n/A);
+1. one pass: n; one pass: a GK sketch (``percentile_approx``, accuracy A)
+   at probabilities a few ranks plus n/A outside each target rank, giving
+   values that bracket it;
 2. one pass: exact count below each bracket and the (value, count) pairs
-   inside it - at most ~6n/A distinct values, bounded by A, not by n;
+   inside it - at most ~4n/A + 6 distinct values, bounded by A, not n;
 3. the driver walks the cumulative counts to the two order statistics and
    interpolates like R's ``quantile(type = 7)``.
 """
@@ -25,44 +26,50 @@ ACCURACY = 100_000
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = ACCURACY) -> list[float]:
     x = F.col(col)
     d = df.select(x.cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    eps = 3.0 / accuracy
-    qs = sorted({min(1.0, max(0.0, q)) for p in probs for q in (p - eps, p + eps)})
-    head = d.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_x", qs, accuracy).alias("q"),
-                 F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
+    head = d.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
     n = head["n"]
     if not n:
         return [float("nan")] * len(probs)
-    approx = dict(zip(qs, head["q"]))
-    brackets = []
+    # target 0-based ranks and sketch probabilities a few ranks (plus the
+    # sketch's rank error n/accuracy) outside them; percentile_approx(q)
+    # returns the value of 1-based rank ceil(q * n)
+    margin = 2 + 2 * n / accuracy
+    targets = []
     for p in probs:
-        lo_v = head["lo"] if p - eps <= 0 else approx[min(1.0, max(0.0, p - eps))]
-        hi_v = head["hi"] if p + eps >= 1 else approx[min(1.0, max(0.0, p + eps))]
-        brackets.append((lo_v, hi_v))
-    aggs = []
-    for i, (a, b) in enumerate(brackets):
-        aggs.append(F.count_if(F.col("_x") < F.lit(a)).alias(f"below{i}"))
-    below = d.agg(*aggs).first()
+        h = (n - 1) * p
+        r_lo = math.floor(h)
+        targets.append((h, r_lo, min(r_lo + 1, n - 1)))
+    qs = []
+    for _, r_lo, r_hi in targets:
+        qs.append(max(0.0, (r_lo + 1 - margin) / n))
+        qs.append(min(1.0, (r_hi + 1 + margin) / n))
+    approx = d.agg(F.percentile_approx("_x", qs, accuracy).alias("q")).first()["q"]
+    brackets = []
+    for i, (_, r_lo, r_hi) in enumerate(targets):
+        a = head["lo"] if qs[2 * i] <= 0 else approx[2 * i]
+        b = head["hi"] if qs[2 * i + 1] >= 1 else approx[2 * i + 1]
+        brackets.append((a, b))
+    below = d.agg(*[F.count_if(F.col("_x") < F.lit(a)).alias(f"below{i}") for i, (a, _) in enumerate(brackets)]).first()
     cond = None
     for a, b in brackets:
         c = (F.col("_x") >= F.lit(a)) & (F.col("_x") <= F.lit(b))
         cond = c if cond is None else cond | c
     inside = sorted((r["_x"], r["c"]) for r in d.where(cond).groupBy("_x").agg(F.count(F.lit(1)).alias("c")).collect())
     out = []
-    for i, p in enumerate(probs):
-        h = (n - 1) * p
-        r_lo = math.floor(h)
-        r_hi = min(r_lo + 1, n - 1)
+    for i, (h, r_lo, r_hi) in enumerate(targets):
         a, b = brackets[i]
         vals = [(v, c) for v, c in inside if a <= v <= b]
         start = below[f"below{i}"]
 
         def at(rank):
+            if rank < start:
+                raise RuntimeError("rank below bracket")
             k = start
             for v, c in vals:
                 if rank < k + c:
                     return v
                 k += c
-            raise RuntimeError("rank outside bracket; increase accuracy")
+            raise RuntimeError("rank above bracket")
 
         lo, hi = at(r_lo), at(r_hi)
         out.append(lo + (h - r_lo) * (hi - lo))
