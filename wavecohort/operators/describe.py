@@ -448,11 +448,13 @@ def loess_curve(df: DataFrame, x: str = "chronological_age", y: str = "cognitive
     S = [F.col(f"S{k}") for k in range(5)]
     T_ = [F.col(f"T{k}") for k in range(3)]
     det = _det3(S[0], S[1], S[2], S[1], S[2], S[3], S[2], S[3], S[4])
-    fit = _det3(T_[0], S[1], S[2], T_[1], S[2], S[3], T_[2], S[3], S[4]) / det
+    # try_divide: a degenerate neighbourhood (fewer than 3 distinct x with
+    # weight) has det = 0 and yields NULL instead of failing the job
+    fit = F.try_divide(_det3(T_[0], S[1], S[2], T_[1], S[2], S[3], T_[2], S[3], S[4]), det)
     # first row of A^-1 (cofactors of the symmetric A)
-    c0 = (S[2] * S[4] - S[3] * S[3]) / det
-    c1 = -(S[1] * S[4] - S[2] * S[3]) / det
-    c2 = (S[1] * S[3] - S[2] * S[2]) / det
+    c0 = F.try_divide(S[2] * S[4] - S[3] * S[3], det)
+    c1 = F.try_divide(-(S[1] * S[4] - S[2] * S[3]), det)
+    c2 = F.try_divide(S[1] * S[3] - S[2] * S[2], det)
     U = [F.col(f"U{k}") for k in range(5)]
     l2 = (c0 * c0 * U[0] + c1 * c1 * U[2] + c2 * c2 * U[4] + 2 * c0 * c1 * U[1] + 2 * c0 * c2 * U[2] + 2 * c1 * c2 * U[3])
     m = m.withColumns({"fit": fit, "_l2": l2, "_lii": c0})
@@ -461,7 +463,7 @@ def loess_curve(df: DataFrame, x: str = "chronological_age", y: str = "cognitive
         F.sum(F.col("syy") - 2 * F.col("fit") * F.col("sy") + F.col("n") * F.col("fit") * F.col("fit")).alias("_rss"),
         F.sum(F.col("n") * F.col("_lii")).alias("_enp"),
         F.sum("n").alias("_n"),
-    ).withColumn("_s", F.sqrt(F.col("_rss") / (F.col("_n") - F.col("_enp"))))
+    ).withColumn("_s", F.sqrt(F.try_divide(F.col("_rss"), F.col("_n") - F.col("_enp"))))
     curve = m.where(F.col("grid_index") >= 0).join(scale.select("g", "_s", "_enp"), "g")
     se = F.col("_s") * F.sqrt(F.col("_l2"))
     from ..functions.dist import Z975
