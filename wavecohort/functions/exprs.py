@@ -147,3 +147,15 @@ def fixed(c, digits: int) -> Column:
 def thousands(c) -> Column:
     """Integer with a thousands separator (``format(n, big.mark=',')``)."""
     return F.format_number(col(c).cast("long"), 0)
+
+
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Put one-row aggregates side by side without a join: stack them
+    (each row fills only its own columns) and take the non-NULL value per
+    column in one aggregate. (A join on a constant key would be planned as
+    a cartesian product.)"""
+    cols = [c for f in frames for c in f.columns]
+    stacked = frames[0]
+    for f in frames[1:]:
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    return stacked.agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in cols])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import all_true, any_true, count_true, flag_female, id_window, in_set, mode_first, sorted_unique_join
+from ..functions.exprs import all_true, any_true, count_true, flag_female, id_window, in_set, mode_first, one_row, sorted_unique_join
 from ..spec import DEFAULT_SPEC, PREMENOPAUSAL, UNKNOWN_INCONSISTENT, UNKNOWN_TYPE, PanelSpec
 
 
@@ -193,13 +193,4 @@ def cohort_summary(allwaves: DataFrame, ready: DataFrame, bperson: DataFrame, sp
         count_true("baseline_cind").alias("n_baseline_cind"),
         F.count_if(F.col("baseline_normal").isNull()).alias("n_baseline_normal_missing"),
     )
-    return _side_by_side(a, r, b)
-
-
-def _side_by_side(*ones: DataFrame) -> DataFrame:
-    """Combine one-row frames on a constant key (an equi-join of 1x1 rows)."""
-    out = None
-    for o in ones:
-        o = o.withColumn("_one", F.lit(1))
-        out = o if out is None else out.join(o, "_one")
-    return out.drop("_one")
+    return one_row(a, r, b)

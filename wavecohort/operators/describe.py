@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_level, count_true, fixed, id_window, recode, thousands
+from ..functions.exprs import as_level, count_true, fixed, id_window, one_row, recode, thousands
 from ..spec import (
     DEFAULT_SPEC,
     EDUCATION_LEVELS,
@@ -113,16 +113,12 @@ def sample_row(name: str, data: DataFrame, ref: DataFrame, spec: PanelSpec = DEF
     """One B12 row: the model sample against the model-ready panel."""
     a = data.agg(F.count(F.lit(1)).alias("n_person_waves"), F.count_distinct(spec.id).alias("n_persons"))
     b = ref.agg(F.count(F.lit(1)).alias("_rr"), F.count_distinct(spec.id).alias("_rp"))
-    return (
-        a.withColumn("_k", F.lit(1))
-        .join(b.withColumn("_k", F.lit(1)), "_k")
-        .select(
-            F.lit(name).alias("model"),
-            "n_person_waves",
-            "n_persons",
-            (F.col("_rr") - F.col("n_person_waves")).alias("exclusions_relative_to_phase2_modelready_rows"),
-            (F.col("_rp") - F.col("n_persons")).alias("exclusions_relative_to_phase2_modelready_persons"),
-        )
+    return one_row(a, b).select(
+        F.lit(name).alias("model"),
+        "n_person_waves",
+        "n_persons",
+        (F.col("_rr") - F.col("n_person_waves")).alias("exclusions_relative_to_phase2_modelready_rows"),
+        (F.col("_rp") - F.col("n_persons")).alias("exclusions_relative_to_phase2_modelready_persons"),
     )
 
 
@@ -365,7 +361,7 @@ def categorical_table(base: DataFrame, covariates, declared: dict, groups: Seque
 def n_row(base: DataFrame, groups: Sequence[str], labels: dict, group: str = "menopause_group") -> DataFrame:
     c = base.groupBy().pivot(group, list(groups)).agg(F.count(F.lit(1)))
     t = base.agg(F.count(F.lit(1)).alias("_n"))
-    c = c.withColumn("_k", F.lit(1)).join(t.withColumn("_k", F.lit(1)), "_k")
+    c = one_row(c, t)
     return c.select(
         F.lit(None).cast("string").alias("variable"),
         F.lit(0).alias("row_order"),

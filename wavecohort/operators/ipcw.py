@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import clamp, id_window
+from ..functions.exprs import clamp, id_window, one_row
 from ..spec import DEFAULT_SPEC, PanelSpec
 from .describe import complete_cases
 from .integrity import wave_grid
@@ -159,5 +159,5 @@ def weight_summary(weighted: DataFrame, risk: DataFrame, preds: DataFrame, qs: d
     b = risk.agg(F.count(F.lit(1)).alias("risk_set_rows_for_ipcw_models"))
     c = preds.agg(F.avg("p_observed_denominator").alias("observed_probability_mean_denominator"),
                   F.avg("p_observed_numerator").alias("observed_probability_mean_numerator"))
-    out = a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").join(c.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    out = one_row(a, b, c)
     return out.withColumns({k: F.lit(float(v)) for k, v in qs.items()})
