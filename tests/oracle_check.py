@@ -19,11 +19,14 @@ import duckdb  # noqa: E402
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6))
+        return repr(v) if STRICT else repr(round(v, 6))
     if hasattr(v, "item"):
         return _norm(v.item())
     return repr(v)
