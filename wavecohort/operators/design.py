@@ -148,3 +148,4 @@ MODEL_NAMES = {
     "Model 6": "Model 6: baseline-normal-only adjusted LMM",
     "Model 7": "Model 7: natural-menopause-only adjusted LMM",
 }
+PHASE5_NAMES = {"Model 2": "Model 2: primary unweighted adjusted LMM"}

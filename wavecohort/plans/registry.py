@@ -120,7 +120,7 @@ register("slope_diff", lambda s: s.slope_differences)
 register("three_way", lambda s: s.three_way)
 register("model_compare", lambda s: s.model_compare)
 register("lmm_weighted", lambda s: s.fixed_effects(("Model 4",)))
-register("lmm_sensitivity", lambda s: s.fixed_effects(("Model 3", "Model 5", "Model 6", "Model 7")))
+register("lmm_sensitivity", lambda s: s.fixed_effects(("Model 2", "Model 3", "Model 4", "Model 5", "Model 6", "Model 7"), phase5=True))
 register("sensitivity_wide", lambda s: s.sensitivity_wide)
 register("ipcw_models", lambda s: s.ipcw_coefficients)
 register("ipcw_weights", lambda s: s.ipcw_weights.select("hhidpn", "wave", "at_risk_for_observation", "observed_cognition",
@@ -144,7 +144,7 @@ register("table1_n", lambda s: s.table1_n.drop("P value"), "table1_n")
 register("table1_continuous", lambda s: s.table1_continuous.drop("P value"), "table1_continuous")
 register("table1_categorical", lambda s: s.table1_categorical.drop("P value"), "table1_categorical")
 _P56 = ("Model 3", "Model 4", "Model 5", "Model 6", "Model 7")
-register("lmm_varcomp_sensitivity", lambda s: s.variance_components(_P56))
-register("lmm_fit_sensitivity", lambda s: s.fit_stats(("Model 2",) + _P56))
+register("lmm_varcomp_sensitivity", lambda s: s.variance_components(_P56, phase5=True))
+register("lmm_fit_sensitivity", lambda s: s.fit_stats(("Model 2",) + _P56, phase5=True))
 register("sensitivity_long", lambda s: s.sensitivity_long)
 register("ipcw_predictions", lambda s: s.ipcw_predictions)

@@ -346,22 +346,25 @@ class Study:
                 list(pool.map(self.fit, rest))
         return [self.fit(m) for m in todo]
 
-    def _stack(self, fn, models):
+    def _stack(self, fn, models, phase5: bool = False):
+        """One table over several fits; ``phase5`` uses the sensitivity
+        phase's label for Model 2."""
         self.fit_all(models)
         out = None
         for m in models:
-            d = fn(self.spark, self.fit(m))
+            label = DS.PHASE5_NAMES.get(m) if phase5 else None
+            d = fn(self.spark, self.fit(m), label)
             out = d if out is None else out.unionByName(d)
         return out
 
-    def fixed_effects(self, models=("Model 0", "Model 1", "Model 2")):
-        return self._stack(M.fixed_effects, models)
+    def fixed_effects(self, models=("Model 0", "Model 1", "Model 2"), phase5: bool = False):
+        return self._stack(M.fixed_effects, models, phase5)
 
-    def variance_components(self, models=("Model 0", "Model 1", "Model 2")):
-        return self._stack(M.variance_components, models)
+    def variance_components(self, models=("Model 0", "Model 1", "Model 2"), phase5: bool = False):
+        return self._stack(M.variance_components, models, phase5)
 
-    def fit_stats(self, models=("Model 0", "Model 1", "Model 2")):
-        return self._stack(M.fit_stats, models)
+    def fit_stats(self, models=("Model 0", "Model 1", "Model 2"), phase5: bool = False):
+        return self._stack(M.fit_stats, models, phase5)
 
     @cached_property
     def icc(self):
@@ -381,7 +384,7 @@ class Study:
     def model_compare(self):
         from pyspark.sql import functions as F
 
-        return M.compare_models(self.fit_stats(("Model 2", "Model 5")).drop("reml", "weights"))
+        return M.compare_models(self.fit_stats(("Model 2", "Model 5"), phase5=True).drop("reml", "weights")).orderBy("aic")
 
     @cached_property
     def lmm_moments(self):
@@ -501,7 +504,7 @@ class Study:
         from ..functions.exprs import recode
         from ..operators.describe import format_p
 
-        fe = self.fixed_effects(("Model 2", "Model 4", "Model 6", "Model 7"))
+        fe = self.fixed_effects(("Model 2", "Model 4", "Model 6", "Model 7"), phase5=True)
         d = M.slope_differences(fe, exclude_other=True)
         return d.select(
             "model",
@@ -516,7 +519,7 @@ class Study:
     def sensitivity_wide(self):
         from pyspark.sql import functions as F
 
-        names = [DS.MODEL_NAMES[m] for m in ("Model 2", "Model 4", "Model 6", "Model 7")]
+        names = [DS.PHASE5_NAMES.get(m, DS.MODEL_NAMES[m]) for m in ("Model 2", "Model 4", "Model 6", "Model 7")]
         d = self.sensitivity_long.withColumn("result", F.concat("estimate_ci", F.lit("; p="), "p_value_formatted"))
         return d.groupBy("contrast").pivot("model", names).agg(F.first("result"))
 
