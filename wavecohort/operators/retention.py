@@ -76,7 +76,9 @@ def km_curve(events: DataFrame, time: str = "time_to_attrition_or_censor", event
     table: at-risk = reverse running sum, S = running product of (1-d/n),
     Greenwood variance = running sum of d/(n(n-d)); log-scale 95% band
     with the upper end capped at 1; se and band NULL once S = 0.
-    Censorings are counted at the event time itself.
+    ``n_censor`` counts censorings at the event time itself;
+    ``n_censor_since_previous`` counts those after the previous event time
+    up to and including this one (the survival summary's interval view).
     """
     t = events.groupBy(group, time).agg(
         F.count_if(F.col(event)).alias("n_event"),
@@ -84,9 +86,14 @@ def km_curve(events: DataFrame, time: str = "time_to_attrition_or_censor", event
         F.count(F.lit(1)).alias("_m"),
     )
     rev = Window.partitionBy(group).orderBy(F.col(time).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("n_risk", F.sum("_m").over(rev))
-    ev = t.where(F.col("n_event") > 0)
     fwd = Window.partitionBy(group).orderBy(time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = t.withColumns({"n_risk": F.sum("_m").over(rev), "_cumc": F.sum("n_censor").over(fwd)})
+    ev = t.where(F.col("n_event") > 0)
+    # censorings since the previous event time (from the start for the first)
+    ev = ev.withColumn(
+        "n_censor_since_previous",
+        F.col("_cumc") - F.coalesce(F.lag("_cumc").over(Window.partitionBy(group).orderBy(time)), F.lit(0)),
+    )
     n, d = F.col("n_risk"), F.col("n_event")
     ev = ev.withColumns(
         {
@@ -103,7 +110,8 @@ def km_curve(events: DataFrame, time: str = "time_to_attrition_or_censor", event
             "conf_high": F.when(pos, F.least(F.lit(1.0), F.exp(F.log(s) + Z975 * F.sqrt(g)))),
         }
     )
-    cols = ["followup_wave", "retention_probability", "std_error", "conf_low", "conf_high", "n_risk", "n_event", "n_censor", group]
+    cols = ["followup_wave", "retention_probability", "std_error", "conf_low", "conf_high", "n_risk", "n_event", "n_censor",
+            "n_censor_since_previous", group]
     ev = ev.select(F.col(time).cast("double").alias("followup_wave"), *cols[1:])
     start = events.groupBy(group).agg(F.count(F.lit(1)).alias("n_risk")).select(
         F.lit(0.0).alias("followup_wave"),
@@ -114,6 +122,7 @@ def km_curve(events: DataFrame, time: str = "time_to_attrition_or_censor", event
         "n_risk",
         F.lit(0).cast("long").alias("n_event"),
         F.lit(0).cast("long").alias("n_censor"),
+        F.lit(0).cast("long").alias("n_censor_since_previous"),
         group,
     )
     return start.unionByName(ev)

@@ -377,16 +377,17 @@ from (select hhidpn, menopause_group, menopause_group_label, baseline_wave,
 cte("km_curve", ("attrition_events",), """
 select cast(0 as double) as followup_wave, cast(1 as double) as retention_probability, cast(0 as double) as std_error,
   cast(1 as double) as conf_low, cast(1 as double) as conf_high, cast(count(*) as bigint) as n_risk,
-  cast(0 as bigint) as n_event, cast(0 as bigint) as n_censor, menopause_group_label
+  cast(0 as bigint) as n_event, cast(0 as bigint) as n_censor, cast(0 as bigint) as n_censor_since_previous, menopause_group_label
 from attrition_events group by menopause_group_label
 union all
 select t, s, case when s > 0 then s * sqrt(g) end,
   case when s > 0 then exp(ln(s) - 1.959963984540054 * sqrt(g)) end,
   case when s > 0 then least(1.0, exp(ln(s) + 1.959963984540054 * sqrt(g))) end,
-  n, d, c, menopause_group_label
+  n, d, c, cast(cumc - coalesce(lag(cumc) over (partition by menopause_group_label order by t), 0) as bigint), menopause_group_label
 from (select *, product(1 - d / n) over w as s, sum(case when n > d then d / (n * (n - d)) end) over w as g
       from (select *, cast(sum(m) over (partition by menopause_group_label order by t desc
-                        rows between unbounded preceding and current row) as bigint) as n
+                        rows between unbounded preceding and current row) as bigint) as n,
+                      sum(c) over (partition by menopause_group_label order by t rows between unbounded preceding and current row) as cumc
             from (select menopause_group_label, time_to_attrition_or_censor as t,
                     cast(count_if(attrition_event) as bigint) as d, cast(count_if(not attrition_event) as bigint) as c,
                     cast(count(*) as bigint) as m
