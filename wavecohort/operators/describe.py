@@ -319,13 +319,15 @@ def continuous_table(base: DataFrame, covariates, groups: Sequence[str], labels:
 
 
 def categorical_table(base: DataFrame, covariates, declared: dict, groups: Sequence[str], labels: dict,
-                      group: str = "menopause_group", emulate_empty_levels: bool = False) -> DataFrame:
+                      group: str = "menopause_group", emulate_empty_levels: bool = False,
+                      counts: DataFrame | None = None) -> DataFrame:
     """N (%) per level overall and per group; chi-square p and the
     covariate's max SMD on the first level only; empty levels 0 (0.0%)."""
     from ..functions.dist import chisq_pvalue
 
     variables = [v for v, _ in covariates]
-    counts = categorical_levels(base, variables, declared, groups, group)
+    if counts is None:
+        counts = categorical_levels(base, variables, declared, groups, group)
     per_var = Window.partitionBy("variable")
     d = counts.withColumn("_row", sum((F.col(f"`{g}`") for g in groups), F.lit(0)))
     for i, g in enumerate(groups):

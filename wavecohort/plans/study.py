@@ -193,7 +193,8 @@ class Study:
 
     @cached_property
     def baseline_analysis(self):
-        return D.baseline_rows(self.analysis, self.spec)
+        # one row per person, read by every balance result: a stage boundary
+        return stage(D.baseline_rows(self.analysis, self.spec))
 
     @cached_property
     def analytic_waves(self):
@@ -266,7 +267,7 @@ class Study:
     @cached_property
     def table1_categorical(self):
         return D.categorical_table(self.baseline_analysis, CATEGORICAL_COVARIATES, DECLARED_LEVELS, self.spec.group_levels,
-                                   self.spec.group_labels)
+                                   self.spec.group_labels, counts=self.categorical_counts)
 
     @cached_property
     def table1(self):
