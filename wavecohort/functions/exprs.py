@@ -41,15 +41,6 @@ def min_where(value, cond) -> Column:
     return F.min(F.when(col(cond), col(value)))
 
 
-def max_where(value, cond) -> Column:
-    return F.max(F.when(col(cond), col(value)))
-
-
-def first_nonnull_by(value, order) -> Column:
-    """First non-NULL value in ``order`` (``first_nonmissing``)."""
-    return F.min_by(col(value), F.when(col(value).isNotNull(), col(order)))
-
-
 def ordered_join(value, order, sep: str, distinct: bool = False) -> Column:
     """Values of a group concatenated in ``order`` (``paste(collapse=)``).
 
@@ -74,11 +65,6 @@ def as_level(c, levels: Sequence[str]) -> Column:
     return F.when(in_set(c, levels), col(c))
 
 
-def level_index(c, levels: Sequence[str]) -> Column:
-    """1-based position of a value in the level list (0 if absent)."""
-    return F.array_position(F.array(*[F.lit(v) for v in levels]), col(c))
-
-
 def recode(c, mapping: dict) -> Column:
     """``recode(x, !!!map)``: mapped where a key matches, else unchanged."""
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
@@ -130,10 +116,6 @@ def id_window(spec, *order: str):
     return Window.partitionBy(spec.id).orderBy(*[F.col(o).asc_nulls_last() for o in (order or (spec.wave,))])
 
 
-def round6(c) -> Column:
-    return F.round(col(c).cast("double"), 6)
-
-
 def fixed(c, digits: int) -> Column:
     """Fixed-point text with ``digits`` decimals (``sprintf('%.nf')``).
 

@@ -134,9 +134,6 @@ def trajectory_summary(analysis: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> D
 
 # ---- B2-B9 balance ------------------------------------------------------------
 
-def _level_order(levels):
-    return {v: i for i, v in enumerate(levels)}
-
 
 def group_moments(df: DataFrame, variables: Sequence[str], group: str = "menopause_group") -> DataFrame:
     """Per (variable, group): n, mean, sample variance of non-NULL values

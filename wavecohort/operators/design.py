@@ -25,8 +25,6 @@ from ..spec import GROUP_LEVELS, NATURAL_LEVELS, RACE_LEVELS
 POWERS = {"age_c65": 1, "age_c65_sq": 2}
 # person-constant categorical variables (reference level first)
 FACTORS = {"menopause_group": GROUP_LEVELS, "race_ethnicity": RACE_LEVELS}
-# person-constant numeric variables
-NUMERIC = ("birth_year_c10", "education_c12")
 PERSON_COLUMNS = ("menopause_group", "race_ethnicity", "birth_year_c10", "education_c12")
 
 

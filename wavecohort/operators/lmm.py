@@ -32,9 +32,6 @@ from ..functions import dist
 from ..spec import DEFAULT_SPEC, PanelSpec
 from .design import PERSON_COLUMNS, Design, coefficient, drop_unused, expand, used_levels
 
-MOMENT_COLUMNS = ["n", "s0", "s1", "s2", "s3", "s4", "z0", "z1", "z2", "yy", "lw"]
-
-
 def person_moments(rows: DataFrame, y: str = "cognitive_score", time: str = "age_c65", weight: str | None = None,
                    spec: PanelSpec = DEFAULT_SPEC, extra: tuple = ("baseline_normal",)) -> DataFrame:
     """Sufficient statistics per person (key ``lmm_moments``).
@@ -427,15 +424,6 @@ def compare_models(stats: DataFrame) -> DataFrame:
     )
 
 
-def coefficient_table(spark: SparkSession, fit: FittedMixedModel) -> DataFrame:
-    """IO9: persistable fitted model (terms, estimates, vcov rows, theta)."""
-    rows = [(j, t, float(fit.beta[j]), [float(x) for x in fit.vcov[j]]) for j, t in enumerate(fit.terms)]
-    return spark.createDataFrame(rows, "j int, term string, estimate double, vcov array<double>").withColumns(
-        {"theta": F.array(*[F.lit(float(x)) for x in fit.theta]), "sigma2": F.lit(float(fit.sigma2)),
-         "deviance": F.lit(float(fit.deviance)), "model": F.lit(fit.name)}
-    )
-
-
 def prepare_design(rows: DataFrame, terms, levels: dict | None = None) -> Design:
     d = expand(terms, levels)
     facs = [f for f in ("menopause_group", "race_ethnicity") if any(f in t for t in terms)]
