@@ -11,6 +11,17 @@ from .study import Study
 QUERIES: dict = {}
 ORACLE: dict = {}
 BUILDERS: dict = {}
+_STUDIES: dict = {}
+
+
+def study_for(spark, sf_dir: str) -> Study:
+    """One Study per (Spark application, data folder): results requested
+    one by one share its checkpointed stages instead of rebuilding them.
+    A new session (new application id) gets a fresh Study."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STUDIES:
+        _STUDIES[key] = Study.from_orders(spark, sf_dir)
+    return _STUDIES[key]
 
 
 def _round_sql(sql: str, doubles: tuple[str, ...]) -> str:
@@ -24,7 +35,7 @@ def register(name: str, build, cte: str | None = None, doubles: tuple[str, ...]
     """``build(study) -> DataFrame``; ``cte`` names the oracle CTE (None =
     rows-only check)."""
     BUILDERS[name] = build
-    QUERIES[name] = lambda spark, sf_dir: build(Study.from_orders(spark, sf_dir))
+    QUERIES[name] = lambda spark, sf_dir: build(study_for(spark, sf_dir))
     if cte is not None:
         ORACLE[name] = _round_sql(O.sql_for(cte, select), doubles)
 
