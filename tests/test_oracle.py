@@ -83,6 +83,8 @@ def test_no_extra_exchange_for_person_operators(spark):
             assert not ex, (name, plan)
         src = s._raw_panel._jdf.queryExecution().executedPlan().toString()
         assert len(re.findall(r"Exchange \w+\(", src)) == 2  # (customer, year) combine + repartition by person
+        # column pruning reaches the scan: only the three columns used
+        assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:" in src
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

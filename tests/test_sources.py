@@ -73,3 +73,14 @@ def test_dedupe_is_an_aggregate(panel_of):
     assert len(rows) == 2 and rows[1]["agey_e"] == 60.0
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_study_export(spark):
+    from wavecohort.plans.study import Study
+
+    s = Study.from_orders(spark, "/root/testdata/sf0.001")
+    d = tempfile.mkdtemp(prefix="wavecohort-export-")
+    names = s.export(d, ["exclusion_cascade", "km_curve", "table1"], fmt="csv")
+    assert names == ["exclusion_cascade", "km_curve", "table1"]
+    back = spark.read.option("header", True).csv(os.path.join(d, "exclusion_cascade"))
+    assert back.count() == 6

@@ -46,6 +46,18 @@ class Study:
     def from_orders(cls, spark: SparkSession, sf_dir: str, spec: PanelSpec = DEFAULT_SPEC) -> "Study":
         return cls(spark, load_panel(configure(spark), sf_dir, spec), spec)
 
+    def export(self, folder: str, names=None, fmt: str = "parquet") -> list[str]:
+        """IO6: write result tables (all registered ones by default), one
+        folder per result, as the analysis' output set."""
+        from ..sources.panel import write_table
+        from .registry import BUILDERS
+
+        written = []
+        for name in names or list(BUILDERS):
+            write_table(BUILDERS[name](self), f"{folder.rstrip('/')}/{name}", fmt=fmt)
+            written.append(name)
+        return written
+
     @cached_property
     def panel(self):
         return stage(self._raw_panel)
