@@ -40,6 +40,7 @@ def main():
         .appName("wavecohort-bench")
         .config("spark.sql.shuffle.partitions", str(int(cpus) * 2))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
