@@ -325,7 +325,9 @@ class Study:
             mom = M.person_moments(self.model_rows(key), weight=w, spec=self.spec)
             # evaluation passes are compute-bound: spread persons over all
             # task slots (round-robin, so no person group can skew a task)
-            cache[key] = materialize(mom.repartition(self.spark.sparkContext.defaultParallelism))
+            # checkpoint (lineage cut, survives executor loss) and keep in
+            # executor memory: every optimizer pass rescans these moments
+            cache[key] = keep(materialize(mom.repartition(self.spark.sparkContext.defaultParallelism)))
         return cache[key]
 
     def fit(self, model: str):
