@@ -80,3 +80,30 @@ def test_table1_p_values(study):
     chi = float(((O - E) ** 2 / E).sum())
     got = [r for r in study.chisq_stats.collect() if r["variable"] == "education_category"][0]
     assert abs(got["chi_square"] - chi) < 1e-9 and got["df"] == (O.shape[0] - 1) * (O.shape[1] - 1)
+
+
+def test_weights_are_one_at_baseline(study):
+    rows = study.ipcw_weights.where("wave = baseline_wave").select("sw_cumulative").collect()
+    assert rows and all(abs(r[0] - 1.0) < 1e-15 for r in rows)
+    assert study.weighted_rows.where("sw_truncated is null").count() == 0
+
+
+def test_marginal_mean_is_average_of_person_predictions(study):
+    from pyspark.sql import functions as F
+
+    fit = study.fit("Model 2")
+    design = study.model2_design
+    mm = {(r["chronological_age"], r["menopause_group"]): r["predicted_score"] for r in study.marginal_means.collect()}
+    cov = study.covariate_distribution
+    for age, group in ((75.0, "6.Surgical"), (65.0, "4.50-55 Natural (ref)")):
+        pred = F.lit(0.0)
+        for j, c in enumerate(design.columns):
+            term = F.lit(float(fit.beta[j])) * F.lit((age - 65.0) ** c.power)
+            for v, lv in c.factors:
+                if v == "menopause_group":
+                    term = term * F.lit(1.0 if lv == group else 0.0)
+                else:
+                    term = term * (F.col(v).cast("double") if lv is None else (F.col(v) == lv).cast("double"))
+            pred = pred + term
+        avg = cov.agg(F.avg(pred)).first()[0]
+        assert abs(avg - mm[(age, group)]) < 1e-9
