@@ -66,7 +66,11 @@ def test_no_extra_exchange_for_person_operators(spark):
     from wavecohort.operators import lmm as M
     from wavecohort.plans.study import Study
 
+    # stages are built as in production (AQE on), then plans are inspected
+    # statically: a stage checkpoint must keep the person partitioning
     s = Study.from_orders(spark, SF)
+    for stage_name in ("panel", "resolved", "base", "allwaves", "analysis_all", "baseline_analysis"):
+        getattr(s, stage_name)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -66,9 +66,19 @@ def materialize(df: DataFrame) -> DataFrame:
     Without a shared checkpoint folder on a cluster (never a machine-local
     one), fall back to a persisted frame, which is recomputed from lineage
     if blocks are lost."""
-    if checkpoint_dir(df.sparkSession) is None:
+    spark = df.sparkSession
+    if checkpoint_dir(spark) is None:
         return keep(df)
-    return df.checkpoint(eager=True)
+    # A checkpoint taken under AQE records no output partitioning, so every
+    # later per-person step would re-shuffle. Stage plans are exchange-free
+    # past the source (they run on co-partitioned data), so build the
+    # checkpoint with the static plan, which keeps the hash partitioning.
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
 
 
 def local_session(cores: int = 8, partitions: int = 8, app: str = "wavecohort") -> SparkSession:

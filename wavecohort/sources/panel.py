@@ -70,8 +70,13 @@ def require_columns(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC, later_phases:
     return df
 
 
-def partition_by_person(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
-    return df.repartition(spec.id)
+def partition_by_person(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC, partitions: int | None = None) -> DataFrame:
+    """Hash-partition by person into an explicit number of partitions
+    (default ``spark.sql.shuffle.partitions``). With an explicit count AQE
+    does not coalesce the exchange, so a checkpoint of the result keeps its
+    hash partitioning and later per-person steps plan no exchange."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, spec.id)
 
 
 def read_panel(
