@@ -92,3 +92,14 @@ def test_no_extra_exchange_for_person_operators(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_every_result_runs_on_small_data(spark, name):
+    """All registered results (also the rows-only ones) run at sf0.001 and
+    return a stable, non-empty schema (one shared Study per session)."""
+    df = E.queries()[name](spark, SF)
+    first = df.schema
+    rows = df.collect()
+    assert df.schema == first and len(first.fields) > 0
+    assert rows is not None
