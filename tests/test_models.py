@@ -134,3 +134,74 @@ def test_model_roundtrip_and_tables(spark, tmp_path):
     assert abs(st["aic"] - (fit.deviance + 2 * 6)) < 1e-9
     icc = M.icc_by_age(spark, fit, [0]).first()
     assert 0 <= icc["icc"] <= 1
+
+
+def test_satterthwaite_df_matches_dense_computation(spark):
+    """Satterthwaite df (lmerTest's definition for ML fits) recomputed on a
+    dense NumPy likelihood: deviance(theta, sigma) with beta profiled,
+    vcov = sigma^2 (X'V*^-1 X)^-1, Hessian and Jacobian by central
+    differences."""
+    rng = np.random.default_rng(11)
+    rows = []
+    groups = ["4.50-55 Natural (ref)", "6.Surgical"]
+    for i in range(60):
+        g = groups[i % 2]
+        u0, u1 = rng.normal(0, 2), rng.normal(0, 0.25)
+        for j in range(1 + i % 5):
+            a = -8 + 3 * j + rng.normal()
+            y = 12 + u0 + (-0.4 + u1) * a + (0.7 if g == "6.Surgical" else 0) + rng.normal(0, 1.2)
+            rows.append((i, j, float(a), float(y), g, "Non-Hispanic White", 0.0, 0.0))
+    df = spark.createDataFrame(rows, "hhidpn long, wave int, age_c65 double, cognitive_score double, menopause_group string, "
+                                     "race_ethnicity string, birth_year_c10 double, education_c12 double")
+    design = DS.drop_unused(DS.expand([("menopause_group",), ("age_c65",), ("menopause_group", "age_c65")]),
+                            {"menopause_group": set(groups)})
+    fit = M.fit_lmm(M.person_moments(df).cache(), design, "t")
+
+    ids = np.array([r[0] for r in rows])
+    a = np.array([r[2] for r in rows])
+    y = np.array([r[3] for r in rows])
+    s = (np.array([r[4] for r in rows]) == groups[1]).astype(float)
+    X = np.column_stack([np.ones_like(a), s, a, s * a])
+    Z = np.column_stack([np.ones_like(a), a])
+    n = len(y)
+
+    def parts(theta):
+        T = np.array([[theta[0], 0.0], [theta[1], theta[2]]])
+        XtX = np.zeros((4, 4))
+        Xty = np.zeros(4)
+        yty = 0.0
+        ld = 0.0
+        for i in np.unique(ids):
+            m = ids == i
+            V = np.eye(m.sum()) + Z[m] @ T @ T.T @ Z[m].T
+            Vi = np.linalg.inv(V)
+            XtX += X[m].T @ Vi @ X[m]
+            Xty += X[m].T @ Vi @ y[m]
+            yty += y[m] @ Vi @ y[m]
+            ld += np.linalg.slogdet(V)[1]
+        b = np.linalg.solve(XtX, Xty)
+        return XtX, yty - Xty @ b, ld
+
+    def dev(v):
+        _, r2, ld = parts(v[:3])
+        return ld + r2 / v[3] ** 2 + n * np.log(2 * np.pi * v[3] ** 2)
+
+    def vcov(v):
+        XtX, _, _ = parts(v[:3])
+        return v[3] ** 2 * np.linalg.inv(XtX)
+
+    v0 = np.append(fit.theta, math.sqrt(fit.sigma2))
+    h = 1e-4
+    H = np.zeros((4, 4))
+    E = np.eye(4) * h
+    for i in range(4):
+        for j in range(4):
+            H[i, j] = (dev(v0 + E[i] + E[j]) - dev(v0 + E[i] - E[j]) - dev(v0 - E[i] + E[j]) + dev(v0 - E[i] - E[j])) / (4 * h * h)
+    A = 2 * np.linalg.inv(H)
+    V0 = vcov(v0)
+    assert np.allclose(V0, fit.vcov, rtol=1e-6)
+    jac = [(vcov(v0 + E[k]) - vcov(v0 - E[k])) / (2 * h) for k in range(4)]
+    for j in range(4):
+        g = np.array([jk[j, j] for jk in jac])
+        df_dense = 2 * V0[j, j] ** 2 / (g @ A @ g)
+        assert abs(fit.df[j] - df_dense) < 1e-3 * df_dense, (j, fit.df[j], df_dense)
