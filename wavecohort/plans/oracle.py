@@ -644,6 +644,25 @@ join (values """ + ", ".join(f"({_q(v)}, {_q(l)}, {i})" for i, (v, l) in enumera
 left join smd_categorical s on c.variable = s.variable and c.level = s.level""")
 
 
+# ---- per-phase validation tables ------------------------------------------------------
+cte("validation_phase3", ("baseline_person", "baseline_analysis", "analysis"), """
+select (select cast(count(*) as bigint) from baseline_person) as phase2_baseline_persons,
+       (select cast(count(*) as bigint) from baseline_analysis) as phase3_baseline_rows,
+       (select cast(count(*) as bigint) from analysis) as phase4_modelready_person_waves,
+       (select cast(count(distinct hhidpn) as bigint) from analysis) as phase4_modelready_persons""")
+cte("validation_phase5", ("analysis_all", "analysis", "model2"), """
+select (select cast(count(*) as bigint) from analysis_all) as phase2_allwaves_rows,
+       (select cast(count(*) as bigint) from analysis) as phase2_modelready_rows,
+       (select cast(count(*) as bigint) from model2) as model2_complete_case_rows,
+       (select cast(count(distinct hhidpn) as bigint) from model2) as model2_complete_case_persons""")
+cte("validation_phase7", ("model2", "covdist"), """
+select (select cast(count(*) as bigint) from model2) as model2_person_waves,
+       (select cast(count(distinct hhidpn) as bigint) from model2) as model2_persons,
+       (select min(chronological_age) from model2) as min_age_model2_data,
+       (select max(chronological_age) from model2) as max_age_model2_data,
+       (select cast(count(*) as bigint) from covdist) as person_rows_for_standardization""")
+
+
 def _order(names) -> list[str]:
     seen: list[str] = []
 

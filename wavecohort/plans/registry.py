@@ -159,3 +159,6 @@ register("lmm_varcomp_sensitivity", lambda s: s.variance_components(_P56, phase5
 register("lmm_fit_sensitivity", lambda s: s.fit_stats(("Model 2",) + _P56, phase5=True))
 register("sensitivity_long", lambda s: s.sensitivity_long)
 register("ipcw_predictions", lambda s: s.ipcw_predictions)
+register("validation_phase3", lambda s: s.validation_phase3, "validation_phase3")
+register("validation_phase5", lambda s: s.validation_phase5, "validation_phase5")
+register("validation_phase7", lambda s: s.validation_phase7, "validation_phase7", ("min_age_model2_data", "max_age_model2_data"))

@@ -573,3 +573,44 @@ class Study:
             F.col("max_pairwise_smd").desc_nulls_last(), F.col("variable").asc_nulls_last(),
             F.col("level_pairwise_smd").desc_nulls_last(), F.col("level").asc_nulls_last(),
         ).limit(12)
+
+    # ---- the reference's per-phase validation tables -------------------------------
+    @cached_property
+    def validation_phase3(self):
+        from pyspark.sql import functions as F
+
+        from ..functions.exprs import one_row
+
+        return one_row(
+            self.baseline_person.agg(F.count(F.lit(1)).alias("phase2_baseline_persons")),
+            self.baseline_analysis.agg(F.count(F.lit(1)).alias("phase3_baseline_rows")),
+            self.analysis.agg(F.count(F.lit(1)).alias("phase4_modelready_person_waves"),
+                              F.count_distinct(self.spec.id).alias("phase4_modelready_persons")),
+        )
+
+    @cached_property
+    def validation_phase5(self):
+        from pyspark.sql import functions as F
+
+        from ..functions.exprs import one_row
+
+        return one_row(
+            self.analysis_all.agg(F.count(F.lit(1)).alias("phase2_allwaves_rows")),
+            self.analysis.agg(F.count(F.lit(1)).alias("phase2_modelready_rows")),
+            self.model2_rows.agg(F.count(F.lit(1)).alias("model2_complete_case_rows"),
+                                 F.count_distinct(self.spec.id).alias("model2_complete_case_persons")),
+        )
+
+    @cached_property
+    def validation_phase7(self):
+        from pyspark.sql import functions as F
+
+        from ..functions.exprs import one_row
+
+        return one_row(
+            self.model2_rows.agg(F.count(F.lit(1)).alias("model2_person_waves"),
+                                 F.count_distinct(self.spec.id).alias("model2_persons"),
+                                 F.min("chronological_age").alias("min_age_model2_data"),
+                                 F.max("chronological_age").alias("max_age_model2_data")),
+            self.covariate_distribution.agg(F.count(F.lit(1)).alias("person_rows_for_standardization")),
+        )
