@@ -133,3 +133,21 @@ def trajectory_range(traj: DataFrame) -> DataFrame:
     return traj.groupBy("menopause_group_label").agg(
         F.min("predicted_score").alias("min_predicted"), F.max("predicted_score").alias("max_predicted")
     )
+
+
+def format_contrasts(contrasts: DataFrame) -> DataFrame:
+    """The exported contrast table: fixed-point strings with two decimals
+    and a formatted p-value (F8)."""
+    from ..functions.exprs import fixed
+    from .describe import format_p
+
+    return contrasts.select(
+        F.col("age").alias("Age"),
+        F.col("reference_group").alias("Reference group"),
+        F.col("comparison_group").alias("Comparison group"),
+        fixed("reference_predicted_score", 2).alias("Reference predicted score"),
+        fixed("comparison_predicted_score", 2).alias("Comparison predicted score"),
+        fixed("absolute_difference", 2).alias("Absolute difference"),
+        F.concat(F.lit("["), fixed("conf_low", 2), F.lit(", "), fixed("conf_high", 2), F.lit("]")).alias("95% CI"),
+        format_p("p_value").alias("P value"),
+    )

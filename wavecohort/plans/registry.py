@@ -162,3 +162,6 @@ register("ipcw_predictions", lambda s: s.ipcw_predictions)
 register("validation_phase3", lambda s: s.validation_phase3, "validation_phase3")
 register("validation_phase5", lambda s: s.validation_phase5, "validation_phase5")
 register("validation_phase7", lambda s: s.validation_phase7, "validation_phase7", ("min_age_model2_data", "max_age_model2_data"))
+from ..operators import predict as _V  # noqa: E402
+
+register("clinical_contrasts_formatted", lambda s: _V.format_contrasts(s.clinical_contrasts))
