@@ -463,3 +463,16 @@ def load_model(spark: SparkSession, path: str) -> FittedMixedModel:
         np.array([np.nan if r["df"] is None else r["df"] for r in rows]), r0["passes"], list(r0["dropped"] or []), r0["weights"],
         r0["converged"],
     )
+
+
+def format_fixed_effects(fixed: DataFrame) -> DataFrame:
+    """F8: the exported fixed-effect table as fixed-point strings."""
+    from ..functions.exprs import fixed as fx
+    from .describe import format_p
+
+    return fixed.select(
+        "model", "term",
+        fx("estimate", 4).alias("estimate"), fx("std_error", 4).alias("std_error"), fx("df", 1).alias("df"),
+        fx("conf_low", 4).alias("conf_low"), fx("conf_high", 4).alias("conf_high"), fx("statistic", 3).alias("statistic"),
+        format_p("p_value").alias("p_value"),
+    )

@@ -165,3 +165,6 @@ register("validation_phase7", lambda s: s.validation_phase7, "validation_phase7"
 from ..operators import predict as _V  # noqa: E402
 
 register("clinical_contrasts_formatted", lambda s: _V.format_contrasts(s.clinical_contrasts))
+from ..operators import lmm as _M  # noqa: E402
+
+register("lmm_fixed_formatted", lambda s: _M.format_fixed_effects(s.fixed_effects()))
