@@ -348,17 +348,25 @@ class Study:
         so concurrent fits overlap on the cluster."""
         from concurrent.futures import ThreadPoolExecutor
 
+        def run(ms):
+            ms = [m for m in ms if m not in self.__dict__.get("_fits", {})]
+            for m in ms:
+                self.moments(m)  # stage boundaries stay serial
+            if len(ms) > 1:
+                with ThreadPoolExecutor(min(threads, len(ms))) as pool:
+                    list(pool.map(self.fit, ms))
+            elif ms:
+                self.fit(ms[0])
+
         todo = list(dict.fromkeys(models))
+        # warm-start anchors first (Model 0 for Model 1, Model 2 for 3-7), together
+        anchors = []
         if any(m in ("Model 0", "Model 1") for m in todo):
-            self.fit("Model 0")  # warm start of Model 1
+            anchors.append("Model 0")
         if any(m not in ("Model 0", "Model 1") for m in todo):
-            self.fit("Model 2")  # warm start of Models 3-7
-        rest = [m for m in todo if m not in self.__dict__.get("_fits", {})]
-        for m in rest:
-            self.moments(m)
-        if len(rest) > 1:
-            with ThreadPoolExecutor(min(threads, len(rest))) as pool:
-                list(pool.map(self.fit, rest))
+            anchors.append("Model 2")
+        run(anchors)
+        run(todo)
         return [self.fit(m) for m in todo]
 
     def _stack(self, fn, models, phase5: bool = False):
