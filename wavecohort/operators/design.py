@@ -85,11 +85,18 @@ def drop_unused(design: Design, used: dict) -> Design:
     return Design(keep, [c.name for c in dropped])
 
 
+MAX_LEVELS = 1000
+
+
 def used_levels(df: DataFrame, factors: Sequence[str] = tuple(FACTORS)) -> dict:
-    """PF7: levels that occur (a tiny distinct aggregate per factor)."""
+    """PF7: levels that occur (a tiny distinct aggregate per factor). A
+    factor is a short declared list; more than ``MAX_LEVELS`` distinct
+    values is refused rather than truncated."""
     out = {}
     for v in factors:
-        rows = df.select(v).where(F.col(v).isNotNull()).distinct().limit(1000).collect()
+        rows = df.select(v).where(F.col(v).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
+        if len(rows) > MAX_LEVELS:
+            raise ValueError(f"{v}: more than {MAX_LEVELS} distinct levels; not a factor")
         out[v] = {r[0] for r in rows}
     return out
 
