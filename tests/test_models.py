@@ -102,8 +102,12 @@ def test_tails_against_tables():
     assert abs(dist.norm_sf2(1.959964) - 0.05) < 1e-6
 
 
-@pytest.mark.parametrize("n,accuracy", [(8000, 200), (333, 100000), (7, 100000), (1, 100)])
-def test_exact_quantiles_match_type7(spark, n, accuracy):
+@pytest.mark.parametrize("n,accuracy,max_inside", [(8000, 200, 200_000), (8000, 50, 100), (333, 100000, 10), (7, 100000, 200_000),
+                                                   (1, 100, 200_000), (6000, 30, 50)])
+def test_exact_quantiles_match_type7(spark, monkeypatch, n, accuracy, max_inside):
+    from wavecohort.functions import quantile as Q
+
+    monkeypatch.setattr(Q, "MAX_INSIDE", max_inside)
     rng = np.random.default_rng(n)
     x = np.concatenate([rng.lognormal(size=n - n // 3), np.ones(n // 3)])
     df = spark.createDataFrame([(float(v),) for v in x], "w double")

@@ -1,15 +1,20 @@
 """Exact type-7 quantiles without sending every distinct value to one task.
 
 ``percentile`` keeps a value->count map per group; for a continuous column
-the global map holds ~all rows in the final task. Instead:
+the global map holds ~all rows in the final task. Instead, per probability:
 
-1. one pass: n; one pass: a GK sketch (``percentile_approx``, accuracy A)
-   at probabilities a few ranks plus n/A outside each target rank, giving
-   values that bracket it;
-2. one pass: exact count below each bracket and the (value, count) pairs
-   inside it - at most ~4n/A + 6 distinct values, bounded by A, not n;
-3. the driver walks the cumulative counts to the two order statistics and
-   interpolates like R's ``quantile(type = 7)``.
+1. n, min and max in one pass; the target ranks follow (type 7 needs the
+   order statistics at floor((n-1)p) and the next one).
+2. While the bracket [a, b] around those ranks holds more than
+   ``MAX_INSIDE`` rows, a GK sketch (``percentile_approx``, accuracy A)
+   over the bracket's rows, at probabilities a few ranks (plus the
+   sketch's rank error m/A) outside the targets, gives a narrower bracket;
+   each round shrinks it by about a factor A, and ties end the loop.
+3. The bracket's (value, count) pairs - at most ``MAX_INSIDE`` rows, or
+   few distinct values - are collected and walked to the two order
+   statistics, interpolated like R's ``quantile(type = 7)``.
+
+The driver never holds more than ``MAX_INSIDE`` values, whatever n is.
 """
 
 from __future__ import annotations
@@ -21,56 +26,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
+MAX_INSIDE = 200_000
+
+
+def _counts_inside(d: DataFrame, a: float, b: float) -> list:
+    x = F.col("_x")
+    grp = d.where((x >= F.lit(a)) & (x <= F.lit(b))).groupBy("_x").agg(F.count(F.lit(1)).alias("c"))
+    rows = grp.limit(MAX_INSIDE + 1).collect()
+    if len(rows) > MAX_INSIDE:
+        raise RuntimeError("quantile bracket did not narrow (too many distinct values)")
+    return sorted((r["_x"], r["c"]) for r in rows)
+
+
+def _order_stats(d: DataFrame, n: int, lo: float, hi: float, r_lo: int, r_hi: int, accuracy: int):
+    """Values at 0-based ranks r_lo <= r_hi of the column."""
+    a, b, below, m = lo, hi, 0, n
+    x = F.col("_x")
+    for _ in range(16):
+        if m <= MAX_INSIDE:
+            break
+        sub = d.where((x >= F.lit(a)) & (x <= F.lit(b)))
+        l_lo, l_hi = r_lo - below, r_hi - below
+        margin = 2 + 2 * m / accuracy
+        q1 = max(0.0, (l_lo + 1 - margin) / m)
+        q2 = min(1.0, (l_hi + 1 + margin) / m)
+        qa, qb = sub.agg(F.percentile_approx("_x", [q1, q2], accuracy).alias("q")).first()["q"]
+        a2 = a if q1 <= 0 else qa
+        b2 = b if q2 >= 1 else qb
+        row = sub.agg(F.count_if(x < F.lit(a2)).alias("below"), F.count_if((x >= F.lit(a2)) & (x <= F.lit(b2))).alias("m")).first()
+        if row["m"] >= m:  # no progress: the bracket is ties; collect grouped
+            break
+        a, b, below, m = a2, b2, below + row["below"], row["m"]
+    vals = _counts_inside(d, a, b)
+
+    def at(rank):
+        k = below
+        if rank < k:
+            raise RuntimeError("rank below bracket")
+        for v, c in vals:
+            if rank < k + c:
+                return v
+            k += c
+        raise RuntimeError("rank above bracket")
+
+    return at(r_lo), at(r_hi)
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = ACCURACY) -> list[float]:
-    x = F.col(col)
-    d = df.select(x.cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    d = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     head = d.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
     n = head["n"]
     if not n:
         return [float("nan")] * len(probs)
-    # target 0-based ranks and sketch probabilities a few ranks (plus the
-    # sketch's rank error n/accuracy) outside them; percentile_approx(q)
-    # returns the value of 1-based rank ceil(q * n)
-    margin = 2 + 2 * n / accuracy
-    targets = []
+    out = []
     for p in probs:
         h = (n - 1) * p
         r_lo = math.floor(h)
-        targets.append((h, r_lo, min(r_lo + 1, n - 1)))
-    qs = []
-    for _, r_lo, r_hi in targets:
-        qs.append(max(0.0, (r_lo + 1 - margin) / n))
-        qs.append(min(1.0, (r_hi + 1 + margin) / n))
-    approx = d.agg(F.percentile_approx("_x", qs, accuracy).alias("q")).first()["q"]
-    brackets = []
-    for i, (_, r_lo, r_hi) in enumerate(targets):
-        a = head["lo"] if qs[2 * i] <= 0 else approx[2 * i]
-        b = head["hi"] if qs[2 * i + 1] >= 1 else approx[2 * i + 1]
-        brackets.append((a, b))
-    below = d.agg(*[F.count_if(F.col("_x") < F.lit(a)).alias(f"below{i}") for i, (a, _) in enumerate(brackets)]).first()
-    cond = None
-    for a, b in brackets:
-        c = (F.col("_x") >= F.lit(a)) & (F.col("_x") <= F.lit(b))
-        cond = c if cond is None else cond | c
-    inside = sorted((r["_x"], r["c"]) for r in d.where(cond).groupBy("_x").agg(F.count(F.lit(1)).alias("c")).collect())
-    out = []
-    for i, (h, r_lo, r_hi) in enumerate(targets):
-        a, b = brackets[i]
-        vals = [(v, c) for v, c in inside if a <= v <= b]
-        start = below[f"below{i}"]
-
-        def at(rank):
-            if rank < start:
-                raise RuntimeError("rank below bracket")
-            k = start
-            for v, c in vals:
-                if rank < k + c:
-                    return v
-                k += c
-            raise RuntimeError("rank above bracket")
-
-        lo, hi = at(r_lo), at(r_hi)
-        out.append(lo + (h - r_lo) * (hi - lo))
+        r_hi = min(r_lo + 1, n - 1)
+        v_lo, v_hi = _order_stats(d, n, head["lo"], head["hi"], r_lo, r_hi, accuracy)
+        out.append(v_lo + (h - r_lo) * (v_hi - v_lo))
     return out
