@@ -53,15 +53,21 @@ def main():
     names = [n for n in HEADLINE if n in registry.BUILDERS]
     t_all = time.time()
     study = Study.from_orders(spark, sf_dir)
-    times, rows = {}, {}
+    times, rows, errors = {}, {}, {}
     for name in names:
         t = time.time()
-        rows[name] = len(registry.BUILDERS[name](study).collect())
+        try:
+            rows[name] = len(registry.BUILDERS[name](study).collect())
+        except Exception as e:  # noqa: BLE001 - report and go on; the JSON line must print
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
         times[name] = round(time.time() - t, 3)
     total = round(time.time() - t_all, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "full_analysis_wall_time", "value": total, "unit": "sec", "queries": times,
-                      "rows": rows, "sf": sf, "cpus": int(cpus)}))
+    out = {"metric": "full_analysis_wall_time", "value": total, "unit": "sec", "queries": times,
+           "rows": rows, "sf": sf, "cpus": int(cpus)}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 

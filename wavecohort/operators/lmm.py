@@ -32,6 +32,7 @@ from ..functions import dist
 from ..spec import DEFAULT_SPEC, PanelSpec
 from .design import PERSON_COLUMNS, Design, coefficient, drop_unused, expand, used_levels
 
+
 def person_moments(rows: DataFrame, y: str = "cognitive_score", time: str = "age_c65", weight: str | None = None,
                    spec: PanelSpec = DEFAULT_SPEC, extra: tuple = ("baseline_normal",)) -> DataFrame:
     """Sufficient statistics per person (key ``lmm_moments``).
