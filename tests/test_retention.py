@@ -76,3 +76,16 @@ def test_empty_level_chisq(spark):
     assert emu["chi_square"] is None
     lv = {r["level"]: r for r in D.smd_categorical(counts, groups).collect()}
     assert lv["w"]["level_pairwise_smd"] == 0.0 and lv["Missing"]["level_pairwise_smd"] == 0.0
+
+
+def test_km_censor_counts_at_and_since_previous_event_time(spark):
+    # censored at 1, event at 2, censored at 2, censored at 3, event at 4, censored at 5
+    e = _events(spark, [(1, "C", 1.0, False), (2, "C", 2.0, True), (3, "C", 2.0, False), (4, "C", 3.0, False),
+                        (5, "C", 4.0, True), (6, "C", 5.0, False)])
+    km = sorted(R.km_curve(e).collect(), key=lambda r: r["followup_wave"])
+    assert [r["followup_wave"] for r in km] == [0.0, 2.0, 4.0]  # no row for the censoring after the last event
+    assert [r["n_risk"] for r in km] == [6, 5, 2]
+    assert [r["n_event"] for r in km] == [0, 1, 1]
+    assert [r["n_censor"] for r in km] == [0, 1, 0]  # at the event time itself
+    assert [r["n_censor_since_previous"] for r in km] == [0, 2, 1]  # (previous event time, event time]
+    assert [r["retention_probability"] for r in km] == [1.0, 0.8, 0.4]
