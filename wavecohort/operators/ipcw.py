@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clamp, id_window, one_row
+from ..session import keep
 from ..spec import DEFAULT_SPEC, PanelSpec
 from .describe import complete_cases
 from .integrity import wave_grid
@@ -110,7 +111,13 @@ def fit_logit(risk: DataFrame, terms: Sequence[str], label: str = "observed_t"):
     data = risk.select(F.col(label).cast("double").alias("label"), *[e.alias(f"_f{i}") for i, (_, e) in enumerate(feats)])
     data = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(feats))], outputCol="features").transform(data)
     glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50, tol=1e-10, regParam=0.0)
-    model = glr.fit(data)
+    # IRLS makes one pass per iteration: keep the narrow (label, features)
+    # rows rather than re-reading the wide risk-set checkpoint every time
+    data = keep(data.select("label", "features"))
+    try:
+        model = glr.fit(data)
+    finally:
+        data.unpersist()
     return model, names, feats
 
 
