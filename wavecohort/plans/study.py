@@ -444,10 +444,17 @@ class Study:
         return stage(W.attach_weights(self.model2_rows, self.ipcw_weights, self.spec))
 
     @cached_property
-    def weight_bounds(self):
+    def untruncated_quantiles(self):
+        """Exact 1st, 50th and 99th percentiles of the untruncated weights,
+        computed once for the truncation bounds and the summary."""
         from ..functions.quantile import exact_quantiles
 
-        return exact_quantiles(self.untruncated_rows, "sw_cumulative", [0.01, 0.99])
+        return exact_quantiles(self.untruncated_rows, "sw_cumulative", [0.01, 0.5, 0.99])
+
+    @cached_property
+    def weight_bounds(self):
+        q = self.untruncated_quantiles
+        return q[0], q[2]
 
     @cached_property
     def weighted_rows(self):
@@ -458,7 +465,7 @@ class Study:
     def weight_summary(self):
         from ..functions.quantile import exact_quantiles
 
-        u = exact_quantiles(self.untruncated_rows, "sw_cumulative", [0.01, 0.5, 0.99])
+        u = self.untruncated_quantiles
         t = exact_quantiles(self.weighted_rows, "sw_truncated", [0.5])
         qs = {"sw_untruncated_p01": u[0], "sw_untruncated_median": u[1], "sw_untruncated_p99": u[2], "sw_truncated_median": t[0]}
         return W.weight_summary(self.weighted_rows, self.ipcw_risk_set, self.ipcw_predictions, qs, self.spec)
