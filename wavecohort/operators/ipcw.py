@@ -108,14 +108,13 @@ def fit_logit(risk: DataFrame, terms: Sequence[str], label: str = "observed_t"):
     levels = {f: [FACTORS[f][0]] + [lv for lv in FACTORS[f][1:] if lv in used[f]] for f in facs}
     feats = _features(terms, levels)
     names = [n for n, _ in feats]
-    data = risk.select(F.col(label).cast("double").alias("label"), *[e.alias(f"_f{i}") for i, (_, e) in enumerate(feats)])
-    data = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(feats))], outputCol="features").transform(data)
+    # IRLS makes one pass per iteration (Spark ML does not cache its input):
+    # keep the narrow double columns rather than re-reading the wide risk-set
+    # checkpoint every time; the vector is assembled on top of the cache
+    data = keep(risk.select(F.col(label).cast("double").alias("label"), *[e.alias(f"_f{i}") for i, (_, e) in enumerate(feats)]))
     glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50, tol=1e-10, regParam=0.0)
-    # IRLS makes one pass per iteration: keep the narrow (label, features)
-    # rows rather than re-reading the wide risk-set checkpoint every time
-    data = keep(data.select("label", "features"))
     try:
-        model = glr.fit(data)
+        model = glr.fit(VectorAssembler(inputCols=[f"_f{i}" for i in range(len(feats))], outputCol="features").transform(data))
     finally:
         data.unpersist()
     return model, names, feats
