@@ -42,6 +42,19 @@ def test_glm_matches_numpy_irls(study):
         assert abs(got[n][1] - se[j]) < 1e-6, n
 
 
+
+def test_glm_fit_releases_its_cache(spark, study):
+    """The narrow IRLS input is cached only for the fit (a leak would pin the
+    risk set in executor memory at scale)."""
+    from wavecohort.operators import ipcw as W
+
+    risk = study.ipcw_risk_set
+    persistent = spark.sparkContext._jsc.getPersistentRDDs
+    before = persistent().size()
+    model, names, _ = W.fit_logit(risk, W.NUMERATOR_TERMS)
+    assert persistent().size() == before
+    assert len(names) == len(model.coefficients)
+
 def test_loess_matches_direct_wls(study):
     raw = study.analysis.select("menopause_group", "chronological_age", "cognitive_score").toPandas()
     curve = study.loess_curve.toPandas()
