@@ -57,7 +57,7 @@ def worker_cache(name: str, make):
     return getattr(holder, name)
 
 
-def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+def text_batches(spark: SparkSession, rows: int = 4000) -> None:
     """Fewer rows per Arrow batch than Spark's default, since rows of texts
     are large; a smaller setting of the session's own stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

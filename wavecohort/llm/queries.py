@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules, sharding, token_store
+from . import packing, quality_rules, sharding, simhash, token_store
 from .common import shared_folder
 
 
@@ -26,6 +26,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op6_jump_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op6_jump_sharding": op6_jump_sharding,
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,
