@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules, sharding, simhash, token_store
+from . import importance, packing, quality_rules, sharding, simhash, token_store
 from .common import shared_folder
 
 
@@ -35,6 +35,11 @@ def op6_jump_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_importance_resampling(spark, sf_dir):
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "weight", "kept")
+
+
 def op8_token_store(spark, sf_dir):
     folder = f"{shared_folder(spark)}/token-store-{uuid.uuid4().hex}"
     settings = token_store.StoreSettings(tokenizer=vocabulary("byte_bpe_50k.json"))
@@ -55,6 +60,7 @@ def op10_best_fit_packing(spark, sf_dir):
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op6_jump_sharding": op6_jump_sharding,
+    "op7_importance_resampling": op7_importance_resampling,
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
