@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, packing, quality_rules, sharding, simhash, token_store
+from . import importance, packing, quality_rules, sharding, simhash, token_store, topk
 from .common import shared_folder
 
 
@@ -31,6 +31,10 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_exact_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_jump_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_jump_sharding": op6_jump_sharding,
     "op7_importance_resampling": op7_importance_resampling,
     "op8_token_store": op8_token_store,
@@ -67,5 +72,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op5_exact_top_k": topk.SQL,
     "op9_quality_rules": quality_rules.SQL,
 }
