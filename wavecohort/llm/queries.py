@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, packing, quality_rules, sharding, simhash, token_store, topk
+from . import html_text, importance, packing, quality_rules, sharding, simhash, token_store, topk
 from .common import shared_folder
 
 
@@ -31,6 +31,10 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_html_text(spark, sf_dir):
+    return html_text.page_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -63,6 +67,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_html_text": op3_html_text,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_jump_sharding": op6_jump_sharding,
     "op7_importance_resampling": op7_importance_resampling,
