@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, importance, packing, quality_rules, sharding, simhash, token_store, topk
+from . import html_text, importance, packing, quality_rules, sentencepiece_bpe, sharding, simhash, token_store, topk
 from .common import shared_folder
 
 
@@ -26,6 +26,17 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece(spark, sf_dir):
+    """Per document: pieces, a hash of their ids, and whether decoding them
+    gives the text again (with marks as spaces)."""
+    done = sentencepiece_bpe.round_trips(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    plain = F.translate(F.coalesce(F.col("text"), F.lit("")), sentencepiece_bpe.MARK, " ")
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        (F.col("decoded") == plain).alias("round_trip"),
+    )
+
+
 def op2_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -66,6 +77,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash": op2_simhash,
     "op3_html_text": op3_html_text,
     "op5_exact_top_k": op5_exact_top_k,

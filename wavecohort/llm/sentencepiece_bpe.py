@@ -70,6 +70,12 @@ class Model:
         self.pieces = sorted(self.piece_id)
         self.split: dict[str, tuple[str, str]] = {}
         self.spines: dict[str, tuple[list, list]] = {}
+        # what each id decodes to; unknown as in the library
+        self.raw = [n.replace(MARK, " ").encode() for n in names]
+        for i in self.special:
+            self.raw[i] = " \u2047 ".encode() if i == self.unknown else b""
+        for i, b in self.byte_of.items():
+            self.raw[i] = bytes([b])
         self.pairs: dict[int, bool] = {}
         self.lengths = np.fromiter(map(len, self.pieces), dtype=np.int64, count=len(self.pieces))
         self.ids = np.array([self.piece_id[p] for p in self.pieces], dtype="<i4")
@@ -283,7 +289,7 @@ def encode_parts(parts: list[str], model: Model) -> list[bytes]:
 class Encoder:
     """A worker's model and the ids of the words it has met; bounded."""
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 500_000):
         self.model, self.keep = Model(path), keep
         self.ids: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -315,26 +321,16 @@ class Encoder:
         return [np.frombuffer(b"".join(map(get, words)), dtype="<i4") for words in cut]
 
 
-def decode(ids, model: Model) -> str:
-    out, data = [], bytearray()
-    for i in ids:
-        i = int(i)
-        if i in model.byte_of:
-            data.append(model.byte_of[i])
-            continue
-        if data:
-            out.append(data.decode(errors="replace"))
-            data.clear()
-        if i not in model.special:
-            out.append(model.names[i])
-        elif i == model.unknown:
-            out.append(f" {chr(0x2047)} ")
-    if data:
-        out.append(data.decode(errors="replace"))
-    text = "".join(out)
-    if model.dummy_prefix and text.startswith(MARK):
-        text = text[1:]
-    return text.replace(MARK, " ")
+def decode(ids: np.ndarray, model: Model) -> str:
+    """The text of ids: pieces and bytes joined, marks as spaces, without the
+    space put before the text."""
+    raw = b"".join(map(model.raw.__getitem__, ids.tolist()))
+    if model.dummy_prefix and raw.startswith(b" "):
+        raw = raw[1:]
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return raw.decode(errors="replace")
 
 
 def encoder(path: str) -> Encoder:
@@ -361,6 +357,13 @@ def decode_column(ids: Column, path: str) -> Column:
     def decoded(arrays: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = encoder(path).model
         for series in arrays:
-            yield pd.Series([decode(a, model) if a is not None else "" for a in series], dtype="object")
+            yield pd.Series([decode(np.asarray(a), model) if a is not None else "" for a in series], dtype="object")
 
     return decoded(ids)
+
+
+def round_trips(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids, decoded of every document."""
+    text_batches(docs.sparkSession)
+    encoded = docs.select("doc_id", "text", encode_column(F.col("text"), path).alias("ids"))
+    return encoded.withColumn("decoded", decode_column(F.col("ids"), path))
