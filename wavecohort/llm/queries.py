@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, importance, packing, quality_rules, sentencepiece_bpe, sharding, simhash, token_store, topk
+from . import html_text, importance, licenses, packing, quality_rules, sentencepiece_bpe, sharding, simhash, token_store, topk
 from .common import shared_folder
 
 
@@ -46,6 +46,10 @@ def op3_html_text(spark, sf_dir):
     return html_text.page_texts(table(spark, sf_dir, "pages"))
 
 
+def op4_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash": op2_simhash,
     "op3_html_text": op3_html_text,
+    "op4_license_scan": op4_license_scan,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_jump_sharding": op6_jump_sharding,
     "op7_importance_resampling": op7_importance_resampling,
@@ -89,6 +94,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_license_scan": licenses.sql(),
     "op5_exact_top_k": topk.SQL,
     "op9_quality_rules": quality_rules.SQL,
 }
