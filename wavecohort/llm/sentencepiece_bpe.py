@@ -324,9 +324,12 @@ class Encoder:
 def decode(ids: np.ndarray, model: Model) -> str:
     """The text of ids: pieces and bytes joined, marks as spaces, without the
     space put before the text."""
-    raw = b"".join(map(model.raw.__getitem__, ids.tolist()))
+    ids = ids.tolist()
+    raw = b"".join(map(model.raw.__getitem__, ids))
     if model.dummy_prefix and raw.startswith(b" "):
-        raw = raw[1:]
+        before = next(i for i in ids if model.raw[i])
+        if before != model.unknown and before not in model.byte_of:
+            raw = raw[1:]
     try:
         return raw.decode()
     except UnicodeDecodeError:
