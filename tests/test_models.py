@@ -102,18 +102,89 @@ def test_tails_against_tables():
     assert abs(dist.norm_sf2(1.959964) - 0.05) < 1e-6
 
 
-@pytest.mark.parametrize("n,accuracy,max_inside", [(8000, 200, 200_000), (8000, 50, 100), (333, 100000, 10), (7, 100000, 200_000),
-                                                   (1, 100, 200_000), (6000, 30, 50)])
-def test_exact_quantiles_match_type7(spark, monkeypatch, n, accuracy, max_inside):
-    from wavecohort.functions import quantile as Q
+@pytest.mark.parametrize("z,tail", [(9.0, 2.2571768119076845e-19), (20.0, 5.507248237212466e-89), (37.0, 1.1451142446062e-299)])
+def test_normal_tail_far_out(z, tail):
+    assert abs(dist.norm_sf2(z) / tail - 1) < 1e-10
+    assert dist.norm_sf2(-z) == dist.norm_sf2(z)
 
-    monkeypatch.setattr(Q, "MAX_INSIDE", max_inside)
+
+@pytest.mark.parametrize("df", [1e6, 1e8, 1e9, 1e11, 1e12])
+def test_tails_at_large_df(df):
+    import math
+
+    for t in (0.5, 2.0, 6.0):  # first-order expansion about the normal tail
+        density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+        want = math.erfc(t / math.sqrt(2)) + density * (t**3 + t) / (2 * df)
+        second = (t**4 / (4 * df)) ** 2  # what the expansion leaves out
+        assert abs(dist.t_sf2(t, df) / want - 1) < second + 200 / df**2 + 1e-11
+    assert abs(dist.t_ppf(0.975, df) - dist.Z975) < 3 / df + 1e-9
+    limit = dist.chi2_sf(7.5, 5)
+    assert abs(dist.f_sf(1.5, 5, df) / limit - 1) < 30 / df + 1e-9
+    assert 0.4 < dist.f_sf(1.0, df, df) < 0.6
+
+
+def test_large_df_joins_the_exact_evaluation():
+    for t in (1.0, 3.0, 8.0):
+        exact = dist.betainc(5e4 - 1, 0.5, 1 / (1 + t * t / (1e5 - 2)), t * t / (1e5 - 2 + t * t))
+        assert abs(dist.t_sf2(t, 1e5) / exact - 1) < 1e-3
+
+
+@pytest.mark.parametrize("n", [8000, 333, 7, 1])
+def test_exact_quantiles_match_type7(spark, n):
     rng = np.random.default_rng(n)
     x = np.concatenate([rng.lognormal(size=n - n // 3), np.ones(n // 3)])
-    df = spark.createDataFrame([(float(v),) for v in x], "w double")
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "w double").repartition(5)
     probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
-    got = exact_quantiles(df, "w", probs, accuracy=accuracy)
+    got = exact_quantiles(df, "w", probs)
     assert np.allclose(got, np.quantile(x, probs), rtol=0, atol=1e-12)
+    assert np.isnan(exact_quantiles(df.where("w is null"), "w", [0.5])).all()
+
+
+def _growth_rows(spark, education):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(150):
+        b0, b1 = rng.normal(0, 2), rng.normal(0, 0.2)
+        group = ["4.50-55 Natural (ref)", "6.Surgical"][i % 2]
+        race = ["Non-Hispanic White", "Non-Hispanic Black"][i % 3 == 0]
+        for j in range(5):
+            a = 2.0 * j - 4
+            rows.append((i, j, a, float(18 + b0 + (b1 - 0.1) * a + rng.normal()), group, race, float(i % 7), education(i)))
+    return spark.createDataFrame(rows, "hhidpn long, wave int, age_c65 double, cognitive_score double, menopause_group string, "
+                                       "race_ethnicity string, birth_year_c10 double, education_c12 double")
+
+
+def test_rank_deficient_design_drops_and_names_the_column(spark):
+    terms = [("age_c65",), ("birth_year_c10",), ("education_c12",)]
+    fits = {}
+    for name, education in (("zero", lambda i: 0.0), ("constant", lambda i: 3.0), ("collinear", lambda i: 2.0 * (i % 7) + 1)):
+        mom = M.person_moments(_growth_rows(spark, education)).cache()
+        fits[name] = M.fit_lmm(mom, DS.expand(terms), name)
+        assert fits[name].dropped == ["education_c12"] and fits[name].converged
+        assert "education_c12" in M.fit_stats(spark, fits[name]).first()["convergence_messages"]
+    plain = M.fit_lmm(mom, DS.expand(terms[:2]), "plain")
+    for fit in fits.values():
+        assert fit.terms == plain.terms
+        assert np.allclose(fit.beta, plain.beta, atol=1e-5) and abs(fit.deviance - plain.deviance) < 1e-6
+
+
+def test_a_stalled_fit_says_so(spark):
+    mom = M.person_moments(_growth_rows(spark, lambda i: float(i % 5))).cache()
+    with pytest.warns(UserWarning, match="did not converge"):
+        fit = M.fit_lmm(mom, DS.expand([("age_c65",)]), "short", max_iter=1)
+    assert not fit.converged
+    assert M.fixed_effects(spark, fit).select("converged").distinct().collect()[0][0] is False
+    assert "did not converge" in M.fit_stats(spark, fit).first()["convergence_messages"]
+
+
+def test_logit_that_does_not_converge_is_refused(spark):
+    from wavecohort.operators import ipcw as W
+
+    rows = [(i, float(i % 9), int((i * 7919) % 13 < 6)) for i in range(300)]
+    risk = spark.createDataFrame(rows, "hhidpn long, education_c12 double, observed_t int")
+    with pytest.raises(W.NotConverged):
+        W.fit_logit(risk, ("education_c12",), max_iter=1)
+    assert W.fit_logit(risk, ("education_c12",))[1] == ["education_c12"]
 
 
 def test_model_roundtrip_and_tables(spark, tmp_path):

@@ -16,11 +16,8 @@ DRIVER_PULLS = {"collect", "toPandas", "first", "take", "head", "tail", "toLocal
 
 # (module, enclosing function, method) -> what bounds the rows pulled
 REVIEWED_PULLS = {
-    ("functions/quantile.py", "_counts_inside", "collect"): "at most MAX_INSIDE (value, count) pairs, refined further above",
-    ("functions/quantile.py", "_order_stats", "first"): "one-row aggregates per refinement round",
-    ("functions/quantile.py", "exact_quantiles", "first"): "one-row count / min / max",
-    ("operators/design.py", "used_levels", "collect"): "at most MAX_LEVELS levels per factor, refused above",
-    ("operators/integrity.py", "all_waves", "collect"): "at most max_waves wave numbers, refused above",
+    ("functions/quantile.py", "exact_quantiles", "collect"): "one row per partition; two values per probability",
+    ("operators/design.py", "used_levels", "first"): "one row of one flag per declared level",
     ("operators/lmm.py", "_evaluate", "collect"): "one vector of p^2 + p + 4 doubles per candidate parameter",
     ("operators/lmm.py", "fit_lmm", "first"): "one-row person count and constancy check",
     ("operators/lmm.py", "load_model", "collect"): "a saved model: p x p covariance entries",

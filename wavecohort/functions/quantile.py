@@ -1,20 +1,17 @@
 """Exact type-7 quantiles without sending every distinct value to one task.
 
 ``percentile`` keeps a value->count map per group; for a continuous column
-the global map holds ~all rows in the final task. Instead, per probability:
+the global map holds nearly all rows in the final task. Instead:
 
-1. n, min and max in one pass; the target ranks follow (type 7 needs the
-   order statistics at floor((n-1)p) and the next one).
-2. While the bracket [a, b] around those ranks holds more than
-   ``MAX_INSIDE`` rows, a GK sketch (``percentile_approx``, accuracy A)
-   over the bracket's rows, at probabilities a few ranks (plus the
-   sketch's rank error m/A) outside the targets, gives a narrower bracket;
-   each round shrinks it by about a factor A, and ties end the loop.
-3. The bracket's (value, count) pairs - at most ``MAX_INSIDE`` rows, or
-   few distinct values - are collected and walked to the two order
-   statistics, interpolated like R's ``quantile(type = 7)``.
+1. Rows are counted per value (partial counts collapse ties map-side) and the
+   (value, count) pairs are range-partitioned by value; the result is a
+   stage boundary, so the ranges are fixed.
+2. One row per range, its count, gives by a running sum the range and the
+   place inside it of every order statistic that any probability needs.
+3. Only those ranges are read again; a running count inside each finds the
+   values, and two rows per probability reach the driver.
 
-The driver never holds more than ``MAX_INSIDE`` values, whatever n is.
+The same steps serve any size and any number of ties.
 """
 
 from __future__ import annotations
@@ -22,67 +19,48 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000
-MAX_INSIDE = 200_000
+from ..session import materialize
 
 
-def _counts_inside(d: DataFrame, a: float, b: float) -> list:
-    x = F.col("_x")
-    grp = d.where((x >= F.lit(a)) & (x <= F.lit(b))).groupBy("_x").agg(F.count(F.lit(1)).alias("c"))
-    rows = grp.limit(MAX_INSIDE + 1).collect()
-    if len(rows) > MAX_INSIDE:
-        raise RuntimeError("quantile bracket did not narrow (too many distinct values)")
-    return sorted((r["_x"], r["c"]) for r in rows)
-
-
-def _order_stats(d: DataFrame, n: int, lo: float, hi: float, r_lo: int, r_hi: int, accuracy: int):
-    """Values at 0-based ranks r_lo <= r_hi of the column."""
-    a, b, below, m = lo, hi, 0, n
-    x = F.col("_x")
-    for _ in range(16):
-        if m <= MAX_INSIDE:
-            break
-        sub = d.where((x >= F.lit(a)) & (x <= F.lit(b)))
-        l_lo, l_hi = r_lo - below, r_hi - below
-        margin = 2 + 2 * m / accuracy
-        q1 = max(0.0, (l_lo + 1 - margin) / m)
-        q2 = min(1.0, (l_hi + 1 + margin) / m)
-        qa, qb = sub.agg(F.percentile_approx("_x", [q1, q2], accuracy).alias("q")).first()["q"]
-        a2 = a if q1 <= 0 else qa
-        b2 = b if q2 >= 1 else qb
-        row = sub.agg(F.count_if(x < F.lit(a2)).alias("below"), F.count_if((x >= F.lit(a2)) & (x <= F.lit(b2))).alias("m")).first()
-        if row["m"] >= m:  # no progress: the bracket is ties; collect grouped
-            break
-        a, b, below, m = a2, b2, below + row["below"], row["m"]
-    vals = _counts_inside(d, a, b)
-
-    def at(rank):
-        k = below
-        if rank < k:
-            raise RuntimeError("rank below bracket")
-        for v, c in vals:
-            if rank < k + c:
-                return v
-            k += c
-        raise RuntimeError("rank above bracket")
-
-    return at(r_lo), at(r_hi)
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = ACCURACY) -> list[float]:
-    d = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    head = d.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
-    n = head["n"]
-    if not n:
-        return [float("nan")] * len(probs)
+def type7_ranks(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
+    """0-based ranks of the two order statistics of each probability and the
+    weight of the upper one, as R's ``quantile(type = 7)``."""
     out = []
     for p in probs:
         h = (n - 1) * p
-        r_lo = math.floor(h)
-        r_hi = min(r_lo + 1, n - 1)
-        v_lo, v_hi = _order_stats(d, n, head["lo"], head["hi"], r_lo, r_hi, accuracy)
-        out.append(v_lo + (h - r_lo) * (v_hi - v_lo))
+        low = math.floor(h)
+        out.append((low, min(low + 1, n - 1), h - low))
     return out
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float]:
+    values = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    counts = values.groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
+    ranged = materialize(counts.repartitionByRange("_x").withColumn("_part", F.spark_partition_id()))
+    parts = ranged.groupBy("_part").agg(F.sum("_c").alias("_n"), F.min("_x").alias("_low"))
+    parts = sorted(parts.collect(), key=lambda r: r["_low"])  # one row per range
+    n = sum(r["_n"] for r in parts)
+    if not n:
+        return [float("nan")] * len(probs)
+    ranks = type7_ranks(n, probs)
+    wanted = {}  # (range, place inside it) -> rank
+    for rank in {r for low, high, _ in ranks for r in (low, high)}:
+        before = 0
+        for r in parts:
+            if rank < before + r["_n"]:
+                wanted[r["_part"], rank - before] = rank
+                break
+            before += r["_n"]
+    upto = F.sum("_c").over(Window.partitionBy("_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
+    near = ranged.where(F.col("_part").isin(sorted({p for p, _ in wanted}))).withColumn("_upto", upto)
+    hit = F.lit(False)
+    for part, place in wanted:
+        hit = hit | ((F.col("_part") == part) & (F.col("_upto") > place) & (F.col("_upto") - F.col("_c") <= place))
+    found = near.where(hit).collect()  # a value per wanted rank at most
+    at = {}
+    for (part, place), rank in wanted.items():
+        at[rank] = next(r["_x"] for r in found if r["_part"] == part and r["_upto"] - r["_c"] <= place < r["_upto"])
+    return [at[low] + w * (at[high] - at[low]) for low, high, w in ranks]

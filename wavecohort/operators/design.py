@@ -85,20 +85,15 @@ def drop_unused(design: Design, used: dict) -> Design:
     return Design(keep, [c.name for c in dropped])
 
 
-MAX_LEVELS = 1000
-
-
-def used_levels(df: DataFrame, factors: Sequence[str] = tuple(FACTORS)) -> dict:
-    """PF7: levels that occur (a tiny distinct aggregate per factor). A
-    factor is a short declared list; more than ``MAX_LEVELS`` distinct
-    values is refused rather than truncated."""
-    out = {}
-    for v in factors:
-        rows = df.select(v).where(F.col(v).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
-        if len(rows) > MAX_LEVELS:
-            raise ValueError(f"{v}: more than {MAX_LEVELS} distinct levels; not a factor")
-        out[v] = {r[0] for r in rows}
-    return out
+def used_levels(df: DataFrame, factors: dict | None = None) -> dict:
+    """PF7: the declared levels that occur, all factors in one aggregate of
+    one flag per level."""
+    factors = FACTORS if factors is None else factors
+    if not factors:
+        return {}
+    flags = {(v, lv): f"_{i}_{j}" for i, v in enumerate(factors) for j, lv in enumerate(factors[v])}
+    row = df.agg(*[F.bool_or(F.col(v) == lv).alias(name) for (v, lv), name in flags.items()]).first()
+    return {v: {lv for lv in factors[v] if row[flags[v, lv]]} for v in factors}
 
 
 def coefficient(df_cols: dict, col: Column_):

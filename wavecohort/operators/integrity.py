@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -222,40 +222,37 @@ def absorbing_state(panel: DataFrame, flag: str, out: str, spec: PanelSpec = DEF
 
 # ---- D10-D13 missingness ------------------------------------------------------
 
-def all_waves(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> list[int]:
-    """Distinct waves of the extract (bounded by ``spec.max_waves``).
-
-    A tiny aggregate collected to the driver: it becomes a literal array, so
-    grids are built by a narrow explode per person instead of a join.
+def all_waves(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> Column:
+    """The sorted distinct waves of the extract, as an array: a scalar
+    subquery over a one-row aggregate, evaluated with the query that uses it.
+    Nothing is pulled to the driver and no number of waves is refused.
     """
-    rows = panel.select(spec.wave).distinct().limit(spec.max_waves + 1).collect()
-    if len(rows) > spec.max_waves:
-        raise ValueError(f"more than {spec.max_waves} distinct waves")
-    return sorted(r[0] for r in rows if r[0] is not None)
+    return panel.agg(F.array_sort(F.collect_set(spec.wave)).alias("waves")).scalar()
 
 
-def wave_grid(persons: DataFrame, start: str, waves: Sequence[int], spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def wave_grid(persons: DataFrame, start: str, waves: Column, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """(id, wave) for every extract wave at or after the person's start.
 
     ``persons`` keeps its id partitioning: the grid is an explode, not a join.
     """
-    arr = F.array(*[F.lit(int(w)) for w in waves])
     return persons.select(
-        F.col(spec.id), F.explode(F.filter(arr, lambda x: x >= F.col(start))).alias(spec.wave)
+        F.col(spec.id), F.explode(F.filter(waves, lambda x: x >= F.col(start))).alias(spec.wave)
     )
 
 
-def missing_panel(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, waves: Sequence[int] | None = None) -> DataFrame:
+def missing_panel(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, waves: Column | None = None) -> DataFrame:
     """Grid from each person's first wave to every later extract wave,
     with state valid / row but no score / no row."""
     waves = waves if waves is not None else all_waves(panel, spec)
     span = panel.groupBy(spec.id).agg(F.min(spec.wave).alias("first_observed_wave"))
     grid = wave_grid(span, "first_observed_wave", waves, spec)
+    # one row per (id, wave); where a key repeats, the least non-null value, so
+    # that the result doesn't depend on the order of arrival
     by_wave = panel.groupBy(spec.id, spec.wave).agg(
         F.lit(True).alias("row_present"),
-        F.first(spec.year, ignorenulls=True).alias("year"),
-        F.first(spec.age, ignorenulls=True).alias("age"),
-        F.first(spec.score, ignorenulls=True).alias("cognition"),
+        F.min(spec.year).alias("year"),
+        F.min(spec.age).alias("age"),
+        F.min(spec.score).alias("cognition"),
     )
     d = grid.join(by_wave, [spec.id, spec.wave], "left").withColumn(
         "row_present", F.coalesce("row_present", F.lit(False))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dist import norm_sf2
 from ..functions.exprs import clamp, id_window, one_row
 from ..session import keep
 from ..spec import DEFAULT_SPEC, PanelSpec
@@ -19,7 +20,7 @@ DENOMINATOR_TERMS = ("menopause_group", "race_ethnicity", "birth_year_c10", "edu
 NUMERATOR_TERMS = ("menopause_group", "race_ethnicity", "birth_year_c10", "education_c12")
 
 
-def ipcw_panel(model_rows: DataFrame, analysis_all: DataFrame, waves: Sequence[int], spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def ipcw_panel(model_rows: DataFrame, analysis_all: DataFrame, waves: Column, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """Grid from Time Zero, baseline covariates, what was observed,
     lags over the grid; at risk = after baseline and observed at the
     previous grid wave (a return after a miss is not at risk)."""
@@ -95,16 +96,21 @@ def _features(terms: Sequence[str], levels: dict) -> list:
     return cols
 
 
-def fit_logit(risk: DataFrame, terms: Sequence[str], label: str = "observed_t"):
+class NotConverged(RuntimeError):
+    pass
+
+
+def fit_logit(risk: DataFrame, terms: Sequence[str], label: str = "observed_t", max_iter: int = 50):
     """Binomial GLM with logit link (Spark ML IRLS, distributed).
-    Factor levels absent from the risk set are dropped (full rank)."""
+    Factor levels absent from the risk set are dropped (full rank); a fit that
+    stops at ``max_iter`` is refused."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
     from .design import FACTORS, used_levels
 
     facs = [t for t in terms if t in FACTORS]
-    used = used_levels(risk, facs)
+    used = used_levels(risk, {f: FACTORS[f] for f in facs})
     levels = {f: [FACTORS[f][0]] + [lv for lv in FACTORS[f][1:] if lv in used[f]] for f in facs}
     feats = _features(terms, levels)
     names = [n for n, _ in feats]
@@ -112,11 +118,13 @@ def fit_logit(risk: DataFrame, terms: Sequence[str], label: str = "observed_t"):
     # keep the narrow double columns rather than re-reading the wide risk-set
     # checkpoint every time; the vector is assembled on top of the cache
     data = keep(risk.select(F.col(label).cast("double").alias("label"), *[e.alias(f"_f{i}") for i, (_, e) in enumerate(feats)]))
-    glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50, tol=1e-10, regParam=0.0)
+    glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=max_iter, tol=1e-10, regParam=0.0)
     try:
         model = glr.fit(VectorAssembler(inputCols=[f"_f{i}" for i in range(len(feats))], outputCol="features").transform(data))
     finally:
         data.unpersist()
+    if model.summary.numIterations >= max_iter:
+        raise NotConverged(f"the logistic model of {label} did not converge in {max_iter} iterations; no weights are built")
     return model, names, feats
 
 
@@ -125,7 +133,8 @@ def logit_coefficients(spark, fitted, name: str) -> DataFrame:
     summary arrays put it last)."""
     model, names, _ = fitted
     s = model.summary
-    se, z, p = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
+    se, z = list(s.coefficientStandardErrors), list(s.tValues)
+    p = [norm_sf2(x) for x in z]  # from the statistic: the summary's own loses small tails
     rows = [(name, "(Intercept)", float(model.intercept), se[-1], z[-1], p[-1])]
     for i, n in enumerate(names):
         rows.append((name, n, float(model.coefficients[i]), se[i], z[i], p[i]))

@@ -20,6 +20,7 @@ Execution:
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,15 +31,15 @@ from pyspark.sql import types as T
 
 from ..functions import dist
 from ..spec import DEFAULT_SPEC, PanelSpec
-from .design import PERSON_COLUMNS, Design, coefficient, drop_unused, expand, used_levels
+from .design import FACTORS, PERSON_COLUMNS, Design, coefficient, drop_unused, expand, used_levels
 
 
 def person_moments(rows: DataFrame, y: str = "cognitive_score", time: str = "age_c65", weight: str | None = None,
                    spec: PanelSpec = DEFAULT_SPEC, extra: tuple = ("baseline_normal",)) -> DataFrame:
     """Sufficient statistics per person (key ``lmm_moments``).
 
-    Person covariates are taken with ``first`` and their per-person
-    distinct count is kept so a violation of constancy can be refused.
+    Person covariates are constant within a person, so their least value is
+    taken, and a flag of min <> max is kept so that a violation is refused.
     """
     a = F.col(time).cast("double")
     yv = F.col(y).cast("double")
@@ -48,7 +49,7 @@ def person_moments(rows: DataFrame, y: str = "cognitive_score", time: str = "age
     aggs += [F.sum(w * F.pow(a, k) * yv).alias(f"z{k}") for k in range(3)]
     aggs += [F.sum(w * yv * yv).alias("yy"), F.sum(F.log(w)).alias("lw")]
     covs = [c for c in PERSON_COLUMNS + tuple(extra) if c in rows.columns]
-    aggs += [F.first(c).alias(c) for c in covs]
+    aggs += [F.min(c).alias(c) for c in covs]
     # constancy check by min != max (count_distinct would add a shuffle)
     aggs.append(sum(F.coalesce((F.min(c) != F.max(c)).cast("int"), F.lit(0)) for c in covs).alias("_nonconstant"))
     return rows.groupBy(spec.id).agg(*aggs)
@@ -125,6 +126,10 @@ class Sums:
     n: float
     lw: float
 
+    def keep(self, kept: list[int]) -> "Sums":
+        """The same sums for some of the design's columns."""
+        return Sums(self.xtx[np.ix_(kept, kept)], self.xty[kept], self.yty, self.ld, self.n, self.lw)
+
     def profile(self):
         """beta, penalized RSS r2 and the ML deviance at this theta."""
         L = np.linalg.cholesky(self.xtx)
@@ -151,6 +156,25 @@ def _evaluate(moments: DataFrame, design: Design, thetas, center: float) -> list
     return [Sums(v[: p * p].reshape(p, p), v[p * p: p * p + p], v[-4], v[-3], v[-2], v[-1]) for v in vecs]
 
 
+def independent_columns(xtx: np.ndarray, tolerance: float = 1e-10) -> list[int]:
+    """The columns that aren't linear combinations of earlier ones, from the
+    cross products: the share of a column's own square that earlier kept
+    columns leave unexplained (R drops later columns first, as here)."""
+    scale = np.sqrt(np.diag(xtx))
+    kept: list[int] = []
+    for j in range(len(xtx)):
+        if not scale[j] > 0:
+            continue
+        left = 1.0
+        if kept:
+            inner = xtx[np.ix_(kept, kept)] / np.outer(scale[kept], scale[kept])
+            cross = xtx[kept, j] / (scale[kept] * scale[j])
+            left -= float(cross @ np.linalg.solve(inner, cross))
+        if left > tolerance:
+            kept.append(j)
+    return kept
+
+
 # ---- optimizer -----------------------------------------------------------------
 
 def _stencil(theta, h):
@@ -248,17 +272,30 @@ def fit_lmm(moments: DataFrame, design: Design, name: str = "model", weights: st
         return st * (radius / norm) if norm > radius else st
 
     theta = np.array(start if start is not None else [1.0, 0.0, 1.0], float)
-    vals = np.array([dev_of(x) for x in _evaluate(moments, design, _stencil(theta, h), center)])
+    sums = _evaluate(moments, design, _stencil(theta, h), center)
     passes = 1
+    # V is positive definite, so X'V^-1X has the rank of X
+    kept = independent_columns(sums[0].xtx)
+    if len(kept) < design.p:
+        design = Design([design.columns[j] for j in kept],
+                        [*design.dropped, *[c.name for j, c in enumerate(design.columns) if j not in kept]])
+        sums = [s.keep(kept) for s in sums]
+    vals = np.array([dev_of(x) for x in sums])
+    if not np.isfinite(vals).all():
+        raise ValueError(f"{name}: the deviance isn't finite at the start; is the outcome or a weight degenerate?")
     g, H = _grad_hess(vals, h)
     f = vals[0]
     radius = 1.0
     converged = False
     for _ in range(max_iter):
-        step = newton(g, H, radius)
-        if abs(float(g @ step)) < 1e-8 or radius < 1e-9:
+        step = newton(g, H, np.inf)
+        # the deviance that a full Newton step would still gain
+        if abs(float(g @ step)) < 1e-8:
             converged = True
             break
+        if radius < 1e-9:
+            break  # no step improves the deviance, yet the gradient isn't zero
+        step = newton(g, H, radius)
         cand = theta + step
         pts = np.vstack([_stencil(cand, h), theta[None, :] + backs[:, None] * step[None, :]])
         res = np.array([dev_of(x) for x in _evaluate(moments, design, pts, center)])
@@ -287,6 +324,8 @@ def fit_lmm(moments: DataFrame, design: Design, name: str = "model", weights: st
     beta = beta.copy()
     beta[0] += center
     df = _satterthwaite(sums, hs, sigma, n, vcov)
+    if not converged:
+        warnings.warn(f"{name} did not converge in {passes} passes; its tables say so", stacklevel=2)
     return FittedMixedModel(name, design.names, beta, vcov, theta, sigma2, float(dev), int(n), int(agg["persons"]), df, passes,
                             design.dropped, weights, converged)
 
@@ -332,11 +371,11 @@ def fixed_effects(spark: SparkSession, fit: FittedMixedModel, label: str | None
         crit = dist.t_ppf(0.975, d) if np.isfinite(d) else dist.Z975
         t = est / se
         rows.append((label or fit.name, term, est, se, d if np.isfinite(d) else None, est - crit * se, est + crit * se, t,
-                     dist.t_sf2(t, d)))
+                     dist.t_sf2(t, d), bool(fit.converged)))
     return spark.createDataFrame(
         rows,
         "model string, term string, estimate double, std_error double, df double, conf_low double, conf_high double, "
-        "statistic double, p_value double",
+        "statistic double, p_value double, converged boolean",
     )
 
 
@@ -397,7 +436,6 @@ def slope_differences(fixed: DataFrame, exclude_other: bool = False) -> DataFram
     d = fixed.where(t.rlike("menopause_group.*:age_c65|age_c65:menopause_group"))
     if exclude_other:
         d = d.where(~t.rlike("education_c12|age_c65_sq"))
-    contrast = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "^menopause_group", ""), ":age_c65$", ""), "`", "")
     contrast = F.regexp_replace(F.regexp_replace(t, "menopause_group", ""), ":age_c65", "")
     contrast = F.regexp_replace(contrast, "`", "")
     return d.select("model", contrast.alias("contrast"), "term", "estimate", "std_error", "df", "conf_low", "conf_high",
@@ -425,11 +463,10 @@ def compare_models(stats: DataFrame) -> DataFrame:
     )
 
 
-def prepare_design(rows: DataFrame, terms, levels: dict | None = None) -> Design:
-    d = expand(terms, levels)
-    facs = [f for f in ("menopause_group", "race_ethnicity") if any(f in t for t in terms)]
-    used = used_levels(rows, facs) if facs else {}
-    return drop_unused(d, used)
+def prepare_design(moments: DataFrame, terms, levels: dict | None = None) -> Design:
+    """The design without columns of levels that no person has; ``moments``
+    is any frame with the person factors, the per-person moments at best."""
+    return drop_unused(expand(terms, levels), used_levels(moments, {f: FACTORS[f] for f in FACTORS if any(f in t for t in terms)}))
 
 
 # ---- IO9 persistence ----------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import any_true, id_window
@@ -28,12 +28,13 @@ def observed_by_wave(allwaves: DataFrame, persons: DataFrame, spec: PanelSpec =
     """(id, wave) rows of the cohort's persons (semi-join), with a score flag."""
     rows = allwaves.join(persons.select(spec.id), spec.id, "left_semi")
     aggs = [F.lit(True).alias("row_present")]
-    aggs += [F.first(c, ignorenulls=False).alias(c) for c in carry]
+    # the first row by value, nulls last: the same whatever the arrival order
+    aggs += [F.min(c).alias(c) for c in carry]
     aggs.append(any_true(F.col(spec.score).isNotNull()).alias("observed_cognition"))
     return rows.groupBy(spec.id, spec.wave).agg(*aggs)
 
 
-def retention_panel(model_rows: DataFrame, allwaves: DataFrame, waves: Sequence[int], spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def retention_panel(model_rows: DataFrame, allwaves: DataFrame, waves: Column, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """V8: grid from Time Zero to every later extract wave, observed flag,
     follow-up wave."""
     base = first_baseline(model_rows, ["baseline_wave", "menopause_group", "menopause_group_label"], spec)

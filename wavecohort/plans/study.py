@@ -316,9 +316,25 @@ class Study:
             return self.model2_rows.where(F.col("menopause_group").isin(list(self.spec.natural_groups)))
         return self.model2_rows
 
+    # models that are fitted from the same rows, or from some of their persons
+    SAMPLES = {"Model 0": ("Model 0", "Model 1"), "Model 2": ("Model 2", "Model 3", "Model 5", "Model 6", "Model 7"),
+               "Model 4": ("Model 4",)}
+
     def moments(self, model: str):
-        """Per-person moments, checkpointed: every optimizer pass reads them."""
-        key = "Model 4" if model == "Model 4" else ("Model 0" if model in ("Model 0", "Model 1") else model)
+        """Per-person moments, checkpointed: every optimizer pass reads them.
+
+        Three frames serve all models: Models 3 and 5 use Model 2's rows, and
+        Models 6 and 7 some of its persons."""
+        from pyspark.sql import functions as F
+
+        mom = self._sample_moments(next(k for k, users in self.SAMPLES.items() if model in users))
+        if model == "Model 6":
+            return mom.where(F.col("baseline_normal") == 1)
+        if model == "Model 7":
+            return mom.where(F.col("menopause_group").isin(list(self.spec.natural_groups)))
+        return mom
+
+    def _sample_moments(self, key: str):
         cache = self.__dict__.setdefault("_moments", {})
         if key not in cache:
             w = "sw_truncated" if key == "Model 4" else None
@@ -333,14 +349,21 @@ class Study:
     def fit(self, model: str):
         cache = self.__dict__.setdefault("_fits", {})
         if model not in cache:
-            rows = self.model_rows(model)
-            design = M.prepare_design(rows, DS.MODEL_TERMS[model], DS.MODEL_LEVELS.get(model))
+            design = M.prepare_design(self.moments(model), DS.MODEL_TERMS[model], DS.MODEL_LEVELS.get(model))
             warm = {"Model 1": "Model 0"}.get(model, "Model 2" if model not in ("Model 0", "Model 2") else None)
             start = self.fit(warm).theta if warm else None
             cache[model] = M.fit_lmm(self.moments(model), design, DS.MODEL_NAMES[model],
                                      weights="sw_truncated" if model == "Model 4" else None, start=start)
+            self._release(model, cache)
         return cache[model]
 
+    def _release(self, model: str, fits: dict):
+        """Drop a moment frame from executor memory once all its models are
+        fitted; its checkpoint stays."""
+        key, users = next((k, u) for k, u in self.SAMPLES.items() if model in u)
+        if all(m in fits for m in users):
+            self._moments[key].unpersist()
+
     def fit_all(self, models, threads: int = 4):
         """Fit several models: warm-start anchors and every model's moments
         first (stage boundaries, serial), then the optimizers concurrently
@@ -487,10 +510,16 @@ class Study:
 
         return V.covariate_means(self.covariate_distribution, self.model2_design)
 
+    @cached_property
+    def fitted_design(self):
+        """Model 2's design as fitted, without rank-deficient columns."""
+        kept = set(self.fit("Model 2").terms)
+        return DS.Design([c for c in self.model2_design.columns if c.name in kept], list(self.fit("Model 2").dropped))
+
     def marginal_means_at(self, ages):
         from ..operators import predict as V
 
-        return V.marginal_means(self.spark, self.fit("Model 2"), self.model2_design, self.covariate_means, ages,
+        return V.marginal_means(self.spark, self.fit("Model 2"), self.fitted_design, self.covariate_means, ages,
                                 self.spec.group_levels, self.spec.group_labels)
 
     @cached_property
@@ -511,7 +540,7 @@ class Study:
         from ..operators import predict as V
         from ..spec import CONTRAST_GROUPS, TABLE8_AGES
 
-        return V.clinical_contrasts(self.spark, self.fit("Model 2"), self.model2_design, self.covariate_means, TABLE8_AGES,
+        return V.clinical_contrasts(self.spark, self.fit("Model 2"), self.fitted_design, self.covariate_means, TABLE8_AGES,
                                     CONTRAST_GROUPS, self.spec.group_levels[0], self.spec.group_labels)
 
     @cached_property

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,31 +16,38 @@ RUNTIME_CONF = {
 }
 
 
+_BUILD = threading.RLock()
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder named by the cluster.
+class NoSharedFolder(RuntimeError):
+    pass
+
 
-    A scratch folder is set only when the session has none and runs in
-    local mode (tests); on a cluster without one, returns None.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder named by the cluster
+    (``spark.checkpoint.dir``).
+
+    A scratch folder is set only where none is named and driver and executors
+    are one process (tests); a cluster without a shared folder is refused,
+    since a machine-local one would lose stages.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not conf_dir:
-        if not sc.master.startswith("local"):
-            return None
-        conf_dir = tempfile.mkdtemp(prefix="wavecohort-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        if not sc._jsc.sc().isLocal():
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="wavecohort-ckpt-")
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir() or named
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -61,24 +69,21 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts lineage and survives executor loss.
-
-    Without a shared checkpoint folder on a cluster (never a machine-local
-    one), fall back to a persisted frame, which is recomputed from lineage
-    if blocks are lost."""
+    """Reliable checkpoint: cuts lineage and survives executor loss."""
     spark = df.sparkSession
-    if checkpoint_dir(spark) is None:
-        return keep(df)
+    checkpoint_dir(spark)
     # A checkpoint taken under AQE records no output partitioning, so every
     # later per-person step would re-shuffle. Stage plans are exchange-free
     # past the source (they run on co-partitioned data), so build the
     # checkpoint with the static plan, which keeps the hash partitioning.
-    previous = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", previous)
+    # One thread at a time, so that no build restores another's setting.
+    with _BUILD:
+        previous = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            return df.checkpoint(eager=True)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", previous)
 
 
 def local_session(cores: int = 8, partitions: int = 8, app: str = "wavecohort") -> SparkSession:

@@ -122,9 +122,6 @@ class PanelSpec:
     natural_groups: tuple = NATURAL_GROUPS
     group_levels: tuple = GROUP_LEVELS
     group_labels: dict = field(default_factory=lambda: dict(GROUP_LABELS))
-    # largest number of distinct waves a panel may hold; the wave list is
-    # collected to the driver only below this bound
-    max_waves: int = 1000
 
     def required(self) -> list[str]:
         return [
