@@ -209,15 +209,16 @@ def smd_categorical(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 def anova_stats(m: DataFrame, group: str = "menopause_group") -> DataFrame:
     """One-way ANOVA F and degrees of freedom from group moments."""
-    g = m.groupBy("variable").agg(
+    whole = Window.partitionBy("variable")  # a row per group: a handful
+    grand = F.sum("sx").over(whole) / F.sum("n").over(whole)
+    g = m.withColumn("grand", grand).groupBy("variable").agg(
         F.count(F.lit(1)).alias("k"),
         F.sum("n").alias("n_total"),
-        F.sum("sx").alias("sx"),
-        F.sum("sxx").alias("sxx"),
-        F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("snm2"),
+        # between groups: deviations from the grand mean, which no digits cancel from
+        F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)).alias("ssb"),
         F.sum(F.coalesce((F.col("n") - 1) * F.col("var"), F.lit(0.0))).alias("ssw"),
     )
-    ssb = F.col("snm2") - F.col("sx") * F.col("sx") / F.col("n_total")
+    ssb = F.col("ssb")
     df1 = F.col("k") - 1
     df2 = F.col("n_total") - F.col("k")
     return g.select(

@@ -235,8 +235,9 @@ def wave_grid(persons: DataFrame, start: str, waves: Column, spec: PanelSpec = D
 
     ``persons`` keeps its id partitioning: the grid is an explode, not a join.
     """
-    return persons.select(
-        F.col(spec.id), F.explode(F.filter(waves, lambda x: x >= F.col(start))).alias(spec.wave)
+    # a subquery may not stand inside a lambda's function, so it gets a column
+    return persons.withColumn("_waves", waves).select(
+        F.col(spec.id), F.explode(F.filter("_waves", lambda x: x >= F.col(start))).alias(spec.wave)
     )
 
 

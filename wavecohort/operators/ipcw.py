@@ -86,14 +86,50 @@ def truncate_weights(df: DataFrame, lo: float, hi: float, col: str = "sw_cumulat
 
 def _features(terms: Sequence[str], levels: dict) -> list:
     """Treatment-contrast columns (name, expression) in term order."""
-    cols = []
-    for t in terms:
-        if t in levels:
-            for lv in levels[t][1:]:
-                cols.append((t + lv, (F.col(t) == lv).cast("double")))
-        else:
-            cols.append((t, F.col(t).cast("double")))
-    return cols
+    return [feature(t + lv if lv else t) for t in terms for lv in (levels[t][1:] if t in levels else [""])]
+
+
+def feature(name: str) -> tuple:
+    """(name, expression) of a column named variable + level, or variable."""
+    from .design import FACTORS
+
+    for v in FACTORS:
+        if name.startswith(v):
+            return name, (F.col(v) == name[len(v):]).cast("double")
+    return name, F.col(name).cast("double")
+
+
+class LogitCoefficients:
+    """The coefficients of a logistic model, as read back or given."""
+
+    def __init__(self, intercept: float, coefficients: Sequence[float], summary=None):
+        self.intercept, self.coefficients, self.summary = intercept, list(coefficients), summary
+
+
+def given_logit(intercept: float, coefficients: dict):
+    """A fitted model (as ``fit_logit`` returns it) with given coefficients
+    by column name."""
+    return LogitCoefficients(intercept, coefficients.values()), list(coefficients), [feature(n) for n in coefficients]
+
+
+def save_logit(spark, fitted, name: str, path: str) -> None:
+    """IO9: a logistic model as its coefficient table, in term order."""
+    table = logit_coefficients(spark, fitted, name)
+    order = F.array_position(F.lit(["(Intercept)", *fitted[1]]), F.col("term")).alias("position")
+    table.select("*", order).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_logit(spark, path: str):
+    """The model that ``save_logit`` wrote; it predicts and lists its
+    coefficients like the fitted one."""
+    rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["position"])
+    first, *rest = rows
+    names = [r["term"] for r in rest]
+    summary = type("Summary", (), {
+        "coefficientStandardErrors": [*[r["std.error"] for r in rest], first["std.error"]],
+        "tValues": [*[r["statistic"] for r in rest], first["statistic"]],
+    })
+    return LogitCoefficients(first["estimate"], [r["estimate"] for r in rest], summary), names, [feature(n) for n in names]
 
 
 class NotConverged(RuntimeError):

@@ -330,6 +330,17 @@ def fit_lmm(moments: DataFrame, design: Design, name: str = "model", weights: st
                             design.dropped, weights, converged)
 
 
+def at_theta(moments: DataFrame, design: Design, theta, name: str = "model", weights: str | None = None) -> FittedMixedModel:
+    """The model at given covariance parameters: estimates, residual variance
+    and deviance by one pass, without a search (``df`` is unknown)."""
+    [sums] = _evaluate(moments, design, [theta], 0.0)
+    beta, r2, dev, _ = sums.profile()
+    sigma2 = r2 / sums.n
+    persons = moments.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    return FittedMixedModel(name, design.names, beta, sigma2 * np.linalg.inv(sums.xtx), np.asarray(theta, float), sigma2, float(dev),
+                            int(sums.n), int(persons), np.full(design.p, np.inf), 1, design.dropped, weights)
+
+
 def _satterthwaite(sums, h, sigma, n, vcov):
     """lmerTest's Satterthwaite df for each coefficient (ML): the deviance
     as a function of (theta, sigma) with beta profiled out; derivatives in

@@ -117,15 +117,21 @@ def clinical_contrasts(spark: SparkSession, fit, design: Design, means: dict, ag
             L = average_design(design, means, g, a)
             est_g, _, lo_g, hi_g = linear_prediction(fit.beta, fit.vcov, L)
             d, se, lo, hi = linear_prediction(fit.beta, fit.vcov, L - Lr)
-            z = d / se if se > 0 else float("nan")
-            p = dist.norm_sf2(z) if se > 0 else float("nan")
-            rows.append((float(a), labels[reference], labels[g], ref_est, est_g, d, se, lo, hi, p, z))
-    return spark.createDataFrame(
+            p = dist.norm_sf2(d / se) if se > 0 else float("nan")
+            ci = lambda x, low, high: f"{_fmt(x)} [{_fmt(low)}, {_fmt(high)}]"
+            rows.append((float(a), labels[reference], labels[g], ref_est, est_g, d, se, lo, hi, p,
+                         _fmt(ref_est), ci(est_g, lo_g, hi_g), ci(d, lo, hi)))
+    from .describe import format_p
+
+    rows.sort(key=lambda r: (r[0], r[2]))
+    out = spark.createDataFrame(
         rows,
         "age double, reference_group string, comparison_group string, reference_predicted_score double, "
         "comparison_predicted_score double, absolute_difference double, std_error double, conf_low double, "
-        "conf_high double, p_value double, z_value double",
+        "conf_high double, p_value double, reference_predicted_score_ci string, comparison_predicted_score_ci string, "
+        "absolute_difference_ci string",
     )
+    return out.withColumn("p_value_formatted", format_p("p_value"))
 
 
 def trajectory_range(traj: DataFrame) -> DataFrame:

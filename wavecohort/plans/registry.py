@@ -168,3 +168,53 @@ register("clinical_contrasts_formatted", lambda s: _V.format_contrasts(s.clinica
 from ..operators import lmm as _M  # noqa: E402
 
 register("lmm_fixed_formatted", lambda s: _M.format_fixed_effects(s.fixed_effects()))
+
+# ---- model-based results at given coefficients (SQL-checked) -----------------------------
+from . import given_oracle as _GO  # noqa: E402,F401  (registers its CTEs)
+from .given import AtGivenCoefficients as _At  # noqa: E402
+
+_GIVEN: dict = {}
+
+
+def _given(study):
+    if study not in _GIVEN:
+        _GIVEN.clear()
+        _GIVEN[study] = _At(study)
+    return _GIVEN[study]
+
+
+def _register_given(name, build, doubles=()):
+    register(name, lambda s: build(_given(s)), name, doubles)
+
+
+_EST = ("estimate", "std_error", "conf_low", "conf_high", "p_value")
+_PRED = ("predicted_score", "std_error", "conf_low", "conf_high")
+_register_given("given_predictions", lambda g: g.ipcw_predictions,
+                ("p_observed_denominator", "p_observed_numerator", "stabilized_transition_weight"))
+_register_given("given_weights", lambda g: g.ipcw_weights.select("hhidpn", "wave", "at_risk_for_observation", "observed_cognition",
+                                                                 "transition_weight_for_observed_outcome", "sw_cumulative"),
+                ("transition_weight_for_observed_outcome", "sw_cumulative"))
+_register_given("given_truncated", lambda g: g.weighted_rows.select("hhidpn", "wave", "sw_cumulative", "sw_truncated"),
+                ("sw_cumulative", "sw_truncated"))
+_register_given("given_weight_summary", lambda g: g.weight_summary,
+                ("sw_untruncated_min", "sw_untruncated_mean", "sw_untruncated_max", "sw_truncated_min", "sw_truncated_mean",
+                 "sw_truncated_max", "observed_probability_mean_denominator", "observed_probability_mean_numerator",
+                 "sw_untruncated_p01", "sw_untruncated_median", "sw_untruncated_p99", "sw_truncated_median"))
+_register_given("given_marginal_means", lambda g: g.marginal_means.drop("L"), _PRED)
+_register_given("given_contrasts", lambda g: g.clinical_contrasts,
+                ("reference_predicted_score", "comparison_predicted_score", "absolute_difference", "std_error", "conf_low",
+                 "conf_high", "p_value"))
+_register_given("given_contrasts_formatted", lambda g: _V.format_contrasts(g.clinical_contrasts))
+_register_given("given_trajectories", lambda g: g.trajectories, _PRED)
+_register_given("given_trajectory_range", lambda g: g.trajectory_range, ("min_predicted", "max_predicted"))
+_register_given("growth_fixed", lambda g: g.growth_fixed, _EST + ("statistic",))
+_register_given("growth_varcomp", lambda g: g.growth_varcomp, ("variance_or_covariance", "sd_or_correlation"))
+_register_given("growth_fit", lambda g: g.growth_fit, ("aic", "bic", "log_likelihood", "deviance"))
+_register_given("growth_icc", lambda g: g.growth_icc, ("chronological_age", "age_c65", "between_person_variance", "residual_variance", "icc"))
+_register_given("growth_compare", lambda g: g.growth_compare,
+                ("aic", "bic", "log_likelihood", "deviance", "delta_aic_vs_best", "delta_bic_vs_best"))
+_register_given("given_slopes", lambda g: g.slopes, _EST + ("df", "statistic"))
+_register_given("given_three_way", lambda g: g.three_way, _EST + ("df", "statistic"))
+_register_given("given_sensitivity_long", lambda g: g.sensitivity_long, _EST)
+_register_given("given_sensitivity_wide", lambda g: g.sensitivity_wide)
+_register_given("given_fixed_formatted", lambda g: _M.format_fixed_effects(g.slopes))

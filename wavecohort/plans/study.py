@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import cohort as C
 from ..operators import describe as D
@@ -85,11 +86,11 @@ class Study:
 
     @cached_property
     def invariant_summary(self):
-        return I.invariant_summary(self.invariant_diag)
+        return I.invariant_summary(self.invariant_diag).orderBy(F.desc("persons_inconsistent"), "variable")
 
     @cached_property
     def invariant_cases(self):
-        return I.invariant_cases(self.invariant_diag)
+        return I.invariant_cases(self.invariant_diag).orderBy("variable", self.spec.id)
 
     @cached_property
     def invariant_modes(self):
@@ -231,7 +232,7 @@ class Study:
 
     @cached_property
     def retention_by_wave(self):
-        return R.retention_by_wave(self.retention_panel, self.spec)
+        return R.retention_by_wave(self.retention_panel, self.spec).orderBy("menopause_group_label", "followup_wave")
 
     @cached_property
     def attrition_share(self):
@@ -547,7 +548,8 @@ class Study:
     def trajectories(self):
         from ..spec import TRAJECTORY_AGES
 
-        return self.marginal_means_at(TRAJECTORY_AGES).drop("L", "predicted_score_ci")
+        means = self.marginal_means_at(TRAJECTORY_AGES).drop("L", "predicted_score_ci")
+        return means.orderBy("menopause_group", "chronological_age")
 
     @cached_property
     def trajectory_range(self):
@@ -558,13 +560,17 @@ class Study:
     # ---- sensitivity (M11) -------------------------------------------------------------
     @cached_property
     def sensitivity_long(self):
+        fe = self.fixed_effects(("Model 2", "Model 4", "Model 6", "Model 7"), phase5=True)
+        return self.sensitivity_table(fe)
+
+    def sensitivity_table(self, fixed_effects):
+        """M11 in long form, from any table of fixed effects."""
         from pyspark.sql import functions as F
 
         from ..functions.exprs import recode
         from ..operators.describe import format_p
 
-        fe = self.fixed_effects(("Model 2", "Model 4", "Model 6", "Model 7"), phase5=True)
-        d = M.slope_differences(fe, exclude_other=True)
+        d = M.slope_differences(fixed_effects, exclude_other=True)
         return d.select(
             "model",
             recode("contrast", self.spec.group_labels).alias("contrast"),
@@ -572,15 +578,20 @@ class Study:
             F.format_string("%.4f [%.4f, %.4f]", "estimate", "conf_low", "conf_high").alias("estimate_ci"),
             format_p("p_value").alias("p_value_formatted"),
             "term",
-        )
+        ).orderBy("contrast", "model")
 
     @cached_property
     def sensitivity_wide(self):
+        names = [DS.PHASE5_NAMES.get(m, DS.MODEL_NAMES[m]) for m in ("Model 2", "Model 4", "Model 6", "Model 7")]
+        return self.sensitivity_pivot(self.sensitivity_long, names)
+
+    @staticmethod
+    def sensitivity_pivot(long, names):
+        """M11 in wide form: one column per model."""
         from pyspark.sql import functions as F
 
-        names = [DS.PHASE5_NAMES.get(m, DS.MODEL_NAMES[m]) for m in ("Model 2", "Model 4", "Model 6", "Model 7")]
-        d = self.sensitivity_long.withColumn("result", F.concat("estimate_ci", F.lit("; p="), "p_value_formatted"))
-        return d.groupBy("contrast").pivot("model", names).agg(F.first("result"))
+        d = long.withColumn("result", F.concat("estimate_ci", F.lit("; p="), "p_value_formatted"))
+        return d.groupBy("contrast").pivot("model", names).agg(F.first("result")).orderBy("contrast")
 
     @cached_property
     def loess_curve(self):
