@@ -229,10 +229,11 @@ def anova_stats(m: DataFrame, group: str = "menopause_group") -> DataFrame:
     ).where(F.col("df1") >= 1)
 
 
-def chisq_stats(counts: DataFrame, groups: Sequence[str], emulate_empty_levels: bool = False) -> DataFrame:
-    """Pearson chi-square on the level x group table. Empty rows and
-    columns are dropped (R keeps them and returns NaN: set
-    ``emulate_empty_levels`` for NULL); Yates' correction on 2x2 only."""
+def chisq_stats(counts: DataFrame, groups: Sequence[str], emulate_empty_levels: bool = True) -> DataFrame:
+    """Pearson chi-square on the level x group table; Yates' correction
+    on 2x2 only. As in the reference, a table with an empty level or group
+    has no statistic (NULL); without ``emulate_empty_levels`` empty rows and
+    columns are dropped first."""
     per_var = Window.partitionBy("variable")
     d = counts.withColumn("_row", sum((F.col(f"`{g}`") for g in groups), F.lit(0)))
     for i, g in enumerate(groups):
@@ -251,8 +252,8 @@ def chisq_stats(counts: DataFrame, groups: Sequence[str], emulate_empty_levels:
     d = d.withColumn("_cell", sum(terms[1:], terms[0]))
     out = d.groupBy("variable").agg(
         F.sum("_cell").alias("chi_square"),
-        ((F.first("_R") - 1) * (F.first("_C") - 1)).cast("long").alias("df"),
-        F.first("_E").alias("_empty"),
+        ((F.max("_R") - 1) * (F.max("_C") - 1)).cast("long").alias("df"),
+        (F.max("_E") + len(groups) - F.max("_C")).alias("_empty"),
     )
     if emulate_empty_levels:
         out = out.withColumn("chi_square", F.when(F.col("_empty") == 0, F.col("chi_square")))
@@ -317,7 +318,7 @@ def continuous_table(base: DataFrame, covariates, groups: Sequence[str], labels:
 
 
 def categorical_table(base: DataFrame, covariates, declared: dict, groups: Sequence[str], labels: dict,
-                      group: str = "menopause_group", emulate_empty_levels: bool = False,
+                      group: str = "menopause_group", emulate_empty_levels: bool = True,
                       counts: DataFrame | None = None) -> DataFrame:
     """N (%) per level overall and per group; chi-square p and the
     covariate's max SMD on the first level only; empty levels 0 (0.0%)."""

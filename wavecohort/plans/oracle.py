@@ -467,7 +467,7 @@ select variable, level, level_pairwise_smd, max(level_pairwise_smd) over (partit
              from (select *, cnt / n as p from cat_c) a join (select *, cnt / n as p from cat_c) b
                on a.variable = b.variable and a.level = b.level and a.g < b.g group by a.variable, a.level) s
   on l.variable = s.variable and l.level = s.level)""")
-cte("chisq_stats", ("cat_c",), """
+cte("chisq_nonempty", ("cat_c",), """
 select variable, sum(case when r > 0 and c > 0 then pow(abs(cnt - e) - case when yates then least(0.5, abs(cnt - e)) else 0 end, 2) / e else 0 end) as chi_square,
   cast((max(rr) - 1) * (max(cc) - 1) as bigint) as df
 from (select *, r * c / nn as e, rr = 2 and cc = 2 as yates from (
@@ -477,6 +477,12 @@ from (select *, r * c / nn as e, rr = 2 and cc = 2 as yates from (
           select variable, level, sum(cnt) as r2 from cat_c group by variable, level) group by variable) y on x.variable = y.v2
   join (select variable as v3, count(distinct g) as cc from cat_c where n > 0 group by variable) z on x.variable = z.v3)
 group by variable having (max(rr) - 1) * (max(cc) - 1) >= 1""")
+cte("chisq_stats", ("chisq_nonempty", "cat_c"), f"""
+select c.variable, case when e.empty then null else c.chi_square end as chi_square, c.df from chisq_nonempty c
+join (select x.variable, bool_or(x.r = 0) or max(y.k) < {len(GROUP_LEVELS)} as empty
+      from (select variable, level, sum(cnt) as r from cat_c group by variable, level) x
+      join (select variable, count(distinct g) as k from cat_c where n > 0 group by variable) y on x.variable = y.variable
+      group by x.variable) e on c.variable = e.variable""")
 
 
 # ---- model inputs ---------------------------------------------------------------
@@ -490,46 +496,44 @@ select hhidpn, cast(count(*) as bigint) as n, """ + ", ".join(
 from model2 group by hhidpn""")
 
 
-def _design_sql(design_names):
-    from ..operators.design import MODEL_TERMS, expand
+# Model 2's columns in R's term order, written out: (name, group level, race
+# level, numeric covariate, power of age - 65)
+_DESIGN2 = (
+    [("(Intercept)", None, None, None, 0)]
+    + [("menopause_group" + g, g, None, None, 0) for g in GROUP_LEVELS[1:]]
+    + [("age_c65", None, None, None, 1)]
+    + [("race_ethnicity" + r, None, r, None, 0) for r in RACE_LEVELS[1:]]
+    + [(v, None, None, v, 0) for v in ("birth_year_c10", "education_c12")]
+    + [("menopause_group" + g + ":age_c65", g, None, None, 1) for g in GROUP_LEVELS[1:]]
+)
+
 
-    d = expand(MODEL_TERMS["Model 2"])
-    parts = []
-    for j, c in enumerate(d.columns):
-        e = f"pow(age_c65, {c.power})" if c.power else "1.0"
-        for v, lv in c.factors:
-            e += f" * cast({v} as double)" if lv is None else f" * (case when {v} = {_q(lv)} then 1.0 else 0.0 end)"
-        parts.append(f"select hhidpn, wave, {j} as term_index, {_q(c.name)} as term, cast({e} as double) + 0.0 as value from model2")
-    return "\nunion all\n".join(parts), d
+def _is(column: str, level: str | None) -> str:
+    return f" * (case when {column} = {_q(level)} then 1.0 else 0.0 end)" if level else ""
 
 
-_dsql, _design2 = _design_sql(None)
-cte("design_matrix", ("model2",), _dsql)
+cte("design_matrix", ("model2",), "\nunion all\n".join(
+    f"select hhidpn, wave, {j} as term_index, {_q(name)} as term, cast(pow(age_c65, {power}){_is('menopause_group', g)}"
+    f"{_is('race_ethnicity', r)}{f' * cast({v} as double)' if v else ''} as double) + 0.0 as value from model2"
+    for j, (name, g, r, v, power) in enumerate(_DESIGN2)))
 
 cte("covdist", ("model2",), """
 select hhidpn, race_ethnicity, birth_year_c10, education_c12 from (
   select *, row_number() over (partition by hhidpn order by wave) as rn from model2) where rn = 1""")
 
-_mean_keys = []
-for _c in _design2.columns:
-    for _v, _lv in _c.factors:
-        if _v != "menopause_group" and (_v, _lv) not in _mean_keys:
-            _mean_keys.append((_v, _lv))
-cte("cov_means", ("covdist",), "select " + ", ".join(
-    (f"avg(cast({v} as double)) as m{i}" if lv is None else f"avg(case when {v} = {_q(lv)} then cast(1 as double) else cast(0 as double) end) as m{i}")
-    for i, (v, lv) in enumerate(_mean_keys)) + " from covdist")
-_avg_parts = []
-for _j, _c in enumerate(_design2.columns):
-    e = f"pow(g.age - 65, {_c.power})" if _c.power else "cast(1 as double)"
-    for _v, _lv in _c.factors:
-        if _v == "menopause_group":
-            e += f" * (case when g.grp = {_q(_lv)} then 1.0 else 0.0 end)"
-        else:
-            e += f" * m.m{_mean_keys.index((_v, _lv))}"
-    _avg_parts.append(f"select g.age as chronological_age, g.grp as menopause_group, {_j} as term_index, {_q(_c.name)} as term, "
-                      f"cast({e} as double) as value from grid g, cov_means m")
-cte("average_design", ("cov_means",), "select * from (with grid as (select * from (values " + ", ".join(
-    f"(cast({a} as double), {_q(g)})" for a in (65, 75, 85) for g in GROUP_LEVELS) + ") t(age, grp))\n" + "\nunion all\n".join(_avg_parts) + ")")
+
+
+def _mean(race: str | None, numeric: str | None) -> str:
+    if race:
+        return f" * (select avg(case when race_ethnicity = {_q(race)} then cast(1 as double) else 0 end) from covdist)"
+    return f" * (select avg(cast({numeric} as double)) from covdist)" if numeric else ""
+
+
+cte("average_design", ("covdist",), "select * from (with grid as (select * from (values " + ", ".join(
+    f"(cast({a} as double), {_q(g)})" for a in (65, 75, 85) for g in GROUP_LEVELS) + ") t(age, grp))\n" + "\nunion all\n".join(
+    f"select age as chronological_age, grp as menopause_group, {j} as term_index, {_q(name)} as term, "
+    f"cast(pow(age - 65, {power}){_is('grp', g)}{_mean(r, v)} as double) as value from grid"
+    for j, (name, g, r, v, power) in enumerate(_DESIGN2)) + ")")
 
 
 # ---- LOESS fit (B11) --------------------------------------------------------------
@@ -589,7 +593,29 @@ from (select 'Model 0 and Model 1' as model, cast(count(*) as bigint) as n_perso
      (select cast(count(*) as bigint) as rr, cast(count(distinct hhidpn) as bigint) as rp from analysis) r""")
 
 
-# ---- Table 1 (formatted; the p-value column needs tails, checked in pytest) ---------
+# ---- Table 1 (formatted) ---------------------------------------------------------------
+def _f_tail(f, d1, d2):
+    """Upper F tail: 1 minus the series of the incomplete beta function."""
+    a, b, y = f"({d1} / 2.0)", f"({d2} / 2.0)", f"({d1} * {f} / ({d2} + {d1} * {f}))"
+    term = (f"exp(lgamma({a} + {b} + k) - lgamma({b}) - lgamma({a} + k + 1) + ({a} + k) * ln({y}) + {b} * ln(1 - {y}))")
+    return f"case when {f} is null then null when {f} <= 0 then 1 else 1 - list_sum(list_transform(range(0, 3000), lambda k: {term})) end"
+
+
+def _chi2_tail(x, df):
+    """Upper chi-square tail: 1 minus the series of the incomplete gamma function."""
+    term = f"exp(({df} / 2.0 + k) * ln({x} / 2) - {x} / 2 - lgamma({df} / 2.0 + k + 1))"
+    return (f"case when {x} is null then null when {x} <= 0 then 1 when {x} > 600 then 0 "
+            f"else 1 - list_sum(list_transform(range(0, 2000), lambda k: {term})) end")
+
+
+def _ptext(p):
+    return f"case when {p} is null or isnan({p}) then '' when {p} < 0.001 then '<0.001' else {_fx(p, 3)} end"
+
+
+cte("anova_p", ("anova_stats",), f"select variable, {_f_tail('f_statistic', 'df1', 'df2')} as p from anova_stats")
+cte("chisq_p", ("chisq_stats",), f"select variable, {_chi2_tail('chi_square', 'df')} as p from chisq_stats")
+
+
 def _fx(e, d):
     return f"cast(cast(round(cast({e} as decimal(38,10)), {d}) as decimal(38,{d})) as varchar)"
 
@@ -616,24 +642,24 @@ cte("t1_long", ("baseline_analysis",), "\nunion all\n".join(
 cte("table1_n", ("baseline_analysis",), "select cast(null as varchar) as variable, 0 as row_order, 'N' as \"Characteristic\", '' as \"Level\", "
     + _th("count(*)") + " as \"Overall\", " + ", ".join(
         _th(f"count_if(menopause_group = {_q(g)})") + f' as "{lab}"' for g, lab in _GL)
-    + ", '' as \"Missing\", '' as \"Max pairwise SMD\" from baseline_analysis")
-cte("table1_continuous", ("t1_long", "smd_continuous"), "select v.variable, v.i + 1 as row_order, v.label as \"Characteristic\", "
+    + ", '' as \"Missing\", '' as \"P value\", '' as \"Max pairwise SMD\" from baseline_analysis")
+cte("table1_continuous", ("t1_long", "smd_continuous", "anova_p"), "select v.variable, v.i + 1 as row_order, v.label as \"Characteristic\", "
     "'Mean (SD)' as \"Level\", " + _msd("o.mean", "o.sd", "o.n") + " as \"Overall\", " + ", ".join(
         f'coalesce(w."{lab}", \'\') as "{lab}"' for _, lab in _GL)
-    + ", " + _th("o.nmiss") + " as \"Missing\", " + _fsmd("s.max_pairwise_smd") + """ as "Max pairwise SMD"
+    + ", " + _th("o.nmiss") + " as \"Missing\", " + _ptext("a.p") + " as \"P value\", " + _fsmd("s.max_pairwise_smd") + """ as "Max pairwise SMD"
 from (values """ + ", ".join(f"({_q(v)}, {_q(l)}, {i})" for i, (v, l) in enumerate(_LABELS[:4])) + """) v(variable, label, i)
 left join (select variable, count(x) as n, avg(x) as mean, stddev_samp(x) as sd, count_if(x is null) as nmiss from t1_long group by variable) o
   on v.variable = o.variable
 left join (select variable, """ + ", ".join(f'max(case when g = {_q(g)} then str end) as "{lab}"' for g, lab in _GL) + """
            from (select variable, g, """ + _msd("avg(x)", "stddev_samp(x)", "count(x)") + """ as str from t1_long where g is not null group by variable, g)
            group by variable) w on v.variable = w.variable
-left join smd_continuous s on v.variable = s.variable""")
+left join smd_continuous s on v.variable = s.variable left join anova_p a on v.variable = a.variable""")
 _pos_case = "case " + " ".join(f"when variable = {_q(v)} and level = {_q(l)} then {i}" for v, lv in _DECL.items() for i, l in enumerate(lv)) \
     + " when level = 'Missing' then 1000000 end"
-cte("table1_categorical", ("cat_c", "smd_categorical"), """
+cte("table1_categorical", ("cat_c", "smd_categorical", "chisq_p"), """
 select c.variable, v.i * 100 + c.lv + 100 as row_order, v.label as "Characteristic", c.level as "Level",
   """ + _npct("c.r", "c.total") + """ as "Overall", """ + ", ".join(
-    f'coalesce(c."{lab}", \'\') as "{lab}"' for _, lab in _GL) + """, '' as "Missing",
+    f'coalesce(c."{lab}", \'\') as "{lab}"' for _, lab in _GL) + """, '' as "Missing", case when c.lv = 1 then """ + _ptext("x.p") + """ else '' end as "P value",
   case when c.lv = 1 then """ + _fsmd("s.max_pairwise_smd") + """ else '' end as "Max pairwise SMD"
 from (select *, cast(row_number() over (partition by variable order by pos asc nulls first, level) as integer) as lv,
         sum(r) over (partition by variable) as total from (
@@ -641,7 +667,9 @@ from (select *, cast(row_number() over (partition by variable order by pos asc n
     f'max(case when g = {_q(g)} then {_npct("cnt", "n")} end) as "{lab}"' for g, lab in _GL) + """
         from cat_c group by variable, level)) c
 join (values """ + ", ".join(f"({_q(v)}, {_q(l)}, {i})" for i, (v, l) in enumerate(_LABELS[4:])) + """) v(variable, label, i) on c.variable = v.variable
-left join smd_categorical s on c.variable = s.variable and c.level = s.level""")
+left join smd_categorical s on c.variable = s.variable and c.level = s.level left join chisq_p x on c.variable = x.variable""")
+cte("table1", ("table1_n", "table1_continuous", "table1_categorical"), """
+select * from table1_n union all by name select * from table1_continuous union all by name select * from table1_categorical""")
 
 
 # ---- per-phase validation tables ------------------------------------------------------

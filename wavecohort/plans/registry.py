@@ -87,6 +87,8 @@ register("cohort_summary", lambda s: s.cohort_summary, "cohort_summary",
          ("mean_valid_cognitive_assessments_per_person", "median_valid_cognitive_assessments_per_person"))
 
 # ---- analysis variables, retention, IPCW panel ------------------------------------
+from ..functions.dist import chisq_pvalue as _chisq_pvalue  # noqa: E402
+from ..functions.dist import f_pvalue as _f_pvalue  # noqa: E402
 from ..operators import describe as _D  # noqa: E402
 
 _AV = ("hhidpn", "wave") + _D.ANALYSIS_COLUMNS
@@ -115,7 +117,13 @@ register("smd_continuous", lambda s: s.smd_continuous, "smd_continuous", ("max_p
 register("smd_categorical", lambda s: s.smd_categorical, "smd_categorical", ("level_pairwise_smd", "max_pairwise_smd"))
 register("anova_stats", lambda s: s.anova_stats, "anova_stats", ("f_statistic",))
 register("chisq_stats", lambda s: s.chisq_stats, "chisq_stats", ("chi_square",))
-register("table1", lambda s: s.table1)
+register("chisq_nonempty", lambda s: _D.chisq_stats(s.categorical_counts, s.spec.group_levels, emulate_empty_levels=False),
+         "chisq_nonempty", ("chi_square",))
+register("anova_p", lambda s: s.anova_stats.select("variable", _f_pvalue("f_statistic", F.col("df1").cast("double"), F.col("df2").cast("double")).alias("p")),
+         "anova_p", ("p",))
+register("chisq_p", lambda s: s.chisq_stats.select(
+    "variable", F.when(F.col("chi_square").isNotNull(), _chisq_pvalue("chi_square", F.col("df").cast("double"))).alias("p")), "chisq_p", ("p",))
+register("table1", lambda s: s.table1, "table1")
 register("smd_diagnostics", lambda s: s.smd_diagnostics, "smd_diagnostics", ("level_pairwise_smd", "max_pairwise_smd"))
 register("model_samples", lambda s: s.model_samples, "model_samples")
 
@@ -151,9 +159,9 @@ register("input_validation", lambda s: s.input_validation, "input_validation")
 register("absorbing_state", lambda s: s.surgical_absorbing, "surgical_absorbing")
 register("invariant_cases", lambda s: s.invariant_cases, "invariant_cases")
 register("smd_top", lambda s: s.smd_top, "smd_top", ("level_pairwise_smd", "max_pairwise_smd"))
-register("table1_n", lambda s: s.table1_n.drop("P value"), "table1_n")
-register("table1_continuous", lambda s: s.table1_continuous.drop("P value"), "table1_continuous")
-register("table1_categorical", lambda s: s.table1_categorical.drop("P value"), "table1_categorical")
+register("table1_n", lambda s: s.table1_n, "table1_n")
+register("table1_continuous", lambda s: s.table1_continuous, "table1_continuous")
+register("table1_categorical", lambda s: s.table1_categorical, "table1_categorical")
 _P56 = ("Model 3", "Model 4", "Model 5", "Model 6", "Model 7")
 register("lmm_varcomp_sensitivity", lambda s: s.variance_components(_P56, phase5=True))
 register("lmm_fit_sensitivity", lambda s: s.fit_stats(("Model 2",) + _P56, phase5=True))
