@@ -53,8 +53,55 @@ def test_stage_roundtrip_and_guard(spark, panel_of):
     d = tempfile.mkdtemp(prefix="wavecohort-stage-")
     P.save_stage(p, os.path.join(d, "s"))
     assert P.load_stage(spark, os.path.join(d, "s")).count() == 2
-    with pytest.raises(P.MissingStage):
-        P.require_stage(os.path.join(d, "absent"))
+    for absent in (os.path.join(d, "absent"), "file://" + os.path.join(d, "absent")):
+        with pytest.raises(P.MissingStage):
+            P.require_stage(spark, absent)
+        with pytest.raises(P.MissingStage):
+            P.load_stage(spark, absent)
+    assert P.require_stage(spark, "file://" + os.path.join(d, "s", "rows")).count() == 2
+
+
+def test_reloaded_stage_plans_no_exchange(spark, panel_of):
+    """One id holds a third of all rows."""
+    p = panel_of([dict(hhidpn=1 if i % 3 == 0 else 100 + i, wave=i) for i in range(60)])
+    d = tempfile.mkdtemp(prefix="wavecohort-stage-")
+    P.save_stage(p, os.path.join(d, "s"), buckets=5)
+    back = P.load_stage(spark, os.path.join(d, "s"))
+    per_person = back.groupBy("hhidpn").count()
+    assert "Exchange" not in per_person._jdf.queryExecution().executedPlan().toString()
+    assert {r["hhidpn"]: r["count"] for r in per_person.collect()}[1] == 20
+
+
+def test_csv_types_do_not_follow_the_data(spark):
+    path = _csv(",".join(f.name for f in P.PANEL_SCHEMA.fields) + "\n" + ",".join(["7", "1.0"] + ["2"] * 17) + "\n")
+    df = P.read_panel(spark, path)
+    assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in P.PANEL_SCHEMA.fields]
+    assert df.first()["wave"] == 1 and df.first()["cogtot27_imp"] == 2.0
+
+
+def test_repeated_keys_are_refused_on_load(spark):
+    head = ",".join(f.name for f in P.PANEL_SCHEMA.fields)
+    path = _csv(head + "\n" + "\n".join(",".join(["7", "1"] + ["2"] * 17) for _ in range(2)) + "\n")
+    with pytest.raises(ValueError, match="duplicate"):
+        P.read_panel(spark, path)
+    assert P.read_panel(spark, path, dedupe="first").count() == 1
+    assert P.read_panel(spark, path, dedupe="keep").count() == 2
+
+
+def test_parse_diagnostics_number_rows_per_file_across_splits(spark):
+    d = tempfile.mkdtemp(prefix="wavecohort-diag-")
+    for name in ("a", "b", "c"):
+        with open(os.path.join(d, name + ".csv"), "w") as f:
+            f.write("hhidpn,wave,agey_e\n" + "".join(f"{i},{'x' if i in (2, 400) else 1},60\n" for i in range(1, 401)))
+            f.write("9,1\n9,1,60,7\n")
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        got = sorted((r["file"], r["row"], r["col"] or "", r["actual"]) for r in P.parse_diagnostics(spark, d).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+    want = [(2, "wave", "x"), (400, "wave", "x"), (401, "", "2 columns"), (402, "", "4 columns")]
+    assert got == [(f"{n}.csv", *w) for n in "abc" for w in want]
 
 
 def test_write_table_parquet_and_csv(spark, panel_of):

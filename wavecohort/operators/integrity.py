@@ -230,18 +230,19 @@ def all_waves(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> Column:
     return panel.agg(F.array_sort(F.collect_set(spec.wave)).alias("waves")).scalar()
 
 
-def wave_grid(persons: DataFrame, start: str, waves: Column, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def wave_grid(persons: DataFrame, start: str, waves: Column | Sequence[int], spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """(id, wave) for every extract wave at or after the person's start.
 
     ``persons`` keeps its id partitioning: the grid is an explode, not a join.
     """
     # a subquery may not stand inside a lambda's function, so it gets a column
+    waves = waves if isinstance(waves, Column) else F.lit([int(w) for w in waves])
     return persons.withColumn("_waves", waves).select(
         F.col(spec.id), F.explode(F.filter("_waves", lambda x: x >= F.col(start))).alias(spec.wave)
     )
 
 
-def missing_panel(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, waves: Column | None = None) -> DataFrame:
+def missing_panel(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, waves: Column | Sequence[int] | None = None) -> DataFrame:
     """Grid from each person's first wave to every later extract wave,
     with state valid / row but no score / no row."""
     waves = waves if waves is not None else all_waves(panel, spec)

@@ -20,7 +20,7 @@ DENOMINATOR_TERMS = ("menopause_group", "race_ethnicity", "birth_year_c10", "edu
 NUMERATOR_TERMS = ("menopause_group", "race_ethnicity", "birth_year_c10", "education_c12")
 
 
-def ipcw_panel(model_rows: DataFrame, analysis_all: DataFrame, waves: Column, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def ipcw_panel(model_rows: DataFrame, analysis_all: DataFrame, waves: Column | Sequence[int], spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """Grid from Time Zero, baseline covariates, what was observed,
     lags over the grid; at risk = after baseline and observed at the
     previous grid wave (a return after a miss is not at risk)."""

@@ -34,7 +34,7 @@ def observed_by_wave(allwaves: DataFrame, persons: DataFrame, spec: PanelSpec =
     return rows.groupBy(spec.id, spec.wave).agg(*aggs)
 
 
-def retention_panel(model_rows: DataFrame, allwaves: DataFrame, waves: Column, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def retention_panel(model_rows: DataFrame, allwaves: DataFrame, waves: Column | Sequence[int], spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """V8: grid from Time Zero to every later extract wave, observed flag,
     follow-up wave."""
     base = first_baseline(model_rows, ["baseline_wave", "menopause_group", "menopause_group_label"], spec)

@@ -10,9 +10,10 @@ skewed by a single person.
 
 from __future__ import annotations
 
-import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,24 +91,44 @@ def read_panel(
     """Load a panel from CSV (R-style ``NA`` nulls) or Parquet, resolve the
     column names, check the contract and partition by person.
 
-    ``dedupe="first"`` collapses duplicate (id, wave) rows before the
-    partitioning (skew-safe aggregate); by default rows are kept as read
-    and ``check_keys`` / ``assert_keys`` report duplicates."""
+    CSV text is read once and cast to the panel's types, whatever the data
+    look like; a cell that doesn't parse becomes NULL and is listed by
+    ``parse_diagnostics``. (id, wave) must be unique: by default a panel with
+    repeated keys or null ids is refused (a skew-safe aggregate), with
+    ``dedupe="first"`` repeated rows are collapsed before the partitioning,
+    and ``dedupe="keep"`` keeps them as read."""
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     if fmt == "csv":
         reader = spark.read.option("header", True).option("nullValue", "NA")
-        if schema is not None:
-            df = reader.schema(schema).csv(path)
-        else:
-            df = reader.option("inferSchema", True).csv(path)
+        df = reader.csv(path) if schema is None else reader.schema(schema).csv(path)
     else:
         df = spark.read.parquet(path)
     df = require_columns(resolve_columns(df, spec), spec)
+    if fmt == "csv" and schema is None:
+        df = canonical_types(df)
     if dedupe == "first":
         df = dedupe_first(df, spec)
+    elif dedupe is None:
+        assert_keys(df, spec)
     return partition_by_person(df, spec)
 
 
+def canonical_types(df: DataFrame, schema: T.StructType = PANEL_SCHEMA) -> DataFrame:
+    """Text columns of the panel cast to their types; integers may be written
+    with a decimal point. Other columns stay text."""
+    types = {f.name: f.dataType for f in schema.fields}
+    out = {}
+    for name in df.columns:
+        kind = types.get(name)
+        if kind is None or isinstance(kind, T.StringType):
+            continue
+        c = F.col(name)
+        out[name] = c.try_cast(kind) if isinstance(kind, T.DoubleType) else F.coalesce(
+            c.try_cast(kind), F.when(c.try_cast("double") == F.floor(c.try_cast("double")), c.try_cast("double").try_cast(kind))
+        )
+    return df.withColumns(out)
+
+
 def check_keys(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """One row: null ids and duplicate (id, wave) keys (must both be 0)."""
     per_key = panel.groupBy(spec.id, spec.wave).agg(F.count(F.lit(1)).alias("_n"))
@@ -141,27 +162,44 @@ def dedupe_first(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, order: str |
 
 
 def parse_diagnostics(spark: SparkSession, path: str, schema: T.StructType = PANEL_SCHEMA) -> DataFrame:
-    """Cells that do not parse as their column type: (row, col, expected, actual).
+    """What does not parse: (file, row, col, expected, actual).
 
     Reads everything as text and ``try_cast``s each column, so a bad cell
-    costs one row here instead of failing or silently nulling the load.
+    costs one row here instead of failing or silently nulling the load. A
+    line with too few or too many columns is one row with a null ``col``.
+    ``row`` counts the data rows of the file from 1; files are read in splits,
+    so a row's number is its place in its split after the rows of the file's
+    earlier splits, which one small aggregate over the splits gives.
     """
-    raw = spark.read.option("header", True).option("nullValue", "NA").csv(path)
-    raw = raw.withColumn("_row", F.monotonically_increasing_id())
-    probes = []
+    reader = spark.read.option("header", True).option("nullValue", "NA")
+    names = reader.csv(path).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_line"]])
+    raw = reader.schema(text).option("columnNameOfCorruptRecord", "_line").csv(path)
+    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_from")]
+    raw = raw.select("*", *split).withColumn("_id", F.monotonically_increasing_id())
+    splits = raw.groupBy("_file", "_from").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    earlier = Window.partitionBy("_file").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    width = F.size(F.split("_line", ",", -1))
+    probes = [
+        F.when(
+            F.col("_line").isNotNull() & (width != len(names)),
+            F.struct(F.lit(None).cast("string").alias("col"), F.lit(f"{len(names)} columns").alias("expected"),
+                     F.concat(width.cast("string"), F.lit(" columns")).alias("actual")),
+        )
+    ]
     for field in schema.fields:
         if field.name not in raw.columns or isinstance(field.dataType, T.StringType):
             continue
         c = F.col(field.name)
-        bad = c.isNotNull() & F.try_cast(c, field.dataType).isNull() if hasattr(F, "try_cast") else c.isNotNull() & c.try_cast(field.dataType).isNull()
+        bad = c.isNotNull() & c.try_cast(field.dataType).isNull()
         probes.append(
             F.when(bad, F.struct(F.lit(field.name).alias("col"), F.lit(field.dataType.simpleString()).alias("expected"), c.alias("actual")))
         )
-    if not probes:
-        return spark.createDataFrame([], "row long, col string, expected string, actual string")
-    return (
-        raw.select("_row", F.explode(F.filter(F.array(*probes), lambda s: s.isNotNull())).alias("p"))
-        .select(F.col("_row").alias("row"), "p.col", "p.expected", "p.actual")
+    bad = raw.select("_file", "_from", "_id", F.explode(F.filter(F.array(*probes), lambda s: s.isNotNull())).alias("p"))
+    row = F.col("_before") + F.col("_id") - F.col("_first") + 1
+    return bad.join(splits, ["_file", "_from"]).select(
+        F.regexp_extract("_file", "[^/]*$", 0).alias("file"), row.alias("row"), "p.col", "p.expected", "p.actual"
     )
 
 
@@ -203,22 +241,41 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.parquet(path)
 
 
-def save_stage(df: DataFrame, path: str, spec: PanelSpec = DEFAULT_SPEC) -> None:
-    """IO7: phase hand-off; rows are written grouped by person so a reload
-    that repartitions by id shuffles little."""
-    df.sortWithinPartitions(spec.id).write.mode("overwrite").parquet(path)
+def save_stage(df: DataFrame, path: str, spec: PanelSpec = DEFAULT_SPEC, buckets: int | None = None) -> None:
+    """IO7: phase hand-off, bucketed by person: a later session that loads it
+    plans per-person steps without a shuffle. The bucket count (default
+    ``spark.sql.shuffle.partitions``) lies beside the rows."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"stage_{uuid.uuid4().hex}"
+    rows = f"{path.rstrip('/')}/rows"
+    df.repartition(n, spec.id).write.mode("overwrite").format("parquet").bucketBy(n, spec.id).sortBy(spec.id).option("path", rows).saveAsTable(name)
+    spark.sql(f"drop table {name}")  # the catalog entry; an external table's rows stay
+    spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/layout")
 
 
 class MissingStage(FileNotFoundError):
     pass
 
 
-def require_stage(path: str) -> str:
-    """IO8: one clear message when an earlier phase's output is absent."""
-    if not (os.path.exists(path) or "://" in path):
-        raise MissingStage(f"Required input file is missing: {path}")
-    return path
+def require_stage(spark: SparkSession, path: str) -> DataFrame:
+    """IO8: an earlier phase's table, or one clear message where it is absent;
+    whatever file system the path names, Spark looks."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise MissingStage(f"Required input file is missing: {path}") from None
+        raise
 
 
 def load_stage(spark: SparkSession, path: str, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
-    return partition_by_person(spark.read.parquet(require_stage(path)), spec)
+    """The rows that ``save_stage`` wrote, still partitioned by person."""
+    path = path.rstrip("/")
+    buckets = require_stage(spark, f"{path}/layout").first()["buckets"]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in require_stage(spark, f"{path}/rows").schema.fields)
+    name = f"stage_{uuid.uuid4().hex}"
+    where = path.replace("'", "\\'")
+    spark.sql(f"create table {name} ({columns}) using parquet clustered by (`{spec.id}`) sorted by (`{spec.id}`) "
+              f"into {buckets} buckets location '{where}/rows'")
+    return spark.table(name)
