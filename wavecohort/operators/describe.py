@@ -109,16 +109,31 @@ def baseline_rows(df: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     )
 
 
-def sample_row(name: str, data: DataFrame, ref: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
-    """One B12 row: the model sample against the model-ready panel."""
-    a = data.agg(F.count(F.lit(1)).alias("n_person_waves"), F.count_distinct(spec.id).alias("n_persons"))
-    b = ref.agg(F.count(F.lit(1)).alias("_rr"), F.count_distinct(spec.id).alias("_rp"))
-    return one_row(a, b).select(
-        F.lit(name).alias("model"),
-        "n_person_waves",
-        "n_persons",
-        (F.col("_rr") - F.col("n_person_waves")).alias("exclusions_relative_to_phase2_modelready_rows"),
-        (F.col("_rp") - F.col("n_persons")).alias("exclusions_relative_to_phase2_modelready_persons"),
+def sample_rows(rows: DataFrame, samples: dict, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+    """Each model's sample against the model-ready panel, from one scan.
+
+    ``samples``: name -> condition of the rows it takes. One aggregate per
+    person counts the rows of every sample (no exchange on rows partitioned by
+    person), one global aggregate adds them up, and the one row is stacked."""
+    conditions = list(samples.values())
+    counts = [F.count_if(c).alias(f"_n{i}") for i, c in enumerate(conditions)]
+    per_person = rows.groupBy(spec.id).agg(F.count(F.lit(1)).alias("_all"), *counts)
+    total = per_person.agg(
+        F.sum("_all").alias("_rr"), F.count(F.lit(1)).alias("_rp"),
+        *[F.sum(f"_n{i}").alias(f"_r{i}") for i in range(len(conditions))],
+        *[F.count_if(F.col(f"_n{i}") > 0).alias(f"_p{i}") for i in range(len(conditions))],
+    )
+    zero = F.lit(0).cast("long")
+    each = F.array(*[
+        F.struct(F.lit(name).alias("model"), F.coalesce(f"_r{i}", zero).alias("r"), F.col(f"_p{i}").alias("p"))
+        for i, name in enumerate(samples)
+    ])
+    return total.select("_rr", "_rp", F.explode(each).alias("s")).select(
+        "s.model",
+        F.col("s.r").alias("n_person_waves"),
+        F.col("s.p").alias("n_persons"),
+        (F.coalesce("_rr", zero) - F.col("s.r")).alias("exclusions_relative_to_phase2_modelready_rows"),
+        (F.col("_rp") - F.col("s.p")).alias("exclusions_relative_to_phase2_modelready_persons"),
     )
 
 
@@ -135,23 +150,41 @@ def trajectory_summary(analysis: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> D
 # ---- B2-B9 balance ------------------------------------------------------------
 
 
-def group_moments(df: DataFrame, variables: Sequence[str], group: str = "menopause_group") -> DataFrame:
-    """Per (variable, group): n, mean, sample variance of non-NULL values
-    (one unpivoted aggregate for all variables)."""
+def all_moments(df: DataFrame, variables: Sequence[str], group: str = "menopause_group") -> DataFrame:
+    """Per (variable, group), the NULL group too: n, mean, sample variance and
+    sum of the non-NULL values and how many are NULL. One unpivoted aggregate
+    that Table 1, the SMDs and ANOVA all read."""
     long = df.select(group, *[F.col(v).cast("double").alias(v) for v in variables]).unpivot(
         [group], list(variables), "variable", "x"
     )
-    long = long.where(F.col("x").isNotNull() & F.col(group).isNotNull())
     return long.groupBy("variable", group).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.var_samp("x").alias("var"),
-        F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"),
+        F.count("x").alias("n"), F.avg("x").alias("mean"), F.var_samp("x").alias("var"), F.sum("x").alias("sx"),
+        F.count_if(F.col("x").isNull()).alias("n_missing"),
+    )
+
+
+def group_moments(df: DataFrame, variables: Sequence[str], group: str = "menopause_group", moments: DataFrame | None = None) -> DataFrame:
+    """``all_moments`` of the groups that hold values."""
+    m = all_moments(df, variables, group) if moments is None else moments
+    return m.where((F.col("n") > 0) & F.col(group).isNotNull())
+
+
+def overall_moments(moments: DataFrame) -> DataFrame:
+    """Per variable: n, mean, sd and n_missing over all groups, combined from
+    the groups' moments by deviations from the grand mean."""
+    grand = F.try_divide(F.sum("sx").over(Window.partitionBy("variable")), F.sum("n").over(Window.partitionBy("variable")))
+    square = F.coalesce((F.col("n") - 1) * F.col("var"), F.lit(0.0)) + F.coalesce(F.col("n") * F.pow(F.col("mean") - F.col("_g"), 2), F.lit(0.0))
+    return moments.withColumn("_g", grand).groupBy("variable").agg(
+        F.sum("n").alias("n"), F.max("_g").alias("mean"),
+        F.sqrt(F.try_divide(F.sum(square), F.when(F.sum("n") > 1, F.sum("n") - 1))).alias("sd"),
+        F.sum("n_missing").alias("n_missing"),
     )
 
 
-def smd_continuous(df: DataFrame, variables: Sequence[str], group: str = "menopause_group") -> DataFrame:
+def smd_continuous(df: DataFrame, variables: Sequence[str], group: str = "menopause_group", moments: DataFrame | None = None) -> DataFrame:
     """B2: max over pairs of used groups of |m1-m2| / sqrt((v1+v2)/2);
     a pair whose pooled sd is NULL or 0 counts 0; NULL with < 2 groups."""
-    m = group_moments(df, variables, group)
+    m = group_moments(df, variables, group, moments)
     a, b = m.alias("a"), m.alias("b")
     pairs = a.join(b, (F.col("a.variable") == F.col("b.variable")) & (F.col(f"a.{group}") < F.col(f"b.{group}")))
     pooled = F.sqrt((F.col("a.var") + F.col("b.var")) / 2)
@@ -285,23 +318,20 @@ def format_mean_sd(mean, sd, n) -> F.Column:
     )
 
 
-def continuous_table(base: DataFrame, covariates, groups: Sequence[str], labels: dict, group: str = "menopause_group") -> DataFrame:
-    """Mean (SD) overall and per group, missing count, ANOVA F, SMD.
-    Overall and per-group moments come from one scan (grouping sets)."""
+def continuous_table(base: DataFrame, covariates, groups: Sequence[str], labels: dict, group: str = "menopause_group",
+                     moments: DataFrame | None = None) -> DataFrame:
+    """Mean (SD) overall and per group, missing count, ANOVA F, SMD, all
+    from the group moments (one scan, or ``moments`` as given)."""
     from ..functions.dist import f_pvalue
 
     variables = [v for v, _ in covariates]
-    long = base.select(group, *[F.col(v).cast("double").alias(v) for v in variables]).unpivot([group], variables, "variable", "x")
-    gs = long.groupBy(F.col("variable"), F.col(group)).agg(F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"))
-    ov = long.groupBy("variable").agg(
-        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"),
-        F.count_if(F.col("x").isNull()).alias("n_missing"),
-    )
-    gs = gs.where(F.col(group).isNotNull()).withColumn("_s", format_mean_sd("mean", "sd", "n"))
+    moments = all_moments(base, variables, group) if moments is None else moments
+    ov = overall_moments(moments)
+    gs = moments.where(F.col(group).isNotNull()).withColumn("_s", format_mean_sd("mean", F.sqrt("var"), "n"))
     wide = gs.groupBy("variable").pivot(group, list(groups)).agg(F.first("_s"))
-    m = group_moments(base, variables, group)
+    m = group_moments(base, variables, group, moments)
     stats = anova_stats(m, group).withColumn("p", f_pvalue("f_statistic", "df1", "df2"))
-    smd = smd_continuous(base, variables, group)
+    smd = smd_continuous(base, variables, group, moments)
     lab = base.sparkSession.createDataFrame([(v, l, i) for i, (v, l) in enumerate(covariates)], "variable string, Characteristic string, _i int")
     d = lab.join(ov, "variable", "left").join(wide, "variable", "left").join(stats.select("variable", "p"), "variable", "left").join(smd, "variable", "left")
     return d.select(
@@ -377,15 +407,16 @@ def n_row(base: DataFrame, groups: Sequence[str], labels: dict, group: str = "me
 
 
 def smd_diagnostics(base: DataFrame, continuous, categorical, declared: dict, groups: Sequence[str],
-                    group: str = "menopause_group") -> DataFrame:
+                    group: str = "menopause_group", moments: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Continuous and per-level categorical SMDs in one table."""
-    cont = smd_continuous(base, [v for v, _ in continuous], group)
+    cont = smd_continuous(base, [v for v, _ in continuous], group, moments)
     labels = base.sparkSession.createDataFrame(list(continuous) + list(categorical), "variable string, label string")
     c1 = cont.join(labels, "variable", "left").select(
         "variable", "label", F.lit("continuous").alias("covariate_type"), F.lit(None).cast("string").alias("level"),
         F.lit(None).cast("double").alias("level_pairwise_smd"), "max_pairwise_smd",
     )
-    counts = categorical_levels(base, [v for v, _ in categorical], declared, groups, group)
+    if counts is None:
+        counts = categorical_levels(base, [v for v, _ in categorical], declared, groups, group)
     c2 = smd_categorical(counts, groups).join(labels, "variable", "left").select(
         "variable", "label", F.lit("categorical").alias("covariate_type"), "level", "level_pairwise_smd", "max_pairwise_smd",
     )

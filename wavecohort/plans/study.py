@@ -248,14 +248,20 @@ class Study:
         return stage(W.ipcw_risk_set(self.ipcw_panel))
 
     # ---- balance ------------------------------------------------------------------
+    # Two small frames, each from one scan of the baseline rows, feed Table 1,
+    # the SMDs and the tests: a few rows per covariate, kept as stages.
     @cached_property
-    def smd_continuous(self):
-        return D.smd_continuous(self.baseline_analysis, [v for v, _ in CONTINUOUS_COVARIATES])
+    def continuous_moments(self):
+        return stage(D.all_moments(self.baseline_analysis, [v for v, _ in CONTINUOUS_COVARIATES]))
 
     @cached_property
     def categorical_counts(self):
-        return D.categorical_levels(self.baseline_analysis, [v for v, _ in CATEGORICAL_COVARIATES], DECLARED_LEVELS,
-                                    self.spec.group_levels)
+        return stage(D.categorical_levels(self.baseline_analysis, [v for v, _ in CATEGORICAL_COVARIATES], DECLARED_LEVELS,
+                                          self.spec.group_levels))
+
+    @cached_property
+    def smd_continuous(self):
+        return D.smd_continuous(self.baseline_analysis, [v for v, _ in CONTINUOUS_COVARIATES], moments=self.continuous_moments)
 
     @cached_property
     def smd_categorical(self):
@@ -263,7 +269,8 @@ class Study:
 
     @cached_property
     def anova_stats(self):
-        return D.anova_stats(D.group_moments(self.baseline_analysis, [v for v, _ in CONTINUOUS_COVARIATES]))
+        return D.anova_stats(D.group_moments(self.baseline_analysis, [v for v, _ in CONTINUOUS_COVARIATES],
+                                             moments=self.continuous_moments))
 
     @cached_property
     def chisq_stats(self):
@@ -275,7 +282,8 @@ class Study:
 
     @cached_property
     def table1_continuous(self):
-        return D.continuous_table(self.baseline_analysis, CONTINUOUS_COVARIATES, self.spec.group_levels, self.spec.group_labels)
+        return D.continuous_table(self.baseline_analysis, CONTINUOUS_COVARIATES, self.spec.group_levels, self.spec.group_labels,
+                                  moments=self.continuous_moments)
 
     @cached_property
     def table1_categorical(self):
@@ -288,20 +296,23 @@ class Study:
 
     @cached_property
     def smd_diagnostics(self):
-        return D.smd_diagnostics(self.baseline_analysis, CONTINUOUS_COVARIATES, CATEGORICAL_COVARIATES, DECLARED_LEVELS,
-                                 self.spec.group_levels)
+        d = D.smd_diagnostics(self.baseline_analysis, CONTINUOUS_COVARIATES, CATEGORICAL_COVARIATES, DECLARED_LEVELS,
+                              self.spec.group_levels, moments=self.continuous_moments, counts=self.categorical_counts)
+        return d.orderBy(F.col("max_pairwise_smd").desc_nulls_last(), "variable", F.col("level_pairwise_smd").desc_nulls_last())
 
     @cached_property
     def model_samples(self):
-        from pyspark.sql import functions as F
-
-        a, m2 = self.analysis, self.model2_rows
-        return (
-            D.sample_row("Model 0 and Model 1", a, a, self.spec)
-            .unionByName(D.sample_row("Model 2", m2, a, self.spec))
-            .unionByName(D.sample_row("Model 6", m2.where(F.col("baseline_normal") == 1), a, self.spec))
-            .unionByName(D.sample_row("Model 7", m2.where(F.col("menopause_group").isin(list(self.spec.natural_groups))), a, self.spec))
-        )
+        complete = F.lit(True)
+        for c in D.MODEL2_COMPLETE:
+            kept = F.col(c).isNotNull()
+            if dict(self.analysis.dtypes)[c] in ("double", "float"):
+                kept = kept & ~F.isnan(c)
+            complete = complete & kept
+        natural = F.col("menopause_group").isin(list(self.spec.natural_groups))
+        return D.sample_rows(self.analysis, {
+            "Model 0 and Model 1": F.lit(True), "Model 2": complete,
+            "Model 6": complete & (F.col("baseline_normal") == 1), "Model 7": complete & natural,
+        }, self.spec)
 
     # ---- mixed models -------------------------------------------------------------
     def model_rows(self, model: str):
