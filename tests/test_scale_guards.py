@@ -37,6 +37,7 @@ REVIEWED_PYTHON = {
     ("operators/lmm.py", "_evaluate", "applyInPandas"),
     ("functions/dist.py", "f_pvalue", "pandas_udf"),
     ("functions/dist.py", "chisq_pvalue", "pandas_udf"),
+    ("functions/dist.py", "t975", "pandas_udf"),
 }
 
 

@@ -430,22 +430,23 @@ def _det3(a, b, c, d, e, f, g, h, i):
 
 
 def loess_curve(df: DataFrame, x: str = "chronological_age", y: str = "cognitive_score", group: str = "menopause_group",
-                span: float = 0.75, grid: int = 80, x_min: float = 50.0, y_limits=(0.0, 27.0), bin_width: float | None = None) -> DataFrame:
+                span: float = 0.75, grid: int = 80, x_min: float = 50.0, y_limits=(0.0, 27.0), bin_width: float = 1.0) -> DataFrame:
     """Local quadratic fit (tricube weights, q = floor(span * n)
     nearest points) at ``grid`` points spanning each group's x range.
 
     Points outside the plot limits are removed before smoothing (x >=
     ``x_min``, y within ``y_limits``). The data enter only as a histogram
-    per (group, x) - counts, sums and sums of squares - so the work per
-    grid point is bounded by the number of distinct x values (integer ages
-    here; give ``bin_width`` to bin continuous x). The fit is the exact
-    local regression at each grid point (R's default interpolates from a
-    k-d tree). The band is approximate: s^2 = RSS / (n - trace of the
-    smoother), se = s * ||smoother row||, normal 95% limits.
+    per (group, x) - counts, sums and sums of squares - with x rounded to
+    ``bin_width`` (whole years leave integer ages as they are), so the work
+    is bounded by the range of x whatever the number of rows. The fit is the
+    exact local regression at each grid point (R's default interpolates from
+    a k-d tree). The band is R's with exact statistics: with M = (I-L)(I-L)'
+    for the smoother L, s^2 = RSS / tr M, se = s * ||smoother row||, and a t
+    quantile with (tr M)^2 / tr M^2 degrees of freedom.
     """
-    xv = F.col(x).cast("double")
-    if bin_width:
-        xv = F.round(xv / bin_width) * bin_width
+    from ..functions.dist import t975
+
+    xv = F.round(F.col(x).cast("double") / bin_width) * bin_width
     pts = df.select(F.col(group).alias("g"), xv.alias("x"), F.col(y).cast("double").alias("y")).where(
         F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("g").isNotNull()
         & (F.col("x") >= x_min) & (F.col("y") >= y_limits[0]) & (F.col("y") <= y_limits[1])
@@ -487,17 +488,32 @@ def loess_curve(df: DataFrame, x: str = "chronological_age", y: str = "cognitive
     l2 = (c0 * c0 * U[0] + c1 * c1 * U[2] + c2 * c2 * U[4] + 2 * c0 * c1 * U[1] + 2 * c0 * c2 * U[2] + 2 * c1 * c2 * U[3])
     m = m.withColumns({"fit": fit, "_l2": l2, "_lii": c0})
     obs = m.where(F.col("grid_index") < 0).join(hist.withColumnRenamed("x", "x0"), ["g", "x0"])
-    scale = obs.groupBy("g").agg(
-        F.sum(F.col("syy") - 2 * F.col("fit") * F.col("sy") + F.col("n") * F.col("fit") * F.col("fit")).alias("_rss"),
-        F.sum(F.col("n") * F.col("_lii")).alias("_enp"),
-        F.sum("n").alias("_n"),
-    ).withColumn("_s", F.sqrt(F.try_divide(F.col("_rss"), F.col("_n") - F.col("_enp"))))
-    curve = m.where(F.col("grid_index") >= 0).join(scale.select("g", "_s", "_enp"), "g")
+    rss = obs.groupBy("g").agg(
+        F.sum(F.col("syy") - 2 * F.col("fit") * F.col("sy") + F.col("n") * F.col("fit") * F.col("fit")).alias("_rss")
+    )
+    # the smoother's rows at the observed x: l(i, j) is the weight of one
+    # observation at x_j in the fit at x_i
+    at_obs = m.where(F.col("grid_index") < 0).select("g", "x0", c0.alias("_c0"), c1.alias("_c1"), c2.alias("_c2"))
+    weight = F.col("w") * (F.col("_c0") + F.col("_c1") * F.col("d") + F.col("_c2") * F.col("d") * F.col("d"))
+    smoother = pairs.where(F.col("grid_index") < 0).join(at_obs, ["g", "x0"]).select("g", F.col("x0").alias("i"), F.col("x").alias("j"), "n", weight.alias("l"))
+    left, right = smoother.alias("a"), smoother.alias("b")
+    product = left.join(right, ["g", "j"]).groupBy("g", F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(
+        F.sum(F.col("a.n") * F.col("a.l") * F.col("b.l")).alias("h")
+    )
+    there = smoother.select("g", "i", "j", F.col("l").alias("l_ij"), F.col("n").alias("n_j"))
+    back = smoother.select("g", F.col("i").alias("j"), F.col("j").alias("i"), F.col("l").alias("l_ji"), F.col("n").alias("n_i"))
+    both = product.join(there, ["g", "i", "j"]).join(back, ["g", "i", "j"]).withColumn("m", F.col("h") - F.col("l_ij") - F.col("l_ji"))
+    same = F.col("i") == F.col("j")
+    traces = both.groupBy("g").agg(
+        F.sum(F.when(same, F.col("n_i") * F.col("l_ij"))).alias("_enp"),
+        F.sum(F.when(same, F.col("n_i") * (1 + F.col("m")))).alias("_d1"),
+        (F.sum(F.col("n_i") * F.col("n_j") * F.col("m") * F.col("m")) + F.sum(F.when(same, F.col("n_i") * (1 + 2 * F.col("m"))))).alias("_d2"),
+    )
+    scale = rss.join(traces, "g").withColumn("_s", F.sqrt(F.try_divide("_rss", "_d1"))).withColumn("_df", F.try_divide(F.col("_d1") * F.col("_d1"), F.col("_d2")))
+    curve = m.where(F.col("grid_index") >= 0).join(scale.select("g", "_s", "_enp", t975("_df").alias("_t")), "g")
     se = F.col("_s") * F.sqrt(F.col("_l2"))
-    from ..functions.dist import Z975
-
     return curve.select(
         F.col("g").alias(group), "grid_index", F.col("x0").alias(x), "fit", se.alias("std_error"),
-        (F.col("fit") - Z975 * se).alias("conf_low"), (F.col("fit") + Z975 * se).alias("conf_high"),
+        (F.col("fit") - F.col("_t") * se).alias("conf_low"), (F.col("fit") + F.col("_t") * se).alias("conf_high"),
         F.col("_enp").alias("equivalent_parameters"),
     )
