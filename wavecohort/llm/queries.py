@@ -96,5 +96,6 @@ QUERIES = {
 ORACLE = {
     "op4_license_scan": licenses.sql(),
     "op5_exact_top_k": topk.SQL,
+    "op6_jump_sharding": sharding.SQL,
     "op9_quality_rules": quality_rules.SQL,
 }

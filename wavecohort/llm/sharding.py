@@ -130,3 +130,34 @@ def shard_documents(docs: DataFrame, shards: int = 40, overhead: int = 16) -> Da
     )
     out = assign_shards(rows, "doc_id", shards, ("doc_id", "size", "text_crc32"))
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+# DuckDB SQL for ``shard_documents`` over documents. The CRC-32 is taken byte by
+# byte over its table, which is made by its rule; slots count in order of the
+# rows, as they do in a table of one bucket.
+SQL = """
+with recursive d as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+crc_table as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(cast(i as bigint), [cast(0 as bigint) for _ in range(8)]),
+    lambda c, z: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+sized as (
+  select rid, doc_id, cast(octet_length(encode(text)) + 16 as bigint) as size,
+    xor(list_reduce(
+      list_prepend(cast(4294967295 as bigint),
+        list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: cast('0x' || h as bigint))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as text_crc32
+  from d, crc_table),
+jump as (
+  select rid, n, case when coalesce(doc_id, -1) < 0 then cast(coalesce(doc_id, -1) as hugeint) + 18446744073709551616
+      else cast(doc_id as hugeint) end as k, cast(-1 as bigint) as shard, cast(0 as bigint) as next
+  from d, (values (40), (41)) t(n)
+  union all
+  select rid, n, k2, next, cast(floor((next + 1) * (2147483648.0::double / cast(k2 // 8589934592 + 1 as double))) as bigint)
+  from (select *, (k * 2862933555777941757 + 1) % 18446744073709551616 as k2 from jump where next < n)),
+placed as (select rid, max(case when n = 40 then shard end) as shard, max(case when n = 41 then shard end) as grown_shard from jump group by rid)
+select doc_id, size, text_crc32, 'key' as law, cast(shard as integer) as shard,
+  cast(row_number() over (partition by shard order by doc_id nulls first, size, text_crc32) - 1 as bigint) as slot,
+  cast(grown_shard as integer) as grown_shard
+from sized join placed using (rid)
+"""
