@@ -559,6 +559,62 @@ from (
               join loess_hist h on p.g = h.g)))) group by g, grid_index, x0)""")
 
 
+# The band: the smoother's rows at the grid and at the observed x, M = (I-L)(I-L)'
+# over the distinct x with their counts, and the t quantile by its expansion in 1/df.
+def _t975(df: str) -> str:
+    z = 1.959963984540054
+    terms = (z, (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+             (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160)
+    return "(" + " + ".join(f"{t!r} / pow({df}, {k})" for k, t in enumerate(terms)) + ")"
+
+
+cte("loess_points", ("analysis",), """
+with h as (
+  select menopause_group as g, cast(chronological_age as double) as x, count(*) as n, sum(cognitive_score) as sy,
+    sum(cast(cognitive_score as double) * cognitive_score) as syy
+  from analysis where chronological_age is not null and cognitive_score is not null and menopause_group is not null
+    and chronological_age >= 50 and cognitive_score >= 0 and cognitive_score <= 27
+  group by menopause_group, cast(chronological_age as double)),
+per_g as (select g, sum(n) as n_total, min(x) as lo, max(x) as hi from h group by g),
+p as (
+  select g, floor(n_total * 0.75) as q, i as grid_index, lo + i * (hi - lo) / 79 as x0 from per_g, range(80) t(i)
+  union all select h.g, floor(n_total * 0.75), -1, x from h join per_g on h.g = per_g.g),
+near as (
+  select p.g, grid_index, x0, q, x, n, sy, syy, x - x0 as d, abs(x - x0) as ad,
+    sum(n) over (partition by p.g, grid_index, x0 order by abs(x - x0) rows between unbounded preceding and current row) as cum
+  from p join h on p.g = h.g),
+wide as (select *, min(case when cum >= q then ad end) over (partition by g, grid_index, x0) as width from near)
+select *, case when ad / width < 1 then pow(1 - pow(ad / width, 3), 3) else 0 end as w from wide""")
+cte("loess_rows", ("loess_points",), """
+select *, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / det as fit,
+  (s2 * s4 - s3 * s3) / det as c0, -(s1 * s4 - s2 * s3) / det as c1, (s1 * s3 - s2 * s2) / det as c2
+from (select *, s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) as det from (
+  select g, grid_index, x0, """ + ", ".join(f"sum(w * n * pow(d, {k})) as s{k}" for k in range(5)) + ", "
+    + ", ".join(f"sum(w * sy * pow(d, {k})) as t{k}" for k in range(3)) + """
+  from loess_points group by g, grid_index, x0))""")
+cte("loess_smoother", ("loess_points", "loess_rows"), """
+select p.g, p.grid_index, p.x0 as i, p.x as j, p.n, p.sy, p.syy, r.fit, p.w * (r.c0 + r.c1 * p.d + r.c2 * p.d * p.d) as l
+from loess_points p join loess_rows r on p.g = r.g and p.grid_index = r.grid_index and p.x0 = r.x0""")
+cte("loess_scale", ("loess_smoother",), """
+with o as (select * from loess_smoother where grid_index < 0),
+m as (
+  select a.g, a.i, b.i as j, sum(a.n * a.l * b.l) as h from o a join o b on a.g = b.g and a.j = b.j group by a.g, a.i, b.i),
+e as (
+  select m.g, m.i, m.j, m.h - x.l - y.l as v, x.l as l, x.n as nj, y.n as ni
+  from m join o x on x.g = m.g and x.i = m.i and x.j = m.j join o y on y.g = m.g and y.i = m.j and y.j = m.i),
+tr as (
+  select g, sum(case when i = j then ni * l end) as enp, sum(case when i = j then ni * (1 + v) end) as d1,
+    sum(ni * nj * v * v) + sum(case when i = j then ni * (1 + 2 * v) end) as d2 from e group by g),
+rss as (select g, sum(syy - 2 * fit * sy + n * fit * fit) as rss from o where i = j group by g)
+select tr.g, enp, sqrt(rss / d1) as s, d1 * d1 / d2 as df from tr join rss on tr.g = rss.g""")
+cte("loess_band", ("loess_smoother", "loess_scale"), f"""
+select menopause_group, grid_index, chronological_age, fit, std_error, fit - t * std_error as conf_low,
+  fit + t * std_error as conf_high, equivalent_parameters
+from (select x.g as menopause_group, cast(grid_index as integer) as grid_index, i as chronological_age, max(fit) as fit,
+    max(s) * sqrt(sum(n * l * l)) as std_error, max({_t975("df")}) as t, max(enp) as equivalent_parameters
+  from loess_smoother x join loess_scale z on x.g = z.g where grid_index >= 0 group by x.g, grid_index, i)""")
+
+
 # ---- validation and small reports ---------------------------------------------------
 cte("input_validation", ("baseline_person", "baseline_analysis", "analysis_all", "analysis", "model2", "covdist"), "\nunion all\n".join(
     f"select '{n}' as input, cast(count(*) as bigint) as n_rows, cast(count(distinct hhidpn) as bigint) as n_persons from {t}"

@@ -154,7 +154,8 @@ register("trajectories", lambda s: s.trajectories)
 register("trajectory_range", lambda s: s.trajectory_range)
 register("loess_curve", lambda s: s.loess_curve.select("menopause_group", "grid_index", "chronological_age", "fit"),
          "loess_curve", ("chronological_age", "fit"))
-register("loess_band", lambda s: s.loess_curve)
+register("loess_band", lambda s: s.loess_curve, "loess_band",
+         ("chronological_age", "fit", "std_error", "conf_low", "conf_high", "equivalent_parameters"))
 register("input_validation", lambda s: s.input_validation, "input_validation")
 register("absorbing_state", lambda s: s.surgical_absorbing, "surgical_absorbing")
 register("invariant_cases", lambda s: s.invariant_cases, "invariant_cases")
