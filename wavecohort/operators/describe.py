@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_level, count_true, fixed, id_window, one_row, recode, thousands
+from ..functions.exprs import as_level, fixed, id_window, one_row, recode, thousands
 from ..spec import (
     DEFAULT_SPEC,
     EDUCATION_LEVELS,

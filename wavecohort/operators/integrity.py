@@ -18,7 +18,6 @@ from ..functions.exprs import (
     as_text,
     count_true,
     id_window,
-    in_set,
     min_where,
     mode_first,
     ordered_join,

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from ..sources.fixture import PANEL_SQL
 from ..spec import (
-    CONTRAST_GROUPS,
     EDUCATION_LEVELS,
     GROUP_LABELS,
     GROUP_LEVELS,
