@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 # The six white-space bytes of the word contracts: \x20 and \x09-\x0D. They
 # are what bytes.split() splits on.
 WORD_SPACE = " \t\n\x0b\x0c\r"
@@ -17,14 +18,9 @@ WORD_SPACE = " \t\n\x0b\x0c\r"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names, shared by the driver
-    and all executors. A scratch folder is set only where the session names
-    none (tests, a laptop)."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="wavecohort-llm-")
-        sc.setCheckpointDir(named)
-    return named.rstrip("/")
+    and all executors. Where none is named, a one-process session (tests, a
+    laptop) gets a scratch folder and a cluster session is refused."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)).rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -40,9 +36,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_key(*columns: str):
-    """A 64-bit key of the row's values; equal rows have equal keys."""
-    return F.xxhash64(*[F.col(c) for c in columns])
+def smallest_by_hash(rows: DataFrame, n: int, draw, *ties: str) -> DataFrame:
+    """The ``n`` rows with the smallest ``draw`` (a 64-bit hash): a bounded
+    random sample. Only rows below a level that about 4 n rows reach are
+    sorted, so the sort's input stays bounded whatever the table's size."""
+    total = rows.count()
+    share = min(1.0, 4 * n / max(1, total))
+    level = min((1 << 63) - 1, int(share * 2**64) - (1 << 63))
+    return rows.where(draw <= F.lit(level)).orderBy(draw, *ties).limit(n)
 
 
 def worker_cache(name: str, make):

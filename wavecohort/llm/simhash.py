@@ -220,7 +220,8 @@ def keep_one(docs: DataFrame, settings: SimHashSettings = SimHashSettings()) ->
     a doc_id belong to no component and stay."""
     found = written(near_duplicates(docs.select("doc_id", "text"), settings).select("doc_id", "component_id"), "components")
     keepers = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_copies"))
-    kept = docs.join(keepers, "doc_id")
+    # neither side has a size bound: a shuffle join at every size
+    kept = docs.join(keepers.hint("merge"), "doc_id")
     out = kept.where("_copies = 1").select(*docs.columns)
     if not keepers.where("_copies > 1").isEmpty():
         others = [c for c in docs.columns if c != "doc_id"]

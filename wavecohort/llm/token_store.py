@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .bpe_ids import encode_documents
-from .common import text_batches, written
+from .common import smallest_by_hash, text_batches, written
 
 
 @dataclass(frozen=True)
@@ -71,7 +71,7 @@ def id_bytes(tokenizer: str) -> int:
 
 def train_dictionary(docs: DataFrame, settings: StoreSettings, width: int) -> tuple[str, bytes]:
     """(hash, bytes) of the dictionary: one task trains it on the ids of the
-    ``sample_documents`` short documents with the smallest key hash. Too small
+    ``sample_documents`` short documents with the smallest hash. Too small
     a sample gives an empty dictionary; frames then use none."""
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,7 +90,7 @@ def train_dictionary(docs: DataFrame, settings: StoreSettings, width: int) -> tu
         yield pd.DataFrame({"dictionary_hash": [hashlib.sha256(data).hexdigest()], "dictionary": [data]})
 
     short = docs.where(F.length("text").between(1, settings.sample_chars))
-    sample = short.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(settings.sample_documents)
+    sample = smallest_by_hash(short, settings.sample_documents, F.xxhash64("doc_id", "text"), "doc_id")
     rows = sample.select("text").coalesce(1).mapInPandas(train, DICTIONARY).collect()  # one row, bounded
     return (rows[0]["dictionary_hash"], bytes(rows[0]["dictionary"])) if rows else (hashlib.sha256(b"").hexdigest(), b"")
 
