@@ -287,9 +287,9 @@ def region(root: Node, share: float, size) -> Node:
         node = best
 
 
-def content_root(root: Node, partners: dict[int, int], seed_region: int | None, settings: WrapperSettings) -> Node:
-    """Where the page's main text lies."""
-    articles, mains, of_host = [], [], None
+def marked_root(root: Node) -> Node | None:
+    """The page's largest article, else its largest main element."""
+    articles, mains = [], []
     stack = [root]
     while stack:
         node = stack.pop()
@@ -300,14 +300,20 @@ def content_root(root: Node, partners: dict[int, int], seed_region: int | None,
             continue
         if node.tag == "main":
             mains.append(node)
-        if seed_region is not None and partners.get(node.number) == seed_region:
-            of_host = node
         stack += node.children
-    if articles:
-        return max(articles, key=lambda n: n.size)
-    if mains:
-        return max(mains, key=lambda n: n.size)
-    return of_host or region(root, settings.region_share, lambda n: n.size)
+    return max(articles or mains, key=lambda n: n.size, default=None)
+
+
+def content_root(root: Node, partners: dict[int, int], seed_region: int | None, settings: WrapperSettings) -> Node:
+    """Where the page's main text lies."""
+    marked = marked_root(root)
+    if marked is not None:
+        return marked
+    if seed_region is not None:
+        of_host = [n for n in nodes_of(root) if partners.get(n.number) == seed_region and not n.drop]
+        if of_host:
+            return of_host[0]
+    return region(root, settings.region_share, lambda n: n.size)
 
 
 def read_blocks(top: Node, template: set[int], partners: dict[int, int]) -> str:
@@ -428,7 +434,9 @@ def extract(pages: DataFrame, settings: WrapperSettings = WrapperSettings()) ->
                     learnt[host] = tree, fixed, _host_region(tree, varying, settings) if tree else None
                 tree, fixed, place = learnt[host]
                 page = parse(html)
-                partners = match(page, tree) if tree and (fixed or place is not None) else {}
+                # only templates and unmarked pages need the seed's alignment
+                needed = tree and (fixed or place is not None and marked_root(page) is None)
+                partners = match(page, tree) if needed else {}
                 texts.append(read_blocks(content_root(page, partners, place, settings), fixed, partners))
             yield pdf[["page_id", "url"]].assign(text=texts)
 
