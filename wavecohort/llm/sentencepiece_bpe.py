@@ -46,6 +46,7 @@ MARK = "▁"
 _ODD = re.compile(f"{MARK}|  | \\Z")
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 NEVER = 1 << 40
+BLOCK = 2_000_000  # characters that are indexed together, which bounds a worker's memory
 
 
 class Model:
@@ -137,7 +138,7 @@ class Model:
 
     def follows(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """``may_follow`` of many pairs; met pairs are kept."""
-        if len(self.pairs) > 2_000_000:
+        if len(self.pairs) > 500_000:
             self.pairs.clear()
         keys, place = np.unique(left * len(self.pieces) + right, return_inverse=True)
         pairs, size = self.pairs, len(self.pieces)
@@ -150,16 +151,21 @@ class Model:
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``text`` (code points) ordered by their first ``depth``
-    characters, by doubling: ranks of twice the length are the order of pairs
-    of ranks."""
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    length = 1
-    while length < depth:
-        after = np.zeros_like(rank)
-        after[:-length] = rank[length:] + 1
-        rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)[1]
+    characters at least. The first order is by three characters, which fit
+    into one integer; each further one, by pairs of ranks, doubles the length."""
+    key, length = text << 42, 3
+    key[:-1] |= text[1:] << 21
+    key[:-2] |= text[2:]
+    while True:
+        order = np.argsort(key)
+        if length >= depth:
+            return order
+        ordered = key[order]
+        rank = np.empty_like(key)
+        rank[order] = np.cumsum(np.concatenate([[1], ordered[1:] != ordered[:-1]]))
+        key = rank * (len(text) + 1)
+        key[:-length] += rank[length:]
         length *= 2
-    return np.argsort(rank, kind="stable")
 
 
 def _bound(text, order, low, high, offset, wanted, right: bool):
@@ -248,7 +254,9 @@ def encode_parts(parts: list[str], model: Model) -> list[bytes]:
     start, piece = np.concatenate([start, lone]), np.concatenate([piece, np.full(len(lone), -1)])
     end = start + np.where(piece < 0, 1, model.lengths[piece])
     depth = end - first[np.searchsorted(first, start, side="right") - 1]
-    by_depth = np.argsort(depth, kind="stable")
+    # few different depths: a radix sort where they fit 16 bits
+    small = int(depth.max(initial=0)) < 1 << 16
+    by_depth = np.argsort(depth.astype(np.uint16) if small else depth, kind="stable")
     start, end, piece, depth = start[by_depth], end[by_depth], piece[by_depth], depth[by_depth]
     # the piece that ends the encoding of each prefix, and where it starts;
     # -1 at a part's start and after a lone character, where anything follows
@@ -289,7 +297,7 @@ def encode_parts(parts: list[str], model: Model) -> list[bytes]:
 class Encoder:
     """A worker's model and the ids of the words it has met; bounded."""
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 250_000):
         self.model, self.keep = Model(path), keep
         self.ids: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -340,6 +348,14 @@ def encoder(path: str) -> Encoder:
     return worker_cache("sentencepiece:" + path, lambda: Encoder(path))
 
 
+def _both(texts: Iterator[pd.Series], path: str) -> Iterator[pd.DataFrame]:
+    own = encoder(path)
+    for series in texts:
+        plain = [t or "" for t in series]
+        ids = [x for a, b in blocks(plain, BLOCK) for x in own.encode(plain[a:b])]
+        yield pd.DataFrame({"ids": pd.Series(ids, dtype="object"), "decoded": [decode(x, own.model) for x in ids]})
+
+
 def encode_column(text: Column, path: str) -> Column:
     """The ids of each text (array<int>)."""
 
@@ -348,7 +364,7 @@ def encode_column(text: Column, path: str) -> Column:
         own = encoder(path)
         for series in texts:
             plain = [t or "" for t in series]
-            yield pd.Series([ids for a, b in blocks(plain) for ids in own.encode(plain[a:b])], dtype="object")
+            yield pd.Series([ids for a, b in blocks(plain, BLOCK) for ids in own.encode(plain[a:b])], dtype="object")
 
     return encode(text)
 
@@ -365,8 +381,18 @@ def decode_column(ids: Column, path: str) -> Column:
     return decoded(ids)
 
 
+def round_trip_column(text: Column, path: str) -> Column:
+    """Struct of a text's ids and of what they decode to, by one worker."""
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from _both(texts, path)
+
+    return both(text)
+
+
 def round_trips(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids, decoded of every document."""
-    text_batches(docs.sparkSession)
-    encoded = docs.select("doc_id", "text", encode_column(F.col("text"), path).alias("ids"))
-    return encoded.withColumn("decoded", decode_column(F.col("ids"), path))
+    """doc_id, text, ids, decoded of every document."""
+    text_batches(docs.sparkSession, 1000)
+    done = docs.select("doc_id", "text", round_trip_column(F.col("text"), path).alias("_r"))
+    return done.select("doc_id", "text", F.col("_r.ids").alias("ids"), F.col("_r.decoded").alias("decoded"))
