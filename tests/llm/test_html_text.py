@@ -3,6 +3,8 @@
 import re
 from html import unescape
 
+from pyspark.sql import functions as F
+
 from wavecohort.llm import html_text as H
 
 PAGES = "page_id long, url string, html string"
@@ -82,6 +84,37 @@ def test_copies_are_no_template(spark):
     assert {r.text for r in H.page_texts(pages).collect()} == {"same\ntext"}
 
 
+def shared_article(i, mark):
+    """A page around one long article, with its own menu and advert."""
+    body = "".join(f"<p>Long paragraph {k} of the shared article.</p>" for k in range(40))
+    return f"<body><nav>menu {i}</nav><div class=ad>ad {i}</div><{mark}>{body}</{mark}></body>"
+
+
+def seeded(spark, pages, host="h.example"):
+    """Rows of PAGES whose first page is the host's seed."""
+    ids = [r.id for r in spark.range(len(pages)).orderBy(F.xxhash64("id")).collect()]
+    return [(i, f"http://{host}/{i}", html) for i, html in zip(ids, pages)]
+
+
+def test_near_copies_of_the_seed_are_no_template(spark):
+    want = "\n".join(f"Long paragraph {k} of the shared article." for k in range(40))
+    for mark, others in (("article", 40), ("article", 0), ("main", 40), ("div", 40)):
+        pages = [shared_article(i, mark) for i in range(7)]
+        for i in range(others):
+            own = "".join(f"<p>Page {i} says {k * i}.</p>" for k in range(3 + i % 8))
+            pages.append(f"<body><nav>menu {i}</nav><div class=ad>ad {i}</div><{mark}>{own}</{mark}></body>")
+        rows = seeded(spark, pages)
+        got = {r.page_id: r.text for r in H.page_texts(spark.createDataFrame(rows, PAGES)).collect()}
+        assert [got[r[0]] for r in rows[:7]] == [want] * 7, (mark, others)
+
+
+def test_edited_copies_of_the_seed_are_no_template(spark):
+    pages = [shared_article(i, "article").replace("</article>", f"<p>Edition {i}</p></article>") for i in range(9)]
+    rows = seeded(spark, pages)
+    got = {r.page_id: r.text for r in H.page_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(got[r[0]].count("Long paragraph") == 40 and got[r[0]].endswith(f"Edition {i}") for i, r in enumerate(rows))
+
+
 def test_null_and_empty_pages(spark):
     rows = [(1, None, "<p>a</p>"), (2, "nonsense", None), (3, "http://a/", ""), (None, "http://a/", "<p>b</p>"), (1, None, "<p>a</p>")]
     got = H.page_texts(spark.createDataFrame(rows, PAGES)).collect()

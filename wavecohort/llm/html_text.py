@@ -5,20 +5,23 @@ the tree of one seed page of its host by simple tree matching; per seed node
 the pages are counted in which it is matched and in which its text is the
 same. Nodes that stay the same on nearly all pages are template, the others
 are slots, and the slot region that holds most of the varying text is the
-host's content. A page is then aligned once more and its text read from its
+host's content. Pages of equal content (the text of the marked article or main,
+else of the page) have one vote together; the seed's own content has none, nor
+has a page that shares half of its own or of the seed's marked text with the
+seed, so copies never make an article's text template. A page is then aligned
+once more and its text read from its
 content region (an article or main element where the page marks one, else the
 host's, else the part that holds most of its own text), without template
 nodes and without elements whose tag, role or class name says menu, header,
 footer, sidebar, notice, advert, form or comments.
 
 The counts are sums per (host, node), so a host with a third of all pages is
-never in one task. The seeds are a written table that Spark broadcasts only
+never in one task; pages are merged by (host, content). The seeds are a written table that Spark broadcasts only
 below its size threshold.
 
 Defined results: null or empty html gives an empty text; pages with a null or
-odd url share the empty host; repeated pages are read each; identical copies
-of the seed are no evidence for a template; an empty table gives an empty
-result.
+odd url share the empty host; repeated pages are read each; copies of the seed
+are no evidence for a template; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ from .common import text_batches, worker_cache, written
 class WrapperSettings:
     min_pages: int = 5  # pages, besides the seed, that show a template node
     same_share: float = 0.9  # of the pages that match the node
+    host_share: float = 0.5  # of all the host's distinct contents, that show a template node
+    copy_share: float = 0.5  # of the marked text, from which a page is a copy of the seed's and has no vote
     region_share: float = 0.6  # of the varying text, down to which the content region is followed
 
 
@@ -356,34 +361,74 @@ def _seed_tree(html: str) -> Node:
     return trees[html]
 
 
-def node_counts(pages: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(host, node, matched, same, varying): per text of the seed the pages
-    that match it, those with the same text, and the characters that differ."""
+def content_key(root: Node, marked: Node | None) -> int:
+    """Hash of the marked text, of a page without marks of its whole text."""
+    from xxhash import xxh64_intdigest
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    if marked is not None:
+        text = read_blocks(marked, set(), {})
+    else:
+        text = "\n".join(n.text for n in nodes_of(root) if n.text)
+    return xxh64_intdigest(text.encode("utf-8", "replace"), 7) - (1 << 63)
+
+
+def _seed_facts(seed: str) -> tuple:
+    """Tree, texts, content key, and of the marked part the nodes and size."""
+    tree = _seed_tree(seed)
+    marked = marked_root(tree)
+    inside = {n.number for n in nodes_of(marked)} if marked is not None else set()
+    return tree, [n.text for n in nodes_of(tree)], content_key(tree, marked), inside, marked.size if inside else 0
+
+
+_PAGE = -1  # the node number under which node_counts counts the voting pages
+
+
+def node_counts(pages: DataFrame, seeds: DataFrame, settings: WrapperSettings) -> DataFrame:
+    """(host, node, matched, same, varying): per text of the seed the distinct
+    contents that match it, those with the same text, and the characters that
+    differ; ``matched`` of node -1 is the number of the host's contents."""
+
+    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        facts: dict[str, tuple] = {}
         for pdf in batches:
-            sums: dict[tuple[str, int], list[int]] = {}
+            rows = []
             for host, html, seed in zip(pdf["host"], pdf["html"], pdf["seed"]):
                 if html == seed:
                     continue
-                tree = _seed_tree(seed)
-                page = nodes_of(parse(html))
-                texts = [n.text for n in nodes_of(tree)]
-                for mine, other in match(page[0], tree).items():
+                if seed not in facts:
+                    if len(facts) > 200:
+                        facts.clear()
+                    facts[seed] = _seed_facts(seed)
+                tree, texts, seed_content, inside, inside_size = facts[seed]
+                root = parse(html)
+                marked = marked_root(root)
+                content = content_key(root, marked)
+                if content == seed_content:
+                    continue
+                page = nodes_of(root)
+                nodes, differs, shared = [_PAGE], [0], 0
+                for mine, other in match(root, tree).items():
                     if not texts[other]:
                         continue  # an element; only texts are constant or vary
-                    row = sums.setdefault((host, other), [0, 0, 0])
-                    row[0] += 1
-                    if page[mine].text == texts[other]:
-                        row[1] += 1
-                    else:
-                        row[2] += len(page[mine].text)
-            rows = [(h, n, *v) for (h, n), v in sums.items()]
-            yield pd.DataFrame(rows, columns=["host", "node", "matched", "same", "varying"])
+                    same = page[mine].text == texts[other]
+                    nodes.append(other)
+                    differs.append(0 if same else len(page[mine].text))
+                    if same and other in inside:
+                        shared += len(texts[other])
+                own = (root if marked is None else marked).size
+                if inside and shared and shared >= settings.copy_share * min(own, inside_size):
+                    continue
+                rows.append((host, content, nodes, differs))
+            yield pd.DataFrame(rows, columns=["host", "content", "nodes", "differs"])
 
     joined = pages.where("length(html) > 0").join(seeds, "host").select("host", "html", "seed")
-    each = joined.mapInPandas(count, "host string, node int, matched long, same long, varying long")
-    return each.groupBy("host", "node").agg(*[F.sum(c).alias(c) for c in ("matched", "same", "varying")])
+    votes = joined.mapInPandas(vote, "host string, content long, nodes array<int>, differs array<int>")
+    each = votes.groupBy("host", "content").agg(F.min(F.struct("nodes", "differs")).alias("v"))
+    texts = each.select("host", F.explode(F.arrays_zip("v.nodes", "v.differs")).alias("t"))
+    differs = F.col("t.differs").cast("long")
+    return texts.groupBy("host", F.col("t.nodes").alias("node")).agg(
+        F.count("*").alias("matched"), F.count_if(differs == 0).alias("same"), F.sum(differs).alias("varying")
+    )
 
 
 def wrappers(pages: DataFrame, settings: WrapperSettings) -> DataFrame:
@@ -391,12 +436,16 @@ def wrappers(pages: DataFrame, settings: WrapperSettings) -> DataFrame:
     nodes that are template, and the varying characters of the others. One
     row per host, as large as its seed."""
     seeds = written(seed_pages(pages), "seeds")
-    counts = node_counts(pages, seeds)
-    template = (F.col("matched") >= settings.min_pages) & (F.col("same") >= settings.same_share * F.col("matched"))
+    counts = node_counts(pages, seeds, settings)
+    own = F.col("node") != _PAGE
+    constant = own & (F.col("matched") >= settings.min_pages) & (F.col("same") >= settings.same_share * F.col("matched"))
     by_host = counts.groupBy("host").agg(
-        F.collect_list(F.when(template, F.col("node"))).alias("template"),
-        F.collect_list(F.when(F.col("varying") > 0, F.struct("node", "varying"))).alias("varying"),
+        F.collect_list(F.when(constant, F.struct("node", "same"))).alias("constant"),
+        F.collect_list(F.when(own & (F.col("varying") > 0), F.struct("node", "varying"))).alias("varying"),
+        F.max(F.when(~own, F.col("matched"))).alias("contents"),
     )
+    common = F.filter("constant", lambda c: c["same"] >= settings.host_share * F.col("contents"))
+    by_host = by_host.select("host", F.transform(common, lambda c: c["node"]).alias("template"), "varying")
     return written(seeds.join(by_host, "host", "left"), "wrappers")
 
 
