@@ -115,6 +115,18 @@ def test_edited_copies_of_the_seed_are_no_template(spark):
     assert all(got[r[0]].count("Long paragraph") == 40 and got[r[0]].endswith(f"Edition {i}") for i, r in enumerate(rows))
 
 
+def test_a_text_in_the_place_of_a_template_stays(spark):
+    pages, want = [], []
+    for i in range(60):
+        body = [f"Page {i} says {k * i}." for k in range(3)]
+        last = f"The real end of page {i}." if i in (20, 40) else "All rights belong to the house."
+        pages.append("<body><article>" + "".join(f"<p>{b}</p>" for b in [*body, last]) + "</article></body>")
+        want.append("\n".join([*body, last] if i in (20, 40) else body))
+    rows = seeded(spark, pages)
+    got = {r.page_id: r.text for r in H.page_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert [got[r[0]] for r in rows] == want
+
+
 def test_null_and_empty_pages(spark):
     rows = [(1, None, "<p>a</p>"), (2, "nonsense", None), (3, "http://a/", ""), (None, "http://a/", "<p>b</p>"), (1, None, "<p>a</p>")]
     got = H.page_texts(spark.createDataFrame(rows, PAGES)).collect()

@@ -321,14 +321,18 @@ def content_root(root: Node, partners: dict[int, int], seed_region: int | None,
     return region(root, settings.region_share, lambda n: n.size)
 
 
-def read_blocks(top: Node, template: set[int], partners: dict[int, int]) -> str:
+def read_blocks(top: Node, template: dict[int, str], partners: dict[int, int]) -> str:
     """The texts below ``top`` in page order, without dropped elements and
-    template nodes; of a header inside an article only the headings."""
+    texts that equal the template's in their place; of a header inside an
+    article only the headings. ``template`` is node number -> text."""
     out, stack = [], [(top, False)]
     while stack:
         node, in_header = stack.pop()
-        if node.drop and node is not top or partners.get(node.number) in template:
+        if node.drop and node is not top:
             continue
+        partner = partners.get(node.number)
+        if partner in template and template[partner] == node.text:
+            continue  # another text in a template's place is a slot
         if node.text and not in_header:
             out.append(node.text)
         in_header = (in_header or node.tag == "header") and not _HEADING.match(node.tag)
@@ -366,7 +370,7 @@ def content_key(root: Node, marked: Node | None) -> int:
     from xxhash import xxh64_intdigest
 
     if marked is not None:
-        text = read_blocks(marked, set(), {})
+        text = read_blocks(marked, {}, {})
     else:
         text = "\n".join(n.text for n in nodes_of(root) if n.text)
     return xxh64_intdigest(text.encode("utf-8", "replace"), 7) - (1 << 63)
@@ -478,8 +482,9 @@ def extract(pages: DataFrame, settings: WrapperSettings = WrapperSettings()) ->
                 if host not in learnt:
                     if len(learnt) > 200:
                         learnt.clear()
-                    fixed = set() if template is None else {int(t) for t in template}
                     tree = _seed_tree(seed) if seed else None
+                    texts_of = [n.text for n in nodes_of(tree)] if tree else []
+                    fixed = {} if template is None else {int(t): texts_of[int(t)] for t in template}
                     learnt[host] = tree, fixed, _host_region(tree, varying, settings) if tree else None
                 tree, fixed, place = learnt[host]
                 page = parse(html)
