@@ -1,5 +1,6 @@
 """HTML extraction: hand-made pages, planted wrappers and the given pages."""
 
+import random
 import re
 from html import unescape
 
@@ -55,6 +56,64 @@ def test_simple_tree_matching_keeps_order_and_equal_texts():
     assert len(H.match(H.parse(long), H.parse(long))) == len(H.nodes_of(H.parse(long)))
 
 
+def texts_met(a, b):
+    a, b = H.parse(a), H.parse(b)
+    mine, other = H.nodes_of(a), H.nodes_of(b)
+    return {(mine[i].text, other[j].text) for i, j in H.match(a, b).items() if mine[i].text}
+
+
+def test_long_and_deep_pages_are_aligned_like_short_ones():
+    def page(name, n, end="<p>fixed end</p>"):
+        return "<div><p>start</p>" + "".join(f"<p>{name} {k}</p>" for k in range(n)) + f"<h2>{name}</h2>{end}<ul><li>{name}<p>x</p></ul></div>"
+
+    for n, m in ((20, 30), (150, 260), (700, 180), (180, 700)):
+        met = texts_met(page("a", n), page("b", m))
+        assert {("start", "start"), ("fixed end", "fixed end")} <= met, (n, m)
+        assert len({x for x, _ in met if x.startswith("a ")}) == min(n, m)
+    deep = "<div>" * 2500 + "<p>{}</p><p>fixed</p><p>{}</p>" + "</div>" * 2500
+    assert ("fixed", "fixed") in texts_met(deep.format("a", "b"), deep.format("c", "d"))
+
+
+def plain_weight(x, y):
+    """Simple tree matching as it is defined, without any shortcut."""
+    if x.label != y.label:
+        return 0
+    if not x.children and not y.children:
+        return H.EQUAL if x.text == y.text else H.UNEQUAL
+    rows = [[0] * (len(y.children) + 1) for _ in range(len(x.children) + 1)]
+    for i, c in enumerate(x.children):
+        for j, d in enumerate(y.children):
+            rows[i + 1][j + 1] = max(rows[i][j + 1], rows[i + 1][j], rows[i][j] + plain_weight(c, d))
+    return H.ELEMENT + rows[-1][-1]
+
+
+def test_alignment_has_the_greatest_weight():
+    draw = random.Random(3)
+
+    def tree(size, depth=0):
+        parts = []
+        for _ in range(draw.randint(0, size)):
+            tag = draw.choice(["div", "p", "ul", "hr", "h2"])
+            inner = tree(4, depth + 1) if tag in ("div", "ul") and depth < 3 else draw.choice("abcde ")
+            parts.append("<hr>" if tag == "hr" else f"<{tag}>{inner}</{tag}>")
+        return "".join(parts)
+
+    for size in [8] * 60 + [130] * 8:
+        a, b = H.parse(tree(size)), H.parse(tree(size))
+        mine, other = H.nodes_of(a), H.nodes_of(b)
+        got, above = 0, {c.number: n.number for t in (mine, other) for n in t for c in n.children if t is mine}
+        met = H.match(a, b)
+        for i, j in met.items():
+            x, y = mine[i], other[j]
+            assert x.label == y.label and (i == 0 or y in other[met[above[i]]].children)
+            leaves = not x.children and not y.children
+            got += (H.EQUAL if x.text == y.text else H.UNEQUAL) if leaves else H.ELEMENT
+        assert got == plain_weight(a, b)
+        for n in mine:
+            partners = [met[c.number] for c in n.children if c.number in met]
+            assert partners == sorted(partners)
+
+
 def templated(n, host="h.example"):
     """Pages of a host without any telling tag or class: a template around a
     varying title and varying paragraphs."""

@@ -26,11 +26,14 @@ are no evidence for a template; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,18 +89,20 @@ _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _WORDS = re.compile(r"[a-z0-9]+")
 _HEADING = re.compile(r"h[1-6]\Z")
 _SPACE = re.compile(r"\s+")
-MAX_DEPTH = 100  # deeper nodes are aligned with nothing and so count as slots
+# Weights of matching, in tenths: equal leaves, unequal leaves of a label, an element for itself.
+EQUAL, UNEQUAL, ELEMENT = 30, 1, 10
 
 
 class Node:
     """A block element, or a run of text inside one (tag "#text")."""
 
-    __slots__ = ("tag", "label", "children", "drop", "text", "size", "number")
+    __slots__ = ("tag", "label", "children", "drop", "text", "size", "number", "form", "full")
 
     def __init__(self, tag: str, label: str = "", drop: bool = False, text: str = ""):
         self.tag, self.label, self.drop, self.text = tag, label or tag, drop, text
         self.children: list[Node] = []
         self.size, self.number = 0, -1
+        self.form, self.full = -1, 0  # match: equal for equal subtrees; the weight of one matched with itself
 
 
 def _element(tag: str, attrs: str) -> Node:
@@ -201,75 +206,159 @@ def _measure(root: Node) -> None:
 
 def match(a: Node, b: Node) -> dict[int, int]:
     """Simple tree matching: number of a node of ``a`` -> number of its
-    partner in ``b``. Children keep their order; equal texts weigh more."""
-    weights: dict[tuple[int, int], tuple[float, list]] = {}
-
-    def weigh(x: Node, y: Node, depth: int) -> float:
-        if x.label != y.label:
-            return 0.0
+    partner in ``b``. Children keep their order; equal texts weigh more.
+
+    The alignment is of the greatest weight at every length and depth. Equal
+    first and last children are partners in one such alignment, so only what
+    is between them is aligned by dynamic programming."""
+    forms: dict[tuple, int] = {}
+    deepest = 0
+    for root in (a, b):
+        order, depths = nodes_of(root), {}
+        for node in order:
+            depth = depths.pop(node.number, 0)
+            deepest = max(deepest, depth)
+            for c in node.children:
+                depths[c.number] = depth + 1
+        for node in reversed(order):
+            node.form = forms.setdefault((node.label, node.text, *[c.form for c in node.children]), len(forms))
+            node.full = EQUAL
+            if node.children:
+                node.full = ELEMENT
+                for c in node.children:
+                    node.full += c.full
+    known: dict[tuple[int, int], int] = {}
+
+    def weigh(x: Node, y: Node) -> int:
+        """Of two nodes of one label."""
+        if x.form == y.form:
+            return x.full
         if not x.children and not y.children:
-            return 3.0 if x.text == y.text else 0.1
-        if depth > MAX_DEPTH:
-            return 0.0
-        xs, ys = x.children, y.children
-        if len(xs) * len(ys) > 20_000:
-            pairs, total = _by_occurrence(xs, ys, depth)
-        else:
-            pairs, total = _in_order(xs, ys, depth)
-        weights[x.number, y.number] = (total + 1, pairs)
-        return total + 1
-
-    def _in_order(xs, ys, depth):
-        rows, cell = [[0.0] * (len(ys) + 1)], {}
-        for i, x in enumerate(xs):
-            above, row = rows[-1], [0.0]
-            label = x.label
+            return UNEQUAL
+        w = known.get((x.form, y.form))
+        if w is None:
+            w = known[x.form, y.form] = ELEMENT + align(x.children, y.children, None)
+        return w
+
+    def align(xs, ys, pairs: list | None) -> int:
+        """The weight of the best alignment; its pairs are added to ``pairs``."""
+        total, lo, n, m = 0, 0, len(xs), len(ys)
+        while lo < n and lo < m and xs[lo].form == ys[lo].form:
+            total += xs[lo].full
+            if pairs is not None:
+                pairs.append((xs[lo], ys[lo]))
+            lo += 1
+        while n > lo and m > lo and xs[n - 1].form == ys[m - 1].form:
+            n, m = n - 1, m - 1
+            total += xs[n].full
+            if pairs is not None:
+                pairs.append((xs[n], ys[m]))
+        if n == lo or m == lo:
+            return total
+        return total + (_short if m - lo < 50 else _long)(xs[lo:n], ys[lo:m], pairs)
+
+    def _walk_back(xs, ys, rows, first, i, j, pairs) -> tuple[int, int]:
+        """Adds the pairs of ``rows`` (those from number ``first``) up to row i, column j."""
+        while i > first and j:
+            here, above = rows[i - first], rows[i - first - 1]
+            if here[j] == above[j]:
+                i -= 1
+            elif here[j] == here[j - 1]:
+                j -= 1
+            else:
+                pairs.append((xs[i - 1], ys[j - 1]))
+                i, j = i - 1, j - 1
+        return i, j
+
+    def _short(xs, ys, pairs) -> int:
+        rows = [[0] * (len(ys) + 1)]
+        for x in xs:
+            above, row, label, last = rows[-1], [0], x.label, 0
             for j, y in enumerate(ys):
-                best = above[j + 1] if above[j + 1] >= row[j] else row[j]
+                best = above[j + 1]
+                if last > best:
+                    best = last
                 if label == y.label:
-                    w = above[j] + weigh(x, y, depth + 1)
+                    w = above[j] + weigh(x, y)
                     if w > best:
                         best = w
-                        cell[i, j] = True
                 row.append(best)
+                last = best
             rows.append(row)
-        pairs, i, j = [], len(xs), len(ys)
-        while i and j:
-            here = rows[i][j]
-            if here == rows[i - 1][j]:
-                i -= 1
-            elif here == rows[i][j - 1]:
-                j -= 1
+        if pairs is not None:
+            _walk_back(xs, ys, rows, 0, len(xs), len(ys), pairs)
+        return rows[-1][-1]
+
+    def _long(xs, ys, pairs) -> int:
+        """As _short, a row at a time; only every so-manyth row is kept and
+        those between are made again on the way back."""
+        kinds = np.array([_kind(y) for y in ys])
+        ids = np.array([y.form for y in ys])
+        places: dict[str, list[int]] = {}
+        for j, y in enumerate(ys):
+            places.setdefault(y.label, []).append(j)
+        at = {label: np.array(js) for label, js in places.items()}
+        mixed = {label: [j for j in js if kinds[j] == 2] for label, js in places.items()}
+
+        def below(above, x):
+            js = at.get(x.label)
+            if js is None:
+                return above
+            gain, kind = np.zeros(len(ys), dtype=np.int64), _kind(x)
+            if kind == 2:
+                for j in places[x.label]:
+                    gain[j] = weigh(x, ys[j])
             else:
-                pairs.append((xs[i - 1], ys[j - 1]))
-                i, j = i - 1, j - 1
-        return pairs, rows[-1][-1]
-
-    def _by_occurrence(xs, ys, depth):
-        """For long lists: the n-th child of a label meets the other's n-th."""
-        at, seen, pairs, total = {}, {}, [], 0.0
-        for y in ys:
-            n = seen[y.label] = seen.get(y.label, 0) + 1
-            at[y.label, n] = y
-        seen = {}
-        for x in xs:
-            n = seen[x.label] = seen.get(x.label, 0) + 1
-            y = at.get((x.label, n))
-            if y is not None:
-                total += weigh(x, y, depth + 1)
-                pairs.append((x, y))
-        return pairs, total
-
-    weigh(a, b, 0)
-    out, todo = {}, [(a, b)] if a.label == b.label else []
-    while todo:
-        x, y = todo.pop()
-        out[x.number] = y.number
-        if (x.number, y.number) in weights:
-            todo += weights[x.number, y.number][1]
+                # a leaf, or an element of one text, weighs with another of its kind by equality alone
+                equal, alike = (EQUAL, UNEQUAL) if kind == 0 else (ELEMENT + EQUAL, ELEMENT + UNEQUAL)
+                gain[js] = np.where(ids[js] == x.form, equal, np.where(kinds[js] == kind, alike, ELEMENT))
+                for j in mixed[x.label]:
+                    gain[j] = weigh(x, ys[j])
+            row = np.zeros_like(above)
+            np.maximum.accumulate(np.maximum(above[1:], above[:-1] + gain), out=row[1:])
+            return row
+
+        step = max(1, math.isqrt(len(xs)))
+        row = np.zeros(len(ys) + 1, dtype=np.int64)
+        kept = []
+        for i, x in enumerate(xs):
+            if pairs is not None and i % step == 0:
+                kept.append(row)
+            row = below(row, x)
+        total = int(row[-1])
+        if pairs is not None:
+            i, j = len(xs), len(ys)
+            while i and j:
+                first = (i - 1) // step * step
+                rows = [kept[first // step]]
+                for x in xs[first:i]:
+                    rows.append(below(rows[-1], x))
+                i, j = _walk_back(xs, ys, rows, first, i, j, pairs)
+        return total
+
+    before = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(before, 5 * deepest + 1000))
+    try:
+        out, todo = {}, [(a, b)] if a.label == b.label else []
+        while todo:
+            x, y = todo.pop()
+            out[x.number] = y.number
+            if x.form == y.form:
+                todo += zip(x.children, y.children)
+            elif x.children and y.children:
+                align(x.children, y.children, todo)
+    finally:
+        sys.setrecursionlimit(before)
     return out
 
 
+def _kind(node: Node) -> int:
+    """0: a leaf; 1: an element of one text; 2: another element."""
+    if not node.children:
+        return 0
+    return 1 if len(node.children) == 1 and node.children[0].tag == "#text" else 2
+
+
 def nodes_of(root: Node) -> list[Node]:
     """All nodes, by number."""
     out, stack = [], [root]
