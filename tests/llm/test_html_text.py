@@ -37,6 +37,36 @@ def test_pages_without_marks_use_the_largest_region():
     assert text_of(html) == ("long text " * 20).strip() + "\nmore"
 
 
+def test_all_parts_of_the_main_text_are_read():
+    for html, want in [
+        ("<main><h1>T</h1><p>lead</p><article><p>a</p></article><article><p>b</p></article></main>", "T\nlead\na\nb"),
+        ("<div>x</div><article><p>a long one</p></article><article><p>b</p></article><div>y</div>", "a long one\nb"),
+        ("<main><header><h1>T</h1><span>by</span></header><article><p>a</p></article></main>", "T\na"),
+        ("<div><div><h1>T</h1></div><article><p>a</p></article></div><div>junk</div>", "T\na"),
+        ("<div><h1>Site</h1></div><article><h1>T</h1><p>a</p></article>", "T\na"),
+        ("<article><p>a</p></article><div class=related><article><p>b</p></article></div>", "a"),
+        ("<article><p>a</p></article><div id=comments><article><p>a long comment</p></article></div>", "a"),
+        ("<article><p>t</p></article><div class=has-sidebar><article><p>the page</p></article></div>", "t\nthe page"),
+        ("<main><p>a</p></main><article><p>b</p></article>", "a\nb"),
+        ("<main><h1>T</h1><p>lead</p><article><p>a</p></article></main><article><p>b</p></article>", "T\nlead\na\nb"),
+        ("<div hidden><main><p>a</p></main></div>", "a"),
+    ]:
+        assert text_of(html) == want, html
+
+
+def test_names_of_headings_and_sections_are_no_drop_words():
+    html = """<article><h2 id="related-work">r</h2><section id="discussion"><p>d</p></section><h2 id="notifications">n</h2>
+    <p id="copyright">c</p><section id="comments"><p>x</p></section><div id="newsletter">y</div><section class="related">z</section>
+    </article>"""
+    assert text_of(html) == "r\nd\nn\nc"
+
+
+def test_a_self_closed_svg_ends_at_its_own_tag():
+    assert text_of('<p>a</p><svg width="1"/><p>b</p>') == "a\nb"
+    assert text_of('<p>a<svg/>b</p><svg class="x" d="1/>2" /><p>c</p>') == "ab\nc"
+    assert text_of('<p>a</p><svg width="1"><path d="m"/><text>no</text></svg><p>b</p>') == "a\nb"
+
+
 def test_broken_html():
     for html, want in [
         ("", ""), (None, ""), ("plain &am", "plain &am"), ("<p>a<p>b", "a\nb"), ("a < b", "a < b"),

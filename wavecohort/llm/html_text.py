@@ -10,10 +10,12 @@ else of the page) have one vote together; the seed's own content has none, nor
 has a page that shares half of its own or of the seed's marked text with the
 seed, so copies never make an article's text template. A page is then aligned
 once more and its text read from its
-content region (an article or main element where the page marks one, else the
-host's, else the part that holds most of its own text), without template
-nodes and without elements whose tag, role or class name says menu, header,
-footer, sidebar, notice, advert, form or comments.
+content region (where the page marks articles or mains the smallest region
+that holds them all and their heading, else the host's, else the part that
+holds most of its own text), without template nodes and without elements whose
+tag, role, class or id says menu, header, footer, sidebar, notice, advert, form
+or comments; ids of headings, text blocks and sections of an article say
+nothing, since they are often made from a heading's words.
 
 The counts are sums per (host, node), so a host with a third of all pages is
 never in one task; pages are merged by (host, content). The seeds are a written table that Spark broadcasts only
@@ -64,6 +66,10 @@ CLOSES = {
     "tfoot": {"tr", "td", "th", "thead", "tbody"},
 }
 CLOSED_BY = frozenset("ul ol dl table".split())  # an implied end goes no further up than these
+# Elements whose ids are names of their own text.
+NAMED_TEXT = frozenset(
+    "h1 h2 h3 h4 h5 h6 hgroup p li dt dd td th tr blockquote pre figure figcaption caption summary legend".split()
+)
 # Tags, roles and class or id words of what is no main text.
 DROP_TAGS = frozenset("nav footer aside form menu dialog button fieldset search".split())
 DROP_ROLES = frozenset(
@@ -77,8 +83,11 @@ DROP_WORDS = frozenset(
     "recommended recommendations widget toolbar pagination pager copyright disclaimer".split()
 )
 
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
     r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>]).*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*(?:>|\Z)"
@@ -96,30 +105,44 @@ EQUAL, UNEQUAL, ELEMENT = 30, 1, 10
 class Node:
     """A block element, or a run of text inside one (tag "#text")."""
 
-    __slots__ = ("tag", "label", "children", "drop", "text", "size", "number", "form", "full")
+    __slots__ = ("tag", "label", "children", "drop", "text", "size", "number", "form", "full", "by")
 
     def __init__(self, tag: str, label: str = "", drop: bool = False, text: str = ""):
         self.tag, self.label, self.drop, self.text = tag, label or tag, drop, text
         self.children: list[Node] = []
         self.size, self.number = 0, -1
+        self.by = ""  # of an element dropped for other than its tag: "comments" or "other"
         self.form, self.full = -1, 0  # match: equal for equal subtrees; the weight of one matched with itself
 
 
-def _element(tag: str, attrs: str) -> Node:
-    label, drop = tag, tag in DROP_TAGS
+def _element(tag: str, attrs: str, in_text: bool = False) -> Node:
+    """``in_text``: inside an article or main element."""
+    label, drop, by = tag, tag in DROP_TAGS, ""
     if attrs and not attrs.isspace():
         found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
         name = found.get("class", "").lower()
         label = f"{tag}.{' '.join(name.split())}" if name else tag
-        if tag not in ("html", "body", "main", "article") or "comment" in name:
-            words = _WORDS.findall(name + " " + found.get("id", "").lower())
-            drop = drop or not DROP_WORDS.isdisjoint(words)
         drop = drop or found.get("role", "").lower() in DROP_ROLES or "hidden" in found
         drop = drop or found.get("aria-hidden", "") == "true"
         drop = drop or "display:none" in found.get("style", "").replace(" ", "").lower()
+        if tag not in ("html", "body", "main", "article") or "comment" in name:
+            words = set(_WORDS.findall(name))
+            own = _WORDS.findall(found.get("id", "").lower())
+            if tag == "section" and in_text:
+                words.update(COMMENT_WORDS.intersection(own))
+            elif tag not in NAMED_TEXT:
+                words.update(own)
+            if not DROP_WORDS.isdisjoint(words):
+                drop, by = True, "" if COMMENT_WORDS.isdisjoint(words) else "comments"
+        if drop and tag not in DROP_TAGS:
+            by = by or "other"
+        else:
+            by = ""
         if found.get("role", "").lower() == "main":
             tag = "main"
-    return Node(tag, label, drop)
+    node = Node(tag, label, drop)
+    node.by = by
+    return node
 
 
 def parse(html: str | None) -> Node:
@@ -170,7 +193,8 @@ def parse(html: str | None) -> Node:
                     break
                 if stack[k].tag in CLOSED_BY:
                     break
-        node = _element(tag, m["attrs"])
+        in_text = tag == "section" and any(n.tag in ("article", "main") for n in stack)
+        node = _element(tag, m["attrs"], in_text)
         stack[-1].children.append(node)
         if tag not in VOID:
             stack.append(node)
@@ -182,26 +206,44 @@ def parse(html: str | None) -> Node:
 
 
 def _measure(root: Node) -> None:
-    """Numbers the nodes from the top, spares containers of the main text
-    from being dropped for a class word, and sets each node's text size."""
-    order, stack, main_inside = [], [(root, False)], {}
+    """Numbers the nodes from the top and sets each node's text size. A
+    container dropped for other than its tag is spared where it holds a main
+    element, or an article larger than all that stand in no such container
+    (one of comments only where there is no such article)."""
+    order, stack = [], [(root, False, None)]
+    boxes: dict[int, Node | None] = {}  # article or main -> the dropped element it stands in
+    outer: dict[int, Node | None] = {}  # and that one's own
     while stack:
-        node, in_article = stack.pop()
+        node, in_text, box = stack.pop()
         node.number = len(order)
         order.append(node)
-        if node.tag == "header" and not in_article:
-            node.drop = True
-        inside = in_article or node.tag == "article"
-        stack += [(c, inside) for c in reversed(node.children)]
+        if node.tag == "header" and not in_text:
+            node.drop, node.by = True, node.by or "other"
+        in_text = in_text or node.tag in ("article", "main")
+        if node.tag in ("article", "main") and not node.drop:
+            boxes[node.number] = box
+        if node.drop:
+            outer[node.number], box = box, node
+        stack += [(c, in_text, box) for c in reversed(node.children)]
+    _sizes(order)
+    free = [order[n].size for n, box in boxes.items() if box is None]
+    spared = False
+    for n, box in boxes.items():
+        needs = order[n].tag == "article"
+        while box is not None:
+            least = max(free, default=-1) if box.by == "other" else (-1 if not free else math.inf)
+            if box.by and (not needs or order[n].size > least):
+                box.drop, spared = False, True
+            box = outer[box.number]
+    if spared:
+        _sizes(order)
+
+
+def _sizes(order: list[Node]) -> None:
     for node in reversed(order):
-        holds = node.tag in ("article", "main") and not node.drop
         node.size = len(node.text)
         for c in node.children:
-            holds = holds or main_inside.get(c.number, False)
             node.size += 0 if c.drop else c.size
-        if holds and node.drop and node.tag not in DROP_TAGS:
-            node.drop = False
-        main_inside[node.number] = holds
 
 
 def match(a: Node, b: Node) -> dict[int, int]:
@@ -382,20 +424,65 @@ def region(root: Node, share: float, size) -> Node:
 
 
 def marked_root(root: Node) -> Node | None:
-    """The page's largest article, else its largest main element."""
-    articles, mains = [], []
-    stack = [root]
+    """The smallest region that holds the page's articles and their heading,
+    or of a main without articles all of it. Marks that only the page itself
+    holds together are read alone, as the children of a node of their own."""
+    articles, mains, heads, titled = [], [], [], False  # articles and heads with the main they stand in
+    above: dict[int, Node] = {}
+    stack = [(root, None, False)]
     while stack:
-        node = stack.pop()
+        node, in_main, in_article = stack.pop()
         if node.drop:
             continue
-        if node.tag == "article":
-            articles.append(node)
-            continue
-        if node.tag == "main":
+        if node.tag == "article" and not in_article:
+            articles.append((node, in_main))
+            in_article = True
+        elif node.tag == "main" and in_main is None and not in_article:
             mains.append(node)
-        stack += node.children
-    return max(articles or mains, key=lambda n: n.size, default=None)
+            in_main = node
+        elif node.tag == "h1":
+            titled = titled or in_article
+            if not in_article:
+                heads.append((node, in_main))
+        for c in reversed(node.children):
+            above[c.number] = node
+            stack.append((c, in_main, in_article))
+    if not articles and not mains:
+        return None
+    marks = [n for n, main in articles if main is None]
+    for main in mains:
+        inside = [n for n, m in articles if m is main]
+        inside += [n for n, m in heads if m is main] if inside else [main]
+        marks.append(_common(root, inside, above))
+    top = _common(root, marks, above)
+    for head, _ in heads[:1] if not mains and not titled else []:
+        wider = _common(root, [head, *marks], above)
+        # a title beside the articles; one elsewhere on the page may be the site's
+        if wider.number >= 0 or above[head.number] is root:
+            top = wider
+    return top
+
+
+def _common(root: Node, marks: list[Node], above: dict[int, Node]) -> Node:
+    """The least node that holds all of ``marks``; if that is the root, a node
+    of their own."""
+    if len(marks) == 1:
+        return marks[0]
+    held: dict[int, int] = {}
+    for mark in marks:
+        node = mark
+        while node is not None:
+            held[node.number] = held.get(node.number, 0) + 1
+            node = above.get(node.number)
+    node = marks[0]
+    while held[node.number] < len(marks):
+        node = above[node.number]
+    if node is not root:
+        return node
+    own = Node("main")
+    own.children = sorted(marks, key=lambda n: n.number)
+    own.size = sum(n.size for n in own.children)
+    return own
 
 
 def content_root(root: Node, partners: dict[int, int], seed_region: int | None, settings: WrapperSettings) -> Node:
