@@ -1,6 +1,7 @@
 """Quality rules, the importance classifier and the license scan."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -135,3 +136,36 @@ def test_scan_plan_is_native(spark, documents):
     plan = L.scan(documents([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
     assert all(L.least_collision(n, L.ScanSettings()) >= 0.99 for n in range(1, 200))
+
+
+def test_a_labelled_document_counts_once_however_often_it_is_repeated(spark, documents):
+    draw = random.Random(5)
+    rows = [(i, " ".join(draw.choice("abcdefghij"[: 4 + i % 6]) for _ in range(30 + i % 50))) for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 120, 2)], "doc_id long, quality int, toxic int")
+    settings = I.ResampleSettings(buckets=1 << 8, miss=0.2)
+    parts = {r.doc_id: r.part for r in I.labelled_good(labels, settings).collect()}
+    for part in ("fit", "held_out"):
+        hot = min(d for d, p in parts.items() if p == part)
+        frame = documents(rows + [rows[hot]] * 400)
+        found = I.resample(frame, labels, settings).collect()
+        got = {r.doc_id: r for r in found}
+        texts = dict(rows)
+        raw = Counter(b for d, t in rows + [rows[hot]] * 400 for b in I.ngram_buckets(t, settings.buckets).tolist())
+        target = Counter(b for d, p in parts.items() if p == "fit" for b in I.ngram_buckets(texts[d], settings.buckets).tolist())
+        n, m, size = sum(raw.values()), sum(target.values()), settings.buckets
+        want = {}
+        for d, t in rows:
+            grams, total = I.ngram_buckets(t, size).tolist(), 0.0
+            for b in grams:
+                p = (raw[b] + 1) / (n + size)
+                total += math.log((target[b] + size * p) / (m + size)) - math.log(p)
+            want[d] = settings.typical_ngrams * total / (len(grams) + settings.prior_ngrams)
+        assert all(abs(got[d].weight - w) < 1e-6 for d, w in want.items())
+        held = sorted(want[d] for d, p in parts.items() if p == "held_out")
+        level = held[int(settings.miss * len(held))] - 1e-9
+        k = sum((401 if d == hot else 1) for d, w in want.items() if w >= level)
+        best = sorted(found, key=lambda r: -r.gumbel_key)
+        cut = best[k - 1].gumbel_key  # an entry that stands at the cut stays whole
+        assert sum(r.kept for r in found) == sum(r.gumbel_key >= cut for r in found)
+        labelled = I.labelled_texts(frame.select("doc_id", "text"), I.labelled_good(labels, settings))
+        assert labelled.count() == len(parts)
