@@ -11,6 +11,12 @@ PACKAGE = ROOT / "wavecohort" / "llm"
 
 # (module, function) that bring rows to the driver -> what bounds them
 REVIEWED_PULLS = {
+    ("attention_lm.py", "word_counts"): "one row",
+    ("attention_lm.py", "id_counts"): "one row per id of the vocabulary",
+    ("attention_lm.py", "train_round"): "one row per model parameter",
+    ("centroids.py", "first_centroids"): "one row per centroid",
+    ("centroids.py", "cluster_sums"): "one row per centroid and dimension",
+    ("centroids.py", "cluster"): "one row per centroid",
     ("components.py", "_state"): "one row: count and checksum",
     ("html_text.py", None): "none",
     ("importance.py", "log_ratios"): "one row per n-gram bucket",
@@ -18,6 +24,8 @@ REVIEWED_PULLS = {
     ("importance.py", "quantile_level"): "held_out_labels rows",
     ("licenses.py", "load_templates"): "one row per template or chunk",
     ("quality_rules.py", "prior"): "one row",
+    ("target_resampling.py", "gains"): "one row per bucket",
+    ("target_resampling.py", "kth_smallest"): "at most ``pivots`` keys, 2 * ``pivots`` + 1 counts",
     ("token_store.py", "train_dictionary"): "one row",
     ("token_store.py", "read_store"): "one row",
     ("topk.py", "top_k"): "one row",

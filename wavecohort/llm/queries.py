@@ -11,7 +11,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, importance, licenses, packing, quality_rules, sentencepiece_bpe, sharding, simhash, token_store, topk
+from . import (
+    attention_lm,
+    centroids,
+    html_text,
+    importance,
+    licenses,
+    packing,
+    quality_rules,
+    sentencepiece_bpe,
+    sharding,
+    simhash,
+    target_resampling,
+    token_store,
+    topk,
+)
 from .common import shared_folder
 
 
@@ -80,6 +94,20 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), settings)
 
 
+def op11_attention_lm(spark, sf_dir):
+    settings = attention_lm.LmSettings(tokenizer=vocabulary("byte_bpe_50k.json"))
+    return attention_lm.score_documents(table(spark, sf_dir, "documents"), settings)
+
+
+def op12_target_resampling(spark, sf_dir):
+    found = target_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return target_resampling.digest(found)
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash": op2_simhash,
@@ -91,6 +119,9 @@ QUERIES = {
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_attention_lm": op11_attention_lm,
+    "op12_target_resampling": op12_target_resampling,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 ORACLE = {
@@ -98,4 +129,6 @@ ORACLE = {
     "op5_exact_top_k": topk.SQL,
     "op6_jump_sharding": sharding.SQL,
     "op9_quality_rules": quality_rules.SQL,
+    "op12_target_resampling": target_resampling.SQL,
+    "op13_centroid_clustering": centroids.sql(),
 }
