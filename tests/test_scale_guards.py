@@ -24,6 +24,8 @@ REVIEWED_PULLS = {
     ("operators/lmm.py", "fit_lmm", "first"): "one-row person count and constancy check",
     ("operators/lmm.py", "load_model", "collect"): "a saved model: p x p covariance entries",
     ("operators/predict.py", "covariate_means", "first"): "one row of covariate means",
+    ("sources/csv_records.py", "__init__", "collect"): "one header",
+    ("sources/column_types.py", "with_types", "collect"): "one row per column",
     ("sources/panel.py", "load_stage", "first"): "the stage's bucket count",
     ("sources/panel.py", "assert_keys", "first"): "one-row key check",
 }

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources import column_types as CT
 from ..sources import panel as P
+from ..sources import planted as PL
 from . import oracle as O
+from . import source_oracle as _SO  # noqa: F401  (registers its CTEs)
 from .study import Study
 
 QUERIES: dict = {}
@@ -47,6 +50,10 @@ select 'panel' as dataset, cast(count(*) as bigint) as n_rows, cast(count(distin
   min(wave) as min_wave, max(wave) as max_wave, min(year) as min_year, max(year) as max_year,
   'cogtot27_imp' as cognition_variable, 'agey_e' as age_variable, 'C253_age' as menopause_age_variable from panel""")
 
+register("parse_diagnostics", lambda s: PL.planted_diagnostics(s.panel), "planted_faults")
+register("csv_records", lambda s: PL.planted_records(s.panel), "planted_panel", ("agey_e", "cogtot27_imp", "C253_age"))
+register("type_inference", lambda s: CT.infer_types(PL.mixed_text(s.panel)), "column_types")
+
 # ---- phase 1 ---------------------------------------------------------------
 register("first_assessment", lambda s: s.first_assessment, "first_assessment", ("first_cog_age", "first_cog_score"))
 register("exposure_age", lambda s: s.exposure_age, "exposure_age",

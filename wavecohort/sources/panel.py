@@ -13,11 +13,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..spec import DEFAULT_SPEC, PanelSpec
+from .column_types import with_types
+from .csv_records import read_records, record_faults
 
 PANEL_SCHEMA = T.StructType(
     [
@@ -91,21 +93,25 @@ def read_panel(
     """Load a panel from CSV (R-style ``NA`` nulls) or Parquet, resolve the
     column names, check the contract and partition by person.
 
-    CSV text is read once and cast to the panel's types, whatever the data
-    look like; a cell that doesn't parse becomes NULL and is listed by
-    ``parse_diagnostics``. (id, wave) must be unique: by default a panel with
+    CSV records are found by ``csv_records`` (quoted cells may hold line
+    breaks; the files are still read in splits). The panel's columns are cast to
+    their types, whatever the data look like; a cell that doesn't parse becomes
+    NULL and is listed by ``parse_diagnostics``. Other columns get the narrowest
+    type that all their rows allow (``infer_types``). (id, wave) must be unique: by default a panel with
     repeated keys or null ids is refused (a skew-safe aggregate), with
     ``dedupe="first"`` repeated rows are collapsed before the partitioning,
     and ``dedupe="keep"`` keeps them as read."""
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     if fmt == "csv":
         reader = spark.read.option("header", True).option("nullValue", "NA")
-        df = reader.csv(path) if schema is None else reader.schema(schema).csv(path)
+        df = read_records(spark, path) if schema is None else reader.schema(schema).csv(path)
     else:
         df = spark.read.parquet(path)
+    given = set(df.columns)
     df = require_columns(resolve_columns(df, spec), spec)
+    renamed = set(df.columns) - given  # canonical names of the panel's age and score
     if fmt == "csv" and schema is None:
-        df = canonical_types(df)
+        df = with_types(canonical_types(df), [c for c in df.columns if c not in PANEL_SCHEMA.names and c not in renamed])
     if dedupe == "first":
         df = dedupe_first(df, spec)
     elif dedupe is None:
@@ -117,16 +123,16 @@ def canonical_types(df: DataFrame, schema: T.StructType = PANEL_SCHEMA) -> DataF
     """Text columns of the panel cast to their types; integers may be written
     with a decimal point. Other columns stay text."""
     types = {f.name: f.dataType for f in schema.fields}
-    out = {}
-    for name in df.columns:
-        kind = types.get(name)
-        if kind is None or isinstance(kind, T.StringType):
-            continue
-        c = F.col(name)
-        out[name] = c.try_cast(kind) if isinstance(kind, T.DoubleType) else F.coalesce(
-            c.try_cast(kind), F.when(c.try_cast("double") == F.floor(c.try_cast("double")), c.try_cast("double").try_cast(kind))
-        )
-    return df.withColumns(out)
+    typed = [n for n in df.columns if n in types and not isinstance(types[n], T.StringType)]
+    return df.withColumns({n: canonical(F.col(n), types[n]) for n in typed})
+
+
+def canonical(cell: Column, kind: T.DataType) -> Column:
+    """A text cell as a panel type, null where it doesn't parse."""
+    if isinstance(kind, T.DoubleType):
+        return cell.try_cast(kind)
+    number = cell.try_cast("double")
+    return F.coalesce(cell.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
 
 
 def check_keys(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
@@ -161,46 +167,22 @@ def dedupe_first(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, order: str |
     return picked.select(spec.id, spec.wave, *[F.col("_r")[c].alias(c) for c in cols]).select(*panel.columns)
 
 
-def parse_diagnostics(spark: SparkSession, path: str, schema: T.StructType = PANEL_SCHEMA) -> DataFrame:
-    """What does not parse: (file, row, col, expected, actual).
-
-    Reads everything as text and ``try_cast``s each column, so a bad cell
-    costs one row here instead of failing or silently nulling the load. A
-    line with too few or too many columns is one row with a null ``col``.
-    ``row`` counts the data rows of the file from 1; files are read in splits,
-    so a row's number is its place in its split after the rows of the file's
-    earlier splits, which one small aggregate over the splits gives.
-    """
-    reader = spark.read.option("header", True).option("nullValue", "NA")
-    names = reader.csv(path).columns
-    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_line"]])
-    raw = reader.schema(text).option("columnNameOfCorruptRecord", "_line").csv(path)
-    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_from")]
-    raw = raw.select("*", *split).withColumn("_id", F.monotonically_increasing_id())
-    splits = raw.groupBy("_file", "_from").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
-    earlier = Window.partitionBy("_file").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    width = F.size(F.split("_line", ",", -1))
-    probes = [
-        F.when(
-            F.col("_line").isNotNull() & (width != len(names)),
-            F.struct(F.lit(None).cast("string").alias("col"), F.lit(f"{len(names)} columns").alias("expected"),
-                     F.concat(width.cast("string"), F.lit(" columns")).alias("actual")),
-        )
-    ]
-    for field in schema.fields:
-        if field.name not in raw.columns or isinstance(field.dataType, T.StringType):
-            continue
-        c = F.col(field.name)
-        bad = c.isNotNull() & c.try_cast(field.dataType).isNull()
-        probes.append(
-            F.when(bad, F.struct(F.lit(field.name).alias("col"), F.lit(field.dataType.simpleString()).alias("expected"), c.alias("actual")))
-        )
-    bad = raw.select("_file", "_from", "_id", F.explode(F.filter(F.array(*probes), lambda s: s.isNotNull())).alias("p"))
-    row = F.col("_before") + F.col("_id") - F.col("_first") + 1
-    return bad.join(splits, ["_file", "_from"]).select(
-        F.regexp_extract("_file", "[^/]*$", 0).alias("file"), row.alias("row"), "p.col", "p.expected", "p.actual"
-    )
+def parse_diagnostics(spark: SparkSession, path: str, schema: T.StructType = PANEL_SCHEMA, longest: int = 1 << 20) -> DataFrame:
+    """What does not parse: (file, row, col, expected, actual, path).
+
+    ``csv_records`` finds the records, whatever splits the files are read in:
+    quoted cells may hold commas, quotes and line breaks. A cell that its
+    column's type doesn't allow is one row with the cell; a record with too few
+    or too many columns, one that is longer than ``longest`` characters over
+    several lines, or one whose quote is never closed is a row with a null
+    ``col``; so is a file whose header differs from the first file's (``row``
+    0). ``row`` counts the records of the file after its header from 1. Columns
+    that the schema doesn't name are counted and not checked."""
+    tests = {
+        f.name: (f.dataType.simpleString(), lambda c, kind=f.dataType: canonical(c, kind))
+        for f in schema.fields if not isinstance(f.dataType, T.StringType)
+    }
+    return record_faults(spark, path, tests, longest)
 
 
 def raw_inventory(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, dataset: str = "panel") -> DataFrame:
