@@ -19,6 +19,8 @@ REVIEWED_PULLS = {
     ("functions/quantile.py", "exact_quantiles", "collect"): "one row per partition; two values per probability",
     ("operators/design.py", "used_levels", "first"): "one row of one flag per declared level",
     ("operators/lmm.py", "_evaluate", "collect"): "one vector of p^2 + p + 4 doubles per candidate parameter",
+    ("operators/logit.py", "evaluate", "first"): "one row of sums per pass",
+    ("operators/logit.py", "separating", "first"): "one row of two extremes",
     ("operators/ipcw.py", "load_logit", "collect"): "a saved model: one row per coefficient",
     ("operators/lmm.py", "at_theta", "first"): "one-row person count",
     ("operators/lmm.py", "fit_lmm", "first"): "one-row person count and constancy check",

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dist import norm_sf2
 from ..functions.exprs import clamp, id_window, one_row
-from ..session import keep
 from ..spec import DEFAULT_SPEC, PanelSpec
 from .describe import complete_cases
 from .integrity import wave_grid
+from .logit import LogitModel, NotConverged, Separated, feature, fit_logits  # noqa: F401
 from .retention import first_baseline, observed_by_wave
 
 BASELINE_COVARIATES = ("baseline_wave", "menopause_group", "race_ethnicity", "birth_year_c10", "education_c12", "baseline_normal")
@@ -84,32 +85,10 @@ def truncate_weights(df: DataFrame, lo: float, hi: float, col: str = "sw_cumulat
 
 # ---- M14-M16 observation models -------------------------------------------------
 
-def _features(terms: Sequence[str], levels: dict) -> list:
-    """Treatment-contrast columns (name, expression) in term order."""
-    return [feature(t + lv if lv else t) for t in terms for lv in (levels[t][1:] if t in levels else [""])]
-
-
-def feature(name: str) -> tuple:
-    """(name, expression) of a column named variable + level, or variable."""
-    from .design import FACTORS
-
-    for v in FACTORS:
-        if name.startswith(v):
-            return name, (F.col(v) == name[len(v):]).cast("double")
-    return name, F.col(name).cast("double")
-
-
-class LogitCoefficients:
-    """The coefficients of a logistic model, as read back or given."""
-
-    def __init__(self, intercept: float, coefficients: Sequence[float], summary=None):
-        self.intercept, self.coefficients, self.summary = intercept, list(coefficients), summary
-
-
 def given_logit(intercept: float, coefficients: dict):
     """A fitted model (as ``fit_logit`` returns it) with given coefficients
     by column name."""
-    return LogitCoefficients(intercept, coefficients.values()), list(coefficients), [feature(n) for n in coefficients]
+    return LogitModel(intercept, list(coefficients.values())), list(coefficients), [feature(n) for n in coefficients]
 
 
 def save_logit(spark, fitted, name: str, path: str) -> None:
@@ -125,55 +104,22 @@ def load_logit(spark, path: str):
     rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["position"])
     first, *rest = rows
     names = [r["term"] for r in rest]
-    summary = type("Summary", (), {
-        "coefficientStandardErrors": [*[r["std.error"] for r in rest], first["std.error"]],
-        "tValues": [*[r["statistic"] for r in rest], first["statistic"]],
-    })
-    return LogitCoefficients(first["estimate"], [r["estimate"] for r in rest], summary), names, [feature(n) for n in names]
-
-
-class NotConverged(RuntimeError):
-    pass
+    variance = np.diag([r["std.error"] ** 2 for r in rows])
+    return LogitModel(first["estimate"], [r["estimate"] for r in rest], variance), names, [feature(n) for n in names]
 
 
 def fit_logit(risk: DataFrame, terms: Sequence[str], label: str = "observed_t", max_iter: int = 50):
-    """Binomial GLM with logit link (Spark ML IRLS, distributed).
-    Factor levels absent from the risk set are dropped (full rank); a fit that
-    stops at ``max_iter`` is refused."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GeneralizedLinearRegression
-
-    from .design import FACTORS, used_levels
-
-    facs = [t for t in terms if t in FACTORS]
-    used = used_levels(risk, {f: FACTORS[f] for f in facs})
-    levels = {f: [FACTORS[f][0]] + [lv for lv in FACTORS[f][1:] if lv in used[f]] for f in facs}
-    feats = _features(terms, levels)
-    names = [n for n, _ in feats]
-    # IRLS makes one pass per iteration (Spark ML does not cache its input):
-    # keep the narrow double columns rather than re-reading the wide risk-set
-    # checkpoint every time; the vector is assembled on top of the cache
-    data = keep(risk.select(F.col(label).cast("double").alias("label"), *[e.alias(f"_f{i}") for i, (_, e) in enumerate(feats)]))
-    glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=max_iter, tol=1e-10, regParam=0.0)
-    try:
-        model = glr.fit(VectorAssembler(inputCols=[f"_f{i}" for i in range(len(feats))], outputCol="features").transform(data))
-    finally:
-        data.unpersist()
-    if model.summary.numIterations >= max_iter:
-        raise NotConverged(f"the logistic model of {label} did not converge in {max_iter} iterations; no weights are built")
-    return model, names, feats
+    """One binomial model with logit link (``logit.fit_logits``)."""
+    return fit_logits(risk, {label: terms}, label, max_iter)[label]
 
 
 def logit_coefficients(spark, fitted, name: str) -> DataFrame:
-    """Estimate, se, z, p; the intercept comes first as in R (Spark's
-    summary arrays put it last)."""
+    """Estimate, se, z, p; the intercept comes first as in R."""
     model, names, _ = fitted
-    s = model.summary
-    se, z = list(s.coefficientStandardErrors), list(s.tValues)
-    p = [norm_sf2(x) for x in z]  # from the statistic: the summary's own loses small tails
-    rows = [(name, "(Intercept)", float(model.intercept), se[-1], z[-1], p[-1])]
-    for i, n in enumerate(names):
-        rows.append((name, n, float(model.coefficients[i]), se[i], z[i], p[i]))
+    rows = []
+    for term, estimate, se in zip(["(Intercept)", *names], [model.intercept, *model.coefficients], model.std_errors):
+        z = float(estimate) / se if se else float("nan")
+        rows.append((name, term, float(estimate), float(se), z, norm_sf2(z)))
     return spark.createDataFrame(rows, "model string, term string, estimate double, `std.error` double, statistic double, `p.value` double")
 
 

