@@ -8,13 +8,13 @@ Execution:
 1. ``person_moments``: one ``groupBy(id)`` of sums of w a^k (k<=4),
    w a^k y (k<=2), w y^2, n, ln w and the person's covariates. The panel
    is not read again; the moments are checkpointed (lineage cut).
-2. ``_evaluate``: one ``mapInPandas`` pass scores K candidate covariance
-   parameters at once, vectorized over the persons of each Arrow batch,
+2. ``_evaluate``: one ``mapInPandas`` pass scores candidate covariance
+   parameters, vectorized over the persons of each Arrow batch,
    emitting one partial-sum vector per partition and theta, added up by
    a per-theta ``applyInPandas``.
-3. The driver keeps 3 parameters and p x p matrices: Newton steps on a
-   19-point stencil (gradient and Hessian in one pass), a batched line
-   search in another. The same stencil yields Satterthwaite df.
+3. The driver keeps 3 parameters and p x p matrices. A pass returns the
+   deviance's exact gradient and Hessian beside its value, so a Newton step
+   costs one pass, and the same sums yield the Satterthwaite df.
 """
 
 from __future__ import annotations
@@ -63,9 +63,20 @@ def _lower(theta):
     return t
 
 
-def _partials(batches, design: Design, thetas: np.ndarray, center: float):
-    """mapInPandas body: per batch of persons, for each theta, the sums
-    X'V^-1X, X'V^-1y, y'V^-1y (times sigma^2) and ln|A|."""
+# The relative covariance of a person's effects is psi = T T'. Its three free
+# entries and the directions in which they move it:
+BASIS = np.array([[[1.0, 0], [0, 0]], [[0, 1], [1, 0]], [[0, 0], [0, 1]]])
+PAIRS = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+
+
+def _partials(batches, design: Design, thetas: np.ndarray, center: float, derive: int):
+    """mapInPandas body. For each theta, summed over the partition's persons:
+    the cross products of (X, y) under V^-1 (times sigma^2) and ln|A|; for the
+    first ``derive`` thetas also their first and second derivatives in psi.
+
+    With S = Z'WZ, P = (I + psi S)^-1, B = S P and G = P'Z'W(X, y), a step E of
+    psi changes the cross products by -G'EG and ln|A| by tr(BE); two steps E, F
+    change them by G'(FBE + EBF)G and -tr(BEBF)."""
     p = design.p
     powers = np.array([c.power for c in design.columns])
     acc = None
@@ -74,10 +85,7 @@ def _partials(batches, design: Design, thetas: np.ndarray, center: float):
             continue
         m = len(pdf)
         s = np.stack([pdf[f"s{k}"].to_numpy(float) for k in range(5)], axis=1)
-        S = np.empty((m, 3, 3))
-        for i in range(3):
-            for j in range(3):
-                S[:, i, j] = s[:, i + j]
+        S = s[:, np.arange(3)[:, None] + np.arange(3)[None, :]]
         z = np.stack([pdf[f"z{k}"].to_numpy(float) for k in range(3)], axis=1)
         # centre y to limit cancellation: y* = y - c  (sums shift exactly)
         z = z - center * s[:, 0:3]
@@ -87,29 +95,38 @@ def _partials(batches, design: Design, thetas: np.ndarray, center: float):
         for j, col in enumerate(design.columns):
             C[:, powers[j], j] = coefficient(cols, col)
         Szz = S[:, :2, :2]
-        Sbz = S[:, :, :2]
-        zz = z[:, :2]
+        flat = C.reshape(m * 3, p)
+        plain = np.zeros((p + 1, p + 1))  # cross products without random effects
+        plain[:p, :p] = flat.T @ np.matmul(S, C).reshape(m * 3, p)
+        plain[:p, p] = plain[p, :p] = flat.T @ z.reshape(m * 3)
+        plain[p, p] = yy.sum()
+        U = np.concatenate([np.matmul(S[:, :2, :], C), z[:, :2, None]], axis=2)  # Z'W(X, y): m x 2 x (p + 1)
+        flat_u = U.reshape(m * 2, p + 1)
+        size = [float(pdf["n"].sum()), float(pdf["lw"].sum())]
         out = []
         for t_id, theta in enumerate(thetas):
-            Tm = _lower(theta)
-            A = np.eye(2)[None] + np.matmul(np.matmul(Tm.T[None], Szz), Tm[None])
-            Ainv = np.linalg.inv(A)
-            K = np.matmul(np.matmul(Tm[None], Ainv), Tm.T[None])
-            SK = np.matmul(Sbz, K)
-            M = S - np.matmul(SK, np.transpose(Sbz, (0, 2, 1)))
-            mv = z - np.matmul(SK, zz[:, :, None])[:, :, 0]
-            yq = yy - np.einsum("mi,mij,mj->m", zz, K, zz)
-            # sum_m C_m' M_m C_m as one matmul over the stacked persons
-            MC = np.matmul(M, C)
-            xtx = C.reshape(m * 3, p).T @ MC.reshape(m * 3, p)
-            xty = C.reshape(m * 3, p).T @ mv.reshape(m * 3)
-            ld = np.log(np.linalg.det(A)).sum()
-            out.append(np.concatenate([xtx.ravel(), xty, [yq.sum(), ld, float(pdf["n"].sum()), pdf["lw"].sum()]]))
-        out = np.array(out)
-        acc = out if acc is None else acc + out
+            psi = _lower(theta) @ _lower(theta).T
+            A = np.eye(2)[None] + np.matmul(psi[None], Szz)
+            P = np.linalg.inv(A)
+            value = plain - flat_u.T @ np.matmul(np.matmul(P, psi[None]), U).reshape(m * 2, p + 1)
+            parts = [value.ravel(), [np.log(np.linalg.det(A)).sum()], size]
+            if t_id < derive:
+                B = np.matmul(Szz, P)
+                G = np.matmul(np.transpose(P, (0, 2, 1)), U)
+                G0, G1 = G[:, 0, :], G[:, 1, :]
+                cross = G0.T @ G1
+                parts += [-(G0.T @ G0).ravel(), -(cross + cross.T).ravel(), -(G1.T @ G1).ravel()]
+                parts.append([B[:, 0, 0].sum(), B[:, 0, 1].sum() + B[:, 1, 0].sum(), B[:, 1, 1].sum()])
+                flat_g, BE = G.reshape(m * 2, p + 1), [np.matmul(B, E[None]) for E in BASIS]
+                for i, j in PAIRS:
+                    Q = np.matmul(BASIS[j][None], BE[i]) + np.matmul(BASIS[i][None], BE[j])
+                    parts.append((flat_g.T @ np.matmul(Q, G).reshape(m * 2, p + 1)).ravel())
+                parts.append([-np.einsum("mab,mba->", BE[i], BE[j]) for i, j in PAIRS])
+            out.append(np.concatenate(parts))
+        acc = out if acc is None else [a + b for a, b in zip(acc, out)]
     if acc is not None:
         # one row per theta per partition
-        yield pd.DataFrame({"theta_id": np.arange(len(thetas), dtype="int32"), "vec": list(acc)})
+        yield pd.DataFrame({"theta_id": np.arange(len(thetas), dtype="int32"), "vec": acc})
 
 
 def _sum_vectors(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -119,41 +136,133 @@ def _sum_vectors(pdf: pd.DataFrame) -> pd.DataFrame:
 
 @dataclass
 class Sums:
-    xtx: np.ndarray
-    xty: np.ndarray
-    yty: float
+    """The sums of one theta: cross products of (X, y), ln|A|, observations and
+    ln w; with ``derive`` their derivatives in psi."""
+
+    theta: np.ndarray
+    cross: np.ndarray
     ld: float
     n: float
     lw: float
+    d1: np.ndarray | None = None  # 3 x (p + 1) x (p + 1)
+    ld1: np.ndarray | None = None
+    d2: dict | None = None  # pair -> (p + 1) x (p + 1)
+    ld2: dict | None = None
+
+    @classmethod
+    def of(cls, theta, vec: np.ndarray, p: int) -> "Sums":
+        q = (p + 1) ** 2
+        first = cls(np.array(theta, float), vec[:q].reshape(p + 1, p + 1), vec[q], vec[q + 1], vec[q + 2])
+        if len(vec) > q + 3:
+            rest = vec[q + 3 :]
+            first.d1, first.ld1 = rest[: 3 * q].reshape(3, p + 1, p + 1), rest[3 * q : 3 * q + 3]
+            rest = rest[3 * q + 3 :]
+            first.d2 = {pair: rest[k * q : (k + 1) * q].reshape(p + 1, p + 1) for k, pair in enumerate(PAIRS)}
+            first.ld2 = dict(zip(PAIRS, rest[len(PAIRS) * q :]))
+        return first
+
+    @property
+    def p(self) -> int:
+        return len(self.cross) - 1
+
+    @property
+    def xtx(self) -> np.ndarray:
+        return self.cross[:-1, :-1]
+
+    @property
+    def xty(self) -> np.ndarray:
+        return self.cross[:-1, -1]
 
     def keep(self, kept: list[int]) -> "Sums":
         """The same sums for some of the design's columns."""
-        return Sums(self.xtx[np.ix_(kept, kept)], self.xty[kept], self.yty, self.ld, self.n, self.lw)
+        both = np.ix_([*kept, self.p], [*kept, self.p])
+        return Sums(self.theta, self.cross[both], self.ld, self.n, self.lw,
+                    None if self.d1 is None else np.stack([d[both] for d in self.d1]), self.ld1,
+                    None if self.d2 is None else {k: d[both] for k, d in self.d2.items()}, self.ld2)
 
     def profile(self):
         """beta, penalized RSS r2 and the ML deviance at this theta."""
         L = np.linalg.cholesky(self.xtx)
         beta = np.linalg.solve(self.xtx, self.xty)
-        r2 = self.yty - float(self.xty @ beta)
+        r2 = self.cross[-1, -1] - float(self.xty @ beta)
         dev = self.ld - self.lw + self.n * (1 + math.log(2 * math.pi * r2 / self.n))
         return beta, r2, dev, L
 
+    def derivatives(self) -> "Derivatives":
+        """Of ln|A|, r2 and X'V^-1X in theta, beta profiled out."""
+        beta, r2, _, _ = self.profile()
+        b = np.append(-beta, 1.0)  # r2 = b' cross b
+        v = self.d1 @ b  # row k: the derivative of the cross products, times b
+        inverse = np.linalg.inv(self.xtx)
+        r2_1 = v @ b
+        r2_2, ld_2 = np.zeros((3, 3)), np.zeros((3, 3))
+        for i, j in PAIRS:
+            moved = 2 * float(v[i, :-1] @ inverse @ v[j, :-1])  # beta moves with psi
+            r2_2[i, j] = r2_2[j, i] = float(b @ self.d2[i, j] @ b) - moved
+            ld_2[i, j] = ld_2[j, i] = self.ld2[i, j]
+        t00, t10, t11 = self.theta
+        J = np.array([[2 * t00, 0, 0], [t10, t00, 0], [0, 2 * t10, 2 * t11]])  # of psi in theta
+        bend = np.array([np.diag([2.0, 0, 0]), [[0, 1.0, 0], [1, 0, 0], [0, 0, 0]], np.diag([0, 2.0, 2.0])])
+
+        def chain(first, second):
+            return J.T @ first, J.T @ second @ J + np.tensordot(first, bend, axes=1)
+
+        xtx_1 = np.tensordot(J.T, self.d1[:, :-1, :-1], axes=1)
+        return Derivatives(r2, self.n, *chain(self.ld1, ld_2), *chain(r2_1, r2_2), xtx_1, inverse)
+
 
-def _evaluate(moments: DataFrame, design: Design, thetas, center: float) -> list[Sums]:
+@dataclass
+class Derivatives:
+    r2: float
+    n: float
+    ld1: np.ndarray
+    ld2: np.ndarray
+    r1: np.ndarray
+    r2_2: np.ndarray
+    xtx1: np.ndarray  # 3 x p x p
+    inverse: np.ndarray  # of X'V^-1X
+
+    def of_deviance(self) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and Hessian of the profiled deviance in theta."""
+        share = self.n / self.r2
+        return self.ld1 + share * self.r1, self.ld2 + share * (self.r2_2 - np.outer(self.r1, self.r1) / self.r2)
+
+    def satterthwaite(self) -> np.ndarray:
+        """lmerTest's degrees of freedom of each coefficient (ML), from the
+        deviance as a function of (theta, sigma) with beta profiled out and the
+        coefficients' covariance sigma^2 (X'V^-1X)^-1, all in closed form."""
+        s2 = self.r2 / self.n
+        sigma = math.sqrt(s2)
+        H = np.zeros((4, 4))
+        H[:3, :3] = self.ld2 + self.r2_2 / s2
+        H[:3, 3] = H[3, :3] = -2 * self.r1 / sigma**3
+        H[3, 3] = 6 * self.r2 / sigma**4 - 2 * self.n / s2
+        p = len(self.inverse)
+        try:
+            A = 2 * np.linalg.inv(H)
+        except np.linalg.LinAlgError:
+            return np.full(p, np.nan)
+        df = np.zeros(p)
+        moved = [self.inverse @ d @ self.inverse for d in self.xtx1]
+        for j in range(p):
+            variance = s2 * self.inverse[j, j]
+            g = np.array([*[-s2 * m[j, j] for m in moved], 2 * variance / sigma])
+            spread = float(g @ A @ g)
+            df[j] = 2 * variance * variance / spread if spread > 0 else np.nan
+        return df
+
+
+def _evaluate(moments: DataFrame, design: Design, thetas, center: float, derive: int = 0) -> list[Sums]:
     """One pass: each partition emits one partial-sum vector per theta; a
     per-theta ``applyInPandas`` adds them (a group holds one row per
     partition, bounded by the partition count, not by the data), so one
     row per theta reaches the driver."""
     thetas = np.asarray(thetas, float).reshape(-1, 3)
-    p = design.p
-    L = p * p + p + 4
     schema = T.StructType([T.StructField("theta_id", T.IntegerType()), T.StructField("vec", T.ArrayType(T.DoubleType()))])
-    part = moments.mapInPandas(lambda it: _partials(it, design, thetas, center), schema)
+    part = moments.mapInPandas(lambda it: _partials(it, design, thetas, center, derive), schema)
     red = part.groupBy("theta_id").applyInPandas(_sum_vectors, schema)
-    vecs = np.zeros((len(thetas), L))
-    for r in red.collect():
-        vecs[r["theta_id"]] = r["vec"]
-    return [Sums(v[: p * p].reshape(p, p), v[p * p: p * p + p], v[-4], v[-3], v[-2], v[-1]) for v in vecs]
+    found = {r["theta_id"]: np.array(r["vec"]) for r in red.collect()}
+    return [Sums.of(theta, found[i], design.p) for i, theta in enumerate(thetas)]
 
 
 def independent_columns(xtx: np.ndarray, tolerance: float = 1e-10) -> list[int]:
@@ -177,41 +286,6 @@ def independent_columns(xtx: np.ndarray, tolerance: float = 1e-10) -> list[int]:
 
 # ---- optimizer -----------------------------------------------------------------
 
-def _stencil(theta, h):
-    pts = [np.array(theta, float)]
-    for i in range(3):
-        for sgn in (1, -1):
-            e = np.array(theta, float)
-            e[i] += sgn * h
-            pts.append(e)
-    for i in range(3):
-        for j in range(i + 1, 3):
-            for si in (1, -1):
-                for sj in (1, -1):
-                    e = np.array(theta, float)
-                    e[i] += si * h
-                    e[j] += sj * h
-                    pts.append(e)
-    return np.array(pts)
-
-
-def _grad_hess(values, h):
-    f0 = values[0]
-    g = np.zeros(3)
-    H = np.zeros((3, 3))
-    for i in range(3):
-        fp, fm = values[1 + 2 * i], values[2 + 2 * i]
-        g[i] = (fp - fm) / (2 * h)
-        H[i, i] = (fp - 2 * f0 + fm) / (h * h)
-    k = 7
-    for i in range(3):
-        for j in range(i + 1, 3):
-            fpp, fpm, fmp, fmm = values[k: k + 4]
-            H[i, j] = H[j, i] = (fpp - fpm - fmp + fmm) / (4 * h * h)
-            k += 4
-    return g, H
-
-
 @dataclass
 class FittedMixedModel:
     name: str
@@ -228,6 +302,8 @@ class FittedMixedModel:
     dropped: list = field(default_factory=list)
     weights: str | None = None
     converged: bool = True
+    decrement: float = float("nan")  # of the deviance, by another Newton step
+    curvature: float = float("nan")  # least eigenvalue of the deviance's Hessian in theta
 
     @property
     def p(self):
@@ -243,17 +319,17 @@ def fit_lmm(moments: DataFrame, design: Design, name: str = "model", weights: st
             max_iter: int = 30, start=None) -> FittedMixedModel:
     """M2/M3: ML fit from person moments (checkpointed by the caller).
 
-    Each pass evaluates the 19-point stencil at the proposed theta (giving
-    the deviance, gradient and Hessian there) plus backtracking points on
-    the segment from the current theta, so an accepted Newton step costs
-    one pass. The sign of the last parameter is free; t00, t11 >= 0.
+    A pass gives the deviance with its exact gradient and Hessian at the
+    proposed theta, so an accepted Newton step costs one pass, and the pass of
+    the last step gives the estimates, their covariance and the Satterthwaite
+    df. Where a step fails, one pass scores shorter ones. The sign of the last
+    parameter is free; t00, t11 >= 0.
     """
     agg = moments.agg(F.sum("n").alias("n"), F.sum("z0").alias("z0"), F.sum("s0").alias("s0"),
                       F.count(F.lit(1)).alias("persons"), F.max("_nonconstant").alias("nc")).first()
     if agg["nc"]:
         raise ValueError("person covariates vary within a person; resolve invariants first")
     center = agg["z0"] / agg["s0"]
-    h = 1e-4
     backs = np.array([0.5, 0.25, 0.1, 0.02])
 
     def dev_of(sums):
@@ -272,104 +348,90 @@ def fit_lmm(moments: DataFrame, design: Design, name: str = "model", weights: st
         return st * (radius / norm) if norm > radius else st
 
     theta = np.array(start if start is not None else [1.0, 0.0, 1.0], float)
-    sums = _evaluate(moments, design, _stencil(theta, h), center)
+    [sums] = _evaluate(moments, design, theta, center, 1)
     passes = 1
     # V is positive definite, so X'V^-1X has the rank of X
-    kept = independent_columns(sums[0].xtx)
+    kept = independent_columns(sums.xtx)
     if len(kept) < design.p:
         design = Design([design.columns[j] for j in kept],
                         [*design.dropped, *[c.name for j, c in enumerate(design.columns) if j not in kept]])
-        sums = [s.keep(kept) for s in sums]
-    vals = np.array([dev_of(x) for x in sums])
-    if not np.isfinite(vals).all():
+        sums = sums.keep(kept)
+    f = dev_of(sums)
+    if not np.isfinite(f):
         raise ValueError(f"{name}: the deviance isn't finite at the start; is the outcome or a weight degenerate?")
-    g, H = _grad_hess(vals, h)
-    f = vals[0]
     radius = 1.0
     converged = False
-    for _ in range(max_iter):
+    while True:
+        found = sums.derivatives()
+        g, H = found.of_deviance()
         step = newton(g, H, np.inf)
-        # the deviance that a full Newton step would still gain
-        if abs(float(g @ step)) < 1e-8:
-            converged = True
+        decrement = abs(float(g @ step))  # the deviance that a full Newton step would still gain
+        # below rounding of the deviance nothing can be gained
+        converged = decrement < max(1e-11, 1e-15 * abs(f))
+        if converged or radius < 1e-9 or passes > max_iter:
             break
-        if radius < 1e-9:
-            break  # no step improves the deviance, yet the gradient isn't zero
         step = newton(g, H, radius)
-        cand = theta + step
-        pts = np.vstack([_stencil(cand, h), theta[None, :] + backs[:, None] * step[None, :]])
-        res = np.array([dev_of(x) for x in _evaluate(moments, design, pts, center)])
+        [ahead] = _evaluate(moments, design, theta + step, center, 1)
         passes += 1
-        if res[0] < f:
-            theta, f = cand, res[0]
-            g, H = _grad_hess(res[:19], h)
+        value = dev_of(ahead)
+        if value < f + 1e-13 * abs(f):
+            theta, f, sums = theta + step, value, ahead
             if np.linalg.norm(step) >= 0.99 * radius:
                 radius *= 4
             continue
-        tail = res[19:]
-        best = int(np.argmin(tail))
-        radius = (backs[best] if tail[best] < f else backs[-1] / 5) * np.linalg.norm(step)
+        values = [dev_of(x) for x in _evaluate(moments, design, theta[None, :] + backs[:, None] * step[None, :], center)]
+        passes += 1
+        best = int(np.argmin(values))
+        radius = (backs[best] if values[best] < f else backs[-1] / 5) * np.linalg.norm(step)
     if theta[0] < 0:
         theta[0], theta[1] = -theta[0], -theta[1]
     theta[2] = abs(theta[2])
-    # final stencil at the optimum: estimates, vcov and Satterthwaite df
-    hs = 1e-3
-    sums = _evaluate(moments, design, _stencil(theta, hs), center)
-    passes += 1
-    beta, r2, dev, _ = sums[0].profile()
-    n = sums[0].n
+    beta, r2, dev, _ = sums.profile()
+    n = sums.n
     sigma2 = r2 / n
-    sigma = math.sqrt(sigma2)
-    vcov = sigma2 * np.linalg.inv(sums[0].xtx)
     beta = beta.copy()
     beta[0] += center
-    df = _satterthwaite(sums, hs, sigma, n, vcov)
     if not converged:
         warnings.warn(f"{name} did not converge in {passes} passes; its tables say so", stacklevel=2)
-    return FittedMixedModel(name, design.names, beta, vcov, theta, sigma2, float(dev), int(n), int(agg["persons"]), df, passes,
-                            design.dropped, weights, converged)
+    return FittedMixedModel(name, design.names, beta, sigma2 * found.inverse, theta, sigma2, float(dev), int(n), int(agg["persons"]),
+                            found.satterthwaite(), passes, design.dropped, weights, converged, decrement,
+                            float(np.linalg.eigvalsh(H).min()))
 
 
 def at_theta(moments: DataFrame, design: Design, theta, name: str = "model", weights: str | None = None) -> FittedMixedModel:
-    """The model at given covariance parameters: estimates, residual variance
-    and deviance by one pass, without a search (``df`` is unknown)."""
-    [sums] = _evaluate(moments, design, [theta], 0.0)
+    """The model at given covariance parameters: estimates, residual variance,
+    deviance and df by one pass, without a search."""
+    sums = derivatives_at(moments, design, theta)
     beta, r2, dev, _ = sums.profile()
+    found = sums.derivatives()
     sigma2 = r2 / sums.n
     persons = moments.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    return FittedMixedModel(name, design.names, beta, sigma2 * np.linalg.inv(sums.xtx), np.asarray(theta, float), sigma2, float(dev),
-                            int(sums.n), int(persons), np.full(design.p, np.inf), 1, design.dropped, weights)
-
-
-def _satterthwaite(sums, h, sigma, n, vcov):
-    """lmerTest's Satterthwaite df for each coefficient (ML): the deviance
-    as a function of (theta, sigma) with beta profiled out; derivatives in
-    theta from the stencil, in sigma analytically."""
-    ld = np.array([s.ld for s in sums])
-    r2 = np.array([s.profile()[1] for s in sums])
-    g_ld, H_ld = _grad_hess(ld, h)
-    g_r2, H_r2 = _grad_hess(r2, h)
-    s2 = sigma * sigma
-    H = np.zeros((4, 4))
-    H[:3, :3] = H_ld + H_r2 / s2
-    H[:3, 3] = H[3, :3] = -2 * g_r2 / (sigma ** 3)
-    H[3, 3] = 6 * r2[0] / sigma ** 4 - 2 * n / s2
-    try:
-        A = 2 * np.linalg.inv(H)
-    except np.linalg.LinAlgError:
-        return np.full(vcov.shape[0], np.nan)
-    inv = [np.linalg.inv(s.xtx) for s in sums[1:7]]
-    p = vcov.shape[0]
-    df = np.zeros(p)
-    for j in range(p):
-        f = vcov[j, j]
-        g = np.zeros(4)
-        for i in range(3):
-            g[i] = s2 * (inv[2 * i][j, j] - inv[2 * i + 1][j, j]) / (2 * h)
-        g[3] = 2 * f / sigma
-        den = float(g @ A @ g)
-        df[j] = 2 * f * f / den if den > 0 else np.nan
-    return df
+    return FittedMixedModel(name, design.names, beta, sigma2 * found.inverse, np.asarray(theta, float), sigma2, float(dev),
+                            int(sums.n), int(persons), found.satterthwaite(), 1, design.dropped, weights)
+
+
+def derivatives_at(moments: DataFrame, design: Design, theta) -> Sums:
+    [sums] = _evaluate(moments, design, [theta], 0.0, 1)
+    return sums
+
+
+def gradient_table(spark: SparkSession, models: dict[str, Sums]) -> DataFrame:
+    """(model, i, j, gradient, hessian): the deviance's derivatives in theta at
+    given covariance parameters, per observation."""
+    rows = []
+    for name, sums in models.items():
+        g, H = sums.derivatives().of_deviance()
+        rows += [(name, i, j, float(g[i] / sums.n), float(H[i, j] / sums.n)) for i in range(3) for j in range(3)]
+    return spark.createDataFrame(rows, "model string, i int, j int, gradient double, hessian double")
+
+
+def certificate(spark: SparkSession, fits: list[FittedMixedModel], tolerance: float = 1e-8) -> DataFrame:
+    """One row per fit: whether its optimum is certified, i.e. another Newton
+    step would change the deviance by less than ``tolerance`` and the Hessian
+    is positive definite."""
+    rows = [(f.name, f.n_obs, f.n_persons, bool(f.converged), bool(f.decrement < tolerance), bool(f.curvature > 0)) for f in fits]
+    schema = "model string, n_person_waves long, n_persons long, converged boolean, gradient_is_zero boolean, hessian_is_positive boolean"
+    return spark.createDataFrame(rows, schema)
 
 
 # ---- result tables (M4-M10) ----------------------------------------------------
