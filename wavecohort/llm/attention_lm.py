@@ -65,20 +65,20 @@ class LmSettings:
     tokenizer: str
     modulus: int = 7
     held_out: int = 2  # documents with this remainder don't train
-    block_words: int = 150_000  # distinct words of a block, and its documents
+    block_words: int = 200_000  # words of a block that are new to its worker
     block_documents: int = 4096
-    block_tokens: int = 2_000_000
+    block_tokens: int = 1_500_000
     frequent: int = 20_000
-    groups: int = 48
-    members: int = 48
+    groups: int = 32
+    members: int = 72
     shared: int = 100  # classes of many rare ids
     width: int = 16
     hidden: int = 32
     window: int = 32
-    stride: int = 24
+    stride: int = 28
     rounds: int = 4
-    batch: int = 128  # windows a step
-    rate: float = 0.015
+    batch: int = 256  # windows a step
+    rate: float = 0.02
     decay: float = 0.7  # of the rate from round to round
     seed: int = 11
 
@@ -90,39 +90,63 @@ class LmSettings:
 # ---- blocks of documents --------------------------------------------------------
 
 
-class _Numbers(dict):
-    """word -> its number in the block."""
+class WordIds(dict):
+    """word -> its code, for the words a worker has met; the subword ids of the
+    word with code c are ``flat[starts[c]:starts[c] + lengths[c]]``.
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
-
-
-class _WordIds:
-    """word -> its subword ids, for the words a worker has met; bounded."""
+    A word's ids are the tokenizer's merges of the whole word with a space
+    before it. Beyond ``keep`` words a block starts with an empty list, which
+    changes the speed and never the ids."""
 
     def __init__(self, path: str, keep: int = 400_000):
-        self.pieces, self.keep, self.ids = piece_cache(path), keep, {}
+        super().__init__()
+        self.pieces, self.keep = piece_cache(path), keep
         self.size = self.pieces.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = id_type(self.size + 1)
+        self.forget()
 
-    def of(self, words: list[bytes]) -> list[bytes]:
-        if len(self.ids) > self.keep:
-            self.ids = {}
-        new = [w for w in words if w not in self.ids]
-        for a in range(0, len(new), 20_000):
-            some = new[a : a + 20_000]
-            for word, ids in zip(some, self.pieces.encode([" " + w.decode() for w in some])):
-                self.ids[word] = np.frombuffer(ids, dtype="<u4").astype(self.kind).tobytes()
-        return list(map(self.ids.__getitem__, words))
+    def forget(self) -> None:
+        self.clear()
+        self.words: list[bytes] = []
+        self.flat = np.zeros(0, dtype=self.kind)
+        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
-
-def word_ids(path: str) -> _WordIds:
-    return worker_cache("lm-words:" + path, lambda: _WordIds(path))
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self.words)
+        self.words.append(word)
+        return code
+
+    def learn(self) -> None:
+        """The ids of the words met since the last call."""
+        new = [" " + w.decode() for w in self.words[len(self.starts) :]]
+        flats, starts = [self.flat], [self.starts]
+        at = len(self.flat)
+        for a in range(0, len(new), 5000):
+            [got] = self.pieces.cut.encode_batch_fast([new[a : a + 5000]], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(got.ids, dtype=self.kind)
+            flats.append(ids)
+            starts.append(at + np.flatnonzero(self.pieces.spaced[ids]))  # a word's first id starts with the space
+            at += len(ids)
+        self.flat, self.starts = np.concatenate(flats), np.concatenate(starts)
+        self.lengths = np.diff(self.starts, append=at)
+
+    def spell(self, codes: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The ids of texts of ``counts`` words each, laid end to end."""
+        lengths = self.lengths[codes]
+        ends = np.cumsum(lengths)
+        index = np.arange(ends[-1] if len(ends) else 0)
+        index += np.repeat(self.starts[codes] - ends + lengths, lengths)
+        raw, cuts = self.flat[index].tobytes(), np.append(0, np.append(0, ends)[np.cumsum(counts)])
+        width = self.flat.itemsize
+        return [raw[a * width : b * width] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
+def word_ids(path: str) -> WordIds:
+    return worker_cache("lm-words:" + path, lambda: WordIds(path))
 
 
 BLOCKS = (
-    "block long, doc_id long, held_out boolean, numbers binary, ids binary, words array<string>, counts array<long>, part int"
+    "block long, doc_id long, held_out boolean, numbers binary, ids binary, words array<binary>, counts array<long>, part int"
 )
 WORDS, HELD_OUT = -1, -2  # parts that aren't training rounds
 
@@ -138,33 +162,44 @@ def lay_blocks(docs: DataFrame, settings: LmSettings) -> DataFrame:
     def lay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        cache = word_ids(settings.tokenizer)
+        known = word_ids(settings.tokenizer)
         block = TaskContext.get().partitionId() << 32
-        turn, numbers, rows, tokens = 0, _Numbers(), [], 0
+        turn, first, rows, tokens = 0, len(known), [], 0
 
         def flush():
-            words = list(numbers)
-            pieces, counts, out = cache.of(words), np.zeros(len(words), dtype=np.int64), []
-            for doc_id, held_out, found, part in rows:
-                if not held_out:
-                    counts += np.bincount(found, minlength=len(words))
-                ids = b"".join(map(pieces.__getitem__, found.tolist()))
-                out.append((block, doc_id, held_out, found.tobytes(), ids, None, None, part))
-            out.append((block, None, None, None, None, [w.decode() for w in words], counts, WORDS))
+            known.learn()
+            codes, lengths = np.concatenate([r[2] for r in rows]), np.array([len(r[2]) for r in rows])
+            # the block's own numbers of its words, in order of their codes
+            number = np.zeros(len(known.words), dtype="<i4")
+            number[codes] = 1
+            words = np.flatnonzero(number)
+            number[words] = np.arange(len(words))
+            numbers = number[codes]
+            training = np.repeat(np.array([not r[1] for r in rows]), lengths)
+            counts = np.bincount(numbers[training], minlength=len(words))
+            cuts = np.append(0, np.cumsum(lengths)).tolist()
+            out = [
+                (block, doc_id, held_out, numbers[a:b].tobytes(), ids, None, None, part)
+                for (doc_id, held_out, _, part), a, b, ids in zip(rows, cuts, cuts[1:], known.spell(codes, lengths))
+            ]
+            out.append((block, None, None, None, None, list(map(known.words.__getitem__, words.tolist())), counts, WORDS))
+            if len(known.words) > known.keep:
+                known.forget()
             return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "held_out": "boolean"})
 
         for pdf in batches:
             for doc_id, held_out, text in zip(pdf["doc_id"].astype("Int64"), pdf["held_out"], pdf["text"]):
                 words = (text or "").encode().lower().split()  # bytes: lower-cases A-Z, splits at the six bytes
-                found = np.fromiter(map(numbers.__getitem__, words), dtype="<i4", count=len(words))
+                found = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
                 part = HELD_OUT if held_out else turn % settings.rounds
                 turn += 1
                 rows.append((None if doc_id is pd.NA else int(doc_id), bool(held_out), found, part))
                 tokens += len(words)
-                full = len(numbers) >= settings.block_words or len(rows) >= settings.block_documents
+                # words new to the worker bound those new to the block
+                full = len(known) - first >= settings.block_words or len(rows) >= settings.block_documents
                 if full or tokens >= settings.block_tokens:
                     yield flush()
-                    block, numbers, rows, tokens = block + 1, _Numbers(), [], 0
+                    block, first, rows, tokens = block + 1, len(known), [], 0
         if rows:
             yield flush()
 
@@ -415,7 +450,8 @@ def gradients(p: Parameters, inputs: np.ndarray, targets: np.ndarray, counted: n
     ds -= (ds * s) @ np.ones((w, 1), dtype=np.float32)
     ds *= s
     ds *= np.float32(d**-0.5)
-    dqkv = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, dv], axis=-1)
+    dqkv = np.empty((*x.shape[:2], 3 * d), dtype=np.float32)
+    dqkv[..., :d], dqkv[..., d : 2 * d], dqkv[..., 2 * d :] = ds @ k, ds.transpose(0, 2, 1) @ q, dv
     out.qkv[:] = _flat(x).T @ _flat(dqkv)
     dx = dy + dqkv @ p.qkv.T
     out.place[:w] = dx.sum(axis=0)
