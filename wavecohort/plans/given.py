@@ -83,14 +83,18 @@ class AtGivenCoefficients(Study):
 
     # ---- Model 0 at given covariance parameters ------------------------------------
     @cached_property
-    def growth(self):
-        """Model 0 at two given thetas, and weighted at the first one."""
+    def growth_cases(self):
+        """Model 0 at two given thetas, and weighted at the first one: name ->
+        (moments, design, theta)."""
         design = DS.expand(DS.MODEL_TERMS["Model 0"])
         plain = M.person_moments(self.analysis, spec=self.spec)
         weight = 0.5 + F.pmod(F.col(self.spec.id) + F.col(self.spec.wave), F.lit(5)) / 4.0
         weighted = M.person_moments(self.analysis.withColumn("w", weight), weight="w", spec=self.spec)
-        return [M.at_theta(plain, design, THETA, "plain"), M.at_theta(plain, design, THETA_2, "second"),
-                M.at_theta(weighted, design, THETA, "weighted", "w")]
+        return {"plain": (plain, design, THETA), "second": (plain, design, THETA_2), "weighted": (weighted, design, THETA)}
+
+    @cached_property
+    def growth(self):
+        return [M.at_theta(*given, name, "w" if name == "weighted" else None) for name, given in self.growth_cases.items()]
 
     def _growth_table(self, fn):
         out = None
@@ -101,7 +105,12 @@ class AtGivenCoefficients(Study):
 
     @cached_property
     def growth_fixed(self):
-        return self._growth_table(M.fixed_effects).drop("df", "converged")
+        return self._growth_table(M.fixed_effects).drop("converged")
+
+    @cached_property
+    def growth_gradient(self):
+        """The deviance's derivatives in the covariance parameters."""
+        return M.gradient_table(self.spark, {name: M.derivatives_at(*given) for name, given in self.growth_cases.items()})
 
     @cached_property
     def growth_varcomp(self):

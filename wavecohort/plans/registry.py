@@ -225,7 +225,9 @@ _register_given("given_contrasts", lambda g: g.clinical_contrasts,
 _register_given("given_contrasts_formatted", lambda g: _V.format_contrasts(g.clinical_contrasts))
 _register_given("given_trajectories", lambda g: g.trajectories, _PRED)
 _register_given("given_trajectory_range", lambda g: g.trajectory_range, ("min_predicted", "max_predicted"))
-_register_given("growth_fixed", lambda g: g.growth_fixed, _EST + ("statistic",))
+_register_given("growth_fixed", lambda g: g.growth_fixed, _EST + ("statistic", "df"))
+_register_given("growth_gradient", lambda g: g.growth_gradient, ("gradient", "hessian"))
+register("lmm_certificate", lambda s: s.lmm_certificate, "lmm_certificate")
 _register_given("growth_varcomp", lambda g: g.growth_varcomp, ("variance_or_covariance", "sd_or_correlation"))
 _register_given("growth_fit", lambda g: g.growth_fit, ("aic", "bic", "log_likelihood", "deviance"))
 _register_given("growth_icc", lambda g: g.growth_icc, ("chronological_age", "age_c65", "between_person_variance", "residual_variance", "icc"))

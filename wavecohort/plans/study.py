@@ -416,6 +416,11 @@ class Study:
             out = d if out is None else out.unionByName(d)
         return out
 
+    @cached_property
+    def lmm_certificate(self):
+        """Whether every model's optimum is certified."""
+        return M.certificate(self.spark, self.fit_all(DS.MODEL_NAMES))
+
     def fixed_effects(self, models=("Model 0", "Model 1", "Model 2"), phase5: bool = False):
         return self._stack(M.fixed_effects, models, phase5)
 
