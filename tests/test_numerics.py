@@ -76,7 +76,7 @@ def test_loess_band_matches_the_smoother_matrix(study):
     from wavecohort.functions import dist
 
     raw = study.analysis.select("menopause_group", "chronological_age", "cognitive_score").toPandas()
-    curve = study.loess_curve.toPandas()
+    curve = study.loess_band.toPandas()
     g = "6.Surgical"
     d = raw[(raw.menopause_group == g) & (raw.chronological_age >= 50) & raw.cognitive_score.between(0, 27)]
     x, y = d.chronological_age.to_numpy(float), d.cognitive_score.to_numpy(float)
@@ -152,3 +152,58 @@ def test_marginal_mean_is_average_of_person_predictions(study):
             pred = pred + term
         avg = cov.agg(F.avg(pred)).first()[0]
         assert abs(avg - mm[(age, group)]) < 1e-9
+
+
+def test_loess_on_continuous_x(spark):
+    """No rounding: exact and blended fits at unrounded x, two groups of very
+    different sizes, against a direct computation."""
+    from wavecohort.operators import describe as D
+
+    draw = np.random.default_rng(4)
+    rows = [("a", float(x), float(y)) for x, y in zip(draw.uniform(50, 90, 600), draw.uniform(0, 27, 600))]
+    rows += [("b", float(x), float(y)) for x, y in zip(np.repeat(draw.uniform(55, 70, 20), 3), draw.uniform(0, 27, 60))]
+    df = spark.createDataFrame(rows, "menopause_group string, chronological_age double, cognitive_score double").repartition(5)
+
+    def fit(x, y, x0):
+        dist = np.abs(x - x0)
+        h = np.sort(dist)[int(0.75 * len(x)) - 1]
+        w = np.where(dist < h, (1 - (dist / h) ** 3) ** 3, 0.0)
+        X = np.column_stack([np.ones_like(x), x - x0, (x - x0) ** 2])
+        return np.linalg.solve(X.T @ (w[:, None] * X), X.T @ (w * y))[:2]
+
+    borders = D.cell_borders(D._loess_points(df, "chronological_age", "cognitive_score", "menopause_group", 50, (0, 27)), 0.75)
+    exact, blended = D.loess_curve(df).toPandas(), D.loess_curve(df, surface="interpolate").toPandas()
+    for g in "ab":
+        x, y = (np.array([r[i] for r in rows if r[0] == g]) for i in (1, 2))
+        b = np.array(borders[g])
+        assert 5 <= len(b) <= 18 and b[0] < x.min() and b[-1] > x.max()
+        inside = np.histogram(x, b)[0]
+        assert inside.max() <= 0.15 * len(x) + (2 if g == "b" else 0)
+        at = [fit(x, y, v) for v in b]
+        for _, row in exact[exact.menopause_group == g].iloc[::13].iterrows():
+            assert abs(fit(x, y, row.chronological_age)[0] - row["fit"]) < 1e-7
+        for _, row in blended[blended.menopause_group == g].iloc[::13].iterrows():
+            k = np.searchsorted(b, row.chronological_age, side="right") - 1
+            w = b[k + 1] - b[k]
+            t = (row.chronological_age - b[k]) / w
+            want = ((1 - t) ** 2 * (1 + 2 * t) * at[k][0] + t * t * (3 - 2 * t) * at[k + 1][0]
+                    + w * (t * (1 - t) ** 2 * at[k][1] - t * t * (1 - t) * at[k + 1][1]))
+            assert abs(want - row["fit"]) < 1e-7
+
+
+def test_quantiles_by_group(spark):
+    """Groups of one value, of ties, and one that holds most rows."""
+    from wavecohort.functions.quantile import quantiles_by_group
+
+    draw = np.random.default_rng(5)
+    values = {"one": [3.0], "ties": [2.0] * 50 + [7.0], "hot": list(draw.normal(size=4000)), "two": [1.0, 2.0]}
+    rows = [(g, i % 2, float(v)) for g, vs in values.items() for i, v in enumerate(vs)] + [("none", 0, None), ("hot", 0, float("nan"))]
+    df = spark.createDataFrame(rows, "g string, h int, v double").repartition(6)
+    got = {(r.g, r.h): r for r in quantiles_by_group(df, ["g", "h"], "v", {"a": 0.01, "m": 0.5, "z": 1.0}).collect()}
+    for g, vs in values.items():
+        for h in (0, 1):
+            x = np.array(vs[h::2])
+            assert ((g, h) in got) == bool(len(x))
+            if len(x):
+                assert got[g, h].n == len(x) and np.allclose([got[g, h][c] for c in "amz"], np.quantile(x, [0.01, 0.5, 1.0]), atol=1e-12)
+    assert ("none", 0) not in got

@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -64,3 +64,94 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[flo
     for (part, place), rank in wanted.items():
         at[rank] = next(r["_x"] for r in found if r["_part"] == part and r["_upto"] - r["_c"] <= place < r["_upto"])
     return [at[low] + w * (at[high] - at[low]) for low, high, w in ranks]
+
+
+# ---- by group ------------------------------------------------------------------------
+
+
+class RankedValues:
+    """The values of a column by group, counted (a row stands for ``count``
+    values where that is given), in ranges of (group, value).
+
+    One range partitioning serves any number of groups and ranks: a group of
+    any size is spread over ranges, many small groups share one. What a search
+    needs of a group is one row per range that it touches."""
+
+    def __init__(self, df: DataFrame, groups: Sequence[str], col: str, count: str | None = None):
+        self.groups = list(groups)
+        number = F.lit(1).cast("long") if count is None else F.col(count).cast("long")
+        values = df.select(*[F.col(g) for g in self.groups], F.col(col).cast("double").alias("_x"), number.alias("_k"))
+        values = values.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+        counts = values.groupBy(*self.groups, "_x").agg(F.sum("_k").alias("_c"))
+        ranged = counts.repartitionByRange(*[F.col(g) for g in self.groups], F.col("_x"))
+        self.ranged = materialize(ranged.withColumn("_part", F.spark_partition_id()))
+        within = Window.partitionBy(*self.groups).orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)
+        parts = self.ranged.groupBy(*self.groups, "_part").agg(F.sum("_c").alias("_n"), F.min("_x").alias("_low"))
+        self.parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+
+    def sizes(self) -> DataFrame:
+        """(groups, n) of every group with a value."""
+        return self.parts.groupBy(*self.groups).agg(F.sum("_n").alias("n"))
+
+    def at(self, wanted: DataFrame, rank: str = "rank") -> DataFrame:
+        """``wanted`` (groups, ``rank`` from 0, and more) with the value at that
+        rank (_x) and how many values are not above it (_upto)."""
+        near = wanted.join(self.parts, self.groups).where((F.col(rank) >= F.col("_before")) & (F.col(rank) < F.col("_before") + F.col("_n")))
+        near = near.drop("_n", "_low")
+        touched = near.select(*self.groups, "_part").distinct()
+        upto = F.sum("_c").over(Window.partitionBy("_part", *self.groups).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
+        inside = self.ranged.join(touched, [*self.groups, "_part"], "left_semi").withColumn("_upto", upto)
+        found = near.join(inside, [*self.groups, "_part"])
+        place = F.col(rank) - F.col("_before")
+        found = found.where((place < F.col("_upto")) & (place >= F.col("_upto") - F.col("_c")))
+        return found.withColumn("_upto", F.col("_upto") + F.col("_before")).drop("_part", "_before", "_c")
+
+
+def quantiles_by_group(df: DataFrame, groups: Sequence[str], col: str, probs: dict[str, float]) -> DataFrame:
+    """A12 by group: one row per group with its number of values and, for every
+    name in ``probs``, the exact type-7 quantile. Groups must not be null."""
+    values = RankedValues(df, groups, col)
+    sizes = values.sizes()
+    listed = F.array(*[F.struct(F.lit(name).alias("_name"), F.lit(p).alias("_p")) for name, p in probs.items()])
+    place = sizes.select(*groups, "n", F.inline(listed)).withColumn("_h", (F.col("n") - 1) * F.col("_p"))
+    low = F.floor("_h").cast("long")
+    ends = F.array(F.struct(low.alias("rank"), (1 - (F.col("_h") - low)).alias("_w")),
+                   F.struct(F.least(low + 1, F.col("n") - 1).alias("rank"), (F.col("_h") - low).alias("_w")))
+    found = values.at(place.select(*groups, "n", "_name", F.inline(ends)))
+    quantile = [F.sum(F.when(F.col("_name") == name, F.col("_w") * F.col("_x"))).alias(name) for name in probs]
+    return found.groupBy(*groups, "n").agg(*quantile)
+
+
+def least_radius(rows: DataFrame, keys: Sequence[str], distance: Column, count: Column, need: Column, buckets: int = 64) -> DataFrame:
+    """(keys, radius): for every key the least distance within which at least
+    ``need`` of its rows' counts lie. ``rows`` pairs rows with a bounded number
+    of keys (say, by a broadcast join) and is never shuffled: a pass counts, per
+    key, ``buckets`` slices of the bracket that holds the radius, until the
+    slice holds a single distance."""
+    rows = rows.select(*keys, distance.alias("_d"), count.alias("_c"), need.alias("_need"))
+    first = rows.groupBy(*keys).agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"), F.max("_need").alias("_need"), F.sum("_c").alias("_all"))
+    state = [(*[r[k] for k in keys], r["_lo"], r["_hi"], min(r["_need"], r["_all"])) for r in first.collect()]  # one row per key
+    schema = first.select(*keys).schema
+    spark, done = rows.sparkSession, []
+    key_columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    while state:
+        done += [s for s in state if s[-3] == s[-2]]
+        open_ = [s for s in state if s[-3] < s[-2]]
+        if not open_:
+            break
+        bracket = spark.createDataFrame(open_, key_columns + ", _lo double, _hi double, _left long")
+        near = rows.drop("_need").join(F.broadcast(bracket), list(keys)).where((F.col("_d") >= F.col("_lo")) & (F.col("_d") <= F.col("_hi")))
+        slice_ = F.least(F.lit(buckets - 1), F.floor((F.col("_d") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets)).alias("_slice")
+        counted = near.groupBy(*keys, slice_).agg(F.sum("_c").alias("_n"), F.min("_d").alias("_a"), F.max("_d").alias("_b"))
+        per_key: dict = {}
+        for r in counted.orderBy(*keys, "_slice").collect():  # at most ``buckets`` rows per key
+            per_key.setdefault(tuple(r[k] for k in keys), []).append((r["_n"], r["_a"], r["_b"]))
+        state = []
+        for s in open_:
+            left = s[-1]
+            for n, a, b in per_key[tuple(s[: len(keys)])]:
+                if left <= n:
+                    state.append((*s[: len(keys)], a, b, left))
+                    break
+                left -= n
+    return spark.createDataFrame([(*s[: len(keys)], s[-3]) for s in done], key_columns + ", radius double")

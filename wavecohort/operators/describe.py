@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_level, fixed, id_window, one_row, recode, thousands
+from ..functions.quantile import RankedValues, least_radius
+from ..session import materialize
 from ..spec import (
     DEFAULT_SPEC,
     EDUCATION_LEVELS,
@@ -429,18 +432,105 @@ def _det3(a, b, c, d, e, f, g, h, i):
     return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
 
 
+def _loess_points(df: DataFrame, x: str, y: str, group: str, x_min: float, y_limits) -> DataFrame:
+    """(g, x, n, sy): the points inside the plot limits, equal x together."""
+    pts = df.select(F.col(group).alias("g"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where(
+        F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("g").isNotNull()
+        & (F.col("x") >= x_min) & (F.col("y") >= y_limits[0]) & (F.col("y") <= y_limits[1])
+    )
+    return pts.groupBy("g", "x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"))
+
+
+def local_quadratic(points: DataFrame, at: list[tuple], span: float) -> DataFrame:
+    """(g, i, x0, fit, slope): the local quadratic (tricube weights over the
+    nearest floor(span * n) points) and its slope at given (g, i, x0, need).
+
+    ``at`` is bounded (grid points or cell borders), so the points meet it by a
+    broadcast join and are summed where they are: no row is shuffled and no
+    order is needed. NULL where fewer than 3 distinct x have weight."""
+    spark = points.sparkSession
+    where = F.broadcast(spark.createDataFrame(at, "g string, i int, x0 double, need long"))
+    pairs = points.join(where, "g").withColumn("d", F.col("x") - F.col("x0"))
+    radius = least_radius(pairs, ("g", "i"), F.abs("d"), F.col("n"), F.col("need"))
+    u = F.abs("d") / (F.col("radius") * max(1.0, span))
+    near = pairs.join(F.broadcast(radius), ["g", "i"]).withColumn("w", F.when(u < 1, F.pow(1 - F.pow(u, 3), 3)).otherwise(0.0))
+    aggs = [F.sum(F.col("w") * F.col("n") * F.pow(F.col("d"), k)).alias(f"S{k}") for k in range(5)]
+    aggs += [F.sum(F.col("w") * F.col("sy") * F.pow(F.col("d"), k)).alias(f"T{k}") for k in range(3)]
+    S, T_ = [F.col(f"S{k}") for k in range(5)], [F.col(f"T{k}") for k in range(3)]
+    det = _det3(S[0], S[1], S[2], S[1], S[2], S[3], S[2], S[3], S[4])
+    fit = F.try_divide(_det3(T_[0], S[1], S[2], T_[1], S[2], S[3], T_[2], S[3], S[4]), det)
+    slope = F.try_divide(_det3(S[0], T_[0], S[2], S[1], T_[1], S[3], S[2], T_[2], S[4]), det)
+    return near.groupBy("g", "i", "x0").agg(*aggs).select("g", "i", "x0", fit.alias("fit"), slope.alias("slope"))
+
+
+def cell_borders(points: DataFrame, span: float, cell: float = 0.2, margin: float = 0.1) -> dict[str, list[float]]:
+    """The borders of each group's cells: a box around its x, ``margin`` wider
+    on either side, cut at the middle of a cell's points while the cell holds
+    more than span * cell of all; so their number doesn't grow with the points.
+
+    A level of cuts is one search of ranks for all groups."""
+    values = RankedValues(points, ["g"], "x", count="n")
+    limits = points.groupBy("g").agg(F.sum("n").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()  # one row per group
+    borders, cells = {}, []
+    for r in limits:
+        wide = max(r["hi"] - r["lo"], 1e-10 * max(abs(r["lo"]), abs(r["hi"])) + 1e-30) * margin
+        borders[r["g"]] = [r["lo"] - wide, r["hi"] + wide]
+        cells.append((r["g"], 0, r["n"] - 1, r["lo"] - wide, r["hi"] + wide, math.floor(r["n"] * span * cell)))
+    spark = points.sparkSession
+    while cells := [c for c in cells if c[2] - c[1] + 1 > c[5]]:
+        wanted = [(c[0], k, (c[1] + c[2]) // 2 + side, side) for k, c in enumerate(cells) for side in (0, 1)]
+        found = values.at(spark.createDataFrame(wanted, "g string, k int, rank long, side int")).collect()  # two rows per cell
+        value = {(r["k"], r["side"]): (r["_x"], r["_upto"]) for r in found}
+        ahead = []
+        for k, (g, first, last, lo, hi, most) in enumerate(cells):
+            (a, upto), (b, _) = value[k, 0], value.get((k, 1), value[k, 0])
+            cut = (a + b) / 2
+            left = upto - 1  # the last rank not above the cut
+            if lo < cut < hi and first <= left < last:
+                borders[g].append(cut)
+                ahead += [(g, first, left, lo, cut, most), (g, left + 1, last, cut, hi, most)]
+        cells = ahead
+    return {g: sorted(b) for g, b in borders.items()}
+
+
 def loess_curve(df: DataFrame, x: str = "chronological_age", y: str = "cognitive_score", group: str = "menopause_group",
-                span: float = 0.75, grid: int = 80, x_min: float = 50.0, y_limits=(0.0, 27.0), bin_width: float = 1.0) -> DataFrame:
-    """Local quadratic fit (tricube weights, q = floor(span * n)
-    nearest points) at ``grid`` points spanning each group's x range.
-
-    Points outside the plot limits are removed before smoothing (x >=
-    ``x_min``, y within ``y_limits``). The data enter only as a histogram
-    per (group, x) - counts, sums and sums of squares - with x rounded to
-    ``bin_width`` (whole years leave integer ages as they are), so the work
-    is bounded by the range of x whatever the number of rows. The fit is the
-    exact local regression at each grid point (R's default interpolates from
-    a k-d tree). The band is R's with exact statistics: with M = (I-L)(I-L)'
+                span: float = 0.75, grid: int = 80, x_min: float = 50.0, y_limits=(0.0, 27.0), surface: str = "exact") -> DataFrame:
+    """The local quadratic fit at ``grid`` points spanning each group's x
+    range, over the x as they are. Points outside the plot limits are removed
+    before smoothing (x >= ``x_min``, y within ``y_limits``).
+
+    ``surface``: "exact" fits at each grid point; "interpolate" fits value and
+    slope at the borders of a few cells of x (``cell_borders``) and blends the
+    two borders around a grid point by the cubic that has both values and
+    slopes, as R's default does."""
+    points = materialize(_loess_points(df, x, y, group, x_min, y_limits))
+    limits = points.groupBy("g").agg(F.sum("n").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()  # one row per group
+    need = {r["g"]: math.floor(r["n"] * span) for r in limits}
+    steps = [(r["g"], i, r["lo"] + i * (r["hi"] - r["lo"]) / (grid - 1), need[r["g"]]) for r in limits for i in range(grid)]
+    out = [F.col("g").alias(group), F.col("i").alias("grid_index"), F.col("x0").alias(x), "fit"]
+    if surface == "exact":
+        return local_quadratic(points, steps, span).select(*out)
+    borders = cell_borders(points, span)
+    at = local_quadratic(points, [(g, i, b, need[g]) for g, bs in borders.items() for i, b in enumerate(bs)], span)
+    cell = [(g, i, x0, max(k for k, b in enumerate(borders[g][:-1]) if b <= x0)) for g, i, x0, _ in steps]
+    spot = points.sparkSession.createDataFrame(cell, "g string, i int, x0 double, k int")
+    left = at.select("g", F.col("i").alias("k"), F.col("x0").alias("a"), F.col("fit").alias("fa"), F.col("slope").alias("sa"))
+    right = at.select("g", (F.col("i") - 1).alias("k"), F.col("x0").alias("b"), F.col("fit").alias("fb"), F.col("slope").alias("sb"))
+    both = spot.join(left, ["g", "k"]).join(right, ["g", "k"])
+    w = F.col("b") - F.col("a")
+    t = (F.col("x0") - F.col("a")) / w
+    blend = ((1 - t) * (1 - t) * (1 + 2 * t) * F.col("fa") + t * t * (3 - 2 * t) * F.col("fb")
+             + t * (1 - t) * (1 - t) * w * F.col("sa") - t * t * (1 - t) * w * F.col("sb"))
+    return both.withColumn("fit", blend).select(*out)
+
+
+def loess_band(df: DataFrame, x: str = "chronological_age", y: str = "cognitive_score", group: str = "menopause_group",
+               span: float = 0.75, grid: int = 80, x_min: float = 50.0, y_limits=(0.0, 27.0), bin_width: float = 1.0) -> DataFrame:
+    """The exact curve with its confidence band. The band needs the whole
+    smoother, a matrix over the distinct x, so here (and only here) x is rounded
+    to ``bin_width`` (whole years leave integer ages as they are): the work is
+    bounded by the range of x whatever the number of rows. The band is R's with
+    exact statistics: with M = (I-L)(I-L)'
     for the smoother L, s^2 = RSS / tr M, se = s * ||smoother row||, and a t
     quantile with (tr M)^2 / tr M^2 degrees of freedom.
     """

@@ -558,6 +558,50 @@ from (
               join loess_hist h on p.g = h.g)))) group by g, grid_index, x0)""")
 
 
+# The surface between cell borders: cells are cut at the middle of their points
+# while they hold more than 0.75 * 0.2 of all, then value and slope are fitted at
+# the borders and blended.
+cte("loess_borders", ("loess_hist",), """
+with recursive cum as (select g, x, n, sum(n) over (partition by g order by x) as upto from loess_hist),
+cells as (
+  select g, cast(0 as hugeint) as first, n - 1 as last, lo - 0.1 * greatest(hi - lo, 1e-10 * greatest(abs(lo), abs(hi)) + 1e-30) as lo,
+    hi + 0.1 * greatest(hi - lo, 1e-10 * greatest(abs(lo), abs(hi)) + 1e-30) as hi, floor(n * 0.75 * 0.2) as most
+  from (select g, sum(n) as n, min(x) as lo, max(x) as hi from loess_hist group by g)
+  union all
+  select g, case when side = 0 then first else upto end, case when side = 0 then upto - 1 else last end,
+    case when side = 0 then lo else cut end, case when side = 0 then cut else hi end, most
+  from (select c.*, a.upto, (a.x + b.x) / 2 as cut
+    from cells c join cum a on a.g = c.g and (first + last) // 2 < a.upto and (first + last) // 2 >= a.upto - a.n
+      join cum b on b.g = c.g and (first + last) // 2 + 1 < b.upto and (first + last) // 2 + 1 >= b.upto - b.n
+    where last - first + 1 > most), (values (0), (1)) s(side)
+  where lo < cut and cut < hi and first <= upto - 1 and upto - 1 < last)
+select g, x0, row_number() over (partition by g order by x0) - 1 as i from (select g, lo as x0 from cells union select g, hi from cells)""")
+cte("loess_at_borders", ("loess_hist", "loess_borders"), """
+select g, i, x0, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / det as fit,
+  (s0 * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2)) / det as slope
+from (select *, s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) as det from (
+  select g, i, x0, sum(w * n) as s0, sum(w * n * d) as s1, sum(w * n * pow(d, 2)) as s2, sum(w * n * pow(d, 3)) as s3,
+    sum(w * n * pow(d, 4)) as s4, sum(w * sy) as t0, sum(w * sy * d) as t1, sum(w * sy * pow(d, 2)) as t2
+  from (
+    select *, case when abs(d) / h < 1 then pow(1 - pow(abs(d) / h, 3), 3) else 0 end as w from (
+      select *, min(case when cum >= q then abs(d) end) over (partition by g, i) as h from (
+        select *, sum(n) over (partition by g, i order by abs(d) rows between unbounded preceding and current row) as cum
+        from (select b.g, b.i, b.x0, t.q, h.n, h.sy, h.x - b.x0 as d
+          from loess_borders b join (select g, floor(sum(n) * 0.75) as q from loess_hist group by g) t on t.g = b.g
+            join loess_hist h on h.g = b.g)))) group by g, i, x0))""")
+cte("loess_surface", ("loess_hist", "loess_at_borders"), """
+select g as menopause_group, cast(grid_index as integer) as grid_index, x0 as chronological_age,
+  pow(1 - t, 2) * (1 + 2 * t) * fa + t * t * (3 - 2 * t) * fb + t * pow(1 - t, 2) * (b - a) * sa - t * t * (1 - t) * (b - a) * sb as fit
+from (select p.*, l.x0 as a, r.x0 as b, l.fit as fa, r.fit as fb, l.slope as sa, r.slope as sb, (p.x0 - l.x0) / (r.x0 - l.x0) as t
+  from (select g, i as grid_index, lo + i * (hi - lo) / 79 as x0
+    from (select g, min(x) as lo, max(x) as hi from loess_hist group by g), range(80) t(i)) p
+  join loess_at_borders l on l.g = p.g and l.x0 <= p.x0 join loess_at_borders r on r.g = p.g and r.i = l.i + 1 and p.x0 < r.x0)""")
+cte("score_quantiles", ("analysis",), """
+select menopause_group, wave, count(cognitive_score) as n, quantile_cont(cast(cognitive_score as double), 0.01) as p01,
+  quantile_cont(cast(cognitive_score as double), 0.5) as median, quantile_cont(cast(cognitive_score as double), 0.99) as p99
+from analysis where menopause_group is not null and cognitive_score is not null group by menopause_group, wave""")
+
+
 # The band: the smoother's rows at the grid and at the observed x, M = (I-L)(I-L)'
 # over the distinct x with their counts, and the t quantile by its expansion in 1/df.
 def _t975(df: str) -> str:

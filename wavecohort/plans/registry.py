@@ -159,9 +159,10 @@ register("marginal_means", lambda s: s.marginal_means)
 register("clinical_contrasts", lambda s: s.clinical_contrasts)
 register("trajectories", lambda s: s.trajectories)
 register("trajectory_range", lambda s: s.trajectory_range)
-register("loess_curve", lambda s: s.loess_curve.select("menopause_group", "grid_index", "chronological_age", "fit"),
-         "loess_curve", ("chronological_age", "fit"))
-register("loess_band", lambda s: s.loess_curve, "loess_band",
+register("loess_curve", lambda s: s.loess_curve, "loess_curve", ("chronological_age", "fit"))
+register("loess_surface", lambda s: s.loess_surface, "loess_surface", ("chronological_age", "fit"))
+register("score_quantiles", lambda s: s.score_quantiles, "score_quantiles", ("p01", "median", "p99"))
+register("loess_band", lambda s: s.loess_band, "loess_band",
          ("chronological_age", "fit", "std_error", "conf_low", "conf_high", "equivalent_parameters"))
 register("input_validation", lambda s: s.input_validation, "input_validation")
 register("absorbing_state", lambda s: s.surgical_absorbing, "surgical_absorbing")

@@ -19,6 +19,7 @@ from ..operators import integrity as I
 from ..operators import design as DS
 from ..operators import lmm as M
 from ..operators.logit import certificate, fit_logits
+from ..functions.quantile import quantiles_by_group
 from ..session import configure, keep, materialize, stage
 from ..sources.fixture import load_panel
 from ..spec import (
@@ -619,6 +620,21 @@ class Study:
     def loess_curve(self):
         return D.loess_curve(self.analysis)
 
+    @cached_property
+    def loess_surface(self):
+        return D.loess_curve(self.analysis, surface="interpolate")
+
+    @cached_property
+    def loess_band(self):
+        return D.loess_band(self.analysis)
+
+    @cached_property
+    def score_quantiles(self):
+        """Median and 1st and 99th percentile of the score by group and wave."""
+        probs = {"p01": 0.01, "median": 0.5, "p99": 0.99}
+        rows = self.analysis.where(F.col("menopause_group").isNotNull())
+        return quantiles_by_group(rows, ["menopause_group", self.spec.wave], "cognitive_score", probs)
+
     # ---- validation and small reports ---------------------------------------------
     @cached_property
     def input_validation(self):
