@@ -31,7 +31,7 @@ REVIEWED_PULLS = {
     ("operators/predict.py", "covariate_means", "first"): "one row of covariate means",
     ("sources/csv_records.py", "__init__", "collect"): "one header",
     ("sources/column_types.py", "with_types", "collect"): "one row per column",
-    ("sources/panel.py", "load_stage", "first"): "the stage's bucket count",
+    ("sources/panel.py", "load_stage", "first"): "the newest manifest row; one row of count and checksum",
     ("sources/panel.py", "assert_keys", "first"): "one-row key check",
 }
 

@@ -58,7 +58,35 @@ def test_stage_roundtrip_and_guard(spark, panel_of):
             P.require_stage(spark, absent)
         with pytest.raises(P.MissingStage):
             P.load_stage(spark, absent)
-    assert P.require_stage(spark, "file://" + os.path.join(d, "s", "rows")).count() == 2
+    assert P.require_stage(spark, "file://" + os.path.join(d, "s", "manifest")).count() == 1
+
+
+def test_a_stage_that_dies_leaves_the_former_version(spark, panel_of):
+    from pyspark.sql import functions as F
+
+    d = os.path.join(tempfile.mkdtemp(prefix="wavecohort-stage-"), "it's")
+    before = spark.sql("show tables").count()
+    first = panel_of([dict(hhidpn=i, wave=1) for i in range(20)])
+    P.save_stage(first, d)
+    dying = first.unionByName(first).withColumn("wave", F.when(F.col("hhidpn") == 13, F.raise_error(F.lit("lost")).cast("int")).otherwise(2))
+    with pytest.raises(Exception, match="lost"):
+        P.save_stage(dying, d)
+    assert len(os.listdir(os.path.join(d, "versions"))) >= 1
+    back = P.load_stage(spark, d, verify=True)
+    assert back.count() == 20 and back.where("wave = 2").count() == 0
+    P.save_stage(first.where("hhidpn < 5"), d)
+    assert P.load_stage(spark, d, verify=True).count() == 5 and back.count() == 20  # an open reader keeps its version
+    assert spark.sql("show tables").count() == before
+
+
+def test_a_damaged_stage_is_noticed(spark, panel_of):
+    d = os.path.join(tempfile.mkdtemp(prefix="wavecohort-stage-"), "s")
+    P.save_stage(panel_of([dict(hhidpn=i, wave=1) for i in range(20)]), d)
+    [version] = os.listdir(os.path.join(d, "versions"))
+    part = next(f for f in sorted(os.listdir(os.path.join(d, "versions", version))) if f.startswith("part-"))
+    os.remove(os.path.join(d, "versions", version, part))
+    with pytest.raises(ValueError, match="manifest"):
+        P.load_stage(spark, d, verify=True)
 
 
 def test_reloaded_stage_plans_no_exchange(spark, panel_of):

@@ -134,6 +134,9 @@ MODEL_TERMS = {
     "Model 5": [("menopause_group",), ("age_c65",), ("age_c65_sq",), ("race_ethnicity",), ("birth_year_c10",),
                 ("education_c12",), ("menopause_group", "age_c65"), ("menopause_group", "age_c65_sq")],
 }
+# products of person covariates, to check their joint averages
+JOINT_TERMS = [("menopause_group",), ("age_c65",), ("race_ethnicity",), ("education_c12",), ("race_ethnicity", "education_c12"),
+               ("menopause_group", "birth_year_c10", "education_c12")]
 MODEL_TERMS["Model 4"] = MODEL_TERMS["Model 2"]
 MODEL_TERMS["Model 6"] = MODEL_TERMS["Model 2"]
 MODEL_TERMS["Model 7"] = MODEL_TERMS["Model 2"]

@@ -31,22 +31,26 @@ def covariate_distribution(model_rows: DataFrame, spec: PanelSpec = DEFAULT_SPEC
     )
 
 
+def person_factors(column) -> tuple:
+    """What a design column takes from the person, group aside."""
+    return tuple((v, lv) for v, lv in column.factors if v != "menopause_group")
+
+
 def covariate_means(cov: DataFrame, design: Design) -> dict:
-    """Average of every person-level factor the design uses (one aggregate)."""
-    keys, aggs = [], []
-    for c in design.columns:
-        for v, lv in c.factors:
-            if v == "menopause_group":
-                continue
-            k = (v, lv)
-            if k in keys:
-                continue
-            keys.append(k)
-            e = F.col(v).cast("double") if lv is None else (F.col(v) == lv).cast("double")
-            aggs.append(F.avg(e).alias(f"_m{len(keys) - 1}"))
-    if not aggs:
+    """Average of what every design column takes from the person, in one
+    aggregate: a level's share, a covariate's mean, and for columns with
+    several of them the mean of their product."""
+    keys = list(dict.fromkeys(k for c in design.columns if (k := person_factors(c))))
+    if not keys:
         return {}
-    row = cov.agg(*aggs).first()
+
+    def product(factors):
+        out = F.lit(1.0)
+        for v, lv in factors:
+            out = out * (F.col(v).cast("double") if lv is None else (F.col(v) == lv).cast("double"))
+        return out
+
+    row = cov.agg(*[F.avg(product(k)).alias(f"_m{i}") for i, k in enumerate(keys)]).first()
     return {k: float(row[f"_m{i}"]) for i, k in enumerate(keys)}
 
 
@@ -54,16 +58,9 @@ def average_design(design: Design, means: dict, group: str, age: float) -> np.nd
     """V2: the design row averaged over persons with group and age set."""
     L = np.zeros(design.p)
     for j, c in enumerate(design.columns):
-        val = (age - 65.0) ** c.power
-        person = [(v, lv) for v, lv in c.factors if v != "menopause_group"]
-        if len(person) > 1:
-            raise NotImplementedError("a product of two person covariates needs their joint average")
-        for v, lv in c.factors:
-            if v == "menopause_group":
-                val *= 1.0 if lv == group else 0.0
-            else:
-                val *= means[(v, lv)]
-        L[j] = val
+        person = person_factors(c)
+        value = (age - 65.0) ** c.power * (means[person] if person else 1.0)
+        L[j] = value if all(lv == group for v, lv in c.factors if v == "menopause_group") else 0.0
     return L
 
 

@@ -96,6 +96,22 @@ class AtGivenCoefficients(Study):
     def growth(self):
         return [M.at_theta(*given, name, "w" if name == "weighted" else None) for name, given in self.growth_cases.items()]
 
+    def model_round_trip(self):
+        """The first of these, saved and loaded, as its fixed effects."""
+        path = self._folder("model")
+        M.save_model(self.spark, self.growth[0], path)
+        return M.fixed_effects(self.spark, M.load_model(self.spark, path)).drop("converged")
+
+    def logit_round_trip(self):
+        """The predictions of both models, saved and loaded."""
+        loaded = []
+        for model, names, feats in self.ipcw_models:
+            path = self._folder("logit")
+            known = L.LogitModel(model.intercept, model.coefficients, np.eye(1 + len(names)))
+            W.save_logit(self.spark, (known, names, feats), "given", path)
+            loaded.append(W.load_logit(self.spark, path))
+        return W.ipcw_predictions(self.ipcw_risk_set, *loaded, self.spec)
+
     def _growth_table(self, fn):
         out = None
         for fit in self.growth:

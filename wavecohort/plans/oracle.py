@@ -535,6 +535,20 @@ cte("average_design", ("covdist",), "select * from (with grid as (select * from
     for j, (name, g, r, v, power) in enumerate(_DESIGN2)) + ")")
 
 
+_JOINT = (
+    [("(Intercept)", None, "1.0", 0)] + [("menopause_group" + g, g, "1.0", 0) for g in GROUP_LEVELS[1:]] + [("age_c65", None, "1.0", 1)]
+    + [("race_ethnicity" + r, None, f"(race_ethnicity = {_q(r)})::int", 0) for r in RACE_LEVELS[1:]]
+    + [("education_c12", None, "education_c12", 0)]
+    + [("race_ethnicity" + r + ":education_c12", None, f"(race_ethnicity = {_q(r)})::int * education_c12", 0) for r in RACE_LEVELS[1:]]
+    + [("menopause_group" + g + ":birth_year_c10:education_c12", g, "birth_year_c10 * education_c12", 0) for g in GROUP_LEVELS[1:]]
+)
+cte("average_design_joint", ("covdist",), "select * from (with grid as (select * from (values " + ", ".join(
+    f"(cast({a} as double), {_q(g)})" for a in (65, 75, 85) for g in GROUP_LEVELS) + ") t(age, grp))\n" + "\nunion all\n".join(
+    f"select age as chronological_age, grp as menopause_group, cast({j} as integer) as term_index, {_q(name)} as term, "
+    f"cast(pow(age - 65, {power}){_is('grp', g)} * (select avg(cast({e} as double)) from covdist) as double) + 0.0 as value from grid"
+    for j, (name, g, e, power) in enumerate(_JOINT)) + ")")
+
+
 # ---- LOESS fit (B11) --------------------------------------------------------------
 cte("loess_hist", ("analysis",), """
 select menopause_group as g, cast(chronological_age as double) as x, count(*) as n, sum(cognitive_score) as sy
@@ -659,8 +673,11 @@ from (select x.g as menopause_group, cast(grid_index as integer) as grid_index,
 
 
 # ---- validation and small reports ---------------------------------------------------
+_HAVE_WAVE = ("baseline_rows", "analytic_allwaves", "modelready", "model2")
 cte("input_validation", ("baseline_person", "baseline_analysis", "analysis_all", "analysis", "model2", "covdist"), "\nunion all\n".join(
-    f"select '{n}' as input, cast(count(*) as bigint) as n_rows, cast(count(distinct hhidpn) as bigint) as n_persons from {t}"
+    f"select '{n}' as input, cast(count(*) as bigint) as n_rows, cast(count(distinct hhidpn) as bigint) as n_persons, "
+    f"{'min(wave)' if n in _HAVE_WAVE else 'cast(null as integer)'} as min_wave, "
+    f"{'max(wave)' if n in _HAVE_WAVE else 'cast(null as integer)'} as max_wave from {t}"
     for n, t in (("baseline_person", "baseline_person"), ("baseline_rows", "baseline_analysis"), ("analytic_allwaves", "analysis_all"),
                  ("modelready", "analysis"), ("model2", "model2"), ("standardization", "covdist"))))
 cte("surgical_absorbing", ("base",), """

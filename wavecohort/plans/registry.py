@@ -52,6 +52,8 @@ select 'panel' as dataset, cast(count(*) as bigint) as n_rows, cast(count(distin
 
 register("parse_diagnostics", lambda s: PL.planted_diagnostics(s.panel), "planted_faults")
 register("csv_records", lambda s: PL.planted_records(s.panel), "planted_panel", ("agey_e", "cogtot27_imp", "C253_age"))
+register("stage_round_trip", lambda s: s.stage_round_trip(), "panel", ("agey_e", "cogtot27_imp", "C253_age"))
+register("sink_round_trip", lambda s: s.sink_round_trip(), "panel", ("agey_e", "cogtot27_imp", "C253_age"))
 register("type_inference", lambda s: CT.infer_types(PL.mixed_text(s.panel)), "column_types")
 
 # ---- phase 1 ---------------------------------------------------------------
@@ -154,6 +156,7 @@ register("ipcw_weights", lambda s: s.ipcw_weights.select("hhidpn", "wave", "at_r
 register("truncate_weights", lambda s: s.weighted_rows.select("hhidpn", "wave", "sw_cumulative", "sw_truncated"))
 register("weight_summary", lambda s: s.weight_summary)
 register("covariate_distribution", lambda s: s.covariate_distribution, "covdist", ("birth_year_c10", "education_c12"))
+register("average_design_joint", lambda s: s.average_design_joint, "average_design_joint", ("value",))
 register("average_design", lambda s: s.average_design, "average_design", ("value",))
 register("marginal_means", lambda s: s.marginal_means)
 register("clinical_contrasts", lambda s: s.clinical_contrasts)
@@ -227,6 +230,10 @@ _register_given("given_contrasts_formatted", lambda g: _V.format_contrasts(g.cli
 _register_given("given_trajectories", lambda g: g.trajectories, _PRED)
 _register_given("given_trajectory_range", lambda g: g.trajectory_range, ("min_predicted", "max_predicted"))
 _register_given("growth_fixed", lambda g: g.growth_fixed, _EST + ("statistic", "df"))
+register("model_round_trip", lambda s: _given(s).model_round_trip(), "growth_fixed", _EST + ("statistic", "df"),
+         select="select * from growth_fixed where model = 'plain'")
+register("logit_round_trip", lambda s: _given(s).logit_round_trip(), "given_predictions",
+         ("p_observed_denominator", "p_observed_numerator", "stabilized_transition_weight"))
 _register_given("growth_gradient", lambda g: g.growth_gradient, ("gradient", "hessian"))
 register("lmm_certificate", lambda s: s.lmm_certificate, "lmm_certificate")
 _register_given("growth_varcomp", lambda g: g.growth_varcomp, ("variance_or_covariance", "sd_or_correlation"))

@@ -6,6 +6,7 @@ collected or written, and each intermediate is built once per Study.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,8 @@ from ..operators import design as DS
 from ..operators import lmm as M
 from ..operators.logit import certificate, fit_logits
 from ..functions.quantile import quantiles_by_group
-from ..session import configure, keep, materialize, stage
+from ..session import checkpoint_dir, configure, keep, materialize, stage
+from ..sources import panel as P
 from ..sources.fixture import load_panel
 from ..spec import (
     CATEGORICAL_COVARIATES,
@@ -552,6 +554,32 @@ class Study:
 
         return self.marginal_means_at(TABLE8_AGES)
 
+    @cached_property
+    def average_design_joint(self):
+        """Averages of a design with products of person covariates."""
+        from ..operators import predict as V
+        from ..spec import TABLE8_AGES
+
+        design = DS.expand(DS.JOINT_TERMS)
+        means = V.covariate_means(self.covariate_distribution, design)
+        return V.average_design_table(self.spark, design, means, TABLE8_AGES, self.spec.group_levels)
+
+    # ---- round trips ------------------------------------------------------------------
+    def _folder(self, name: str) -> str:
+        return f"{checkpoint_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+
+    def stage_round_trip(self):
+        """The panel through a stage: written, committed, checked, read back."""
+        path = self._folder("stage")
+        P.save_stage(self.panel, path, self.spec)
+        return P.load_stage(self.spark, path, self.spec, verify=True)
+
+    def sink_round_trip(self):
+        """The panel through the CSV sink and the CSV panel reader."""
+        path = self._folder("sink")
+        P.write_table(self.panel, path, fmt="csv")
+        return P.read_panel(self.spark, path, self.spec, fmt="csv").select(*self.panel.columns)
+
     @cached_property
     def average_design(self):
         from ..operators import predict as V

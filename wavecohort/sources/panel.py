@@ -10,6 +10,7 @@ skewed by a single person.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -201,14 +202,18 @@ def raw_inventory(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, dataset: str
     )
 
 
-def validate_counts(id_col: str, **named: DataFrame) -> DataFrame:
-    """IO10: rows and distinct persons of each named input, one row each."""
+def validate_counts(id_col: str, over: str = "wave", **named: DataFrame) -> DataFrame:
+    """IO10: rows, distinct persons, and least and largest ``over`` of each
+    named input (null where an input has no such column), one row each."""
     out = None
     for name, df in named.items():
+        has = over in df.columns
         row = df.agg(
             F.lit(name).alias("input"),
             F.count(F.lit(1)).alias("n_rows"),
             F.count_distinct(id_col).alias("n_persons"),
+            (F.min(over) if has else F.lit(None)).cast("int").alias(f"min_{over}"),
+            (F.max(over) if has else F.lit(None)).cast("int").alias(f"max_{over}"),
         )
         out = row if out is None else out.unionByName(row)
     return out
@@ -223,17 +228,61 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.parquet(path)
 
 
+def _bucketed_table(spark: SparkSession, columns: str, where: str, key: str, buckets: int) -> DataFrame:
+    """The files at ``where`` as a table bucketed by ``key``. The catalog entry
+    that tells Spark so is gone when this returns; the frame keeps its plan."""
+    name = f"stage_{uuid.uuid4().hex}"
+    quoted = where.replace("'", "\\'")
+    spark.sql(f"create table {name} ({columns}) using parquet clustered by (`{key}`) sorted by (`{key}`) "
+              f"into {buckets} buckets location '{quoted}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"drop table {name}")  # an external table's rows stay
+
+
+def _key_sum(df: DataFrame, spec: PanelSpec) -> list[Column]:
+    keys = [F.col(c) for c in (spec.id, spec.wave) if c in df.columns]
+    return [F.count(F.lit(1)).alias("n_rows"), F.sum(F.xxhash64(*keys).cast("decimal(38,0)")).alias("key_sum")]
+
+
 def save_stage(df: DataFrame, path: str, spec: PanelSpec = DEFAULT_SPEC, buckets: int | None = None) -> None:
     """IO7: phase hand-off, bucketed by person: a later session that loads it
-    plans per-person steps without a shuffle. The bucket count (default
-    ``spark.sql.shuffle.partitions``) lies beside the rows."""
-    spark = df.sparkSession
+    plans per-person steps without a shuffle.
+
+    The rows go to a folder of their own; when they are whole, a row of the
+    manifest commits them with their layout, count and key checksum. A write
+    that dies leaves no manifest row, and readers go on with the version before.
+    Older versions stay until the caller removes their folders."""
+    spark, path = df.sparkSession, path.rstrip("/")
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"stage_{uuid.uuid4().hex}"
-    rows = f"{path.rstrip('/')}/rows"
-    df.repartition(n, spec.id).write.mode("overwrite").format("parquet").bucketBy(n, spec.id).sortBy(spec.id).option("path", rows).saveAsTable(name)
-    spark.sql(f"drop table {name}")  # the catalog entry; an external table's rows stay
-    spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/layout")
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    rows, name = f"{path}/versions/{version}", f"stage_{uuid.uuid4().hex}"
+    writer = df.repartition(n, spec.id).write.format("parquet").bucketBy(n, spec.id).sortBy(spec.id)
+    try:
+        writer.option("path", rows).saveAsTable(name)
+    finally:
+        spark.sql(f"drop table if exists {name}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    written = spark.read.schema(df.schema).parquet(rows).agg(*_key_sum(df, spec))
+    commit = written.select(F.lit(version).alias("version"), F.lit(n).alias("buckets"), "n_rows", "key_sum", F.lit(columns).alias("columns"))
+    commit.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+
+
+def load_stage(spark: SparkSession, path: str, spec: PanelSpec = DEFAULT_SPEC, verify: bool = False) -> DataFrame:
+    """The rows of the newest whole version that ``save_stage`` wrote, still
+    partitioned by person; ``verify`` compares their count and key checksum
+    with the manifest first."""
+    path = path.rstrip("/")
+    newest = require_stage(spark, f"{path}/manifest").orderBy(F.desc("version")).limit(1).first()  # one row
+    if newest is None:
+        raise MissingStage(f"Required input file is missing: {path}")
+    df = _bucketed_table(spark, newest["columns"], f"{path}/versions/{newest['version']}", spec.id, newest["buckets"])
+    if verify:
+        row = df.agg(*_key_sum(df, spec)).first()  # one row
+        if (row["n_rows"], row["key_sum"]) != (newest["n_rows"], newest["key_sum"]):
+            raise ValueError(f"{path}: {row['n_rows']} rows do not match the manifest's {newest['n_rows']} or their keys differ")
+    return df
 
 
 class MissingStage(FileNotFoundError):
@@ -249,15 +298,3 @@ def require_stage(spark: SparkSession, path: str) -> DataFrame:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise MissingStage(f"Required input file is missing: {path}") from None
         raise
-
-
-def load_stage(spark: SparkSession, path: str, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
-    """The rows that ``save_stage`` wrote, still partitioned by person."""
-    path = path.rstrip("/")
-    buckets = require_stage(spark, f"{path}/layout").first()["buckets"]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in require_stage(spark, f"{path}/rows").schema.fields)
-    name = f"stage_{uuid.uuid4().hex}"
-    where = path.replace("'", "\\'")
-    spark.sql(f"create table {name} ({columns}) using parquet clustered by (`{spec.id}`) sorted by (`{spec.id}`) "
-              f"into {buckets} buckets location '{where}/rows'")
-    return spark.table(name)
