@@ -27,7 +27,7 @@ all ids the probabilities of a next id add up to one.
 Training passes over every training document once, in ``rounds`` parts: in a
 round every task trains its own copy with Adam on the windows of its
 documents, the copies are averaged by their number of ids, and the next round
-starts from the average. A copy is some 80,000 numbers, so what is gathered
+starts from the average. A copy is some 60,000 numbers, so what is gathered
 grows with the tasks and thus with the corpus, and the driver sees one copy.
 
 Scoring. Windows overlap: each is ``window`` places long and starts ``stride``
@@ -70,12 +70,12 @@ class LmSettings:
     block_tokens: int = 1_500_000
     frequent: int = 20_000
     groups: int = 32
-    members: int = 72
+    members: int = 48
     shared: int = 100  # classes of many rare ids
     width: int = 16
     hidden: int = 32
-    window: int = 32
-    stride: int = 28
+    window: int = 24
+    stride: int = 20
     rounds: int = 4
     batch: int = 256  # windows a step
     rate: float = 0.02
