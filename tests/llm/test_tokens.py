@@ -136,3 +136,49 @@ def test_genetic_steps_keep_every_item():
         assert packing.numbers_to_bins(packing.bins_to_numbers(bins, 120)) is not None
     assert packing.lower_bound(lengths, 100) <= len(after[0]) <= first
     assert packing.fitness(after[0], lengths, 100) <= packing.fitness(people[0], lengths, 100)
+
+
+def dictionary_of(spark, folder):
+    return bytes(spark.read.parquet(folder + "/dictionary").first()["dictionary"])
+
+
+def test_a_dictionary_at_every_size(spark, documents, tokenizer, sf, tmp_path):
+    """Given documents, one hot text among others, and tables too small for
+    the trainer."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    settings = token_store.StoreSettings(tokenizer=tokenizer)
+    token_store.write_store(docs, str(tmp_path / "given"), settings)
+    assert len(dictionary_of(spark, str(tmp_path / "given"))) > 1000
+    texts = [r.text for r in docs.select("text").collect()]
+    hot = documents([(i, texts[0]) for i in range(20_000)] + [(50_000 + i, t) for i, t in enumerate(texts)])
+    token_store.write_store(hot, str(tmp_path / "hot"), settings)
+    assert len(dictionary_of(spark, str(tmp_path / "hot"))) > 1000
+    assert token_store.read_store(spark, str(tmp_path / "hot")).count() == 20_000 + len(texts)
+    small = store(spark, documents, [(1, "one small text")], tmp_path, tokenizer)
+    assert dictionary_of(spark, small) and token_store.read_store(spark, small).first()["n_tokens"] > 3
+
+
+def test_equal_rows_are_split(spark, documents, library, tokenizer, tmp_path):
+    rows = [(4, "the same row again")] * 900 + [(i, f"other {i}") for i in range(100)]
+    folder = str(tmp_path / "split")
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        token_store.write_store(documents(rows).repartition(4), folder, token_store.StoreSettings(tokenizer=tokenizer))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
+    blocks = spark.read.parquet(folder + "/blocks").collect()
+    hot = [sum(d == 4 for d in b.doc_ids) for b in blocks]
+    assert sum(hot) == 901 and max(hot) < 450
+    got = sorted(token_store.read_store(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted(r[0] for r in rows)
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+
+
+def test_long_texts_and_own_columns(spark, documents, library, tokenizer, tmp_path):
+    from test_simhash import clashing
+
+    text = "many words in one text " * 40_000
+    token_store.write_store(clashing(documents([(1, text), (2, "b")])), str(tmp_path / "s"), token_store.StoreSettings(tokenizer=tokenizer))
+    long, short = sorted(token_store.read_store(spark, str(tmp_path / "s")).collect(), key=lambda r: r.start)
+    assert np.frombuffer(long.ids, "<u4").tolist() == ids_of(library, text) and short.n_tokens == 2

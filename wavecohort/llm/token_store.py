@@ -12,13 +12,14 @@ A store is a folder with two Parquet tables:
     payload                 one zstandard frame per document, concatenated
 
 Every document is its own frame over the dictionary, which is trained on a
-bounded sample of serialized short documents; the index gives a document's
+bounded sample of serialized short texts; the index gives a document's
 frame without touching its neighbours, and Parquet's statistics on
 first_doc_id and last_doc_id find its block.
 
 Defined results: a null text is empty (only the end id is written); a null
-doc_id sorts first; repeated rows are stored each; an empty table gives an
-empty store that reads back empty.
+doc_id sorts first; rows that repeat a doc_id are stored each, in order of their
+text's hash; very long texts are one frame in a block of their own; an empty
+table gives an empty store that reads back empty. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .bpe_ids import encode_documents
-from .common import smallest_by_hash, text_batches, written
+from .common import text_batches, written
 
 
 @dataclass(frozen=True)
@@ -69,37 +70,73 @@ def id_bytes(tokenizer: str) -> int:
     return 2 if max(Tokenizer.from_file(tokenizer).get_vocab().values()) < 1 << 16 else 4
 
 
+def make_dictionary(samples: list[bytes], most: int) -> bytes:
+    """A dictionary of at most ``most`` bytes and an eighth of the samples,
+    by zstandard's trainer; where the trainer finds too little to work with,
+    the last bytes of the samples, which zstandard takes as they are. Empty
+    only without samples."""
+    import zstandard
+
+    whole = sum(map(len, samples))
+    try:
+        return zstandard.train_dictionary(max(256, min(most, whole // 8)), samples).as_bytes() if whole else b""
+    except zstandard.ZstdError:
+        return b"".join(samples)[-most:]
+
+
 def train_dictionary(docs: DataFrame, settings: StoreSettings, width: int) -> tuple[str, bytes]:
     """(hash, bytes) of the dictionary: one task trains it on the ids of the
-    ``sample_documents`` short documents with the smallest hash. Too small
-    a sample gives an empty dictionary; frames then use none."""
+    ``sample_documents`` different short texts with the smallest hashes; a
+    text counts once, however many rows repeat it."""
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import zstandard
-
         texts = [t for pdf in batches for t in pdf["text"]]
-        samples = [
-            ids.astype(f"<u{width}").tobytes() for ids in encode_documents(texts, settings.tokenizer, settings.end_id)
-        ]
-        data = b""
-        if sum(map(len, samples)) > 8 * settings.dictionary_bytes:
-            try:
-                data = zstandard.train_dictionary(settings.dictionary_bytes, samples).as_bytes()
-            except zstandard.ZstdError:
-                data = b""  # the trainer found nothing to share
+        ids_of = encode_documents(texts, settings.tokenizer, settings.end_id)
+        data = make_dictionary([ids.astype(f"<u{width}").tobytes() for ids in ids_of], settings.dictionary_bytes)
         yield pd.DataFrame({"dictionary_hash": [hashlib.sha256(data).hexdigest()], "dictionary": [data]})
 
-    short = docs.where(F.length("text").between(1, settings.sample_chars))
-    sample = smallest_by_hash(short, settings.sample_documents, F.xxhash64("doc_id", "text"), "doc_id")
-    rows = sample.select("text").coalesce(1).mapInPandas(train, DICTIONARY).collect()  # one row, bounded
+    short = docs.where(F.length("text").between(1, settings.sample_chars)).select("text", F.xxhash64("text").alias("draw"))
+    different = short.agg(F.approx_count_distinct("draw", 0.02)).first()[0]  # one row
+    # a level that about 4 times the wanted texts lie below; only these are grouped
+    share = min(1.0, 4 * settings.sample_documents / max(1, different))
+    level = min((1 << 63) - 1, int(share * 2**64) - (1 << 63))
+    once = short.where(F.col("draw") <= F.lit(level)).groupBy("draw").agg(F.min("text").alias("text"))
+    sample = once.orderBy("draw").limit(settings.sample_documents).select("text")
+    rows = sample.coalesce(1).mapInPandas(train, DICTIONARY).collect()  # one row, bounded
     return (rows[0]["dictionary_hash"], bytes(rows[0]["dictionary"])) if rows else (hashlib.sha256(b"").hexdigest(), b"")
 
 
+FRAMES = "doc_id long, text_key long, id long, n_tokens long, frame binary"
+
+
+def encode_frames(docs: DataFrame, settings: StoreSettings, width: int, data: bytes) -> DataFrame:
+    """One row per document: its ids as a frame over the dictionary. Encoded
+    where the text is read, so that only frames are sorted later; ``id`` numbers
+    the rows."""
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
+        pressed = zstandard.ZstdCompressor(
+            level=settings.level, dict_data=zstandard.ZstdCompressionDict(data) if data else None
+        )
+        for pdf in batches:
+            counts, frames = [], []
+            for ids in encode_documents(pdf["text"], settings.tokenizer, settings.end_id):
+                counts.append(len(ids))
+                frames.append(pressed.compress(ids.astype(f"<u{width}").tobytes()))
+            yield pdf[["doc_id", "text_key", "id"]].assign(doc_id=pdf["doc_id"].astype("Int64"), n_tokens=counts, frame=frames)
+
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.monotonically_increasing_id().alias("id"), "text")
+    return rows.mapInPandas(encode, FRAMES)
+
+
 def write_store(docs: DataFrame, folder: str, settings: StoreSettings) -> None:
     """Encode ``docs`` (doc_id, text) and write the store.
 
-    The texts are range-partitioned by (doc_id, text hash), so a repeated
-    doc_id is split too, and each task encodes its range in order."""
+    The frames are range-partitioned by (doc_id, text hash, row number), so
+    rows that repeat are split like any others, and each task lays its range
+    into blocks in order."""
     spark = docs.sparkSession
     text_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
@@ -108,14 +145,10 @@ def write_store(docs: DataFrame, folder: str, settings: StoreSettings) -> None:
     spark.createDataFrame([(key, data)], DICTIONARY).write.parquet(f"{folder}/dictionary")
     names = [f.name for f in BLOCKS.fields]
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import zstandard
+    def lay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        pressed = zstandard.ZstdCompressor(
-            level=settings.level, dict_data=zstandard.ZstdCompressionDict(data) if data else None
-        )
         block = start = total = 0
         doc_ids, counts, offsets, frames, size = [], [], [], [], 0
 
@@ -127,15 +160,13 @@ def write_store(docs: DataFrame, folder: str, settings: StoreSettings) -> None:
             )
 
         for pdf in batches:
-            ids_of = encode_documents(pdf["text"], settings.tokenizer, settings.end_id)
-            for doc_id, ids in zip(pdf["doc_id"].astype("Int64"), ids_of):
-                frame = pressed.compress(ids.astype(f"<u{width}").tobytes())
+            for doc_id, n, frame in zip(pdf["doc_id"].astype("Int64"), pdf["n_tokens"], pdf["frame"]):
                 doc_ids.append(None if doc_id is pd.NA else int(doc_id))
-                counts.append(len(ids))
+                counts.append(n)
                 offsets.append(size)
                 frames.append(frame)
                 size += len(frame)
-                total += len(ids)
+                total += n
                 if size >= settings.block_bytes or len(frames) >= settings.block_documents:
                     yield row()
                     block, start = block + 1, total
@@ -143,8 +174,10 @@ def write_store(docs: DataFrame, folder: str, settings: StoreSettings) -> None:
         if frames:
             yield row()
 
-    ordered = docs.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ordered.mapInPandas(encode, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
+    encoded = written(encode_frames(docs, settings, width, data), "frames")
+    order = ("doc_id", "text_key", "id")
+    ordered = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "frame")
+    ordered.mapInPandas(lay, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
 def part_starts(blocks: DataFrame) -> DataFrame:
