@@ -12,6 +12,10 @@ PACKAGE = ROOT / "wavecohort" / "llm"
 # (module, function) that bring rows to the driver -> what bounds them
 REVIEWED_PULLS = {
     ("attention_lm.py", "word_counts"): "one row",
+    ("attention_lm.py", "forward"): "none: take of numpy",
+    ("attention_lm.py", "log_odds"): "none: take of numpy",
+    ("attention_lm.py", "gradients"): "none: take of numpy",
+    ("attention_lm.py", "gather"): "none: take of numpy",
     ("attention_lm.py", "id_counts"): "one row per id of the vocabulary",
     ("attention_lm.py", "train_round"): "one row per model parameter",
     ("centroids.py", "first_centroids"): "one row per centroid",
@@ -28,6 +32,7 @@ REVIEWED_PULLS = {
     ("target_resampling.py", "kth_smallest"): "at most ``pivots`` keys, 2 * ``pivots`` + 1 counts",
     ("token_store.py", "train_dictionary"): "one row",
     ("token_store.py", "read_store"): "one row",
+    ("topk.py", "search"): "one row per vector length",
     ("topk.py", "top_k"): "one row",
 }
 
@@ -79,3 +84,18 @@ def test_pipeline(spark, sf):
     assert sorted(r.doc_id for r in kept.collect()) == want
     packed = corpus_pipeline.run(spark, sf).collect()
     assert sorted({r.doc_id for r in packed}) == want
+
+
+def test_pipeline_of_empty_and_null_tables(spark, sf, tmp_path):
+    """An empty table gives no rows; documents without text or id fail the
+    quality rules; all stages keep the columns of documents."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    good = " ".join(f"word{i}" for i in range(50))
+    tables = {"empty": [], "null": [(None, None, None, None, None)] * 3, "mixed": [(None, good, "en", None, 1), (4, None, "en", "s", 0)]}
+    for name, rows in tables.items():
+        folder = tmp_path / name
+        spark.createDataFrame(rows, schema).write.parquet(str(folder / "documents.parquet"))
+        labels.write.parquet(str(folder / "labels.parquet"))
+        packed = corpus_pipeline.run(spark, str(folder)).collect()
+        assert [r.doc_id for r in packed] == ([None] if name == "mixed" else [])

@@ -169,3 +169,15 @@ def test_a_labelled_document_counts_once_however_often_it_is_repeated(spark, doc
         assert sum(r.kept for r in found) == sum(r.gumbel_key >= cut for r in found)
         labelled = I.labelled_texts(frame.select("doc_id", "text"), I.labelled_good(labels, settings))
         assert labelled.count() == len(parts)
+
+
+def test_own_columns_of_any_name_stay(documents):
+    from test_simhash import clashing
+
+    good = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, good if i % 3 else "few", f"h{i % 2}") for i in range(30)] + [(None, good, None)]
+    frame = clashing(documents(rows))
+    kept = Q.keep_good(frame)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted([i for i in range(30) if i % 3] + [-1])
+    assert {(r["_c"], r["_bad"], r["a.b"]) for r in kept.collect()} == {(5, 7, "dot")}

@@ -115,3 +115,33 @@ def test_keep_one_keeps_columns_and_one_row_per_component(documents):
     kept = S.keep_one(frame)
     assert kept.columns == frame.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 7), (False, 8), (True, 0)]
+
+
+CLASHES = ("fp", "node", "id", "own", "_copies", "_c", "_rules", "_bad", "_host", "_known", "least", "root", "component_id", "text_key")
+
+
+def clashing(frame):
+    more = {c: F.lit(i) for i, c in enumerate(CLASHES)} | {"a.b": F.lit("dot"), "m": F.create_map(F.lit("k"), F.col("doc_id"))}
+    return frame.withColumns({c: e for c, e in more.items() if c != "a.b"}).withColumn("a.b", more["a.b"])
+
+
+def test_keep_one_loses_no_unrelated_text(documents):
+    """Ten unrelated texts on one doc_id, copies elsewhere, and a doc_id that
+    holds most rows."""
+    rng = random.Random(8)
+    text = lambda: " ".join(str(rng.getrandbits(40)) for _ in range(30))
+    ten = [text() for _ in range(10)]
+    rows = [(1, t) for t in ten] + [(5, ten[3]), (0, ten[4])] + [(7, ten[9])] * 3 + [(9, "hot text of one doc id")] * 400 + [(None, None)] * 2
+    frame = clashing(documents(rows)).repartition(6)
+    kept = S.keep_one(frame)
+    assert kept.columns == frame.columns and kept.schema["m"].dataType == frame.schema["m"].dataType
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in kept.collect())
+    want = [(1, t) for i, t in enumerate(ten) if i != 4] + [(0, ten[4]), (9, "hot text of one doc id"), (-1, ""), (-1, "")]
+    assert got == sorted(want)
+    assert {r["a.b"] for r in kept.collect()} == {"dot"}
+
+
+def test_keep_one_of_empty_and_null_tables(documents):
+    assert S.keep_one(documents([])).count() == 0
+    assert S.keep_one(documents([(None, None)] * 3)).count() == 3
+    assert S.keep_one(documents([(i, None) for i in range(5)])).count() == 1

@@ -7,7 +7,9 @@ a beta prior fitted to the hosts (method of moments), and a host whose shrunk
 rate passes ``host_limit`` fails with all its documents.
 
 Defined results: a null text has no words and fails; a null host is a host of
-its own; repeated rows are judged each; an empty table gives an empty result.
+its own; repeated rows are judged each, alike; very long texts count whole; a
+rate equal to the limit passes; an empty table gives an empty result. Own
+columns of ``keep_good`` may have any names and types.
 """
 
 from __future__ import annotations
@@ -172,8 +174,11 @@ def document_verdicts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The documents that the rules keep, with their own columns."""
-    return judge(docs, rules).where(F.col("_rules")["kept"]).drop("_rules")
+    """The documents that the rules keep, with their own columns; these travel
+    as one struct, so no name can clash."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    judged = judge(docs.select("source", "text", own), rules)
+    return judged.where(F.col("_rules")["kept"]).select("own.*")
 
 
 # DuckDB SQL for ``document_verdicts`` over documents.

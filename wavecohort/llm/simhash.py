@@ -17,8 +17,10 @@ walk that meets each fingerprint once, so edges stay linear in the list.
 
 Defined results: a text without words, empty or null, has fingerprint zero
 and links like any other; rows with a null doc_id get a fingerprint and no
-component; repeated rows share a component; an empty table gives an empty
-result.
+component; repeated rows share a component; a doc_id that stands on several
+texts links nothing by itself; of equal doc_ids ``keep_one`` takes the text of
+the smallest hash; very long texts count whole; an empty table gives an empty
+result. Own columns may have any names and types.
 """
 
 from __future__ import annotations
@@ -191,23 +193,27 @@ def link_lists(lists: DataFrame, settings: SimHashSettings) -> DataFrame:
     return dealt.mapInPandas(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, settings: SimHashSettings = SimHashSettings()) -> DataFrame:
-    """doc_id, fp (signed long) and component_id (the least doc_id reachable
-    over links, itself included) of every document."""
+def near_duplicates(docs: DataFrame, settings: SimHashSettings = SimHashSettings(), *carry: Column) -> DataFrame:
+    """doc_id, fp (signed long), component_id (the least doc_id reachable over
+    links, itself included), root (the component's least fingerprint) and
+    ``carry`` of every document.
+
+    The nodes are the distinct fingerprints, so a doc_id that stands on
+    several texts links nothing by itself."""
     text_batches(docs.sparkSession)
     prints = written(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_column(F.col("text"), settings).alias("fp")),
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_column(F.col("text"), settings).alias("fp"), *carry),
         "fingerprints",
     )
-    # one node per distinct fingerprint, named after its least doc_id
-    nodes = written(
-        prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")).select("fp", "node"), "nodes"
-    )
-    roots = components(link_lists(postings(nodes, settings), settings))
-    groups = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    return prints.join(groups, "fp", "left").select(
-        "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
-    )
+    least = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = written(least.select("fp", F.col("fp").alias("node"), "least"), "nodes")
+    roots = components(link_lists(postings(nodes.select("fp", "node"), settings), settings))
+    rooted = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"), "least")
+    rooted = written(rooted, "roots")
+    groups = rooted.select("fp", "root").join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
+    return prints.join(groups, "fp", "left").withColumns({
+        c: F.when(F.col("doc_id").isNotNull(), F.col(c)) for c in ("component_id", "root")
+    })
 
 
 def hex_digits(fp: Column) -> Column:
@@ -215,19 +221,23 @@ def hex_digits(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, settings: SimHashSettings = SimHashSettings()) -> DataFrame:
-    """One document of each component, the one with the least doc_id, with
-    all its columns. Of rows that repeat a doc_id one stays; documents without
-    a doc_id belong to no component and stay."""
-    found = written(near_duplicates(docs.select("doc_id", "text"), settings).select("doc_id", "component_id"), "components")
-    keepers = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_copies"))
+    """One document of each component with all its columns: of the least
+    (doc_id, text hash) the first row. Documents without a doc_id belong to no
+    component and stay; a doc_id on unrelated texts keeps each of them.
+
+    The documents are written once with a row number, which no two share, and
+    joined by it: however many rows repeat a doc_id or a text, none meet in one
+    task. Their own columns travel as one struct, so no name can clash."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    rows = written(docs.select(F.monotonically_increasing_id().alias("id"), own), "numbered-documents")
+    texts = rows.select("id", F.col("own.doc_id").alias("doc_id"), F.col("own.text").alias("text"))
+    found = near_duplicates(texts, settings, F.col("id"), F.xxhash64("text").alias("text_key"))
+    first = found.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "text_key", "id")).alias("first"))
+    keepers = written(
+        first.select("first.id").unionByName(found.where("doc_id is null").select("id")), "kept-documents"
+    )
     # neither side has a size bound: a shuffle join at every size
-    kept = docs.join(keepers.hint("merge"), "doc_id")
-    out = kept.where("_copies = 1").select(*docs.columns)
-    if not keepers.where("_copies > 1").isEmpty():
-        others = [c for c in docs.columns if c != "doc_id"]
-        one = kept.where("_copies > 1").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row"))
-        out = out.unionByName(one.select("doc_id", "_row.*"))
-    return out.unionByName(docs.where("doc_id is null"))
+    return rows.join(keepers.hint("merge"), "id").select("own.*")
 
 
 # DuckDB has no XXH64, so SQL cannot make the fingerprints; tests compare
