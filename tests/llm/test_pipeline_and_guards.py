@@ -32,7 +32,6 @@ REVIEWED_PULLS = {
     ("target_resampling.py", "kth_smallest"): "at most ``pivots`` keys, 2 * ``pivots`` + 1 counts",
     ("token_store.py", "train_dictionary"): "one row",
     ("token_store.py", "read_store"): "one row",
-    ("topk.py", "search"): "one row per vector length",
     ("topk.py", "top_k"): "one row",
 }
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -15,17 +16,19 @@ VECTORS = "vec_id long, embedding array<float>, label int"
 
 
 def brute(rows, k=20, every=20):
-    ok = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in rows
+    """Every query row's ranks; equal rows count as often as they stand."""
+    ok = [(i, [max(-(2**61), min(2**61, math.floor(64 * float(np.float32(x))))) for x in v]) for i, v in rows
           if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    out = set()
-    for q, a in {(q, tuple(a)) for q, a in ok if q % every == 0}:
-        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok if i != q)[:k]
-        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)}
+    out = Counter()
+    for q, a in ok:
+        if q % every == 0 and a:
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok if i != q and len(b) == len(a))[:k]
+            out.update((q, n + 1, i, max(-K.LONG, min(K.LONG, -s))) for n, (s, i) in enumerate(scores))
     return out
 
 
 def rows_of(frame):
-    return {(r.query_id, r["rank"], r.vec_id, r.score) for r in frame.collect()}
+    return Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in frame.collect())
 
 
 @pytest.mark.parametrize("blocks", [(8192, 512), (30, 2)])
@@ -34,25 +37,42 @@ def test_top_k_matches_brute_force(spark, blocks):
     rows = [(i, [float(x) for x in rng.normal(0, 0.1, 6)]) for i in range(150)]
     rows += [(200 + i, rows[i % 3][1]) for i in range(100)]  # copies: ties
     rows += [(400, None), (401, [None] * 6), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (None, rows[0][1])]
-    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+    rows += [(500 + i, [float(x) for x in rng.normal(0, 0.1, 3)]) for i in range(45)] + [(600, []), (601, [])]  # other lengths
+    rows += [(20, rows[20][1])] * 3 + [(40, rows[7][1])] * 2 + [(7, rows[7][1])] * 60  # repeated queries, a hot row
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).withColumnsRenamed({"label": "v"}).repartition(5)
     got = rows_of(K.top_k(frame, K.TopKSettings(block_rows=blocks[0], query_rows=blocks[1], survivors=25)))
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("power", [3, 6, 12, 17, 30])
+def test_large_components(spark, power):
+    """Beyond the whole numbers of float64, bounds are only near; scores stay
+    exact, and those beyond a long are clamped."""
+    rng = np.random.default_rng(power)
+    rows = [(i, [float(np.float32(x * 10.0**power)) for x in rng.normal(0, 1, 5)]) for i in range(120)]
+    rows += [(200 + i, rows[i][1]) for i in range(20)] + [(300 + i, [0.5, -0.5, 0.25, 0.0, 1.0]) for i in range(30)]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+    got = K.top_k(frame, K.TopKSettings(block_rows=60, survivors=25))
+    if power < 12:
+        assert rows_of(got) == brute(rows)
+    else:  # clamped scores tie
+        assert sorted((r[0], r[1], r[3]) for r in rows_of(got)) == sorted((r[0], r[1], r[3]) for r in brute(rows))
+
+
 def test_top_k_given_vectors_and_empty(spark, sf):
     frame = spark.read.parquet(f"{sf}/embeddings.parquet")
     assert rows_of(K.top_k(frame)) == brute([(r.vec_id, r.embedding) for r in frame.collect()])
     assert K.top_k(frame.limit(0)).count() == 0
     few = spark.createDataFrame([(20, [1.0], 0), (40, [2.0], 0)], VECTORS)
-    assert rows_of(K.top_k(few)) == {(20, 1, 40, 8192), (40, 1, 20, 8192)}
+    assert rows_of(K.top_k(few)) == Counter({(20, 1, 40, 8192): 1, (40, 1, 20, 8192): 1})
 
 
 def test_bounds_hold_and_reading_stops_early():
     """A clustered block needs only part of the lists."""
     rng = np.random.default_rng(6)
-    x = rng.integers(-5, 5, (3000, 8)).astype(np.float32)
+    x = rng.integers(-5, 5, (3000, 8))
     x[:30] += 100
-    lists = K.Lists(x, (0.05, 0.5, 1.0))
+    lists = K.Lists(x, (0.05, 0.5, 1.0), np.float32)
     [(alive, scores)] = K.nra(lists, x[:1], 5, 40, np.zeros((1, 3000), dtype=bool))
     assert len(alive) <= 40 and sorted(scores)[-5:] == sorted(x @ x[0])[-5:]
 
