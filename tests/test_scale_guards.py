@@ -16,7 +16,7 @@ DRIVER_PULLS = {"collect", "toPandas", "first", "take", "head", "tail", "toLocal
 
 # (module, enclosing function, method) -> what bounds the rows pulled
 REVIEWED_PULLS = {
-    ("functions/quantile.py", "exact_quantiles", "collect"): "one row per partition; two values per probability",
+    ("functions/quantile.py", "order_statistics", "collect"): "one row per partition; two values per probability",
     ("functions/quantile.py", "least_radius", "collect"): "one row per key, then one per key and slice",
     ("operators/describe.py", "cell_borders", "collect"): "one row per group, two per cell",
     ("operators/describe.py", "loess_curve", "collect"): "one row per group",

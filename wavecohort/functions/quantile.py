@@ -37,6 +37,13 @@ def type7_ranks(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float]:
+    return [low + w * (high - low) for low, high, w in order_statistics(df, col, probs)]
+
+
+def order_statistics(df: DataFrame, col: str, probs: Sequence[float]) -> list[tuple[float, float, float]]:
+    """For every probability the two order statistics around its type-7
+    quantile and the weight of the upper one. A function that keeps order (a
+    clamp, say) may be applied to them in the place of all values."""
     values = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     counts = values.groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
     ranged = materialize(counts.repartitionByRange("_x").withColumn("_part", F.spark_partition_id()))
@@ -44,7 +51,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[flo
     parts = sorted(parts.collect(), key=lambda r: r["_low"])  # one row per range
     n = sum(r["_n"] for r in parts)
     if not n:
-        return [float("nan")] * len(probs)
+        return [(float("nan"), float("nan"), 0.0)] * len(probs)
     ranks = type7_ranks(n, probs)
     wanted = {}  # (range, place inside it) -> rank
     for rank in {r for low, high, _ in ranks for r in (low, high)}:
@@ -63,7 +70,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[flo
     at = {}
     for (part, place), rank in wanted.items():
         at[rank] = next(r["_x"] for r in found if r["_part"] == part and r["_upto"] - r["_c"] <= place < r["_upto"])
-    return [at[low] + w * (at[high] - at[low]) for low, high, w in ranks]
+    return [(at[low], at[high], w) for low, high, w in ranks]
 
 
 # ---- by group ------------------------------------------------------------------------

@@ -20,7 +20,7 @@ from ..operators import integrity as I
 from ..operators import design as DS
 from ..operators import lmm as M
 from ..operators.logit import certificate, fit_logits
-from ..functions.quantile import quantiles_by_group
+from ..functions.quantile import order_statistics, quantiles_by_group
 from ..session import checkpoint_dir, configure, keep, materialize, stage
 from ..sources import panel as P
 from ..sources.fixture import load_panel
@@ -253,14 +253,14 @@ class Study:
 
     # ---- balance ------------------------------------------------------------------
     # Two small frames, each from one scan of the baseline rows, feed Table 1,
-    # the SMDs and the tests: a few rows per covariate, kept as stages.
+    # the SMDs and the tests: a few dozen rows, cached (no stage of their own).
     @cached_property
     def continuous_moments(self):
-        return stage(D.all_moments(self.baseline_analysis, [v for v, _ in CONTINUOUS_COVARIATES]))
+        return keep(D.all_moments(self.baseline_analysis, [v for v, _ in CONTINUOUS_COVARIATES]))
 
     @cached_property
     def categorical_counts(self):
-        return stage(D.categorical_levels(self.baseline_analysis, [v for v, _ in CATEGORICAL_COVARIATES], DECLARED_LEVELS,
+        return keep(D.categorical_levels(self.baseline_analysis, [v for v, _ in CATEGORICAL_COVARIATES], DECLARED_LEVELS,
                                           self.spec.group_levels))
 
     @cached_property
@@ -493,17 +493,16 @@ class Study:
         return stage(W.attach_weights(self.model2_rows, self.ipcw_weights, self.spec))
 
     @cached_property
-    def untruncated_quantiles(self):
-        """Exact 1st, 50th and 99th percentiles of the untruncated weights,
-        computed once for the truncation bounds and the summary."""
-        from ..functions.quantile import exact_quantiles
-
-        return exact_quantiles(self.untruncated_rows, "sw_cumulative", [0.01, 0.5, 0.99])
+    def untruncated_statistics(self):
+        """The order statistics around the 1st, 50th and 99th percentile of the
+        untruncated weights, computed once for the truncation bounds and the
+        summary."""
+        return order_statistics(self.untruncated_rows, "sw_cumulative", [0.01, 0.5, 0.99])
 
     @cached_property
     def weight_bounds(self):
-        q = self.untruncated_quantiles
-        return q[0], q[2]
+        (a, b, v), _, (c, d, w) = self.untruncated_statistics
+        return a + v * (b - a), c + w * (d - c)
 
     @cached_property
     def weighted_rows(self):
@@ -512,11 +511,12 @@ class Study:
 
     @cached_property
     def weight_summary(self):
-        from ..functions.quantile import exact_quantiles
-
-        u = self.untruncated_quantiles
-        t = exact_quantiles(self.weighted_rows, "sw_truncated", [0.5])
-        qs = {"sw_untruncated_p01": u[0], "sw_untruncated_median": u[1], "sw_untruncated_p99": u[2], "sw_truncated_median": t[0]}
+        lo, hi = self.weight_bounds
+        a, b, w = self.untruncated_statistics[1]
+        # truncation keeps the order: the truncated median lies between the same order statistics, truncated
+        ta, tb = (min(max(x, lo), hi) for x in (a, b))
+        qs = {"sw_untruncated_p01": lo, "sw_untruncated_median": a + w * (b - a), "sw_untruncated_p99": hi,
+              "sw_truncated_median": ta + w * (tb - ta)}
         return W.weight_summary(self.weighted_rows, self.ipcw_risk_set, self.ipcw_predictions, qs, self.spec)
 
     # ---- predictions ----------------------------------------------------------------
