@@ -96,12 +96,15 @@ def train_dictionary(docs: DataFrame, settings: StoreSettings, width: int) -> tu
         yield pd.DataFrame({"dictionary_hash": [hashlib.sha256(data).hexdigest()], "dictionary": [data]})
 
     short = docs.where(F.length("text").between(1, settings.sample_chars)).select("text", F.xxhash64("text").alias("draw"))
-    different = short.agg(F.approx_count_distinct("draw", 0.02)).first()[0]  # one row
-    # a level that about 4 times the wanted texts lie below; only these are grouped
-    share = min(1.0, 4 * settings.sample_documents / max(1, different))
-    level = min((1 << 63) - 1, int(share * 2**64) - (1 << 63))
-    once = short.where(F.col("draw") <= F.lit(level)).groupBy("draw").agg(F.min("text").alias("text"))
-    sample = once.orderBy("draw").limit(settings.sample_documents).select("text")
+    # a level that about 4 times the wanted rows lie below; where repeats leave too few texts there, a higher one
+    wanted, share = settings.sample_documents, 4 * settings.sample_documents / max(1, docs.count())
+    while True:
+        level = min((1 << 63) - 1, int(min(1.0, share) * 2**64) - (1 << 63))
+        once = short.where(F.col("draw") <= F.lit(level)).groupBy("draw").agg(F.min("text").alias("text"))
+        sample = written(once.orderBy("draw").limit(wanted).select("text"), "dictionary-sample")
+        if share >= 1 or sample.count() >= wanted:
+            break
+        share *= 16
     rows = sample.coalesce(1).mapInPandas(train, DICTIONARY).collect()  # one row, bounded
     return (rows[0]["dictionary_hash"], bytes(rows[0]["dictionary"])) if rows else (hashlib.sha256(b"").hexdigest(), b"")
 
