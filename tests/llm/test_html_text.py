@@ -233,3 +233,12 @@ def test_given_pages(spark, sf):
         blocks = [unescape(re.sub(r"<[^>]*>?", "", b)) for b in re.split(r"</?(?:p|h1)>", inner)]
         want = "\n".join(" ".join(b.split()) for b in blocks if b.strip())
         assert got[r.page_id] == want
+
+
+def test_article_text_is_not_dropped_by_parts_of_names():
+    page = """<body><nav>n</nav><article><header><h1>T</h1><span>by me</span><p>A lead.</p></header>
+    <p class="share-price">Up 3.</p><div class="social-history"><p>Old.</p></div><h2 class="related">Kin</h2>
+    <p class="notice">Seen.</p><div hidden><p>Later.</p></div><p aria-hidden="true">Alt.</p><p style="display: none">Off.</p>
+    <div class="share-buttons">s</div><div class="ad">a</div><div class="box ad-slot">b</div><div class="comment-list">c</div>
+    <p>End.</p></article><div class="share-price">x</div></body>"""
+    assert text_of(page) == "T\nA lead.\nUp 3.\nOld.\nKin\nSeen.\nLater.\nAlt.\nOff.\nEnd."

@@ -15,7 +15,9 @@ that holds them all and their heading, else the host's, else the part that
 holds most of its own text), without template nodes and without elements whose
 tag, role, class or id says menu, header, footer, sidebar, notice, advert, form
 or comments; ids of headings, text blocks and sections of an article say
-nothing, since they are often made from a heading's words.
+nothing, since they are often made from a heading's words, nor do classes of an
+article's headings and text blocks or single parts of its hyphenated classes.
+What a page hides by an attribute is read like any other text.
 
 The counts are sums per (host, node), so a host with a third of all pages is
 never in one task; pages are merged by (host, content). The seeds are a written table that Spark broadcasts only
@@ -83,6 +85,11 @@ DROP_WORDS = frozenset(
     "recommended recommendations widget toolbar pagination pager copyright disclaimer".split()
 )
 
+# Parts of class names that only say what an element is built as.
+PARTS = frozenset(
+    "area bar block bottom box button buttons col column container content global inline inner item items left link links list "
+    "main outer panel primary right row secondary section slot top unit wrap wrapper".split()
+)
 COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies".split())
 
 _TOKEN = re.compile(
@@ -115,6 +122,18 @@ class Node:
         self.form, self.full = -1, 0  # match: equal for equal subtrees; the weight of one matched with itself
 
 
+def _class_words(name: str, tag: str, in_text: bool) -> set[str]:
+    """The words of a class attribute that may tell what an element is. Inside
+    an article text blocks and headings say nothing, and of a hyphenated class
+    every part must fit: share-buttons does, share-price does not."""
+    if not in_text:
+        return set(_WORDS.findall(name))
+    if tag in NAMED_TEXT:
+        return set()
+    parts = [_WORDS.findall(token) for token in name.split()]
+    return {w for p in parts if all(w in DROP_WORDS or w in PARTS for w in p) for w in p}
+
+
 def _element(tag: str, attrs: str, in_text: bool = False) -> Node:
     """``in_text``: inside an article or main element."""
     label, drop, by = tag, tag in DROP_TAGS, ""
@@ -122,11 +141,9 @@ def _element(tag: str, attrs: str, in_text: bool = False) -> Node:
         found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
         name = found.get("class", "").lower()
         label = f"{tag}.{' '.join(name.split())}" if name else tag
-        drop = drop or found.get("role", "").lower() in DROP_ROLES or "hidden" in found
-        drop = drop or found.get("aria-hidden", "") == "true"
-        drop = drop or "display:none" in found.get("style", "").replace(" ", "").lower()
+        drop = drop or found.get("role", "").lower() in DROP_ROLES
         if tag not in ("html", "body", "main", "article") or "comment" in name:
-            words = set(_WORDS.findall(name))
+            words = _class_words(name, tag, in_text)
             own = _WORDS.findall(found.get("id", "").lower())
             if tag == "section" and in_text:
                 words.update(COMMENT_WORDS.intersection(own))
@@ -193,7 +210,7 @@ def parse(html: str | None) -> Node:
                     break
                 if stack[k].tag in CLOSED_BY:
                     break
-        in_text = tag == "section" and any(n.tag in ("article", "main") for n in stack)
+        in_text = bool(m["attrs"]) and any(n.tag in ("article", "main") for n in stack)
         node = _element(tag, m["attrs"], in_text)
         stack[-1].children.append(node)
         if tag not in VOID:
@@ -500,7 +517,7 @@ def content_root(root: Node, partners: dict[int, int], seed_region: int | None,
 def read_blocks(top: Node, template: dict[int, str], partners: dict[int, int]) -> str:
     """The texts below ``top`` in page order, without dropped elements and
     texts that equal the template's in their place; of a header inside an
-    article only the headings. ``template`` is node number -> text."""
+    article headings and paragraphs, not loose lines. ``template`` is node number -> text."""
     out, stack = [], [(top, False)]
     while stack:
         node, in_header = stack.pop()
@@ -511,7 +528,7 @@ def read_blocks(top: Node, template: dict[int, str], partners: dict[int, int]) -
             continue  # another text in a template's place is a slot
         if node.text and not in_header:
             out.append(node.text)
-        in_header = (in_header or node.tag == "header") and not _HEADING.match(node.tag)
+        in_header = (in_header or node.tag == "header") and not (node.tag == "p" or _HEADING.match(node.tag))
         stack += [(c, in_header) for c in reversed(node.children)]
     return "\n".join(out)
 
