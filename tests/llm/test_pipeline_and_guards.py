@@ -27,6 +27,7 @@ REVIEWED_PULLS = {
     ("importance.py", "kth_largest"): "at most 65,536 digit counts",
     ("importance.py", "quantile_level"): "held_out_labels rows",
     ("licenses.py", "load_templates"): "one row per template or chunk",
+    ("packing.py", "settle"): "one row",
     ("quality_rules.py", "prior"): "one row",
     ("target_resampling.py", "gains"): "one row per bucket",
     ("target_resampling.py", "kth_smallest"): "at most ``pivots`` keys, 2 * ``pivots`` + 1 counts",

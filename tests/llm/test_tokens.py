@@ -117,7 +117,7 @@ def test_packing_documents(spark, sf, library, tokenizer):
 
 def test_packing_edge_rows_and_groups(documents, library, tokenizer):
     rows = ROWS + [(3, "x")] * 40 + [(11, "b c d"), (12, "e " * 31)]
-    settings_ = packing.PackSettings(tokenizer=tokenizer, capacity=32, group_pieces=16, islands=3, epochs=3)
+    settings_ = packing.PackSettings(tokenizer=tokenizer, capacity=32, group_pieces=16, islands=3)
     out = packing.pack_documents(documents(rows), settings_).collect()
     check_packing(rows, out, library, 32)
     assert packing.pack_documents(documents([]), settings_).count() == 0
@@ -182,3 +182,83 @@ def test_long_texts_and_own_columns(spark, documents, library, tokenizer, tmp_pa
     token_store.write_store(clashing(documents([(1, text), (2, "b")])), str(tmp_path / "s"), token_store.StoreSettings(tokenizer=tokenizer))
     long, short = sorted(token_store.read_store(spark, str(tmp_path / "s")).collect(), key=lambda r: r.start)
     assert np.frombuffer(long.ids, "<u4").tolist() == ids_of(library, text) and short.n_tokens == 2
+
+
+def triplets(n, seed, capacity=1000):
+    """Pieces that fill ``n`` bins exactly, three a bin: hard for best fit."""
+    draw = np.random.default_rng(seed)
+    out = []
+    for _ in range(n):
+        a = int(draw.integers(380, 490))
+        b = int(draw.integers(250, 1000 - a - 250))
+        out += [a, b, capacity - a - b]
+    return [out[i] for i in draw.permutation(len(out))]
+
+
+def pieces_frame(spark, lengths):
+    rows = [(i, i, 0, 0, n, 0) for i, n in enumerate(lengths)]
+    return spark.createDataFrame(rows, packing.PIECES).repartition(3)
+
+
+def bins_of(packed, lengths, capacity):
+    """Checks every piece's place; the number of sequences."""
+    rows = packed.collect()
+    assert sorted(r.row for r in rows) == list(range(len(lengths)))
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for items in by.values():
+        items.sort()
+        ends = np.cumsum([n for _, n in items])
+        assert [o for o, _ in items] == [0, *ends[:-1]] and ends[-1] <= capacity
+    return len(by)
+
+
+def test_genetic_steps_beat_best_fit(spark):
+    lengths = triplets(60, 3)
+    best_fit = len(packing.pack(packing.longest_first(range(len(lengths)), lengths), lengths, 1000))
+    settings_ = packing.PackSettings(capacity=1000, children=60, population=8, islands=3, patience=3)
+    found = bins_of(packing.pack_pieces(pieces_frame(spark, lengths), settings_), lengths, 1000)
+    assert 60 <= found < best_fit
+
+
+def test_loose_bins_of_all_groups_are_packed_again(spark):
+    """Many small groups lose a bin each at their border; the levels win most
+    of them back."""
+    lengths = [int(x) for x in np.random.default_rng(9).integers(1, 60, 1500)]
+    least = packing.lower_bound(lengths, 100)
+    settings_ = packing.PackSettings(capacity=100, group_pieces=60, opened=0.1)
+    found = bins_of(packing.pack_pieces(pieces_frame(spark, lengths), settings_), lengths, 100)
+    assert found <= least + 6  # 25 groups
+
+
+def optimum(lengths, capacity):
+    """The fewest bins, by trying all."""
+    best = len(lengths)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(lengths):
+            best = len(bins)
+            return
+        for b in sorted(set(bins)):
+            if b + lengths[i] <= capacity:
+                rest = list(bins)
+                rest[rest.index(b)] = b + lengths[i]
+                place(i + 1, rest)
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(5, 60), min_size=1, max_size=9), st.integers(0, 5))
+def test_small_cases_reach_the_optimum(lengths, seed):
+    lengths = sorted(lengths, reverse=True)
+    settings_ = packing.PackSettings(capacity=100, children=40, population=6)
+    rng = np.random.default_rng(seed)
+    people = packing.evolve(lengths, packing.first_population(lengths, settings_, rng), settings_, rng)
+    assert len(people[0]) == optimum(lengths, 100)

@@ -14,8 +14,12 @@ evolved by ``islands`` populations:
 * after each epoch the best chromosome of an island migrates to the next
   island of its group; the best of all islands is the group's answer.
 
-A group stops as soon as it reaches ceil(tokens / capacity), below which no
-packing exists. The state between epochs is one row per (group, island) in a
+A group is done as soon as it reaches ceil(tokens / capacity), below which no
+packing exists; epochs go on until no group has won a bin or a fuller packing for
+``patience`` epochs. Then the least filled bins of all groups are opened, and
+their pieces form new, fewer groups that evolve the same way, until one group is
+left: so what the borders between groups cost is won back. The state between
+epochs is one row per (group, island) in a
 written table, so a lost executor costs one epoch of its rows.
 
 Defined results: a null text is a document of the end id alone; repeated rows
@@ -46,9 +50,10 @@ class PackSettings:
     end_id: int = 0
     group_pieces: int = 4096
     islands: int = 2
-    epochs: int = 2
+    patience: int = 2  # epochs without a gain after which a search ends
     population: int = 4
-    children: int = 6  # crossovers per island and epoch
+    children: int = 12  # crossovers per island and epoch
+    opened: float = 0.04  # share of a group's bins, the least filled, that go on to the next groups
     well_filled: float = 0.98  # share of the capacity from which a bin is injected
 
 
@@ -237,14 +242,30 @@ def migrate(state: DataFrame, islands: int) -> DataFrame:
     return state.join(elite, ["group", "island"], "left")
 
 
-def pack_pieces(pieces: DataFrame, settings: PackSettings) -> DataFrame:
-    """``pieces`` (row, length, ...) with sequence_id and offset."""
-    full = F.col("length") == settings.capacity
-    short = pieces.where(~full)
-    n = short.count()
-    groups = max(1, math.ceil(n / settings.group_pieces))
-    # dealt by a hash of the row number: even whatever the texts are
-    dealt = short.select(F.pmod(F.xxhash64("row"), F.lit(groups)).alias("group"), "row", F.col("length").cast("int"))
+def settle(state: DataFrame, settings: PackSettings) -> DataFrame:
+    """Epochs with migration until no group gains; the written state of the
+    last one."""
+    waited, epoch, last = 0, 0, None
+    least = F.ceil(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x) / F.lit(settings.capacity))
+    while True:
+        state = written(run_epoch(state, settings, epoch), "islands")
+        best = state.groupBy("group").agg(F.min("bins").alias("bins"), F.min("squares").alias("squares"), F.first(least).alias("least"))
+        row = best.agg(
+            F.sum("bins").alias("bins"), F.sum("squares").alias("squares"), F.count_if(F.col("bins") > F.col("least")).alias("open")
+        ).first()  # one row
+        gained = last is None or row["bins"] < last[0] or (row["bins"] == last[0] and row["squares"] < last[1] - 1e-9)
+        waited = 0 if gained else waited + 1
+        if not row["open"] or waited >= settings.patience:
+            return state
+        last, epoch = (row["bins"], row["squares"]), epoch + 1
+        state = migrate(state, settings.islands)
+
+
+def packed_groups(short: DataFrame, groups: int, settings: PackSettings, level: int) -> DataFrame:
+    """(group, bin, row, length, fill) of every piece, packed in ``groups``
+    groups; dealt by a hash of the row number: even whatever the texts are."""
+    group = F.pmod(F.xxhash64("row", F.lit(level)), F.lit(groups)).alias("group")
+    dealt = short.select(group, "row", F.col("length").cast("int").alias("length"))
     cut = F.sort_array(F.collect_list(F.struct("row", "length")))  # about group_pieces rows
     state = (
         dealt.groupBy("group").agg(cut.alias("p"))
@@ -254,25 +275,46 @@ def pack_pieces(pieces: DataFrame, settings: PackSettings) -> DataFrame:
             F.lit(None).cast("array<array<int>>").alias("people"), F.lit(None).cast("array<int>").alias("immigrant"),
         )
         .repartition("group", "island")
+    )
+    best = settle(state, settings).groupBy("group").agg(
+        F.min_by(F.struct("rows", "lengths", F.col("people")[0].alias("bin")), F.struct("bins", "squares", "island")).alias("b")
     )
-    for epoch in range(settings.epochs):
-        state = written(run_epoch(state, settings, epoch), "islands")
-        if epoch + 1 < settings.epochs:
-            state = migrate(state, settings.islands)
-    best = state.groupBy("group").agg(
-        F.min_by(F.struct("rows", F.col("people")[0].alias("bin")), F.struct("bins", "squares", "island")).alias("b")
-    )
-    bins = best.select("group", F.inline(F.arrays_zip(F.col("b.rows").alias("row"), F.col("b.bin").alias("bin"))))
-    # group and bin of a piece, next to the row: joined on the unique row number
-    placed = short.join(bins, "row")
+    zipped = F.arrays_zip(F.col("b.rows").alias("row"), F.col("b.lengths").alias("length"), F.col("b.bin").alias("bin"))
+    return written(best.select("group", F.inline(zipped)), "packed-groups")
+
+
+def pack_pieces(pieces: DataFrame, settings: PackSettings) -> DataFrame:
+    """``pieces`` (row, length, ...) with sequence_id and offset."""
     from pyspark.sql.window import Window
 
-    before = Window.partitionBy("group", "bin").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    full = F.col("length") == settings.capacity
+    short = pieces.where(~full)
+    left, done, level = short.select("row", "length"), None, 0
+    groups = max(1, math.ceil(short.count() / settings.group_pieces))
+    while True:
+        packed = packed_groups(left, groups, settings, level)
+        # a sequence is named by level, group and bin; there are as many levels as halvings of the groups
+        name = F.lit(level << 54) + F.shiftleft(F.col("group"), 22) + F.col("bin")
+        packed = packed.withColumn("sequence_id", name)
+        if groups == 1:
+            bins = packed.select("row", "sequence_id") if done is None else done.unionByName(packed.select("row", "sequence_id"))
+            break
+        fills = packed.groupBy("group", "bin").agg(F.sum("length").alias("fill"))
+        place = F.percent_rank().over(Window.partitionBy("group").orderBy("fill", "bin"))  # a few thousand bins a group
+        open_ = fills.withColumn("place", place).where((F.col("place") <= settings.opened) & (F.col("fill") < settings.capacity))
+        open_ = written(open_.select("group", "bin"), "opened-bins")
+        closed = packed.join(open_, ["group", "bin"], "left_anti").select("row", "sequence_id")
+        done = closed if done is None else done.unionByName(closed)
+        left = written(packed.join(open_, ["group", "bin"], "left_semi").select("row", "length"), "opened-pieces")
+        # at most half the groups each time, the last one alone
+        groups, level = min(max(1, math.ceil(left.count() / settings.group_pieces)), math.ceil(groups / 2)), level + 1
+    # the sequence of a piece, next to the row: joined on the unique row number
+    placed = short.join(bins, "row")
+    before = Window.partitionBy("sequence_id").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
     # bins from 0 up, full pieces from -1 down
-    sequence = F.shiftleft(F.col("group"), 20) + F.col("bin")
     alone = pieces.where(full).withColumn("offset", F.lit(0).cast("long")).withColumn("sequence_id", -F.col("row") - 1)
-    return placed.withColumn("sequence_id", sequence).drop("group", "bin").unionByName(alone)
+    return placed.unionByName(alone)
 
 
 def pack_documents(docs: DataFrame, settings: PackSettings) -> DataFrame:
