@@ -9,7 +9,7 @@ from __future__ import annotations
 from ..operators.design import MODEL_NAMES
 from ..spec import CONTRAST_GROUPS, GROUP_LABELS, GROUP_LEVELS, NATURAL_GROUPS, RACE_LEVELS, TABLE8_AGES, TRAJECTORY_AGES
 from . import given as G
-from .oracle import _f_tail, _fx, _in, _q, _t975, cte
+from .oracle import _f_tail, _fx, _in, _q, cte
 
 Z975 = "1.959963984540054"
 
@@ -328,11 +328,19 @@ def t_tail(t: str, df: str) -> str:
     return f"case when {df} is null then {tail(t)} when {x} < 0.5 then {far} else {_f_tail(f'pow({t}, 2)', '1.0', df)} end"
 
 
+def t_975(df: str) -> str:
+    """The 97.5 % point of t by Newton steps from the normal one: the tail is
+    convex there, so the steps go up to it."""
+    density = f"exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2) - 0.5 * ln({df} * pi()) - ({df} + 1) / 2 * ln(1 + x * x / {df}))"
+    steps = f"lambda x, z: x + ({t_tail('x', df)} / 2 - 0.025) / {density}"
+    return f"list_reduce(list_prepend({Z975}::double, [0.0::double for _ in range(14)]), {steps})"
+
+
 cte("growth_fixed", ("growth", "growth_df"), f"""
 select model, term, estimate, std_error, df, estimate - crit * std_error as conf_low, estimate + crit * std_error as conf_high,
   estimate / std_error as statistic, {t_tail("(estimate / std_error)", "df")} as p_value
 from (select g.model, case when d.term = 0 then '(Intercept)' else 'age_c65' end as term, case when d.term = 0 then b1 else b2 end as estimate,
-    sqrt(sigma2 * (case when d.term = 0 then x22 else x11 end) / (x11 * x22 - x12 * x12)) as std_error, d.df, coalesce({_t975("d.df")}, {Z975}) as crit
+    sqrt(sigma2 * (case when d.term = 0 then x22 else x11 end) / (x11 * x22 - x12 * x12)) as std_error, d.df, coalesce({t_975("d.df")}, {Z975}) as crit
   from growth g join (select model, term, case when df > 0 then df end as df from growth_df) d on d.model = g.model)""")
 cte("growth_var", ("growth",), """
 select model, sigma2, sigma2 * t0 * t0 as v0, sigma2 * t0 * t1 as c01, sigma2 * (t1 * t1 + t2 * t2) as v1 from growth""")
