@@ -217,7 +217,7 @@ def bins_of(packed, lengths, capacity):
 def test_genetic_steps_beat_best_fit(spark):
     lengths = triplets(60, 3)
     best_fit = len(packing.pack(packing.longest_first(range(len(lengths)), lengths), lengths, 1000))
-    settings_ = packing.PackSettings(capacity=1000, children=60, population=8, islands=3, patience=3)
+    settings_ = packing.PackSettings(capacity=1000, children=60, population=8, islands=3, patience=6)
     found = bins_of(packing.pack_pieces(pieces_frame(spark, lengths), settings_), lengths, 1000)
     assert 60 <= found < best_fit
 

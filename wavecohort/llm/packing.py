@@ -15,8 +15,7 @@ evolved by ``islands`` populations:
   island of its group; the best of all islands is the group's answer.
 
 A group is done as soon as it reaches ceil(tokens / capacity), below which no
-packing exists; epochs go on until no group has won a bin or a fuller packing for
-``patience`` epochs. Then the least filled bins of all groups are opened, and
+packing exists; epochs go on until no group has won a bin for ``patience`` epochs. Then the least filled bins of all groups are opened, and
 their pieces form new, fewer groups that evolve the same way, until one group is
 left: so what the borders between groups cost is won back. The state between
 epochs is one row per (group, island) in a
@@ -52,7 +51,7 @@ class PackSettings:
     islands: int = 2
     patience: int = 2  # epochs without a gain after which a search ends
     population: int = 4
-    children: int = 12  # crossovers per island and epoch
+    children: int = 8  # crossovers per island and epoch
     opened: float = 0.04  # share of a group's bins, the least filled, that go on to the next groups
     well_filled: float = 0.98  # share of the capacity from which a bin is injected
 
@@ -219,6 +218,9 @@ def run_epoch(state: DataFrame, settings: PackSettings, epoch: int) -> DataFrame
             for s in pdf.itertuples(index=False):
                 rng = np.random.default_rng([int(s.group), int(s.island), epoch])
                 lengths = [int(x) for x in s.lengths]
+                if s.people is not None and s.bins <= lower_bound(lengths, settings.capacity):
+                    yield pd.DataFrame([tuple(getattr(s, f.name) for f in STATE.fields)], columns=STATE.names)
+                    continue  # done: no packing is better
                 people = [numbers_to_bins(p) for p in s.people] if s.people is not None else []
                 people = people or first_population(lengths, settings, rng)
                 if s.immigrant is not None:
@@ -249,15 +251,12 @@ def settle(state: DataFrame, settings: PackSettings) -> DataFrame:
     least = F.ceil(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x) / F.lit(settings.capacity))
     while True:
         state = written(run_epoch(state, settings, epoch), "islands")
-        best = state.groupBy("group").agg(F.min("bins").alias("bins"), F.min("squares").alias("squares"), F.first(least).alias("least"))
-        row = best.agg(
-            F.sum("bins").alias("bins"), F.sum("squares").alias("squares"), F.count_if(F.col("bins") > F.col("least")).alias("open")
-        ).first()  # one row
-        gained = last is None or row["bins"] < last[0] or (row["bins"] == last[0] and row["squares"] < last[1] - 1e-9)
-        waited = 0 if gained else waited + 1
+        best = state.groupBy("group").agg(F.min("bins").alias("bins"), F.first(least).alias("least"))
+        row = best.agg(F.sum("bins").alias("bins"), F.count_if(F.col("bins") > F.col("least")).alias("open")).first()  # one row
+        waited = 0 if last is None or row["bins"] < last else waited + 1
         if not row["open"] or waited >= settings.patience:
             return state
-        last, epoch = (row["bins"], row["squares"]), epoch + 1
+        last, epoch = row["bins"], epoch + 1
         state = migrate(state, settings.islands)
 
 
