@@ -93,3 +93,14 @@ def test_lines_are_not_collected_by_file(spark):
     records = R.Records(spark, d)
     assert records.mixed.count() == 0
     assert records.names == ["a", "b", "c"]
+
+
+def test_a_record_is_cut_once_however_many_columns_are_checked(spark):
+    """The tests of all columns read the same cells, and no filter cuts a record again."""
+    lines = spark.createDataFrame([(1, "1,x"), (2, "1,2"), (3, "1")], "k int, value string")
+    names = [f"c{i}" for i in range(2)]
+    tests = {n: ("int", lambda c: c.try_cast("int")) for n in names}
+    found = R.with_faults(lines, names, tests)
+    assert sorted((r["k"], r["_fault"]["actual"]) for r in found.collect()) == [(1, "x"), (3, "1 columns")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1

@@ -69,9 +69,11 @@ def cells(record: Column) -> Column:
 
     def plain(c):
         inner = F.regexp_replace(F.regexp_replace(c, r'^"((?:[^"]++|"")*+)"', "$1"), '""', '"')
-        return F.nullif(F.nullif(F.when(c.startswith('"'), inner).otherwise(c), F.lit("")), F.lit("NA"))
+        return F.when(c.startswith('"'), inner).otherwise(c)
 
-    return F.transform(raw, plain)
+    # without a quote every comma separates
+    found = F.when(record.contains('"'), F.transform(raw, plain)).otherwise(F.split(record, ","))
+    return F.transform(found, lambda c: F.when(~c.isin("", "NA"), c))
 
 
 def _composed(const: Column, inside: Column, swap: Column, window) -> tuple[Column, Column]:
@@ -136,6 +138,18 @@ def mixed_lines(lines: DataFrame, starts: DataFrame) -> DataFrame:
     return placed.withColumn("_nth", F.sum(head.cast("long")).over(upto)).select(*SPLIT, "_id", "_chars", "_blank", "_begin", "_end", "_nth")
 
 
+def with_faults(records: DataFrame, names: list[str], tests: dict[str, tuple[str, object]]) -> DataFrame:
+    """(the records' columns but the text ``value``, _fault) for each thing that
+    is wrong with a record's cells.
+
+    A record is cut once: its cells are a lambda's variable, which all tests
+    read. A plain expression would be repeated for every mention of a cell, and
+    a filter on it (also the one that Spark infers below ``explode``) once more."""
+    faults = F.get(F.transform(F.array(cells(F.col("value"))), lambda c: _faults(c, names, tests)), F.lit(0))
+    rest = [c for c in records.columns if c != "value"]
+    return records.select(*rest, F.explode_outer(faults).alias("_fault")).where("_fault is not null")
+
+
 def _faults(found: Column, names: list[str], tests: dict[str, tuple[str, object]]) -> Column:
     """What is wrong with a record's cells: an array of (col, expected, actual)."""
     width = F.size(found)
@@ -156,8 +170,7 @@ def _faults(found: Column, names: list[str], tests: dict[str, tuple[str, object]
 
 
 def _one_fault(expected, actual) -> Column:
-    one = F.struct(F.lit(None).cast("string").alias("col"), expected.alias("expected"), actual.alias("actual"))
-    return F.array(one)
+    return F.struct(F.lit(None).cast("string").alias("col"), expected.alias("expected"), actual.alias("actual"))
 
 
 class Records:
@@ -239,18 +252,18 @@ def record_faults(spark: SparkSession, path: str, tests: dict[str, tuple[str, ob
     names = all_records.names
     if not names:
         return spark.createDataFrame([], "file string, row long, col string, expected string, actual string, path string")
-    keep = ["_file", "_record", "_faults"]
+    keep = ["_file", "_record", "_fault"]
     # records of one line are checked where they are read; only faults go on
-    alone = all_records.whole_lines(_faults(cells(F.col("value")), names, tests).alias("_faults")).where(F.size("_faults") > 0)
-    alone = all_records._alone(alone).select(*keep)
+    alone = all_records._alone(with_faults(all_records.whole_lines(F.col("value")), names, tests)).select(*keep)
     unread = all_records.sizes.where((F.col("_open") == 1) | (F.col("_size") > longest))
     too_long = _one_fault(F.lit(f"{longest} characters"), F.concat(F.col("_size").cast("string"), F.lit(" characters")))
     unclosed = _one_fault(F.lit("a closing quote"), F.lit("end of file"))
-    unread = unread.select("_file", "_record", F.when(F.col("_open") == 1, unclosed).otherwise(too_long).alias("_faults"))
-    several = all_records.texts().withColumn("_faults", _faults(cells(F.col("value")), names, tests)).select(*keep)
+    unread = unread.select("_file", "_record", F.when(F.col("_open") == 1, unclosed).otherwise(too_long).alias("_fault"))
+    several = with_faults(all_records.texts(), names, tests).select(*keep)
     found = alone.unionByName(unread).unionByName(several).where("_record > 1")  # the first is the header
     heads = all_records.heads.where(~F.col("_names").eqNullSafe(F.array(*[F.lit(n or None) for n in names])))
     shown = F.array_join(F.transform("_names", lambda c: F.coalesce(c, F.lit(""))), ",")
-    heads = heads.select("_file", F.lit(1).cast("long").alias("_record"), _one_fault(F.lit(",".join(names)), shown).alias("_faults"))
-    out = found.unionByName(heads).select("_file", (F.col("_record") - 1).alias("row"), F.explode("_faults").alias("p"))
-    return out.select(F.regexp_extract("_file", "[^/]*$", 0).alias("file"), "row", "p.col", "p.expected", "p.actual", F.col("_file").alias("path"))
+    heads = heads.select("_file", F.lit(1).cast("long").alias("_record"), _one_fault(F.lit(",".join(names)), shown).alias("_fault"))
+    out = found.unionByName(heads)
+    return out.select(F.regexp_extract("_file", "[^/]*$", 0).alias("file"), (F.col("_record") - 1).alias("row"),
+                      "_fault.col", "_fault.expected", "_fault.actual", F.col("_file").alias("path"))
