@@ -151,3 +151,23 @@ def test_given_documents(spark, tokenizer):
     untrained = A.score_documents(docs, replace(settings, rate=0.0)).collect()
     total = lambda found: sum(r.score for r in found if r.held_out)
     assert total(found) > 0.85 * total(untrained)
+
+
+def test_a_step_takes_the_exponentials_of_all_groups_at_once(monkeypatch):
+    """Two passes a step, one over the groups' and one over the members' odds."""
+    classes, p = some_model()
+    seen, real = [], A.exponentials
+    monkeypatch.setattr(A, "exponentials", lambda x: seen.append(len(x)) or real(x))
+    draw = np.random.default_rng(2)
+    inputs, targets = draw.integers(0, 12, (4, 6)), draw.integers(0, 12, (4, 6))
+    A.gradients(p, inputs, targets, np.ones((4, 6), dtype=bool), TINY)
+    assert seen == [24, 24]
+
+
+@pytest.mark.parametrize("words, width", [(0, 1), (1, 1), (256, 1), (257, 2), (1 << 16, 2), ((1 << 16) + 1, 3), ((1 << 24) + 1, 4)])
+def test_numbers_take_the_bytes_that_their_block_needs(words, width):
+    texts = [[], [0, words - 1, 0], [], [words - 1]] if words else [[], []]
+    cuts = np.cumsum([0, *map(len, texts)]).tolist()
+    raw = A.packed(np.array([n for t in texts for n in t], dtype=np.int64), cuts, words)
+    assert [len(r) for r in raw] == [1 + width * len(t) for t in texts]
+    assert [A.unpacked(r).tolist() for r in raw] == texts

@@ -47,6 +47,7 @@ the base and all counts do not.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -179,8 +180,8 @@ def lay_blocks(docs: DataFrame, settings: LmSettings) -> DataFrame:
             counts = np.bincount(numbers[training], minlength=len(words))
             cuts = np.append(0, np.cumsum(lengths)).tolist()
             out = [
-                (block, doc_id, held_out, numbers[a:b].tobytes(), ids, None, None, part)
-                for (doc_id, held_out, _, part), a, b, ids in zip(rows, cuts, cuts[1:], known.spell(codes, lengths))
+                (block, doc_id, held_out, short, ids, None, None, part)
+                for (doc_id, held_out, _, part), short, ids in zip(rows, packed(numbers, cuts, len(words)), known.spell(codes, lengths))
             ]
             out.append((block, None, None, None, None, list(map(known.words.__getitem__, words.tolist())), counts, WORDS))
             if len(known.words) > known.keep:
@@ -212,6 +213,21 @@ def lay_blocks(docs: DataFrame, settings: LmSettings) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(path)
 
 
+def packed(numbers: np.ndarray, cuts: list[int], words: int) -> list[bytes]:
+    """The numbers of a block's texts, which end at ``cuts``, in as many bytes
+    each as those of a block of ``words`` words need; this width comes first."""
+    width = max(1, (max(words - 1, 0).bit_length() + 7) // 8)
+    raw = numbers.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+    return [bytes([width]) + raw[a * width : b * width] for a, b in zip(cuts, cuts[1:])]
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    out = np.zeros(((len(raw) - 1) // width, 4), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(raw, dtype=np.uint8, offset=1).reshape(-1, width)
+    return out.view("<i4").ravel()
+
+
 # ---- the base ---------------------------------------------------------------------
 
 
@@ -248,7 +264,7 @@ def base_scores(scored: DataFrame, answers: DataFrame, totals: Totals) -> DataFr
     documents meet the counts of its words in one bounded group."""
 
     def meet(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        numbers = [np.frombuffer(b, dtype="<i4") for b in rows["numbers"]]
+        numbers = [unpacked(b) for b in rows["numbers"]]
         c = np.zeros(1 + max((int(x.max(initial=0)) for x in numbers), default=0))
         at = found["number"].to_numpy()
         c[at[at < len(c)]] = found["c"].to_numpy()[at < len(c)]
@@ -332,11 +348,11 @@ class Parameters:
             "up": (d, h), "up_bias": (h,), "down": (h, d),
             "group": (d, g), "group_bias": (g,), "member": (g, d, m), "member_bias": (g, m),
         }
-        size = sum(int(np.prod(s)) for s in shapes.values())
+        size = sum(map(math.prod, shapes.values()))
         self.flat = np.zeros(size, dtype=np.float32) if flat is None else np.array(flat, dtype=np.float32)
         at = 0
         for name, shape in shapes.items():
-            n = int(np.prod(shape))
+            n = math.prod(shape)
             setattr(self, name, self.flat[at : at + n].reshape(shape))
             at += n
 
@@ -363,27 +379,52 @@ def _flat(x: np.ndarray) -> np.ndarray:
 def forward(p: Parameters, inputs: np.ndarray) -> tuple:
     """The last layer's places of a batch of windows (windows x places), and
     what the gradients need."""
-    w, d = inputs.shape[1], p.embed.shape[1]
-    x = p.embed.take(inputs.ravel(), axis=0).reshape(*inputs.shape, d) + p.place[:w]
-    qkv = x @ p.qkv
+    (n, w), d = inputs.shape, p.embed.shape[1]
+    shape = (n, w, d)
+    x = p.embed.take(inputs.ravel(), axis=0)
+    x.reshape(shape)[:] += p.place[:w]
+    # one matrix product over all places, not one a window
+    qkv = (x @ p.qkv).reshape(n, w, 3 * d)
     q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
     s = q @ k.transpose(0, 2, 1)
     s *= np.float32(d**-0.5)
     np.minimum(s, np.float32(60), out=s)
     np.exp(s, out=s)
     s *= np.tri(w, dtype=np.float32)  # a place sees itself and what is before it
-    s /= s @ np.ones((w, 1), dtype=np.float32)
+    each = _flat(s)
+    each /= (each @ np.ones(w, dtype=np.float32))[:, None]
     a = s @ v
-    y = x + a @ p.mix
-    r = np.maximum(y @ p.up + p.up_bias, 0)
-    return x, q, k, v, s, a, y, r, y + r @ p.down
+    y = _flat(a) @ p.mix
+    y += x
+    r = y @ p.up
+    r += p.up_bias
+    np.maximum(r, 0, out=r)
+    h = r @ p.down
+    h += y
+    return x.reshape(shape), q, k, v, s, a, y.reshape(shape), r.reshape(n, w, -1), h.reshape(shape)
 
 
 def odds(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(logits, exp(logits), their sum) of every row of ``h``; where these
-    leave the floats' range, the logits are shifted first."""
+    """(logits, exp(logits), their sum) of every row of ``h``."""
     logits = h @ weights
     logits += bias
+    return exponentials(logits)
+
+
+def member_odds(p: Parameters, h: np.ndarray, ends: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for the members of each row's group; the rows lie in order of
+    their group, which ends at ``ends``."""
+    logits = np.empty((len(h), p.member.shape[2]), dtype=np.float32)
+    for g, (a, b) in enumerate(zip([0, *ends], ends)):
+        if a < b:
+            np.matmul(h[a:b], p.member[g], out=logits[a:b])
+            logits[a:b] += p.member_bias[g]
+    return exponentials(logits)
+
+
+def exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(logits, their exponentials, the sum of a row's); where these leave the
+    floats' range, the logits are shifted first."""
     ones = np.ones(logits.shape[1], dtype=np.float32)
     with np.errstate(over="ignore"):
         each = np.exp(logits)
@@ -411,10 +452,8 @@ def log_odds(p: Parameters, h: np.ndarray, targets: np.ndarray, counted: np.ndar
     some, rows = _flat(h).take(places, axis=0), np.arange(len(places))
     logits, _, total = odds(some, p.group, p.group_bias)
     log = logits[rows, group] - np.log(total.astype(float))
-    for g, (a, b) in enumerate(zip([0, *ends], ends)):
-        if a < b:
-            logits, _, total = odds(some[a:b], p.member[g], p.member_bias[g])
-            log[a:b] += logits[rows[: b - a], member[a:b]] - np.log(total.astype(float))
+    logits, _, total = member_odds(p, some, ends)
+    log += logits[rows, member] - np.log(total.astype(float))
     return places, log
 
 
@@ -428,34 +467,40 @@ def gradients(p: Parameters, inputs: np.ndarray, targets: np.ndarray, counted: n
     _, each, total = odds(some, p.group, p.group_bias)
     each *= (share / total)[:, None]
     each[rows, group] -= share
-    out.group[:], out.group_bias[:] = some.T @ each, each.sum(axis=0)
+    ones = np.ones(h.shape[0] * w, dtype=np.float32)  # sums over places are products with it
+    out.group[:], out.group_bias[:] = some.T @ each, ones[: len(places)] @ each
     back = each @ p.group.T
+    _, each, total = member_odds(p, some, ends)
+    each *= (share / total)[:, None]
+    each[rows, member] -= share
     for g, (i, j) in enumerate(zip([0, *ends], ends)):
         if i < j:
-            _, each, total = odds(some[i:j], p.member[g], p.member_bias[g])
-            each *= (share / total)[:, None]
-            each[rows[: j - i], member[i:j]] -= share
-            out.member[g], out.member_bias[g] = some[i:j].T @ each, each.sum(axis=0)
-            back[i:j] += each @ p.member[g].T
-    dh = np.zeros_like(h)
-    _flat(dh)[places] = back
+            out.member[g], out.member_bias[g] = some[i:j].T @ each[i:j], ones[: j - i] @ each[i:j]
+            back[i:j] += each[i:j] @ p.member[g].T
+    dh = np.zeros((len(ones), d), dtype=np.float32)
+    dh[places] = back
+    r, y = _flat(r), _flat(y)
     dr = dh @ p.down.T
     dr *= r > 0
-    out.down[:], out.up[:], out.up_bias[:] = _flat(r).T @ _flat(dh), _flat(y).T @ _flat(dr), _flat(dr).sum(axis=0)
-    dy = dh + dr @ p.up.T
-    out.mix[:] = _flat(a).T @ _flat(dy)
-    da = dy @ p.mix.T
+    out.down[:], out.up[:], out.up_bias[:] = r.T @ dh, y.T @ dr, ones @ dr
+    dy = dr @ p.up.T
+    dy += dh
+    out.mix[:] = _flat(a).T @ dy
+    da = (dy @ p.mix.T).reshape(x.shape)
     ds = da @ v.transpose(0, 2, 1)
     dv = s.transpose(0, 2, 1) @ da
-    ds -= (ds * s) @ np.ones((w, 1), dtype=np.float32)
+    each = _flat(ds)
+    each -= (_flat(ds * s) @ np.ones(w, dtype=np.float32))[:, None]
     ds *= s
     ds *= np.float32(d**-0.5)
     dqkv = np.empty((*x.shape[:2], 3 * d), dtype=np.float32)
     dqkv[..., :d], dqkv[..., d : 2 * d], dqkv[..., 2 * d :] = ds @ k, ds.transpose(0, 2, 1) @ q, dv
-    out.qkv[:] = _flat(x).T @ _flat(dqkv)
-    dx = dy + dqkv @ p.qkv.T
-    out.place[:w] = dx.sum(axis=0)
-    columns, where = _flat(dx).T.astype(float), inputs.ravel()
+    dqkv = _flat(dqkv)
+    out.qkv[:] = _flat(x).T @ dqkv
+    dx = dqkv @ p.qkv.T
+    dx += dy
+    out.place[:w] = dx.reshape(x.shape).sum(axis=0)
+    columns, where = dx.T.astype(float), inputs.ravel()
     for j in range(d):
         out.embed[:, j] = np.bincount(where, weights=columns[j], minlength=settings.classes)
     return out
