@@ -94,3 +94,19 @@ def test_absorbing_state(panel_of):
     d = I.absorbing_state(p, "C253_major_inconsistency", "ever", )
     got = {r["wave"]: r["ever"] for r in d.collect()}
     assert got == {1: False, 2: True, 3: True}
+
+
+def test_modes_unpivot_versions_of_a_person_not_rows(spark):
+    """Rows that agree count together before the unpivot; modes and ties are
+    those of the single rows."""
+    from wavecohort.operators import integrity
+
+    rows = [(1, w, 1, 1940 if w < 4 else 1941) for w in range(1, 9)]  # 1941 leads 5 to 3
+    rows += [(2, 1, 2, None), (2, 2, 1, 1930), (2, 3, 1, 1931), (2, 4, 2, None)]  # ties: the first seen
+    rows += [(3, 1, None, None), (3, 2, None, None)]
+    rows += [(4, 1, 1, 1950), (4, 2, 2, 1950), (4, 3, 3, 1951), (4, 4, 3, 1952)]  # the mode spans versions
+    panel = spark.createDataFrame(rows, "hhidpn long, wave int, raracem int, rabyear int")
+    found = integrity.invariant_modes(panel, variables=["raracem", "rabyear"])
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 1941), (2, 2, 1930), (3, None, None), (4, 3, 1950)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(1)" in plan[plan.index("Generate") :]  # the aggregate lies below the unpivot

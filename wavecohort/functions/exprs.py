@@ -94,8 +94,9 @@ def as_text(c, dtype: T.DataType) -> Column:
     return x.cast("string")
 
 
-def mode_first(df: DataFrame, keys: Sequence[str], value: str, order: str, out: str) -> DataFrame:
-    """First-tie mode of non-NULL ``value`` per ``keys``.
+def mode_first(df: DataFrame, keys: Sequence[str], value: str, order: str, out: str, count: str | None = None) -> DataFrame:
+    """First-tie mode of non-NULL ``value`` per ``keys``; a row counts once, or
+    as often as its ``count`` says.
 
     The most frequent value; among ties the one seen first in ``order``.
     Two partial aggregates, both on the grouping key, so a panel
@@ -105,7 +106,7 @@ def mode_first(df: DataFrame, keys: Sequence[str], value: str, order: str, out:
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_f"))
+        .agg((F.sum(count) if count else F.count(F.lit(1))).alias("_n"), F.min(order).alias("_f"))
     )
     return counted.groupBy(*keys).agg(
         F.max_by(F.col(value), F.struct(F.col("_n"), -F.col("_f"))).alias(out)

@@ -138,12 +138,20 @@ def invariant_cases(diag: DataFrame) -> DataFrame:
 
 def invariant_modes(panel: DataFrame, spec: PanelSpec = DEFAULT_SPEC, variables: Sequence[str] | None = None) -> DataFrame:
     """Per person, the first-tie mode of every time-invariant variable, in
-    the variable's own type (one unpivoted aggregate for all variables)."""
+    the variable's own type (one unpivoted aggregate for all variables).
+
+    A person's rows that agree in all variables count as one row with its
+    number and first wave before the unpivot, so that what is sorted is a row
+    per person, variable and version, not one per cell of the panel."""
     variables = list(variables or invariant_vars(panel, spec))
     types = dict((f.name, f.dataType) for f in panel.schema.fields)
-    long = invariant_long(panel, spec, variables)
-    modes = mode_first(long, [spec.id, "variable"], "value", spec.wave, "mode")
-    wide = modes.groupBy(spec.id).pivot("variable", variables).agg(F.first("mode"))
+    text = panel.select(spec.id, spec.wave, *[as_text(v, types[v]).alias(v) for v in variables])
+    versions = text.groupBy(spec.id, *variables).agg(F.min(spec.wave).alias(spec.wave), F.count(F.lit(1)).alias("_rows"))
+    cells = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("value")) for v in variables])
+    long = versions.select(spec.id, spec.wave, "_rows", F.inline(cells))
+    modes = mode_first(long, [spec.id, "variable"], "value", spec.wave, "mode", count="_rows")
+    # one value per variable: one aggregate where ``pivot`` plans two
+    wide = modes.groupBy(spec.id).agg(*[F.max(F.when(F.col("variable") == v, F.col("mode"))).alias(v) for v in variables])
     persons = panel.select(spec.id).distinct()
     out = persons.join(wide, spec.id, "left")
     return out.select(spec.id, *[_from_text(F.col(v), types[v]).alias(v) for v in variables])
