@@ -37,6 +37,27 @@ def test_ids_equal_the_library(parts):
     assert ids.tolist() == _LIBRARY.encode(text, add_special_tokens=False).ids + [0]
 
 
+def test_spelled_words_equal_the_library(tokenizer, library):
+    from tokenizers import pre_tokenizers
+
+    words = [" a", " Zürich", " naïve", " 漢字", " don't.", " \U0001f600x", " " + "long" * 40, " ÿ\u0120"]
+    ids, starts = bpe_ids.PieceCache(tokenizer).spelled(words)
+    library = type(library).from_file(tokenizer)
+    library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert [ids[a:b].tolist() for a, b in zip(starts, [*starts[1:], len(ids)])] == want
+
+
+def test_laying_blocks_gives_back_the_encoders_memory(tokenizer):
+    from wavecohort.llm import common
+
+    first = bpe_ids.piece_cache(tokenizer)
+    assert bpe_ids.piece_cache(tokenizer) is first
+    common.drop_worker_caches()
+    common.drop_worker_caches()  # nothing is left to drop
+    assert bpe_ids.piece_cache(tokenizer) is not first
+
+
 def ids_of(library, text):
     return library.encode(text or "", add_special_tokens=False).ids + [0]
 

@@ -123,10 +123,9 @@ class WordIds(dict):
         flats, starts = [self.flat], [self.starts]
         at = len(self.flat)
         for a in range(0, len(new), 5000):
-            [got] = self.pieces.cut.encode_batch_fast([new[a : a + 5000]], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, dtype=self.kind)
-            flats.append(ids)
-            starts.append(at + np.flatnonzero(self.pieces.spaced[ids]))  # a word's first id starts with the space
+            ids, first = self.pieces.spelled(new[a : a + 5000])
+            flats.append(ids.astype(self.kind))
+            starts.append(at + first)
             at += len(ids)
         self.flat, self.starts = np.concatenate(flats), np.concatenate(starts)
         self.lengths = np.diff(self.starts, append=at)

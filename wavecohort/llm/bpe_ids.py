@@ -33,6 +33,16 @@ NOT_LATIN = "[^\u0000-\u024F]"
 # library whole.
 UNSURE = "[^\u0000-\u0557\u2000-\u206F\u3000-\u9FFF\uAC00-\uD7A3\U0001F300-\U0001FAFF]"
 
+# Byte-level models name a byte that isn't printable by a character from U+0100 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_NAMES = np.arange(256, dtype="<u2")
+BYTE_NAMES[[b for b in range(256) if b not in PRINTABLE]] = np.arange(256, 512 - len(PRINTABLE))
+NEW_LINE = chr(BYTE_NAMES[10])
+
+
+def byte_names(text: str) -> str:
+    return BYTE_NAMES[np.frombuffer(text.encode(), dtype=np.uint8)].tobytes().decode("utf-16-le")
+
 
 class PieceCache:
     """Ids (little-endian uint32 bytes) of the pre-tokens met by a worker.
@@ -43,37 +53,46 @@ class PieceCache:
 
     def __init__(self, path: str, keep: int = 500_000):
         import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.latin, self.other = re.compile(LATIN_PATTERN).findall, regex.compile(PATTERN).findall
         self.not_latin, self.unsure = re.compile(NOT_LATIN).search, re.compile(UNSURE).search
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # the same model, for texts that are one pre-token already
-        self.cut = Tokenizer.from_file(path)
-        self.cut.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # and are written in the names of their bytes
+        self.named = Tokenizer.from_file(path)
+        self.named.pre_tokenizer = None
         vocab = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.spaced[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
         self.keep = keep
         self.ids: dict[str, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _library(self, texts: list[str], tokenizer=None) -> list[bytes]:
+        got = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
 
+    def spelled(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pre-tokens of one space and other characters, end to
+        end, and where each one's start: an id whose token starts with a space
+        starts the next one. The characters are no white space."""
+        names = byte_names("\n".join(pieces)).split(NEW_LINE)
+        [got] = self.named.encode_batch_fast([names], is_pretokenized=True, add_special_tokens=False)
+        flat = np.array(got.ids, dtype="<u4")
+        return flat, np.flatnonzero(self.spaced[flat])
+
     def _learn(self, pieces):
         """Pre-tokens of one space and other characters are encoded many at
-        a time: an id whose token starts with a space starts the next one."""
+        a time."""
         rest, spaced = [], []
         for p in pieces:
             (spaced if p[0] == " " and not p.isspace() else rest).append(p)
-        self.ids.update(zip(rest, self._library(rest)))
+        self.ids.update(zip(rest, self._library([byte_names(p) for p in rest], self.named)))
         for a in range(0, len(spaced), 5000):
             some = spaced[a : a + 5000]
-            got = self.cut.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)[0].ids
-            flat = np.array(got, dtype="<u4")
-            raw, starts = flat.tobytes(), (np.flatnonzero(self.spaced[flat]) * 4).tolist()
+            flat, starts = self.spelled(some)
+            raw, starts = flat.tobytes(), (starts * 4).tolist()
             self.ids.update(zip(some, [raw[s:e] for s, e in zip(starts, [*starts[1:], len(raw)])]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -107,7 +126,7 @@ def piece_cache(path: str) -> PieceCache:
     return worker_cache("bpe:" + path, lambda: PieceCache(path))
 
 
-def blocks(texts, limit: int = 4_000_000):
+def blocks(texts, limit: int = 1_000_000):
     """Slices (from, to) of a list of texts of at most ``limit`` characters,
     one text at least, so that a batch of long texts stays small in memory."""
     start = size = 0

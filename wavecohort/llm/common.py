@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -58,6 +60,20 @@ def worker_cache(name: str, make):
     return getattr(holder, name)
 
 
+def drop_worker_caches() -> None:
+    """Gives back the memory of the objects that earlier steps left in this
+    Python worker process, where a step needs none of them."""
+    import pyarrow
+
+    if sys.modules.pop("_wavecohort_worker", None) is not None:
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, TypeError, AttributeError):
+            pass  # only glibc has it
+
+
 def text_batches(spark: SparkSession, rows: int = 4000) -> None:
     """Fewer rows per Arrow batch than Spark's default, since rows of texts
     are large; a smaller setting of the session's own stays."""

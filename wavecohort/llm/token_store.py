@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .bpe_ids import encode_documents
-from .common import text_batches, written
+from .common import drop_worker_caches, text_batches, written
 
 
 @dataclass(frozen=True)
@@ -141,7 +141,7 @@ def write_store(docs: DataFrame, folder: str, settings: StoreSettings) -> None:
     rows that repeat are split like any others, and each task lays its range
     into blocks in order."""
     spark = docs.sparkSession
-    text_batches(spark)
+    text_batches(spark, 1000)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     width = id_bytes(settings.tokenizer)
     key, data = train_dictionary(docs, settings, width)
@@ -151,6 +151,7 @@ def write_store(docs: DataFrame, folder: str, settings: StoreSettings) -> None:
     def lay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
+        drop_worker_caches()  # the encoders of the step before
         part = TaskContext.get().partitionId()
         block = start = total = 0
         doc_ids, counts, offsets, frames, size = [], [], [], [], 0
