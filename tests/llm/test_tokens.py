@@ -283,3 +283,17 @@ def test_small_cases_reach_the_optimum(lengths, seed):
     rng = np.random.default_rng(seed)
     people = packing.evolve(lengths, packing.first_population(lengths, settings_, rng), settings_, rng)
     assert len(people[0]) == optimum(lengths, 100)
+
+
+def test_a_packing_is_scored_once(monkeypatch):
+    lengths = np.random.default_rng(1).integers(300, 1200, 200).tolist()
+    settings_, seen = packing.PackSettings(), []
+    rng = np.random.default_rng(2)
+    people = packing.first_population(lengths, settings_, rng)
+    plain = packing.fitness
+    monkeypatch.setattr(packing, "fitness", lambda *a: seen.append(1) or plain(*a))
+    out = packing.evolve(lengths, people, settings_, rng)
+    assert len(people) < len(seen) <= len(people) + settings_.children
+    scores = [plain(p, lengths, settings_.capacity) for p in out]
+    assert scores == sorted(scores)
+    assert all(sorted(i for b in p for i in b) == list(range(len(lengths))) for p in out)

@@ -152,4 +152,4 @@ def encode_documents(texts, path: str, end_id: int = 0):
 
 def ids_crc32(ids: np.ndarray) -> int:
     """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
-    return zlib.crc32(ids.astype("<u4", copy=False).tobytes())
+    return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4"))

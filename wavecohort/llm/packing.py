@@ -99,7 +99,7 @@ class Bins:
 
     def add_bin(self, items: list[int]):
         self.bins.append(list(items))
-        self._offer(len(self.bins) - 1, self.capacity - sum(self.lengths[i] for i in items))
+        self._offer(len(self.bins) - 1, self.capacity - sum([self.lengths[i] for i in items]))
 
     def best_fit(self, item: int):
         need = self.lengths[item]
@@ -133,13 +133,13 @@ def longest_first(items, lengths: list[int]) -> list[int]:
 
 def fitness(bins: list[list[int]], lengths: list[int], capacity: int) -> tuple[int, float]:
     """Smaller is better."""
-    fills = [sum(lengths[i] for i in b) / capacity for b in bins]
+    fills = [sum([lengths[i] for i in b]) / capacity for b in bins]
     return len(bins), -sum(f * f for f in fills)
 
 
 def crossover(mother, father, lengths: list[int], capacity: int, well_filled: float, rng) -> list[list[int]]:
     """The mother with some whole well-filled bins of the father."""
-    full = [b for b in father if sum(lengths[i] for i in b) >= well_filled * capacity]
+    full = [b for b in father if sum([lengths[i] for i in b]) >= well_filled * capacity]
     if not full:
         full = list(father)
     share = rng.uniform(0.2, 0.6)
@@ -152,7 +152,7 @@ def crossover(mother, father, lengths: list[int], capacity: int, well_filled: fl
         else:
             displaced += [i for i in b if i not in taken]
     # the least filled bins are broken up too, so that displaced pieces mix
-    kept.sort(key=lambda b: sum(lengths[i] for i in b))
+    kept.sort(key=lambda b: sum([lengths[i] for i in b]))
     loose = max(1, len(kept) // 20)
     displaced += [i for b in kept[:loose] for i in b]
     return pack(longest_first(displaced, lengths), lengths, capacity, injected + kept[loose:])
@@ -189,16 +189,17 @@ def lower_bound(lengths: list[int], capacity: int) -> int:
 
 def evolve(lengths: list[int], people: list[list[list[int]]], settings: PackSettings, rng) -> list[list[list[int]]]:
     """One epoch of one island; the best chromosome comes first."""
-    score = lambda bins: fitness(bins, lengths, settings.capacity)
+    scored = lambda bins: (fitness(bins, lengths, settings.capacity), bins)
     least = lower_bound(lengths, settings.capacity)
-    people = sorted(people, key=score)
+    # scored once each; sorting by the score alone keeps the order of equal ones
+    people = sorted(map(scored, people), key=lambda p: p[0])
     for _ in range(settings.children):
-        if len(people[0]) <= least:
+        if len(people[0][1]) <= least:
             break
-        mother, father = (people[int(k)] for k in rng.choice(len(people), 2, replace=len(people) < 2))
-        people.append(crossover(mother, father, lengths, settings.capacity, settings.well_filled, rng))
-        people = sorted(people, key=score)[: settings.population]
-    return people
+        mother, father = (people[int(k)][1] for k in rng.choice(len(people), 2, replace=len(people) < 2))
+        people.append(scored(crossover(mother, father, lengths, settings.capacity, settings.well_filled, rng)))
+        people = sorted(people, key=lambda p: p[0])[: settings.population]
+    return [bins for _, bins in people]
 
 
 STATE = T.StructType([
