@@ -171,3 +171,37 @@ def test_numbers_take_the_bytes_that_their_block_needs(words, width):
     raw = A.packed(np.array([n for t in texts for n in t], dtype=np.int64), cuts, words)
     assert [len(r) for r in raw] == [1 + width * len(t) for t in texts]
     assert [A.unpacked(r).tolist() for r in raw] == texts
+
+
+def test_biases_and_sums_by_class():
+    """Biases are part of the matrix products; sums by
+    class are the same as one at a time, for odd widths too."""
+    draw = np.random.default_rng(3)
+    for width in (1, 2, 3, 16):
+        where, rows = draw.integers(0, 9, 50), draw.normal(size=(50, width)).astype(np.float32)
+        want = np.zeros((9, width))
+        np.add.at(want, where, rows)
+        assert A.sums_by(where, rows, 9) == pytest.approx(want, abs=1e-4)
+    _, p = some_model()
+    *_, h = A.forward(p, draw.integers(0, 12, (4, 6)))
+    assert (h[:, -1] == 1).all()
+    h = h[:3]
+    for got, want in zip(A.odds(h, p.group_all), A.odds(h[:, :-1], p.group, p.group_bias)):
+        assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_counts_of_words_take_one_shuffle(spark, tokenizer):
+    """Each row of a block and word is shuffled once to be summed and once to go back."""
+    rows = [(i, f"alpha beta w{i} the the") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    blocks = A.lay_blocks(docs, A.LmSettings(tokenizer=tokenizer, block_documents=7))
+    seen, real = [], A.written
+    A.written = lambda df, name: seen.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, name)
+    try:
+        answers, totals = A.word_counts(blocks)
+    finally:
+        A.written = real
+    assert [plan.count("Exchange hashpartitioning") for plan in seen] == [1]
+    assert answers.groupBy("block", "number").count().where("count > 1").isEmpty()
+    training = [t for d, text in rows if not held(d) for t in tokens(text)]
+    assert (totals.tokens, totals.distinct) == (len(training), len(set(training)))

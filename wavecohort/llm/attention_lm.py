@@ -6,12 +6,10 @@ its distinct words; a document is then the numbers of its words (for the base)
 and its subword ids (for the attention model), and the block has one list of
 its words with their counts in the training documents.
 
-Base. Word counts are summed over all blocks; every block then asks for the
-counts of its own distinct words, so what is shuffled is one row per block and
-distinct word, not one per token. Words that make up more than 1 /
-``frequent`` of all tokens (fewer than ``frequent`` words, whatever the corpus)
-are answered by a broadcast, all others by a join, so that no word, however
-common, reaches one task whole.
+Base. The blocks' rows of a word meet once: their training counts are summed
+and the sum goes back to each of these blocks, so what is shuffled is one row
+per block and distinct word, not one per token. A word, however common, has no
+more rows than there are blocks.
 
 Attention model. A word's subwords are the public tokenizer's ids of it with a
 space before it; a document is the ids of its words and one end id. There are
@@ -56,6 +54,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .bpe_ids import piece_cache
 from .common import shared_folder, text_batches, worker_cache, written
@@ -69,7 +68,7 @@ class LmSettings:
     block_words: int = 200_000  # words of a block that are new to its worker
     block_documents: int = 4096
     block_tokens: int = 1_500_000
-    frequent: int = 20_000
+    frequent: int = 20_000  # of no effect: common words are counted like all others
     groups: int = 32
     members: int = 48
     shared: int = 100  # classes of many rare ids
@@ -227,6 +226,12 @@ def unpacked(raw: bytes) -> np.ndarray:
     return out.view("<i4").ravel()
 
 
+def laid_numbers(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a block's texts, end to end, and how many each has."""
+    width = raw[0][0] if raw else 1
+    return unpacked(bytes([width]) + b"".join([r[1:] for r in raw])), (np.array([len(r) for r in raw], dtype=np.int64) - 1) // width
+
+
 # ---- the base ---------------------------------------------------------------------
 
 
@@ -238,24 +243,17 @@ class Totals:
 
 
 def word_counts(blocks: DataFrame) -> tuple[DataFrame, Totals]:
-    """(word, c) of every training word, written, and the totals."""
-    listed = blocks.where(F.col("part") == WORDS).select(F.inline(F.arrays_zip("words", "counts")))
-    counts = listed.where("counts > 0").groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("c"))
-    counts = written(counts, "lm-counts")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()  # one row
+    """(block, number, c), written: for every block, the training counts of its
+    words; words that no training document has are left out. And the totals."""
+    listed = blocks.where(F.col("part") == WORDS).select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w"))
+    word = Window.partitionBy("w.words").orderBy("block")
+    c = F.sum("w.counts").over(word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    summed = listed.select("block", "number", c.alias("c"), (F.row_number().over(word) == 1).alias("once"))
+    answers = written(summed.where("c > 0"), "lm-counts")
+    # one row; each word counts where it is listed first
+    n, v = answers.where("once").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = blocks.where(F.col("part") >= 0).count()
-    return counts, Totals(n + ends, v + (ends > 0), ends)
-
-
-def asked_counts(blocks: DataFrame, counts: DataFrame, totals: Totals, settings: LmSettings) -> DataFrame:
-    """(block, number, c): for every block, the training counts of its
-    words; words that no training document has are left out."""
-    asked = blocks.where(F.col("part") == WORDS).select("block", F.posexplode("words").alias("number", "word"))
-    common = F.col("c") * settings.frequent > totals.tokens  # fewer than ``frequent`` words, since counts add up to N
-    near = F.broadcast(counts.where(common))
-    answered = asked.join(near, "word").select("block", "number", "c")
-    rest = asked.join(near.select("word"), "word", "left_anti").join(counts.where(~common), "word")
-    return answered.unionByName(rest.select("block", "number", "c"))
+    return answers.select("block", "number", "c"), Totals(n + ends, v + (ends > 0), ends)
 
 
 def base_scores(scored: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame:
@@ -263,16 +261,17 @@ def base_scores(scored: DataFrame, answers: DataFrame, totals: Totals) -> DataFr
     documents meet the counts of its words in one bounded group."""
 
     def meet(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        numbers = [unpacked(b) for b in rows["numbers"]]
-        c = np.zeros(1 + max((int(x.max(initial=0)) for x in numbers), default=0))
+        numbers, lengths = laid_numbers(list(rows["numbers"]))
+        c = np.zeros(1 + int(numbers.max(initial=0)))
         at = found["number"].to_numpy()
         c[at[at < len(c)]] = found["c"].to_numpy()[at < len(c)]
         share = totals.tokens + totals.distinct + 1
         term, end = np.log10((c + 1) / share), float(np.log10((totals.documents + 1) / share))
+        text, n = np.repeat(np.arange(len(rows)), lengths), len(rows)
         out = rows[["doc_id", "held_out", "score"]].copy()
-        out["n_tokens"] = [len(x) + 1 for x in numbers]
-        out["n_known"] = [int((c[x] > 0).sum()) + (totals.documents > 0) for x in numbers]
-        out["base_score"] = [float(term[x].sum()) + end for x in numbers]
+        out["n_tokens"] = lengths + 1
+        out["n_known"] = np.bincount(text[c[numbers] > 0], minlength=n) + (totals.documents > 0)
+        out["base_score"] = np.bincount(text, weights=term[numbers], minlength=n) + end
         return out
 
     schema = "doc_id long, held_out boolean, score double, n_tokens long, n_known long, base_score double"
@@ -336,7 +335,9 @@ def make_classes(counts: np.ndarray, settings: LmSettings) -> Classes:
 
 
 class Parameters:
-    """The model's arrays as views of one flat vector."""
+    """The model's arrays as views of one flat vector. ``up``, ``group`` and
+    each group's ``member`` lie with their bias as the last row in one matrix
+    (``up_all`` and so on), for inputs that end in a one."""
 
     def __init__(self, settings: LmSettings, flat: np.ndarray | None = None):
         c, d, h, w, g, m = (
@@ -344,8 +345,7 @@ class Parameters:
         )
         shapes = {
             "embed": (c, d), "place": (w, d), "qkv": (d, 3 * d), "mix": (d, d),
-            "up": (d, h), "up_bias": (h,), "down": (h, d),
-            "group": (d, g), "group_bias": (g,), "member": (g, d, m), "member_bias": (g, m),
+            "up_all": (d + 1, h), "down": (h, d), "group_all": (d + 1, g), "member_all": (g, d + 1, m),
         }
         size = sum(map(math.prod, shapes.values()))
         self.flat = np.zeros(size, dtype=np.float32) if flat is None else np.array(flat, dtype=np.float32)
@@ -354,6 +354,9 @@ class Parameters:
             n = math.prod(shape)
             setattr(self, name, self.flat[at : at + n].reshape(shape))
             at += n
+        self.up, self.up_bias = self.up_all[:d], self.up_all[d]
+        self.group, self.group_bias = self.group_all[:d], self.group_all[d]
+        self.member, self.member_bias = self.member_all[:, :d], self.member_all[:, d]
 
 
 def start_parameters(classes: Classes, settings: LmSettings) -> Parameters:
@@ -375,38 +378,57 @@ def _flat(x: np.ndarray) -> np.ndarray:
     return x.reshape(-1, x.shape[-1])
 
 
+def _beside(matrix: np.ndarray, rows: int, columns: int) -> np.ndarray:
+    """The matrix within zeros of a larger shape."""
+    out = np.zeros((rows, columns), dtype=np.float32)
+    out[: len(matrix), : matrix.shape[1]] = matrix
+    return out
+
+
+def scaled_qkv(p: Parameters) -> np.ndarray:
+    """``qkv`` with the scores' scale in the queries' columns."""
+    out = p.qkv.copy()
+    out[:, : len(out)] *= np.float32(len(out) ** -0.5)
+    return out
+
+
 def forward(p: Parameters, inputs: np.ndarray) -> tuple:
     """The last layer's places of a batch of windows (windows x places), and
-    what the gradients need."""
-    (n, w), d = inputs.shape, p.embed.shape[1]
-    shape = (n, w, d)
-    x = p.embed.take(inputs.ravel(), axis=0)
-    x.reshape(shape)[:] += p.place[:w]
+    what the gradients need. The places and what attention reads of them end in
+    a one, which the residuals carry on, so that biases are part of products."""
+    (n, w), (classes, d) = inputs.shape, p.embed.shape
+    embed, place = np.ones((classes, d + 1), dtype=np.float32), _beside(p.place[:w], w, d + 1)
+    embed[:, :d] = p.embed
+    x = embed.take(inputs.ravel(), axis=0)
+    x.reshape(n, w, d + 1)[:] += place
     # one matrix product over all places, not one a window
-    qkv = (x @ p.qkv).reshape(n, w, 3 * d)
+    weights = _beside(scaled_qkv(p), d + 1, 3 * d + 1)
+    weights[d, 3 * d] = 1
+    qkv = (x @ weights).reshape(n, w, 3 * d + 1)
     q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
     s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(d**-0.5)
-    np.minimum(s, np.float32(60), out=s)
+    if s.max(initial=0) > 60:
+        np.minimum(s, np.float32(60), out=s)
     np.exp(s, out=s)
     s *= np.tri(w, dtype=np.float32)  # a place sees itself and what is before it
     each = _flat(s)
     each /= (each @ np.ones(w, dtype=np.float32))[:, None]
     a = s @ v
-    y = _flat(a) @ p.mix
+    y = _flat(a) @ _beside(p.mix, d + 1, d + 1)
     y += x
-    r = y @ p.up
-    r += p.up_bias
-    np.maximum(r, 0, out=r)
-    h = r @ p.down
+    r = y @ p.up_all
+    np.maximum(r, np.zeros_like(r), out=r)  # an array of zeros: with a number this takes three times as long
+    h = r @ _beside(p.down, len(p.down), d + 1)
     h += y
-    return x.reshape(shape), q, k, v, s, a, y.reshape(shape), r.reshape(n, w, -1), h.reshape(shape)
+    return x, q, k, v, s, a, y, r, h
 
 
-def odds(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(logits, exp(logits), their sum) of every row of ``h``."""
+def odds(h: np.ndarray, weights: np.ndarray, bias: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(logits, exp(logits), their sum) of every row of ``h``; without a
+    ``bias`` it is the last row of the weights."""
     logits = h @ weights
-    logits += bias
+    if bias is not None:
+        logits += bias
     return exponentials(logits)
 
 
@@ -416,8 +438,7 @@ def member_odds(p: Parameters, h: np.ndarray, ends: list[int]) -> tuple[np.ndarr
     logits = np.empty((len(h), p.member.shape[2]), dtype=np.float32)
     for g, (a, b) in enumerate(zip([0, *ends], ends)):
         if a < b:
-            np.matmul(h[a:b], p.member[g], out=logits[a:b])
-            logits[a:b] += p.member_bias[g]
+            np.matmul(h[a:b], p.member_all[g], out=logits[a:b])
     return exponentials(logits)
 
 
@@ -439,69 +460,86 @@ def by_group(targets: np.ndarray, counted: np.ndarray, settings: LmSettings) ->
     """(places, group, member, ends): the counted places in order of their
     target's group, and where each group ends."""
     places = np.flatnonzero(counted)
-    group, member = np.divmod(targets.ravel()[places], settings.members)
+    target = targets.ravel()[places]
+    group = target // settings.members
     order = np.argsort(group.astype(np.int16), kind="stable")
     ends = np.cumsum(np.bincount(group, minlength=settings.groups)).tolist()
-    return places[order], group[order], member[order], ends
+    group = group[order]
+    return places[order], group, target[order] - group * settings.members, ends
 
 
 def log_odds(p: Parameters, h: np.ndarray, targets: np.ndarray, counted: np.ndarray, settings: LmSettings) -> tuple:
     """(places, natural log probability of the target class there)."""
     places, group, member, ends = by_group(targets, counted, settings)
     some, rows = _flat(h).take(places, axis=0), np.arange(len(places))
-    logits, _, total = odds(some, p.group, p.group_bias)
-    log = logits[rows, group] - np.log(total.astype(float))
-    logits, _, total = member_odds(p, some, ends)
-    log += logits[rows, member] - np.log(total.astype(float))
+    logits, _, total = odds(some, p.group_all)
+    log = logits.take(rows * settings.groups + group).astype(float)
+    logits, _, both = member_odds(p, some, ends)
+    log += logits.take(rows * settings.members + member)
+    log -= np.log(total.astype(float) * both)
     return places, log
 
 
+def sums_by(where: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows with the same number in ``where``; two columns at a
+    time, as the parts of complex numbers."""
+    columns = rows.shape[1]
+    if columns % 2:
+        rows = _beside(rows, len(rows), columns + 1)
+    pairs = np.ascontiguousarray(np.ascontiguousarray(rows).view(np.complex64).T)
+    out = np.zeros((len(pairs), size), dtype=np.complex64)
+    for total, values in zip(out, pairs):
+        np.add.at(total, where, values)
+    return np.ascontiguousarray(out.T).view(np.float32)[:, :columns]
+
+
 def gradients(p: Parameters, inputs: np.ndarray, targets: np.ndarray, counted: np.ndarray, settings: LmSettings) -> Parameters:
     """Of the mean negative log probability of ``targets`` where ``counted``."""
     out = Parameters(settings)
-    w, d = inputs.shape[1], p.embed.shape[1]
+    (n, w), d = inputs.shape, p.embed.shape[1]
     x, q, k, v, s, a, y, r, h = forward(p, inputs)
     places, group, member, ends = by_group(targets, counted, settings)
-    some, rows, share = _flat(h).take(places, axis=0), np.arange(len(places)), np.float32(1 / len(places))
-    _, each, total = odds(some, p.group, p.group_bias)
+    some, rows, share = h.take(places, axis=0), np.arange(len(places)), np.float32(1 / len(places))
+    _, each, total = odds(some, p.group_all)
     each *= (share / total)[:, None]
-    each[rows, group] -= share
-    ones = np.ones(h.shape[0] * w, dtype=np.float32)  # sums over places are products with it
-    out.group[:], out.group_bias[:] = some.T @ each, ones[: len(places)] @ each
-    back = each @ p.group.T
+    each.reshape(-1)[rows * settings.groups + group] -= share
+    np.matmul(some.T, each, out=out.group_all)
+    back, by_members = np.zeros((len(places) + 1, d), dtype=np.float32), np.empty((len(places), d), dtype=np.float32)
+    np.matmul(each, p.group.T, out=back[:-1])
     _, each, total = member_odds(p, some, ends)
     each *= (share / total)[:, None]
-    each[rows, member] -= share
+    each.reshape(-1)[rows * settings.members + member] -= share
     for g, (i, j) in enumerate(zip([0, *ends], ends)):
         if i < j:
-            out.member[g], out.member_bias[g] = some[i:j].T @ each[i:j], ones[: j - i] @ each[i:j]
-            back[i:j] += each[i:j] @ p.member[g].T
-    dh = np.zeros((len(ones), d), dtype=np.float32)
-    dh[places] = back
-    r, y = _flat(r), _flat(y)
+            np.matmul(some[i:j].T, each[i:j], out=out.member_all[g])
+            np.matmul(each[i:j], p.member[g].T, out=by_members[i:j])
+    back[:-1] += by_members
+    row = np.full(n * w, len(places))  # the last, of zeros, for places that don't count
+    row[places] = rows
+    dh = back.take(row, axis=0)
     dr = dh @ p.down.T
     dr *= r > 0
-    out.down[:], out.up[:], out.up_bias[:] = r.T @ dh, y.T @ dr, ones @ dr
+    out.down[:], out.up_all[:] = r.T @ dh, y.T @ dr
     dy = dr @ p.up.T
     dy += dh
-    out.mix[:] = _flat(a).T @ dy
-    da = (dy @ p.mix.T).reshape(x.shape)
+    out.mix[:] = _flat(a)[:, :d].T @ dy
+    # of the scores: each place's mean is taken off by a further column that meets the ones of v
+    da = dy @ _beside(p.mix.T, d, d + 1)
+    da[:, d] = (da * _flat(a)) @ np.full(d + 1, -1, dtype=np.float32)
+    da = da.reshape(n, w, d + 1)
     ds = da @ v.transpose(0, 2, 1)
-    dv = s.transpose(0, 2, 1) @ da
-    each = _flat(ds)
-    each -= (_flat(ds * s) @ np.ones(w, dtype=np.float32))[:, None]
     ds *= s
-    ds *= np.float32(d**-0.5)
-    dqkv = np.empty((*x.shape[:2], 3 * d), dtype=np.float32)
-    dqkv[..., :d], dqkv[..., d : 2 * d], dqkv[..., 2 * d :] = ds @ k, ds.transpose(0, 2, 1) @ q, dv
+    dqkv = np.empty((n, w, 3 * d), dtype=np.float32)
+    np.matmul(ds, k, out=dqkv[..., :d])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., d : 2 * d])
+    np.matmul(s.transpose(0, 2, 1), da[..., :d], out=dqkv[..., 2 * d :])
     dqkv = _flat(dqkv)
-    out.qkv[:] = _flat(x).T @ dqkv
-    dx = dqkv @ p.qkv.T
+    out.qkv[:] = x[:, :d].T @ dqkv
+    out.qkv[:, :d] *= np.float32(d**-0.5)
+    dx = dqkv @ scaled_qkv(p).T
     dx += dy
-    out.place[:w] = dx.reshape(x.shape).sum(axis=0)
-    columns, where = dx.T.astype(float), inputs.ravel()
-    for j in range(d):
-        out.embed[:, j] = np.bincount(where, weights=columns[j], minlength=settings.classes)
+    out.place[:w] = dx.reshape(n, w, d).sum(axis=0)
+    out.embed[:] = sums_by(inputs.ravel(), dx, settings.classes)
     return out
 
 
@@ -657,7 +695,7 @@ def score_documents(docs: DataFrame, settings: LmSettings) -> DataFrame:
     score of every document."""
     blocks = lay_blocks(docs, settings)
     model = fit(blocks, settings)
-    counts, totals = word_counts(blocks)
+    answers, totals = word_counts(blocks)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reuse_freed_memory()
@@ -667,6 +705,6 @@ def score_documents(docs: DataFrame, settings: LmSettings) -> DataFrame:
 
     rows = blocks.where(F.col("part") != WORDS).select("block", "doc_id", "held_out", "numbers", "ids")
     scored = rows.mapInPandas(score, "block long, doc_id long, held_out boolean, numbers binary, score double")
-    found = base_scores(scored, asked_counts(blocks, counts, totals, settings), totals)
+    found = base_scores(scored, answers, totals)
     train_tokens = F.lit(totals.tokens).cast("long").alias("train_tokens")
     return found.select("doc_id", "held_out", "n_tokens", "n_known", train_tokens, "base_score", "score")

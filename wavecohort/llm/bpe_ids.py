@@ -54,15 +54,16 @@ class PieceCache:
     def __init__(self, path: str, keep: int = 500_000):
         import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.latin, self.other = re.compile(LATIN_PATTERN).findall, regex.compile(PATTERN).findall
         self.not_latin, self.unsure = re.compile(NOT_LATIN).search, re.compile(UNSURE).search
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # the same model, for texts that are one pre-token already
-        # and are written in the names of their bytes
+        # the same model, for pre-tokens that are written in the names of their
+        # bytes; a space, which is no byte's name, stands between them
         self.named = Tokenizer.from_file(path)
-        self.named.pre_tokenizer = None
+        self.named.pre_tokenizer = CharDelimiterSplit(" ")
         vocab = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.spaced[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
@@ -77,9 +78,10 @@ class PieceCache:
         """The ids of pre-tokens of one space and other characters, end to
         end, and where each one's start: an id whose token starts with a space
         starts the next one. The characters are no white space."""
-        names = byte_names("\n".join(pieces)).split(NEW_LINE)
-        [got] = self.named.encode_batch_fast([names], is_pretokenized=True, add_special_tokens=False)
-        flat = np.array(got.ids, dtype="<u4")
+        # lists of a few hundred stay in the processor's cache while the library cuts and merges them
+        lists = [byte_names("\n".join(pieces[a : a + 200])).replace(NEW_LINE, " ") for a in range(0, len(pieces), 200)]
+        raw = self._library(lists, self.named)
+        flat = np.frombuffer(b"".join(raw), dtype="<u4")
         return flat, np.flatnonzero(self.spaced[flat])
 
     def _learn(self, pieces):
