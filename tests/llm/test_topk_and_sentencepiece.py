@@ -131,3 +131,24 @@ def test_documents(spark, sf, documents, model_path):
     rows = [(1, None), (2, ""), (2, ""), (None, "a b")]
     got = S.round_trips(documents(rows), model_path).collect()
     assert sorted((len(r.ids), r.decoded) for r in got) == [(0, ""), (0, ""), (0, ""), (2, "a b")]
+
+
+def test_neighbours_and_met_pairs_need_no_search(model_path, monkeypatch):
+    """Characters and met pairs are looked up by number: exact where pairs
+    share a slot, and only pairs that are new are sorted."""
+    model = S.Model(model_path)
+    inside = {a + b for p in model.pieces for a, b in zip(p, p[1:])}
+    text = "the ▁quick\n日本 Ünï 1,2\x00\U0010ffff▁▁a" + "".join(model.pieces[::97])
+    assert model.holds(S.code_points(text)).tolist() == [a + b in inside for a, b in zip(text, text[1:])]
+    draw = np.random.default_rng(1)
+    left, right = draw.integers(0, 300, (2, 4000))
+    monkeypatch.setattr(S, "SLOTS", 1 << 9)
+    model.met = np.full(1 << 9, -1, dtype=np.int64)
+    want = [model.may_follow(a, b) for a, b in zip(left.tolist(), right.tolist())]
+    assert model.follows(left, right).tolist() == want
+    assert model.follows(left, right).tolist() == want
+    model.follows(left[-1:], right[-1:])
+    sorted_, real = [], np.unique
+    monkeypatch.setattr(S.np, "unique", lambda x, **k: sorted_.append(len(x)) or real(x, **k))
+    model.follows(left[-1:], right[-1:])
+    assert not sum(sorted_)

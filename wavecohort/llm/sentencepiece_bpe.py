@@ -32,6 +32,7 @@ each; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,7 @@ MARK = "▁"
 _ODD = re.compile(f"{MARK}|  | \\Z")
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 NEVER = 1 << 40
+SLOTS = 1 << 20
 BLOCK = 2_000_000  # characters that are indexed together, which bounds a worker's memory
 
 
@@ -78,11 +80,22 @@ class Model:
         for i, b in self.byte_of.items():
             self.raw[i] = bytes([b])
         self.pairs: dict[int, bool] = {}
+        # the pairs met last, each in a slot that its number gives: twice the number, and one if it fits
+        self.met = np.full(SLOTS, -1, dtype=np.int64)
         self.lengths = np.fromiter(map(len, self.pieces), dtype=np.int64, count=len(self.pieces))
         self.ids = np.array([self.piece_id[p] for p in self.pieces], dtype="<i4")
-        self.characters = np.array(sorted(ord(p) for p in self.pieces if len(p) == 1), dtype=np.int64)
+        self.is_character = np.zeros(sys.maxunicode + 1, dtype=bool)
+        self.is_character[[ord(p) for p in self.pieces if len(p) == 1]] = True
         inside = {(ord(a), ord(b)) for p in self.pieces for a, b in zip(p, p[1:])}
-        self.neighbours = np.array(sorted((a << 21) | b for a, b in inside), dtype=np.int64)
+        # characters by number, those that no piece holds beside another 0
+        self.number = np.zeros(sys.maxunicode + 1, dtype=np.int32)
+        beside = sorted({c for pair in inside for c in pair})
+        self.number[beside] = np.arange(1, len(beside) + 1)
+        # the neighbours as bits of a table: a row for the first, a bit for the second
+        self.neighbours = np.zeros((len(beside) + 1, len(beside) // 8 + 1), dtype=np.uint8)
+        if inside:
+            first, second = self.number[np.array(sorted(inside)).T]
+            np.bitwise_or.at(self.neighbours, (first, second >> 3), (1 << (second & 7)).astype(np.uint8))
 
     def last_merge(self, piece: str) -> tuple[str, str]:
         """The two symbols whose merge makes the piece, found by merging its
@@ -136,17 +149,31 @@ class Model:
             else:
                 j += 1
 
+    def holds(self, codes: np.ndarray) -> np.ndarray:
+        """Whether a piece holds each character of ``codes`` and the one after
+        it as neighbours."""
+        number = self.number[codes]
+        second = number[1:]
+        return (self.neighbours[number[:-1], second >> 3] >> (second & 7)) & 1 > 0
+
     def follows(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """``may_follow`` of many pairs; met pairs are kept."""
         if len(self.pairs) > 500_000:
             self.pairs.clear()
-        keys, place = np.unique(left * len(self.pieces) + right, return_inverse=True)
         pairs, size = self.pairs, len(self.pieces)
-        found = [pairs.get(k) for k in keys.tolist()]
-        for n, k in enumerate(keys.tolist()):
-            if found[n] is None:
-                found[n] = pairs[k] = self.may_follow(k // size, k % size)
-        return np.array(found, dtype=bool)[place]
+        keys = left * size + right
+        slot = (keys * 0x9E3779B1 >> 12) % SLOTS
+        met = self.met[slot]
+        new = np.flatnonzero(met >> 1 != keys)
+        if len(new):
+            some, place = np.unique(keys[new], return_inverse=True)
+            found = [pairs.get(k) for k in some.tolist()]
+            for n, k in enumerate(some.tolist()):
+                if found[n] is None:
+                    found[n] = pairs[k] = self.may_follow(k // size, k % size)
+            met[new] = 2 * keys[new] + np.array(found, dtype=np.int64)[place]
+            self.met[slot[new]] = met[new]
+        return met & 1 > 0
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -206,30 +233,19 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
 
 
-def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are in the sorted array ``known``."""
-    at = np.minimum(np.searchsorted(known, values), max(0, len(known) - 1))
-    return known[at] == values if len(known) else np.zeros(len(values), dtype=bool)
-
-
-def cut_words(words: list[str], model: Model) -> list[list[str]]:
-    """Each word in parts, cut between characters that no piece holds as
-    neighbours."""
+def cut_words(words: list[str], model: Model) -> tuple[list[str], list[int]]:
+    """The words' parts, one after the other, cut between characters that no
+    piece holds as neighbours, and where each word's end in this list."""
     joined = "".join(words)
     codes = code_points(joined)
     border = np.ones(len(codes) + 1, dtype=bool)
-    border[1:-1] = ~_within((codes[:-1] << 21) | codes[1:], model.neighbours)
+    border[1:-1] = ~model.holds(codes)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
     border[ends] = True
     cuts = np.flatnonzero(border)
-    counts = np.diff([0, *np.searchsorted(cuts, ends)]).tolist()
+    word_ends = np.searchsorted(cuts, ends).tolist()
     cuts = cuts.tolist()
-    parts = [joined[a:b] for a, b in zip(cuts, cuts[1:])]
-    out, at = [], 0
-    for n in counts:
-        out.append(parts[at : at + n])
-        at += n
-    return out
+    return [joined[a:b] for a, b in zip(cuts, cuts[1:])], word_ends
 
 
 def encode_parts(parts: list[str], model: Model) -> list[bytes]:
@@ -248,12 +264,13 @@ def encode_parts(parts: list[str], model: Model) -> list[bytes]:
     rows = np.arange(len(piece)) - np.repeat(np.cumsum(count[used]) - count[used], count[used])
     start = order[np.repeat(low[used], count[used]) + rows]
     # a character without a piece is an edge of its own, piece -1
-    inside = np.zeros(len(text), dtype=bool)
-    inside[np.arange(int(sizes.sum())) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)] = True
-    lone = np.flatnonzero(inside & ~_within(text, model.characters))
+    begins = np.append(0, np.repeat(first, sizes + 1))  # of the part at each place
+    inside = np.ones(len(text), dtype=bool)
+    inside[first - 1] = inside[-1] = False
+    lone = np.flatnonzero(inside & ~model.is_character[text])
     start, piece = np.concatenate([start, lone]), np.concatenate([piece, np.full(len(lone), -1)])
     end = start + np.where(piece < 0, 1, model.lengths[piece])
-    depth = end - first[np.searchsorted(first, start, side="right") - 1]
+    depth = end - begins[start]
     # few different depths: a radix sort where they fit 16 bits
     small = int(depth.max(initial=0)) < 1 << 16
     by_depth = np.argsort(depth.astype(np.uint16) if small else depth, kind="stable")
@@ -318,13 +335,12 @@ class Encoder:
             new.update(words)
         new = list(new.difference(self.ids))
         if new:
-            made_of = cut_words(new, self.model)
-            need = list({p for ps in made_of for p in ps}.difference(self.parts))
+            made_of, ends = cut_words(new, self.model)
+            need = list(set(made_of).difference(self.parts))
             self.parts.update(zip(need, encode_parts(need, self.model)))
-            parts = self.parts
-            self.ids.update(
-                (w, parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])) for w, ps in zip(new, made_of)
-            )
+            found = list(map(self.parts.__getitem__, made_of))
+            cuts = zip([0, *ends], ends)
+            self.ids.update(zip(new, [found[a] if b == a + 1 else b"".join(found[a:b]) for a, b in cuts]))
         get = self.ids.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), dtype="<i4") for words in cut]
 
