@@ -297,3 +297,22 @@ def test_a_packing_is_scored_once(monkeypatch):
     scores = [plain(p, lengths, settings_.capacity) for p in out]
     assert scores == sorted(scores)
     assert all(sorted(i for b in p for i in b) == list(range(len(lengths))) for p in out)
+
+
+def test_met_pieces_have_codes(tokenizer, library, monkeypatch):
+    """Every distinct pre-token goes to the library once, in lists that each are
+    one call; those who forget them give the same ids."""
+    given, real = [], bpe_ids.PieceCache._library
+    monkeypatch.setattr(bpe_ids.PieceCache, "_library", lambda self, texts, t=None: given.append(list(texts)) or real(self, texts, t))
+    word = lambda j: str(j).translate(str.maketrans("0123456789", "abcdefghij"))
+    texts = [" ".join(f"w{word(j)}é the\n日本 x" for j in range(i, i + 300)) for i in range(0, 900, 100)] + ["", "a", " ", "<|endoftext|> the"]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    cache = bpe_ids.PieceCache(tokenizer, keep=100)
+    for a in range(0, len(texts), 2):
+        assert cache.encode(texts[a : a + 2]) == want[a : a + 2]
+    cache, given[:] = bpe_ids.PieceCache(tokenizer), []
+    assert cache.encode(texts) == want and len(cache.starts) == len(cache)
+    lists = [g for g in given if any(" " in t for t in g) and g != ["<|endoftext|> the"]]
+    assert len(lists) > 3 and all(len(g) == 1 for g in lists)
+    given.clear()
+    assert cache.encode(texts[:-1]) == want[:-1] and not any(map(any, given))

@@ -56,7 +56,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .bpe_ids import piece_cache
+from .bpe_ids import Spelled, piece_cache
 from .common import shared_folder, text_batches, worker_cache, written
 
 
@@ -90,54 +90,25 @@ class LmSettings:
 # ---- blocks of documents --------------------------------------------------------
 
 
-class WordIds(dict):
-    """word -> its code, for the words a worker has met; the subword ids of the
-    word with code c are ``flat[starts[c]:starts[c] + lengths[c]]``.
-
-    A word's ids are the tokenizer's merges of the whole word with a space
-    before it. Beyond ``keep`` words a block starts with an empty list, which
-    changes the speed and never the ids."""
+class WordIds(Spelled):
+    """The subword ids of the words (bytes) that a worker has met: the
+    tokenizer's merges of the whole word with a space before it. Beyond
+    ``keep`` words a block starts with an empty list."""
 
     def __init__(self, path: str, keep: int = 400_000):
-        super().__init__()
-        self.pieces, self.keep = piece_cache(path), keep
+        self.pieces = piece_cache(path)
         self.size = self.pieces.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.kind = id_type(self.size + 1)
-        self.forget()
-
-    def forget(self) -> None:
-        self.clear()
-        self.words: list[bytes] = []
-        self.flat = np.zeros(0, dtype=self.kind)
-        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        code = self[word] = len(self.words)
-        self.words.append(word)
-        return code
-
-    def learn(self) -> None:
-        """The ids of the words met since the last call."""
-        new = [" " + w.decode() for w in self.words[len(self.starts) :]]
-        flats, starts = [self.flat], [self.starts]
-        at = len(self.flat)
-        for a in range(0, len(new), 5000):
-            ids, first = self.pieces.spelled(new[a : a + 5000])
-            flats.append(ids.astype(self.kind))
+        super().__init__(keep, id_type(self.size + 1))
+
+    def ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        flats, starts, at = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype=np.int64)], 0
+        for a in range(0, len(pieces), 5000):
+            ids, first = self.pieces.spelled([" " + w.decode() for w in pieces[a : a + 5000]])
+            flats.append(ids)
             starts.append(at + first)
             at += len(ids)
-        self.flat, self.starts = np.concatenate(flats), np.concatenate(starts)
-        self.lengths = np.diff(self.starts, append=at)
-
-    def spell(self, codes: np.ndarray, counts: np.ndarray) -> list[bytes]:
-        """The ids of texts of ``counts`` words each, laid end to end."""
-        lengths = self.lengths[codes]
-        ends = np.cumsum(lengths)
-        index = np.arange(ends[-1] if len(ends) else 0)
-        index += np.repeat(self.starts[codes] - ends + lengths, lengths)
-        raw, cuts = self.flat[index].tobytes(), np.append(0, np.append(0, ends)[np.cumsum(counts)])
-        width = self.flat.itemsize
-        return [raw[a * width : b * width] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        starts = np.concatenate(starts)
+        return np.concatenate(flats), starts, np.diff(starts, append=at)
 
 
 def word_ids(path: str) -> WordIds:
@@ -189,7 +160,7 @@ def lay_blocks(docs: DataFrame, settings: LmSettings) -> DataFrame:
         for pdf in batches:
             for doc_id, held_out, text in zip(pdf["doc_id"].astype("Int64"), pdf["held_out"], pdf["text"]):
                 words = (text or "").encode().lower().split()  # bytes: lower-cases A-Z, splits at the six bytes
-                found = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+                found = known.codes(words)
                 part = HELD_OUT if held_out else turn % settings.rounds
                 turn += 1
                 rows.append((None if doc_id is pd.NA else int(doc_id), bool(held_out), found, part))

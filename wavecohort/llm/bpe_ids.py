@@ -44,14 +44,60 @@ def byte_names(text: str) -> str:
     return BYTE_NAMES[np.frombuffer(text.encode(), dtype=np.uint8)].tobytes().decode("utf-16-le")
 
 
-class PieceCache:
-    """Ids (little-endian uint32 bytes) of the pre-tokens met by a worker.
-
-    ``keep`` bounds the entries; beyond it the cache starts anew, which
-    changes the speed and never the ids.
-    """
+class Spelled(dict):
+    """piece -> its code, for the pieces a worker has met; the ids of the piece
+    with code c are ``flat[starts[c]:starts[c] + lengths[c]]``.
+
+    Asking for a new piece gives it a code; ``learn`` finds the ids of all new
+    ones. ``keep`` bounds the pieces; who goes beyond it forgets them all, which
+    changes the speed and never the ids."""
+
+    def __init__(self, keep: int, kind: str):
+        super().__init__()
+        self.keep, self.kind = keep, kind
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.words: list = []
+        self.flat = np.zeros(0, dtype=self.kind)
+        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def __missing__(self, word) -> int:
+        code = self[word] = len(self.words)
+        self.words.append(word)
+        return code
+
+    def codes(self, pieces: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+
+    def ids_of(self, pieces: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each piece's start, how many each has) of new pieces."""
+        raise NotImplementedError
+
+    def learn(self) -> None:
+        """The ids of the pieces met since the last call."""
+        flat, starts, lengths = self.ids_of(self.words[len(self.starts) :])
+        self.starts = np.concatenate([self.starts, len(self.flat) + starts])
+        self.flat = np.concatenate([self.flat, flat.astype(self.kind)])
+        self.lengths = np.concatenate([self.lengths, lengths])
+
+    def spell(self, codes: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The ids of texts of ``counts`` pieces each, laid end to end."""
+        lengths = self.lengths[codes]
+        ends = np.cumsum(lengths)
+        index = np.arange(ends[-1] if len(ends) else 0)
+        index += np.repeat(self.starts[codes] - ends + lengths, lengths)
+        raw, cuts = self.flat[index].tobytes(), np.append(0, np.append(0, ends)[np.cumsum(counts)])
+        width = self.flat.itemsize
+        return [raw[a * width : b * width] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
+class PieceCache(Spelled):
+    """Ids (little-endian uint32) of the pre-tokens met by a worker."""
 
     def __init__(self, path: str, keep: int = 500_000):
+        super().__init__(keep, "<u4")
         import regex
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import CharDelimiterSplit
@@ -67,8 +113,6 @@ class PieceCache:
         vocab = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.spaced[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
-        self.keep = keep
-        self.ids: dict[str, bytes] = {}
 
     def _library(self, texts: list[str], tokenizer=None) -> list[bytes]:
         got = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
@@ -78,49 +122,48 @@ class PieceCache:
         """The ids of pre-tokens of one space and other characters, end to
         end, and where each one's start: an id whose token starts with a space
         starts the next one. The characters are no white space."""
-        # lists of a few hundred stay in the processor's cache while the library cuts and merges them
-        lists = [byte_names("\n".join(pieces[a : a + 200])).replace(NEW_LINE, " ") for a in range(0, len(pieces), 200)]
-        raw = self._library(lists, self.named)
-        flat = np.frombuffer(b"".join(raw), dtype="<u4")
+        # lists of a few hundred stay in the processor's cache while the library cuts and merges them;
+        # one a call, or it would start threads beside those of the other workers
+        ids = []
+        for a in range(0, len(pieces), 200):
+            ids += self._library([byte_names("\n".join(pieces[a : a + 200])).replace(NEW_LINE, " ")], self.named)
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
         return flat, np.flatnonzero(self.spaced[flat])
 
-    def _learn(self, pieces):
+    def ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pre-tokens of one space and other characters are encoded many at
         a time."""
-        rest, spaced = [], []
-        for p in pieces:
-            (spaced if p[0] == " " and not p.isspace() else rest).append(p)
-        self.ids.update(zip(rest, self._library([byte_names(p) for p in rest], self.named)))
-        for a in range(0, len(spaced), 5000):
-            some = spaced[a : a + 5000]
-            flat, starts = self.spelled(some)
-            raw, starts = flat.tobytes(), (starts * 4).tolist()
-            self.ids.update(zip(some, [raw[s:e] for s, e in zip(starts, [*starts[1:], len(raw)])]))
+        together = np.array([p[0] == " " and not p.isspace() for p in pieces], dtype=bool)
+        starts, lengths = np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64)
+        flat, starts[together] = self.spelled([p for p, t in zip(pieces, together.tolist()) if t])
+        lengths[together] = np.diff(starts[together], append=len(flat))
+        rest = self._library([byte_names(p) for p, t in zip(pieces, together.tolist()) if not t], self.named)
+        lengths[~together] = [len(ids) // 4 for ids in rest]
+        starts[~together] = len(flat) + np.cumsum(lengths[~together]) - lengths[~together]
+        return np.concatenate([flat, np.frombuffer(b"".join(rest), dtype="<u4")]), starts, lengths
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, concatenated as little-endian uint32."""
-        if len(self.ids) > self.keep:
-            self.ids = {}
+        if len(self) > self.keep:
+            self.forget()
         out: list[bytes] = [b""] * len(texts)
         whole, cut = [], []
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 whole.append(i)
             elif text.isascii() or not self.not_latin(text):
-                cut.append((i, self.latin(text)))
+                cut.append((i, self.codes(self.latin(text))))
             elif self.unsure(text):
                 whole.append(i)
             else:
-                cut.append((i, self.other(text)))
-        new = set()
-        for _, pieces in cut:
-            new.update(pieces)
-        self._learn(new.difference(self.ids))
+                cut.append((i, self.codes(self.other(text))))
+        self.learn()
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
-        get = self.ids.__getitem__
-        for i, pieces in cut:
-            out[i] = b"".join(map(get, pieces))
+        if cut:
+            laid = np.concatenate([codes for _, codes in cut])
+            for (i, _), ids in zip(cut, self.spell(laid, np.array([len(codes) for _, codes in cut]))):
+                out[i] = ids
         return out
 
 

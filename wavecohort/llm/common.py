@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import sys
 import types
 import uuid
+from gc import collect as collect_garbage
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +66,7 @@ def drop_worker_caches() -> None:
     import pyarrow
 
     if sys.modules.pop("_wavecohort_worker", None) is not None:
-        gc.collect()
+        collect_garbage()
         pyarrow.default_memory_pool().release_unused()
         try:
             ctypes.CDLL(None).malloc_trim(0)
