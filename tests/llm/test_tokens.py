@@ -316,3 +316,19 @@ def test_met_pieces_have_codes(tokenizer, library, monkeypatch):
     assert len(lists) > 3 and all(len(g) == 1 for g in lists)
     given.clear()
     assert cache.encode(texts[:-1]) == want[:-1] and not any(map(any, given))
+
+
+def test_frequent_pieces_stay_beyond_the_bound(tokenizer, library, monkeypatch):
+    """Beyond the bound of a worker's pieces, those that texts share aren't
+    encoded again; the ids are the library's in every text, by each pattern."""
+    word = lambda j: "q" + str(j).translate(str.maketrans("0123456789", "abcdefghij"))
+    common = " ".join(f"often{word(j)}" for j in range(40)) + " it's 12 é ć é!\t1"
+    texts = [common + " " + " ".join(f"rare{word(j)}" for j in range(i, i + 30)) + tail for i in range(0, 600, 30) for tail in ("", " þ²", " ǅ", " я")]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    learned, real = [], bpe_ids.PieceCache.ids_of
+    monkeypatch.setattr(bpe_ids.PieceCache, "ids_of", lambda self, pieces: learned.extend(pieces) or real(self, pieces))
+    cache = bpe_ids.PieceCache(tokenizer, keep=200)
+    assert [cache.encode([t])[0] for t in texts] == want
+    assert learned.count(" often" + word(5)) == 1 < len(set(learned)) // 200
+    assert len(cache) <= 200 + 90 and len(cache) == len(cache.words) == len(cache.starts) == len(cache.met)
+    assert all(cache.words[code] == piece for piece, code in cache.items())

@@ -93,7 +93,7 @@ class LmSettings:
 class WordIds(Spelled):
     """The subword ids of the words (bytes) that a worker has met: the
     tokenizer's merges of the whole word with a space before it. Beyond
-    ``keep`` words a block starts with an empty list."""
+    ``keep`` words a block starts with the frequent ones."""
 
     def __init__(self, path: str, keep: int = 400_000):
         self.pieces = piece_cache(path)
@@ -153,8 +153,7 @@ def lay_blocks(docs: DataFrame, settings: LmSettings) -> DataFrame:
                 for (doc_id, held_out, _, part), short, ids in zip(rows, packed(numbers, cuts, len(words)), known.spell(codes, lengths))
             ]
             out.append((block, None, None, None, None, list(map(known.words.__getitem__, words.tolist())), counts, WORDS))
-            if len(known.words) > known.keep:
-                known.forget()
+            known.trim()
             return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "held_out": "boolean"})
 
         for pdf in batches:

@@ -19,14 +19,19 @@ from .common import worker_cache
 
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# The same for texts up to U+024F, with the classes written out; the standard
-# library's engine takes half the time.
-LETTER, NUMBER, SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
-LATIN_PATTERN = (
-    f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+"
-    f"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-)
-NOT_LATIN = "[^\u0000-\u024F]"
+
+
+def written_out(letter: str, number: str, space: str) -> str:
+    return f"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+
+
+# The same for texts up to U+024F, U+00FF and U+007F, with the classes written
+# out; the standard library's engine takes half the time, and less for fewer
+# characters.
+LATIN_PATTERN = written_out("A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0")
+BYTE_PATTERN = written_out("A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0")
+ASCII_PATTERN = written_out("A-Za-z", "0-9", r"\t-\r ")
+NOT_BYTE, NOT_LATIN = "[^\u0000-\u00FF]", "[^\u0000-\u024F]"
 # Blocks in which the library's pattern engine and regex class every code
 # point alike (Latin to Cyrillic, punctuation, CJK, Hangul, pictographs). Texts
 # with other characters, which may be too new for one engine, go to the
@@ -49,8 +54,8 @@ class Spelled(dict):
     with code c are ``flat[starts[c]:starts[c] + lengths[c]]``.
 
     Asking for a new piece gives it a code; ``learn`` finds the ids of all new
-    ones. ``keep`` bounds the pieces; who goes beyond it forgets them all, which
-    changes the speed and never the ids."""
+    ones. ``keep`` bounds the pieces: beyond it ``trim`` forgets the rare ones,
+    which changes codes and the speed and never the ids."""
 
     def __init__(self, keep: int, kind: str):
         super().__init__()
@@ -62,6 +67,22 @@ class Spelled(dict):
         self.words: list = []
         self.flat = np.zeros(0, dtype=self.kind)
         self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.met = np.zeros(0, dtype=np.int32)  # calls of ``spell`` since the last trim that each was in
+
+    def trim(self) -> None:
+        """Beyond ``keep`` pieces, only those stay that were spelled in two calls
+        since the last time, the most frequent half of ``keep`` at most. All
+        pieces must have been learned."""
+        if len(self.words) <= self.keep:
+            return
+        stay = np.argsort(-self.met, kind="stable")[: self.keep // 2]
+        stay = stay[self.met[stay] > 1]
+        words, lengths = [self.words[i] for i in stay.tolist()], self.lengths[stay]
+        flat = np.frombuffer(b"".join(self.spell(stay, np.array([len(stay)]))), dtype=self.kind)
+        self.forget()
+        self.update(zip(words, range(len(words))))
+        self.words, self.flat = words, flat
+        self.lengths, self.starts, self.met = lengths, np.cumsum(lengths) - lengths, np.zeros(len(words), dtype=np.int32)
 
     def __missing__(self, word) -> int:
         code = self[word] = len(self.words)
@@ -78,12 +99,14 @@ class Spelled(dict):
     def learn(self) -> None:
         """The ids of the pieces met since the last call."""
         flat, starts, lengths = self.ids_of(self.words[len(self.starts) :])
-        self.starts = np.concatenate([self.starts, len(self.flat) + starts])
-        self.flat = np.concatenate([self.flat, flat.astype(self.kind)])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        self.starts = extended(self.starts, len(self.flat) + starts)
+        self.flat = extended(self.flat, flat)
+        self.lengths = extended(self.lengths, lengths)
+        self.met = extended(self.met, np.zeros(len(lengths), dtype=np.int32))
 
     def spell(self, codes: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The ids of texts of ``counts`` pieces each, laid end to end."""
+        self.met[codes] += 1
         lengths = self.lengths[codes]
         ends = np.cumsum(lengths)
         index = np.arange(ends[-1] if len(ends) else 0)
@@ -93,6 +116,17 @@ class Spelled(dict):
         return [raw[a * width : b * width] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
+def extended(kept: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """``kept`` and ``more`` end to end, within the spare room of the array
+    that ``kept`` is a view of, or in one with room for half as much again."""
+    base, n = kept.base, len(kept) + len(more)
+    if not isinstance(base, np.ndarray) or len(base) < n:
+        base = np.empty(n + n // 2, dtype=kept.dtype)
+        base[: len(kept)] = kept
+    base[len(kept) : n] = more
+    return base[:n]
+
+
 class PieceCache(Spelled):
     """Ids (little-endian uint32) of the pre-tokens met by a worker."""
 
@@ -102,8 +136,9 @@ class PieceCache(Spelled):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import CharDelimiterSplit
 
+        self.ascii, self.byte = re.compile(ASCII_PATTERN).findall, re.compile(BYTE_PATTERN).findall
         self.latin, self.other = re.compile(LATIN_PATTERN).findall, regex.compile(PATTERN).findall
-        self.not_latin, self.unsure = re.compile(NOT_LATIN).search, re.compile(UNSURE).search
+        self.not_byte, self.not_latin, self.unsure = (re.compile(p).search for p in (NOT_BYTE, NOT_LATIN, UNSURE))
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # the same model, for pre-tokens that are written in the names of their
@@ -142,21 +177,29 @@ class PieceCache(Spelled):
         starts[~together] = len(flat) + np.cumsum(lengths[~together]) - lengths[~together]
         return np.concatenate([flat, np.frombuffer(b"".join(rest), dtype="<u4")]), starts, lengths
 
+    def cut(self, text: str) -> list[str] | None:
+        """A text's pre-tokens; None where the library must cut it."""
+        if any(s in text for s in self.special):
+            return None
+        if text.isascii():
+            return self.ascii(text)
+        if not self.not_byte(text):
+            return self.byte(text)
+        if not self.not_latin(text):
+            return self.latin(text)
+        return None if self.unsure(text) else self.other(text)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, concatenated as little-endian uint32."""
-        if len(self) > self.keep:
-            self.forget()
+        self.trim()
         out: list[bytes] = [b""] * len(texts)
         whole, cut = [], []
         for i, text in enumerate(texts):
-            if any(s in text for s in self.special):
-                whole.append(i)
-            elif text.isascii() or not self.not_latin(text):
-                cut.append((i, self.codes(self.latin(text))))
-            elif self.unsure(text):
+            pieces = self.cut(text)
+            if pieces is None:
                 whole.append(i)
             else:
-                cut.append((i, self.codes(self.other(text))))
+                cut.append((i, self.codes(pieces)))
         self.learn()
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
