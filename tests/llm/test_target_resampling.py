@@ -107,6 +107,21 @@ def test_words(text):
     assert n == len(words(text)) and found.tolist() == [zlib.crc32(w) % 10_000 for w in words(text)]
 
 
+def test_words_leave_no_memory_behind():
+    """Neither their number nor their length fills a worker's memory."""
+    import tracemalloc
+
+    text = lambda i: " ".join(f"{'long' * 50}{i}x{j}" for j in range(100))
+    R.feature_buckets(text(0), R.TargetSettings())
+    tracemalloc.start()
+    try:
+        for i in range(1, 201):
+            R.feature_buckets(text(i), R.TargetSettings())
+        assert tracemalloc.get_traced_memory()[0] < 200_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_given_documents(spark, sf):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     target = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]

@@ -27,6 +27,7 @@ result. Other columns of the documents are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_batches, worker_cache, written
+from .bpe_ids import blocks
+from .common import text_batches, written
 
 # Words are runs of ASCII digits, letters and every byte of other characters.
 # Lower-casing and cutting are one byte translation: A-Z to a-z, bytes that
@@ -56,30 +58,14 @@ class TargetSettings:
     pivots: int = 48  # random keys a round
 
 
-class _Buckets(dict):
-    """Feature -> bucket of those a worker has met; bounded."""
-
-    def __init__(self, buckets: int):
-        super().__init__()
-        self.buckets = buckets
-
-    def __missing__(self, feature: bytes) -> int:
-        import zlib
-
-        if len(self) >= 1_000_000:
-            self.clear()
-        bucket = self[feature] = zlib.crc32(feature) % self.buckets
-        return bucket
-
-
 def feature_buckets(text: str | None, settings: TargetSettings) -> tuple[int, np.ndarray]:
-    """(number of words, the bucket of every feature)."""
+    """(number of words, the bucket of every feature). Hashing a word takes
+    less time than looking it up among those met before, and no memory."""
     words = (text or "").encode().translate(WORD_BYTES).split()
-    table = worker_cache(f"target-buckets-{settings.buckets}", lambda: _Buckets(settings.buckets))
-    found = list(map(table.__getitem__, words))
+    found = list(map(zlib.crc32, words))
     for n in range(2, settings.max_n + 1):
-        found += [table[b" ".join(words[i : i + n])] for i in range(len(words) - n + 1)]
-    return len(words), np.array(found, dtype=np.int64)
+        found += [zlib.crc32(b" ".join(words[i : i + n])) for i in range(len(words) - n + 1)]
+    return len(words), np.array(found, dtype=np.int64) % settings.buckets
 
 
 def bucket_counts(raw: DataFrame, target: DataFrame, settings: TargetSettings) -> DataFrame:
@@ -91,9 +77,9 @@ def bucket_counts(raw: DataFrame, target: DataFrame, settings: TargetSettings) -
         sums = np.zeros((2, buckets), dtype=np.int64)
         for pdf in batches:
             for side in (0, 1):
-                texts = pdf["text"][pdf["side"] == side]
-                found = [feature_buckets(t, settings)[1] for t in texts]
-                if found:
+                texts = [t or "" for t in pdf["text"][pdf["side"] == side]]
+                for a, b in blocks(texts):
+                    found = [feature_buckets(t, settings)[1] for t in texts[a:b]]
                     sums[side] += np.bincount(np.concatenate(found), minlength=buckets)
         seen = np.flatnonzero(sums.sum(axis=0))
         yield pd.DataFrame({"bucket": seen, "raw": sums[0, seen], "target": sums[1, seen]})
