@@ -7,6 +7,7 @@ from dataclasses import replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,3 +206,52 @@ def test_counts_of_words_take_one_shuffle(spark, tokenizer):
     assert answers.groupBy("block", "number").count().where("count > 1").isEmpty()
     training = [t for d, text in rows if not held(d) for t in tokens(text)]
     assert (totals.tokens, totals.distinct) == (len(training), len(set(training)))
+
+
+def test_scoring_finishes_only_the_places_that_it_scores(monkeypatch):
+    """Places that a window shares with the one before are read by attention;
+    what is above it is computed once a place."""
+    classes, p = some_model()
+    raw = pd.Series([np.random.default_rng(i).integers(0, 29, n).astype("<u2").tobytes() for i, n in enumerate((0, 5, 21, 40))])
+    seen, real = [], A.forward
+    monkeypatch.setattr(A, "forward", lambda *a: seen.append(real(*a)) or seen[-1])
+    A.score_ids(raw, A.Model(classes, p.flat), TINY)
+    number = A.windows(np.array([1, 6, 22, 41]), TINY.window, TINY.stride)[2]
+    assert sum(len(x[-1]) for x in seen) == sum(TINY.window - number)
+    some = np.random.default_rng(9).integers(0, 12, (4, 6))
+    assert real(p, some, 4)[-1] == pytest.approx(real(p, some)[-1].reshape(4, 6, -1)[:, 4:].reshape(8, -1), rel=1e-5)
+
+
+def test_words_are_listed_by_bucket_and_ids_are_counted_by_block(spark, tokenizer, monkeypatch):
+    """A block has a list of words per bucket, not a row per word, and the
+    counts of its training documents' subword ids."""
+    monkeypatch.setattr(A, "BUCKETS", 3)
+    rows = [(i, f"alpha beta w{i % 9} x{i} the the") for i in range(90)] + [(None, ""), (200, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    blocks = A.lay_blocks(docs, A.LmSettings(tokenizer=tokenizer, block_documents=7))
+    answers, _ = A.word_counts(blocks)
+    lists = blocks.where(F.col("part") == A.WORDS)
+    assert lists.groupBy("block").count().where("count > 3").isEmpty()
+    words = {(r.block, r.number): [bytes(w) for w in r.words] for r in lists.collect()}
+    want = Counter(t for d, text in rows if not held(d) for t in tokens(text))
+    found = answers.collect()
+    assert {(r.block, r.number) for r in found} == set(words) and len(found) == len(words)
+    assert all(np.frombuffer(r.c, dtype="<i8").tolist() == [want[w] for w in words[r.block, r.number]] for r in found)
+    size = A.word_ids(tokenizer).size + 1
+    trained = blocks.where(F.col("part") >= 0).select("ids").collect()
+    each = np.bincount(np.concatenate([np.frombuffer(r.ids, dtype=A.id_type(size)) for r in trained]), minlength=size)
+    each[-1] += len(trained)
+    assert A.id_counts(blocks, size).tolist() == each.tolist()
+
+
+@pytest.mark.parametrize("limit", [1, 2, 5, 1000])
+def test_buckets_are_summed_whole(limit):
+    """However batches and limits cut the lists, a word's counts meet."""
+    lists = [(b, block, 10 * b, [b"%d" % b, b"%d-%d" % (b, block)], [block, 1]) for b in range(4) for block in range(5)]
+    columns = [pa.array(x) for x in zip(*lists)]
+    whole = pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "number", "words", "counts"])
+    for step in (1, 3, 20):
+        batches = [whole.slice(a, step) for a in range(0, len(whole), step)]
+        out = pa.Table.from_batches(A.summed(iter([whole.slice(0, 0), *batches]), limit)).to_pylist()
+        assert [(r["block"], r["number"], np.frombuffer(r["c"], dtype="<i8").tolist()) for r in out] == [(b, n, [10, 1]) for _, b, n, _, _ in lists]
+        assert (sum(r["n"] for r in out), sum(r["v"] for r in out)) == (4 * 15, 4 * 6)

@@ -3,13 +3,14 @@ trained in numpy on the corpus, beside an add-one word model as the base.
 
 Blocks. A task lays its documents into blocks of bounded size. A block numbers
 its distinct words; a document is then the numbers of its words (for the base)
-and its subword ids (for the attention model), and the block has one list of
-its words with their counts in the training documents.
+and its subword ids (for the attention model), and the block has lists of its
+words and of its subword ids with their counts in the training documents.
 
-Base. The blocks' rows of a word meet once: their training counts are summed
-and the sum goes back to each of these blocks, so what is shuffled is one row
-per block and distinct word, not one per token. A word, however common, has no
-more rows than there are blocks.
+Base. A word belongs to one of ``BUCKETS`` buckets by its checksum, and a block
+has one list of words per bucket. The lists of a bucket meet once: the training
+counts of a word are summed and the sum goes back to each of its blocks, so
+what is shuffled holds a block's distinct words, not its tokens. A word, however
+common, is in no more lists than there are blocks.
 
 Attention model. A word's subwords are the public tokenizer's ids of it with a
 space before it; a document is the ids of its words and one end id. There are
@@ -47,14 +48,15 @@ from __future__ import annotations
 
 import math
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .bpe_ids import Spelled, piece_cache
 from .common import shared_folder, text_batches, worker_cache, written
@@ -110,26 +112,41 @@ class WordIds(Spelled):
         starts = np.concatenate(starts)
         return np.concatenate(flats), starts, np.diff(starts, append=at)
 
+    def counted(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """How often the words of these codes, each so many times, have each id."""
+        lengths = self.lengths[codes]
+        ends = np.cumsum(lengths)
+        index = np.arange(lengths.sum()) + np.repeat(self.starts[codes] - ends + lengths, lengths)
+        return np.bincount(self.flat[index], weights=np.repeat(counts, lengths), minlength=self.size + 1)
+
 
 def word_ids(path: str) -> WordIds:
     return worker_cache("lm-words:" + path, lambda: WordIds(path))
 
 
 BLOCKS = (
-    "block long, doc_id long, held_out boolean, numbers binary, ids binary, words array<binary>, counts array<long>, part int"
+    "block long, doc_id long, held_out boolean, numbers binary, ids binary, words array<binary>, counts array<long>, "
+    "bucket int, number int, part int"
 )
-WORDS, HELD_OUT = -1, -2  # parts that aren't training rounds
+LAID = pa.schema([
+    ("block", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("numbers", pa.binary()), ("ids", pa.binary()),
+    ("words", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())), ("bucket", pa.int32()), ("number", pa.int32()), ("part", pa.int32()),
+])
+WORDS, HELD_OUT, SUBWORDS = -1, -2, -3  # parts that aren't training rounds
+BUCKETS = 4096  # of words, by checksum
 
 
 def lay_blocks(docs: DataFrame, settings: LmSettings) -> DataFrame:
     """A written table of documents (doc_id, held_out, numbers, ids), by the
-    training round that reads them, and of one row per block with its words and
-    their training counts (part ``WORDS``)."""
+    training round that reads them; of a row per block and bucket with the
+    block's words in it, which are numbered from ``number`` on, and their
+    training counts (part ``WORDS``); and of a row per block with the subword
+    ids of its training documents as ``numbers`` of four bytes and their counts
+    (part ``SUBWORDS``)."""
     spark = docs.sparkSession
     text_batches(spark)
-    names = [c.split()[0] for c in BLOCKS.split(", ")]
 
-    def lay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         known = word_ids(settings.tokenizer)
@@ -139,48 +156,65 @@ def lay_blocks(docs: DataFrame, settings: LmSettings) -> DataFrame:
         def flush():
             known.learn()
             codes, lengths = np.concatenate([r[2] for r in rows]), np.array([len(r[2]) for r in rows])
-            # the block's own numbers of its words, in order of their codes
+            # the block's own numbers of its words, in order of their buckets
             number = np.zeros(len(known.words), dtype="<i4")
             number[codes] = 1
             words = np.flatnonzero(number)
+            sums = map(zlib.crc32, map(known.words.__getitem__, words.tolist()))
+            bucket = np.fromiter(sums, dtype=np.int64, count=len(words)) % BUCKETS
+            order = np.argsort(bucket, kind="stable")
+            words, bucket = words[order], bucket[order]
             number[words] = np.arange(len(words))
             numbers = number[codes]
-            training = np.repeat(np.array([not r[1] for r in rows]), lengths)
-            counts = np.bincount(numbers[training], minlength=len(words))
-            cuts = np.append(0, np.cumsum(lengths)).tolist()
-            out = [
-                (block, doc_id, held_out, short, ids, None, None, part)
-                for (doc_id, held_out, _, part), short, ids in zip(rows, packed(numbers, cuts, len(words)), known.spell(codes, lengths))
-            ]
-            out.append((block, None, None, None, None, list(map(known.words.__getitem__, words.tolist())), counts, WORDS))
+            held = np.array([r[1] for r in rows])
+            counts = np.bincount(numbers[~np.repeat(held, lengths)], minlength=len(words))
+            numbers = packed(numbers, np.append(0, np.cumsum(lengths)).tolist(), len(words))
+            doc_ids, held_out, _, parts = zip(*rows)
+            yield laid_rows(block, doc_id=doc_ids, held_out=held_out, numbers=numbers, ids=known.spell(codes, lengths), part=parts)
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1)).astype(np.int32)
+            cuts = np.append(starts, np.int32(len(words)))
+            listed = pa.ListArray.from_arrays(cuts, pa.array(list(map(known.words.__getitem__, words.tolist())), type=pa.binary()))
+            sums = pa.ListArray.from_arrays(cuts, pa.array(counts, type=pa.int64()))
+            yield laid_rows(block, words=listed, counts=sums, bucket=bucket[starts], number=starts, part=[WORDS] * len(starts))
+            used = known.counted(words, counts)
+            used[known.size] = np.count_nonzero(~held)  # ends
+            ids = np.flatnonzero(used)
+            yield laid_rows(block, numbers=[ids.astype("<u4").tobytes()], counts=[used[ids].astype(np.int64)], part=[SUBWORDS])
             known.trim()
-            return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "held_out": "boolean"})
 
-        for pdf in batches:
-            for doc_id, held_out, text in zip(pdf["doc_id"].astype("Int64"), pdf["held_out"], pdf["text"]):
+        for batch in batches:
+            for doc_id, held_out, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))):
                 words = (text or "").encode().lower().split()  # bytes: lower-cases A-Z, splits at the six bytes
                 found = known.codes(words)
                 part = HELD_OUT if held_out else turn % settings.rounds
                 turn += 1
-                rows.append((None if doc_id is pd.NA else int(doc_id), bool(held_out), found, part))
+                rows.append((doc_id, held_out, found, part))
                 tokens += len(words)
                 # words new to the worker bound those new to the block
                 full = len(known) - first >= settings.block_words or len(rows) >= settings.block_documents
                 if full or tokens >= settings.block_tokens:
-                    yield flush()
+                    yield from flush()
                     block, first, rows, tokens = block + 1, len(known), [], 0
         if rows:
-            yield flush()
+            yield from flush()
 
     doc_id = F.col("doc_id").cast("long")
     remainder = F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(settings.modulus))
     held_out = F.coalesce(remainder == settings.held_out, F.lit(False))
     rows = docs.select(doc_id.alias("doc_id"), "text", held_out.alias("held_out"))
     path = f"{shared_folder(spark)}/llm-lm-blocks-{uuid.uuid4().hex}"
-    rows.mapInPandas(lay, BLOCKS).write.partitionBy("part").option("compression", "zstd").parquet(path)
+    rows.mapInArrow(lay, BLOCKS).write.partitionBy("part").option("compression", "zstd").parquet(path)
     return spark.read.schema(BLOCKS).parquet(path)
 
 
+def laid_rows(block: int, **given) -> pa.RecordBatch:
+    """Rows of a block; columns that aren't given are null."""
+    n = len(given["part"])
+    given["block"] = np.full(n, block)
+    arrays = [x if isinstance(x := given.get(f.name), pa.Array) else pa.nulls(n, f.type) if x is None else pa.array(x, type=f.type) for f in LAID]
+    return pa.RecordBatch.from_arrays(arrays, schema=LAID)
+
+
 def packed(numbers: np.ndarray, cuts: list[int], words: int) -> list[bytes]:
     """The numbers of a block's texts, which end at ``cuts``, in as many bytes
     each as those of a block of ``words`` words need; this width comes first."""
@@ -213,28 +247,60 @@ class Totals:
 
 
 def word_counts(blocks: DataFrame) -> tuple[DataFrame, Totals]:
-    """(block, number, c), written: for every block, the training counts of its
-    words; words that no training document has are left out. And the totals."""
-    listed = blocks.where(F.col("part") == WORDS).select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "w"))
-    word = Window.partitionBy("w.words").orderBy("block")
-    c = F.sum("w.counts").over(word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    summed = listed.select("block", "number", c.alias("c"), (F.row_number().over(word) == 1).alias("once"))
-    answers = written(summed.where("c > 0"), "lm-counts")
-    # one row; each word counts where it is listed first
-    n, v = answers.where("once").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    """(block, number, c), written: the training counts (eight bytes each) of a
+    block's words from ``number`` on, a row for each bucket. And the totals."""
+    spark = blocks.sparkSession
+    listed = blocks.where(F.col("part") == WORDS).select("bucket", "block", "number", "words", "counts")
+    rows = listed.repartition("bucket").sortWithinPartitions("bucket")
+    answers = written(rows.mapInArrow(summed, "block long, number int, c binary, n long, v long"), "lm-counts")
+    n, v = answers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     ends = blocks.where(F.col("part") >= 0).count()
     return answers.select("block", "number", "c"), Totals(n + ends, v + (ends > 0), ends)
 
 
+def summed(batches: Iterator[pa.RecordBatch], limit: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Of lists of words in order of their buckets, the words' counts in all
+    lists; whole buckets of at least ``limit`` words at a time. The first row of
+    these has their training tokens (n) and distinct words (v)."""
+    held, words = [], 0
+
+    def add_up(lists: pa.Table) -> pa.RecordBatch:
+        lists = lists.combine_chunks()
+        each, counts = (lists.column(c).combine_chunks() for c in ("words", "counts"))
+        code = each.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        total = np.bincount(code, weights=counts.flatten().to_numpy()).astype("<i8")  # exact below 2**53
+        raw, ends = total[code].tobytes(), np.cumsum(each.value_lengths().to_numpy()).tolist()
+        first = np.zeros((2, len(lists)), dtype=np.int64)
+        first[:, 0] = total.sum(), np.count_nonzero(total)
+        c = pa.array([raw[8 * a : 8 * b] for a, b in zip([0, *ends], ends)], type=pa.binary())
+        columns = [lists.column("block").combine_chunks(), lists.column("number").combine_chunks(), c, pa.array(first[0]), pa.array(first[1])]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "number", "c", "n", "v"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        words += len(batch.column("words").flatten())
+        if words >= limit:
+            lists = pa.Table.from_batches(held)
+            bucket = lists.column("bucket").to_numpy()
+            whole = int(np.searchsorted(bucket, bucket[-1]))  # the last one may go on
+            if whole:
+                yield add_up(lists.slice(0, whole))
+                held = lists.slice(whole).to_batches()
+                words = sum(len(x.column("words").flatten()) for x in held)
+    if held:
+        yield add_up(pa.Table.from_batches(held))
+
+
 def base_scores(scored: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame:
     """Every document with its token counts and base score: a block's
     documents meet the counts of its words in one bounded group."""
 
     def meet(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         numbers, lengths = laid_numbers(list(rows["numbers"]))
-        c = np.zeros(1 + int(numbers.max(initial=0)))
-        at = found["number"].to_numpy()
-        c[at[at < len(c)]] = found["c"].to_numpy()[at < len(c)]
+        found = found.sort_values("number")  # all words of the block, from its first number on
+        c = np.frombuffer(b"".join(found["c"]), dtype="<i8")
         share = totals.tokens + totals.distinct + 1
         term, end = np.log10((c + 1) / share), float(np.log10((totals.documents + 1) / share))
         text, n = np.repeat(np.arange(len(rows)), lengths), len(rows)
@@ -273,12 +339,12 @@ def id_counts(blocks: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(size, dtype=np.int64)
         for pdf in batches:
-            for _, _, laid, _ in _texts(pdf["ids"], size):
-                sums += np.bincount(laid, minlength=size)
+            for ids, counts in zip(pdf["numbers"], pdf["counts"]):
+                sums[np.frombuffer(ids, dtype="<u4")] += counts
         seen = np.flatnonzero(sums)
         yield pd.DataFrame({"id": seen, "n": sums[seen]})
 
-    each = blocks.where(F.col("part") >= 0).select("ids").mapInPandas(count, "id long, n long")
+    each = blocks.where(F.col("part") == SUBWORDS).select("numbers", "counts").mapInPandas(count, "id long, n long")
     out = np.zeros(size, dtype=np.int64)
     for row in each.groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most ``size`` rows
         out[row["id"]] = row["n"]
@@ -355,42 +421,45 @@ def _beside(matrix: np.ndarray, rows: int, columns: int) -> np.ndarray:
     return out
 
 
-def scaled_qkv(p: Parameters) -> np.ndarray:
-    """``qkv`` with the scores' scale in the queries' columns."""
-    out = p.qkv.copy()
-    out[:, : len(out)] *= np.float32(len(out) ** -0.5)
-    return out
+def joined(p: Parameters) -> tuple[np.ndarray, np.ndarray]:
+    """(queries times keys with the scores' scale, values times ``mix``): each
+    pair acts as one matrix, so that attention reads the places themselves."""
+    d = len(p.qkv)
+    return (p.qkv[:, :d] @ p.qkv[:, d : 2 * d].T) * np.float32(d**-0.5), p.qkv[:, 2 * d :] @ p.mix
 
 
-def forward(p: Parameters, inputs: np.ndarray) -> tuple:
-    """The last layer's places of a batch of windows (windows x places), and
-    what the gradients need. The places and what attention reads of them end in
-    a one, which the residuals carry on, so that biases are part of products."""
+def forward(p: Parameters, inputs: np.ndarray, first: int = 0, pair: tuple | None = None) -> tuple:
+    """The last layer's places from ``first`` on of a batch of windows (windows
+    x places), and what the gradients need; ``pair`` is what ``joined`` gives.
+    Places end in a one, which the residuals carry on, so that biases are part
+    of products and the sum of the places that attention reads ends in the sum
+    of its weights."""
     (n, w), (classes, d) = inputs.shape, p.embed.shape
+    scores, values = pair or joined(p)
     embed, place = np.ones((classes, d + 1), dtype=np.float32), _beside(p.place[:w], w, d + 1)
     embed[:, :d] = p.embed
     x = embed.take(inputs.ravel(), axis=0)
-    x.reshape(n, w, d + 1)[:] += place
+    x.reshape(n, -1)[:] += place.ravel()
     # one matrix product over all places, not one a window
-    weights = _beside(scaled_qkv(p), d + 1, 3 * d + 1)
-    weights[d, 3 * d] = 1
-    qkv = (x @ weights).reshape(n, w, 3 * d + 1)
-    q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
-    s = q @ k.transpose(0, 2, 1)
+    q = (x[:, :d] @ scores).reshape(n, w, d)[:, first:]
+    x = x.reshape(n, w, d + 1)
+    s = q @ x[..., :d].transpose(0, 2, 1)
     if s.max(initial=0) > 60:
         np.minimum(s, np.float32(60), out=s)
     np.exp(s, out=s)
-    s *= np.tri(w, dtype=np.float32)  # a place sees itself and what is before it
-    each = _flat(s)
-    each /= (each @ np.ones(w, dtype=np.float32))[:, None]
-    a = s @ v
-    y = _flat(a) @ _beside(p.mix, d + 1, d + 1)
-    y += x
+    s.reshape(n, -1)[:] *= np.tri(w, dtype=np.float32)[first:].ravel()  # a place sees itself and what is before it
+    a = _flat(s @ x)
+    over = 1 / a[:, d:]
+    a *= over
+    y = np.zeros_like(a)
+    np.matmul(a[:, :d], values, out=y[:, :d])
+    y += _flat(x[:, first:])
     r = y @ p.up_all
     np.maximum(r, np.zeros_like(r), out=r)  # an array of zeros: with a number this takes three times as long
-    h = r @ _beside(p.down, len(p.down), d + 1)
+    h = np.zeros_like(y)
+    np.matmul(r, p.down, out=h[:, :d])
     h += y
-    return x, q, k, v, s, a, y, r, h
+    return x, q, s, a, over, y, r, h
 
 
 def odds(h: np.ndarray, weights: np.ndarray, bias: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -467,47 +536,52 @@ def gradients(p: Parameters, inputs: np.ndarray, targets: np.ndarray, counted: n
     """Of the mean negative log probability of ``targets`` where ``counted``."""
     out = Parameters(settings)
     (n, w), d = inputs.shape, p.embed.shape[1]
-    x, q, k, v, s, a, y, r, h = forward(p, inputs)
+    scores, values = pair = joined(p)
+    x, q, s, a, over, y, r, h = forward(p, inputs, pair=pair)
     places, group, member, ends = by_group(targets, counted, settings)
     some, rows, share = h.take(places, axis=0), np.arange(len(places)), np.float32(1 / len(places))
     _, each, total = odds(some, p.group_all)
     each *= (share / total)[:, None]
     each.reshape(-1)[rows * settings.groups + group] -= share
-    np.matmul(some.T, each, out=out.group_all)
+    out.group_all[:] = (each.T @ some).T  # the product of this shape takes less time
     back, by_members = np.zeros((len(places) + 1, d), dtype=np.float32), np.empty((len(places), d), dtype=np.float32)
     np.matmul(each, p.group.T, out=back[:-1])
     _, each, total = member_odds(p, some, ends)
     each *= (share / total)[:, None]
     each.reshape(-1)[rows * settings.members + member] -= share
+    of_members = np.zeros((settings.groups, settings.members, d + 1), dtype=np.float32)
     for g, (i, j) in enumerate(zip([0, *ends], ends)):
         if i < j:
-            np.matmul(some[i:j].T, each[i:j], out=out.member_all[g])
+            np.matmul(each[i:j].T, some[i:j], out=of_members[g])
             np.matmul(each[i:j], p.member[g].T, out=by_members[i:j])
+    out.member_all[:] = of_members.transpose(0, 2, 1)
     back[:-1] += by_members
     row = np.full(n * w, len(places))  # the last, of zeros, for places that don't count
     row[places] = rows
     dh = back.take(row, axis=0)
     dr = dh @ p.down.T
     dr *= r > 0
-    out.down[:], out.up_all[:] = r.T @ dh, y.T @ dr
+    out.down[:], out.up_all[:] = r.T @ dh, (dr.T @ y).T
     dy = dr @ p.up.T
     dy += dh
-    out.mix[:] = _flat(a)[:, :d].T @ dy
-    # of the scores: each place's mean is taken off by a further column that meets the ones of v
-    da = dy @ _beside(p.mix.T, d, d + 1)
-    da[:, d] = (da * _flat(a)) @ np.full(d + 1, -1, dtype=np.float32)
+    # of the weighted sums of places, over the weights' sums; each place's mean
+    # is taken off by a further column that meets the ones of x
+    da = np.zeros_like(a)
+    np.matmul(dy, values.T, out=da[:, :d])
+    da *= over
+    da[:, d] = (da * a) @ np.full(d + 1, -1, dtype=np.float32)
     da = da.reshape(n, w, d + 1)
-    ds = da @ v.transpose(0, 2, 1)
+    ds = da @ x.transpose(0, 2, 1)
     ds *= s
-    dqkv = np.empty((n, w, 3 * d), dtype=np.float32)
-    np.matmul(ds, k, out=dqkv[..., :d])
-    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., d : 2 * d])
-    np.matmul(s.transpose(0, 2, 1), da[..., :d], out=dqkv[..., 2 * d :])
-    dqkv = _flat(dqkv)
-    out.qkv[:] = x[:, :d].T @ dqkv
-    out.qkv[:, :d] *= np.float32(d**-0.5)
-    dx = dqkv @ scaled_qkv(p).T
+    dq = _flat(ds @ x[..., :d])
+    dx = ds.transpose(0, 2, 1) @ q
+    dx += s.transpose(0, 2, 1) @ da[..., :d]
+    dx = _flat(dx)
+    dx += dq @ scores.T
     dx += dy
+    of_scores, of_values = (_flat(x)[:, :d].T @ dq) * np.float32(d**-0.5), a[:, :d].T @ dy
+    out.qkv[:, :d], out.qkv[:, d : 2 * d] = of_scores @ p.qkv[:, d : 2 * d], of_scores.T @ p.qkv[:, :d]
+    out.qkv[:, 2 * d :], out.mix[:] = of_values @ p.mix.T, p.qkv[:, 2 * d :].T @ of_values
     out.place[:w] = dx.reshape(n, w, d).sum(axis=0)
     out.embed[:] = sums_by(inputs.ravel(), dx, settings.classes)
     return out
@@ -645,17 +719,20 @@ def fit(blocks: DataFrame, settings: LmSettings) -> Model:
 def score_ids(ids: pd.Series, model: Model, settings: LmSettings) -> np.ndarray:
     """log10 probability of every text of ``ids`` (binary)."""
     p, classes = Parameters(settings, model.flat), model.classes
-    out = np.zeros(len(ids))
+    pair, out = joined(p), np.zeros(len(ids))
     for a, b, laid, lengths in _texts(ids, len(classes.of)):
         of, before = laid_classes(laid, lengths, classes)
         text = np.repeat(np.arange(len(lengths)), lengths)
         total = np.bincount(text, weights=classes.share[laid], minlength=len(lengths))
         all_windows = windows(lengths, settings.window, settings.stride)
-        for at in range(0, len(all_windows[0]), settings.batch):
-            some = tuple(x[at : at + settings.batch] for x in all_windows)
-            inputs, targets, counted, index = gather(of, before, some, settings.window)
-            places, log = log_odds(p, forward(p, inputs)[-1], targets, counted, settings)
-            total += np.bincount(text[index.ravel()[places]], weights=log, minlength=len(lengths))
+        for first in np.unique(all_windows[2]).tolist():  # places that aren't scored are only read
+            alike = np.flatnonzero(all_windows[2] == first)
+            for at in range(0, len(alike), settings.batch):
+                some = tuple(x[alike[at : at + settings.batch]] for x in all_windows)
+                inputs, *laid_out = gather(of, before, some, settings.window)
+                targets, counted, index = (x[:, first:] for x in laid_out)
+                places, log = log_odds(p, forward(p, inputs, first, pair)[-1], targets, counted, settings)
+                total += np.bincount(text[index.ravel()[places]], weights=log, minlength=len(lengths))
         out[a:b] = total / np.log(10)
     return out
 
@@ -673,7 +750,7 @@ def score_documents(docs: DataFrame, settings: LmSettings) -> DataFrame:
             pdf["score"] = score_ids(pdf["ids"], model, settings)
             yield pdf[["block", "doc_id", "held_out", "numbers", "score"]]
 
-    rows = blocks.where(F.col("part") != WORDS).select("block", "doc_id", "held_out", "numbers", "ids")
+    rows = blocks.where(~F.col("part").isin(WORDS, SUBWORDS)).select("block", "doc_id", "held_out", "numbers", "ids")
     scored = rows.mapInPandas(score, "block long, doc_id long, held_out boolean, numbers binary, score double")
     found = base_scores(scored, answers, totals)
     train_tokens = F.lit(totals.tokens).cast("long").alias("train_tokens")
